@@ -96,17 +96,27 @@ def clamp_non_negative(x) -> Column:
     return F.greatest(F.lit(0.0), col(x))
 
 
+# Q08 -------------------------------------------------------------------------
+def round_half_even(x, digits: int) -> Column:
+    """Half-even rounding of the binary value scaled by 10^d, as numpy and
+    pandas ``round`` do (0.25 -> 0.2; 13.15 stored as 13.1499.. -> 13.2
+    because 13.1499.. * 10 is exactly 131.5).  ``F.bround`` alone rounds
+    the decimal text and differs on such values."""
+    p = float(10 ** digits)
+    return F.bround(col(x) * p, 0) / p
+
+
 # F08 -------------------------------------------------------------------------
 def forecast_error(predicted, actual, digits: int = 1) -> Column:
-    return F.bround(col(predicted) - col(actual), digits)
+    return round_half_even(col(predicted) - col(actual), digits)
 
 
 def accuracy_pct(predicted, actual, digits: int = 1) -> Column:
     """clip(1 - |rounded error| / actual, 0, 1) * 100, actual 0 -> 1."""
-    abs_err = F.bround(F.abs(forecast_error(predicted, actual, digits)), digits)
+    abs_err = round_half_even(F.abs(forecast_error(predicted, actual, digits)), digits)
     base = F.when(col(actual) == 0, F.lit(1.0)).otherwise(col(actual))
     ratio = F.lit(1.0) - abs_err / base
-    return F.bround(F.least(F.lit(1.0), F.greatest(F.lit(0.0), ratio)) * 100, digits)
+    return round_half_even(F.least(F.lit(1.0), F.greatest(F.lit(0.0), ratio)) * 100, digits)
 
 
 # F09 -------------------------------------------------------------------------
@@ -133,7 +143,7 @@ def int_truncate(x) -> Column:
 
 
 def int_round_half_even(x) -> Column:
-    return F.bround(col(x), 0).cast("int")
+    return round_half_even(x, 0).cast("int")
 
 
 # F13 -------------------------------------------------------------------------

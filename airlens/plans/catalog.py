@@ -89,3 +89,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 register("c01_features_events_clean",
          _features_sql({**_clean_sql_ctes(), "r": "SELECT * FROM cl"}, set(DOUBLE_FEATURES)))(flagship)
+
+
+# Query modules register themselves on import.
+from airlens.plans import q_eval  # noqa: E402,F401

@@ -91,3 +91,9 @@ def orders_daily_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return (o.groupBy(F.col("o_orderstatus").alias("city"), F.col("o_orderdate").alias("timestamp"))
              .agg(F.avg("o_totalprice").alias("pressure"), F.count(F.lit(1)).cast("double").alias("precipitation")))
+
+
+def daily_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily actual AQI per city from the long series (V3 -> day means)."""
+    r = lineitem_readings(spark, sf_dir)
+    return r.groupBy("city", F.to_date("timestamp").alias("date")).agg(F.avg("aqi").alias("aqi_mean"))
