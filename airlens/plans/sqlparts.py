@@ -11,10 +11,10 @@ MEASURES = ["aqi", "pm2_5", "pm10", "co", "no2", "so2", "o3", "temperature",
             "humidity", "wind_speed", "wind_direction", "pressure", "precipitation"]
 
 V1 = """SELECT event_type AS city, ts AS "timestamp", event_id AS seq, value AS aqi,
- CAST(user_id AS DOUBLE) AS pm2_5, value * 1.2 AS pm10, value * 10.0 AS co, value / 2.0 AS no2,
- value / 4.0 AS so2, value / 3.0 AS o3, CAST(user_id AS DOUBLE) / 5.0 - 10.0 AS temperature,
- CAST(user_id AS DOUBLE) / 1.5 AS humidity, value / 10.0 AS wind_speed,
- CAST(user_id AS DOUBLE) * 2.4 AS wind_direction, value / 5.0 + 950.0 AS pressure,
+ CAST(user_id AS DOUBLE) AS pm2_5, value * 7.0 / 6.0 AS pm10, value * 10.0 / 3.0 AS co, value / 2.2 AS no2,
+ value / 6.0 AS so2, value / 3.0 AS o3, CAST(user_id AS DOUBLE) / 7.0 - 10.0 AS temperature,
+ CAST(user_id AS DOUBLE) / 1.5 AS humidity, value / 11.0 AS wind_speed,
+ CAST(user_id AS DOUBLE) * 2.4 AS wind_direction, value / 7.0 + 950.0 AS pressure,
  CAST(1.0 AS DOUBLE) AS precipitation FROM events"""
 
 V2 = ("SELECT city, date_trunc('hour', \"timestamp\") AS \"timestamp\", "
@@ -25,7 +25,7 @@ V2D = """SELECT c.city, c."timestamp", """ + ", ".join(f"h.{m}" for m in MEASURE
  FROM (SELECT city, unnest(generate_series(min("timestamp"), max("timestamp"), INTERVAL 1 HOUR)) AS "timestamp"
        FROM v2 GROUP BY city) c LEFT JOIN v2 h ON c.city = h.city AND c."timestamp" = h."timestamp\""""
 
-V3 = """SELECT l_returnflag AS city, l_shipdate AS "timestamp", l_quantity AS aqi, l_extendedprice AS pm2_5,
+V3 = """SELECT l_returnflag AS city, l_shipdate AS "timestamp", l_quantity AS aqi, l_extendedprice / 1000.0 AS pm2_5,
  l_extendedprice / 100.0 AS pm10, l_discount AS temperature, l_tax AS humidity,
  CAST(l_linenumber AS DOUBLE) AS wind_speed, CAST(l_suppkey AS DOUBLE) AS pressure,
  l_quantity / 10.0 AS precipitation FROM lineitem"""

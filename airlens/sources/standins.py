@@ -34,16 +34,16 @@ def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("seq"),
         v.alias("aqi"),
         u.alias("pm2_5"),
-        (v * 1.2).alias("pm10"),
-        (v * 10.0).alias("co"),
-        (v / 2.0).alias("no2"),
-        (v / 4.0).alias("so2"),
+        (v * 7.0 / 6.0).alias("pm10"),
+        (v * 10.0 / 3.0).alias("co"),
+        (v / 2.2).alias("no2"),
+        (v / 6.0).alias("so2"),
         (v / 3.0).alias("o3"),
-        (u / 5.0 - 10.0).alias("temperature"),
+        (u / 7.0 - 10.0).alias("temperature"),
         (u / 1.5).alias("humidity"),
-        (v / 10.0).alias("wind_speed"),
+        (v / 11.0).alias("wind_speed"),
         (u * 2.4).alias("wind_direction"),
-        (v / 5.0 + 950.0).alias("pressure"),
+        (v / 7.0 + 950.0).alias("pressure"),
         F.lit(1.0).alias("precipitation"),
     )
 
@@ -76,7 +76,7 @@ def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias("city"),
         F.col("l_shipdate").alias("timestamp"),
         F.col("l_quantity").alias("aqi"),
-        F.col("l_extendedprice").alias("pm2_5"),
+        (F.col("l_extendedprice") / 1000.0).alias("pm2_5"),
         (F.col("l_extendedprice") / 100.0).alias("pm10"),
         F.col("l_discount").alias("temperature"),
         F.col("l_tax").alias("humidity"),
@@ -97,3 +97,22 @@ def daily_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily actual AQI per city from the long series (V3 -> day means)."""
     r = lineitem_readings(spark, sf_dir)
     return r.groupBy("city", F.to_date("timestamp").alias("date")).agg(F.avg("aqi").alias("aqi_mean"))
+
+
+REVISION_FROM = "2024-01-25"
+
+
+def redelivered_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second delivery of the readings from ``REVISION_FROM`` on,
+    revised (+1 on aqi) and delivered later (larger ``seq``)."""
+    r = event_readings(spark, sf_dir)
+    return (r.where(F.col("timestamp") >= F.lit(REVISION_FROM).cast("timestamp_ntz"))
+             .withColumn("seq", F.col("seq") + F.lit(1_000_000_000))
+             .withColumn("aqi", F.col("aqi") + 1.0))
+
+
+def orders_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second daily feed keyed by day only: mean order price as pressure."""
+    o = table(spark, sf_dir, "orders")
+    return (o.groupBy(F.col("o_orderdate").alias("timestamp"))
+             .agg(F.avg("o_totalprice").alias("pressure"), F.count(F.lit(1)).alias("n_orders")))
