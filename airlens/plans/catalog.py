@@ -94,3 +94,4 @@ register("c01_features_events_clean",
 # Query modules register themselves on import.
 from airlens.plans import q_eval  # noqa: E402,F401
 from airlens.plans import q_sources  # noqa: E402,F401
+from airlens.plans import q_profile  # noqa: E402,F401
