@@ -95,3 +95,4 @@ register("c01_features_events_clean",
 from airlens.plans import q_eval  # noqa: E402,F401
 from airlens.plans import q_sources  # noqa: E402,F401
 from airlens.plans import q_profile  # noqa: E402,F401
+from airlens.plans import q_explain  # noqa: E402,F401

@@ -37,7 +37,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    b = (b.config("spark.ui.enabled", "false")
+    b = (b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
           .config("spark.driver.memory", os.environ.get("AIRLENS_DRIVER_MEMORY", "8g"))
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
