@@ -10,11 +10,11 @@ from airlens import constants as C
 MEASURES = ["aqi", "pm2_5", "pm10", "co", "no2", "so2", "o3", "temperature",
             "humidity", "wind_speed", "wind_direction", "pressure", "precipitation"]
 
-V1 = """SELECT event_type AS city, ts AS "timestamp", event_id AS seq, value AS aqi,
- CAST(user_id AS DOUBLE) AS pm2_5, value * 7.0 / 6.0 AS pm10, value * 10.0 / 3.0 AS co, value / 2.2 AS no2,
- value / 6.0 AS so2, value / 3.0 AS o3, CAST(user_id AS DOUBLE) / 7.0 - 10.0 AS temperature,
- CAST(user_id AS DOUBLE) / 1.5 AS humidity, value / 11.0 AS wind_speed,
- CAST(user_id AS DOUBLE) * 2.4 AS wind_direction, value / 7.0 + 950.0 AS pressure,
+V1 = """SELECT event_type AS city, ts AS "timestamp", event_id AS seq, value / 1.09 AS aqi,
+ CAST(user_id AS DOUBLE) / 1.31 AS pm2_5, value / 0.857 AS pm10, value * 10.0 / 3.07 AS co, value / 2.2 AS no2,
+ value / 6.01 AS so2, value / 2.93 AS o3, CAST(user_id AS DOUBLE) / 7.01 - 10.0 AS temperature,
+ CAST(user_id AS DOUBLE) / 1.51 AS humidity, value / 11.3 AS wind_speed,
+ CAST(user_id AS DOUBLE) * 360.0 / 151.0 AS wind_direction, value / 7.03 + 950.0 AS pressure,
  CAST(1.0 AS DOUBLE) AS precipitation FROM events"""
 
 V2 = ("SELECT city, date_trunc('hour', \"timestamp\") AS \"timestamp\", "

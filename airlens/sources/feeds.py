@@ -185,3 +185,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
     return (spark.read.schema(schema).option("header", True)
             .option("timestampFormat", timestamp_format).option("dateFormat", "yyyy-MM-dd")
             .csv(path))
+
+
+# J08 -------------------------------------------------------------------------
+def current_or_daily(latest_daily: DataFrame, current: DataFrame, key="city") -> DataFrame:
+    """Current reading when one exists, else the latest daily mean, else 0.
+    ``latest_daily``: (key, date, aqi_mean) one row per key; ``current``:
+    (key, aqi, timestamp) one row per key."""
+    keys = _as_list(key)
+    c = current.select(*keys, F.col("aqi").alias("_cur"))
+    j = latest_daily.join(c, keys, "left")
+    return j.select(*keys, F.col("date").alias("latest_date"),
+                    F.coalesce("_cur", "aqi_mean", F.lit(0.0)).alias("current_aqi"),
+                    F.when(F.col("_cur").isNotNull(), "current").when(F.col("aqi_mean").isNotNull(), "daily")
+                     .otherwise("none").alias("source"))

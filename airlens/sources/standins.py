@@ -24,7 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V1: one reading per event.  ``seq`` (event_id) orders copies."""
+    """V1: one reading per event.  ``seq`` (event_id) orders copies.
+
+    Scale factors are chosen so that derived values are non-terminating
+    decimals: averages of terminating decimals hit exact rounding ties,
+    where two engines' summation orders round differently."""
     e = table(spark, sf_dir, "events")
     v = F.col("value")
     u = F.col("user_id").cast("double")
@@ -32,18 +36,18 @@ def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("city"),
         F.col("ts").alias("timestamp"),
         F.col("event_id").alias("seq"),
-        v.alias("aqi"),
-        u.alias("pm2_5"),
-        (v * 7.0 / 6.0).alias("pm10"),
-        (v * 10.0 / 3.0).alias("co"),
+        (v / 1.09).alias("aqi"),
+        (u / 1.31).alias("pm2_5"),
+        (v / 0.857).alias("pm10"),
+        (v * 10.0 / 3.07).alias("co"),
         (v / 2.2).alias("no2"),
-        (v / 6.0).alias("so2"),
-        (v / 3.0).alias("o3"),
-        (u / 7.0 - 10.0).alias("temperature"),
-        (u / 1.5).alias("humidity"),
-        (v / 11.0).alias("wind_speed"),
-        (u * 2.4).alias("wind_direction"),
-        (v / 7.0 + 950.0).alias("pressure"),
+        (v / 6.01).alias("so2"),
+        (v / 2.93).alias("o3"),
+        (u / 7.01 - 10.0).alias("temperature"),
+        (u / 1.51).alias("humidity"),
+        (v / 11.3).alias("wind_speed"),
+        (u * 360.0 / 151.0).alias("wind_direction"),
+        (v / 7.03 + 950.0).alias("pressure"),
         F.lit(1.0).alias("precipitation"),
     )
 
