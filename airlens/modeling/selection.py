@@ -87,5 +87,7 @@ def select_winner(fold_scores: DataFrame, key="city", order: Mapping[str, int] |
     cv = fold_scores.groupBy(*keys, "candidate").agg(F.avg("rmse").alias("cv_rmse"))
     rank_of = (F.create_map(*[a for k, v in order.items() for a in (F.lit(k), F.lit(v))])[F.col("candidate")]
                if order else F.lit(0))
-    w = Window.partitionBy(*keys).orderBy("cv_rmse", rank_of, "candidate")
+    # Scores equal up to float noise (e.g. two candidates that coincide on
+    # the data) are ties; they fall back to the listing order.
+    w = Window.partitionBy(*keys).orderBy(F.round("cv_rmse", 9), rank_of, "candidate")
     return cv.withColumn("rank", F.row_number().over(w)).withColumn("is_winner", F.col("rank") == 1)

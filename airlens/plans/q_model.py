@@ -61,7 +61,7 @@ _ORD = "CASE candidate " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in ORDER.ite
 
 @register("m02_a21_cv_selection", _tail(COMPLETE, p=_POS, fo=_FOLDS, sc=f"{_FIXED} UNION ALL {_RIDGE}")
           + "SELECT city, candidate, round(cv_rmse, 6) AS cv_rmse, CAST(rank AS INTEGER) AS rank, rank = 1 AS is_winner FROM ("
-            f"SELECT city, candidate, cv_rmse, row_number() OVER (PARTITION BY city ORDER BY cv_rmse, {_ORD}, candidate) AS rank "
+            f"SELECT city, candidate, cv_rmse, row_number() OVER (PARTITION BY city ORDER BY round(cv_rmse, 9), {_ORD}, candidate) AS rank "
             "FROM (SELECT city, candidate, avg(rmse) AS cv_rmse FROM sc GROUP BY ALL))")
 def m02_cv_selection(spark, sf_dir):
     """Expanding-window CV of five fixed forecasters and a one-feature
