@@ -31,9 +31,11 @@ def linear_contributions(df: DataFrame, weights: Mapping[int, Mapping[str, float
     keys = _as_list(keys)
     bg = df if background is None else background
     feats = sorted({f for w in weights.values() for f in w})
-    # One scalar subquery returning all means as a struct (one pass).
+    # One scalar subquery returning all means as a struct, referenced once
+    # (as a column) so it is planned and executed a single time.
     m = bg.agg(F.struct(*[F.avg(F.col(f).cast("double")).alias(f) for f in feats])).scalar()
-    means = {f: m[f] for f in feats}
+    df = df.withColumn("_means", m)
+    means = {f: F.col("_means")[f] for f in feats}
     items = []
     for h, w in sorted(weights.items()):
         base = F.lit(float(intercepts.get(h, 0.0)))

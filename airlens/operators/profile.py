@@ -74,12 +74,15 @@ def histogram(df: DataFrame, col: str, bins: int = 20, by=None) -> DataFrame:
     """Equal-width bins between the column's min and max (last bin closed)."""
     x = F.col(col).cast("double")
     src = df.where(x.isNotNull())
-    lo = src.agg(F.min(x)).scalar()
-    hi = src.agg(F.max(x)).scalar()
+    # Edges: one scalar subquery (a struct), referenced once as a column.
+    edges = src.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    src = src.withColumn("_e", edges)
+    lo, hi = F.col("_e.lo"), F.col("_e.hi")
     width = (hi - lo) / bins
     b = F.least(F.floor(F.lit(float(bins)) * (x - lo) / (hi - lo)) + 1, F.lit(bins)).cast("int")
-    out = src.groupBy(*_as_list(by), b.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    return out.select("*", (lo + (F.col("bucket") - 1) * width).alias("lower"),
+    out = src.groupBy(*_as_list(by), b.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.first(F.col("_e")).alias("_e"))
+    return out.select(*_as_list(by), "bucket", "n", (lo + (F.col("bucket") - 1) * width).alias("lower"),
                       (lo + F.col("bucket") * width).alias("upper"))
 
 
