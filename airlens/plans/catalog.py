@@ -97,3 +97,4 @@ from airlens.plans import q_sources  # noqa: E402,F401
 from airlens.plans import q_profile  # noqa: E402,F401
 from airlens.plans import q_explain  # noqa: E402,F401
 from airlens.plans import q_model  # noqa: E402,F401
+from airlens.plans import q_ml  # noqa: E402,F401
