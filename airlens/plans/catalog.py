@@ -99,3 +99,4 @@ from airlens.plans import q_explain  # noqa: E402,F401
 from airlens.plans import q_model  # noqa: E402,F401
 from airlens.plans import q_ml  # noqa: E402,F401
 from airlens.plans import q_store  # noqa: E402,F401
+from airlens.plans import q_flows  # noqa: E402,F401
