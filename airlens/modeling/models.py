@@ -48,6 +48,19 @@ def impute(df: DataFrame, cols: Sequence[str], means: Mapping[str, float]) -> Da
     return df.select(*sel)
 
 
+# P14 -------------------------------------------------------------------------
+def feature_columns(df: DataFrame, target: str, listed: Sequence[str] = tuple(C.FEATURE_COLS),
+                    exclude: Sequence[str] = ()) -> tuple[list, list]:
+    """Listed, present, numeric, not a target and not excluded -> used;
+    listed but absent -> reported as missing."""
+    from pyspark.sql.types import NumericType
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
+    bad = set(C.TARGETS) | {target} | set(exclude)
+    used = [c for c in listed if c in numeric and c not in bad]
+    missing = [c for c in listed if c not in df.columns]
+    return used, missing
+
+
 # M03-M07 ---------------------------------------------------------------------
 def make_estimator(family: str, params: Mapping, label: str, train: DataFrame | None = None):
     if family == "ridge":
@@ -122,7 +135,7 @@ def train_best_model(df: DataFrame, target: str, features: Sequence[str], grids:
     bad = [c for c in extra_features if c in C.TARGETS]
     if bad:
         raise ValueError(f"targets cannot be extra features: {bad}")
-    feats = [c for c in features if c in df.columns and c not in C.TARGETS] + list(extra_features)
+    feats = feature_columns(df, target, features)[0] + list(extra_features)
     check_leakage(feats, severity="warning")
     keys = _as_list(key)
     data = df.where(F.col(target).isNotNull()).select(*keys, order, target, *feats)

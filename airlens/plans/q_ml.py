@@ -14,7 +14,7 @@ from airlens import constants as C
 from airlens.modeling import models as MD
 from airlens.modeling import registry as RG
 from airlens.plans.catalog import register, round_cols
-from airlens.plans.q_profile import COMPLETE, features_complete
+from airlens.plans.q_profile import COMPLETE, FULL, features_complete, features_full
 from airlens.sinks import store as ST
 from airlens.sources import feeds as SRC
 
@@ -22,7 +22,9 @@ ML_FEATURES = ["aqi_mean", "aqi_max", "aqi_min", "aqi_std", "aqi_last6h", "aqi_l
                "aqi_roll_mean_3", "aqi_roll_mean_7", "temp_mean", "humidity_mean", "fc_temp_d1"]
 # A small grid for the registered queries; the full grid is constants.MODEL_GRIDS.
 SMALL_GRID = {"ridge": [{"alpha": C.RIDGE_ALPHA}],
-              "gradient_boosting": [{"maxIter": 5, "stepSize": 0.1, "maxDepth": 3}]}
+              "gradient_boosting": [{"maxIter": 5, "stepSize": 0.1, "maxDepth": 3}],
+              "random_forest": [{"numTrees": 10, "maxDepth": 4, "minInstancesPerNode": 8,
+                                 "featureSubsetStrategy": "0.7"}]}
 
 
 @register("m07_ridge_one_feature", COMPLETE
@@ -104,3 +106,20 @@ def m13_attribution(spark, sf_dir):
     return (phi.select("city", "date", "feature", "shap_value", "base_value", F.lit(kind).alias("method"))
             .unionByName(phi2.select("city", "date", "feature", "shap_value", "base_value",
                                      F.lit("permutation_gbt").alias("method"))))
+
+
+IMPUTE_COLS = ["aqi_lag7d", "aqi_roll_mean_7", "aqi_pct_change", "fc_temp_d3", "aqi_day1"]
+
+
+@register("m01_a06_f16_impute", FULL.rstrip("\n")
+          + ",\np AS (SELECT *, row_number() OVER (PARTITION BY city ORDER BY date) AS rn, count(*) OVER (PARTITION BY city) AS n FROM f),\n"
+          + "m AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}" for c in IMPUTE_COLS) + " FROM p WHERE rn <= floor(n * 0.8))\n"
+          + "SELECT city, date, " + ", ".join(f"round(coalesce({c}, m_{c}, 0.0), 6) AS {c}" for c in IMPUTE_COLS)
+          + " FROM f, m")
+def m01_impute(spark, sf_dir):
+    """Means fitted on the training rows only (first 80 % of each city),
+    then null -> mean -> 0 on every row."""
+    from airlens.modeling.selection import time_split
+    f = features_full(spark, sf_dir)
+    means = MD.fit_means(time_split(f).where("is_train"), IMPUTE_COLS)
+    return round_cols(MD.impute(f.select("city", "date", *IMPUTE_COLS), IMPUTE_COLS, means), IMPUTE_COLS)
