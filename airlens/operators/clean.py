@@ -131,7 +131,10 @@ def fill_gaps(df: DataFrame, key, order, cols: Sequence[str] | None = None,
     part = keys + ["_bk"]
     w = Window.partitionBy(*part).orderBy(order_c)
     back = w.rowsBetween(Window.unboundedPreceding, 0)
-    fwd = w.rowsBetween(0, Window.unboundedFollowing)
+    # "First non-null at or after" is evaluated as "last non-null so far" in
+    # descending order: a running frame Spark updates incrementally (O(n)),
+    # where a frame ending at UNBOUNDED FOLLOWING is recomputed per row (O(n^2)).
+    fwd = Window.partitionBy(*part).orderBy(order_c.desc()).rowsBetween(Window.unboundedPreceding, 0)
 
     # Local (within-bucket) positions and nearest non-null neighbours.
     local = base.withColumn("_rb", F.row_number().over(w))
@@ -140,8 +143,8 @@ def fill_gaps(df: DataFrame, key, order, cols: Sequence[str] | None = None,
         nn = F.col(c).isNotNull()
         sel += [F.last(F.col(c), True).over(back).alias(f"_pv_{c}"),
                 F.last(F.when(nn, F.col("_rb")), True).over(back).alias(f"_pr_{c}"),
-                F.first(F.col(c), True).over(fwd).alias(f"_nv_{c}"),
-                F.first(F.when(nn, F.col("_rb")), True).over(fwd).alias(f"_nr_{c}")]
+                F.last(F.col(c), True).over(fwd).alias(f"_nv_{c}"),
+                F.last(F.when(nn, F.col("_rb")), True).over(fwd).alias(f"_nr_{c}")]
     local = local.select(*sel)
 
     # Bucket summary: size, last / first non-null value and its position.
@@ -153,14 +156,14 @@ def fill_gaps(df: DataFrame, key, order, cols: Sequence[str] | None = None,
     summ = local.groupBy(*part).agg(*aggs)
     wb = Window.partitionBy(*keys).orderBy("_bk")
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    after = wb.rowsBetween(1, Window.unboundedFollowing)
+    after = Window.partitionBy(*keys).orderBy(F.col("_bk").desc()).rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     carry = [F.col(k) for k in part] + [F.col("_off")]
     for c in cols:
         carry += [F.last(F.col(f"_bl_{c}"), True).over(before).alias(f"_cpv_{c}"),
                   F.last(F.col(f"_blp_{c}") + F.col("_off"), True).over(before).alias(f"_cpr_{c}"),
-                  F.first(F.col(f"_bf_{c}"), True).over(after).alias(f"_cnv_{c}"),
-                  F.first(F.col(f"_bfp_{c}") + F.col("_off"), True).over(after).alias(f"_cnr_{c}")]
+                  F.last(F.col(f"_bf_{c}"), True).over(after).alias(f"_cnv_{c}"),
+                  F.last(F.col(f"_bfp_{c}") + F.col("_off"), True).over(after).alias(f"_cnr_{c}")]
     summ = summ.select(*carry)
 
     j = local.join(summ, part, "inner")

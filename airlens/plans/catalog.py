@@ -18,6 +18,7 @@ from airlens.operators import clean as CL
 from airlens.operators import features as FE
 from airlens.operators import rollup as RU
 from airlens.plans import sqlparts as Q
+from airlens.session import cut_lineage
 from airlens.sources import standins as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,7 +84,9 @@ def _clean_sql_ctes() -> dict:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = V.densified_hourly(spark, sf_dir)
-    cleaned = CL.clean_readings(hourly, "city", "timestamp")
+    # Cleaned hourly rows feed two branches (day aggregates, last-6 mean):
+    # materialise them once instead of recomputing the gap-fill plan.
+    cleaned = cut_lineage(CL.clean_readings(hourly, "city", "timestamp"))
     return round_doubles(FE.compute_features(cleaned, "city", "timestamp"))
 
 

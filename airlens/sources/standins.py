@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airlens.session import cut_lineage
+
 READING_MEASURES = ["aqi", "pm2_5", "pm10", "co", "no2", "so2", "o3", "temperature",
                     "humidity", "wind_speed", "wind_direction", "pressure", "precipitation"]
 
@@ -52,14 +54,19 @@ def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def hourly_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V2: hourly means per city; precipitation is the number of events."""
-    r = event_readings(spark, sf_dir).withColumn("timestamp", F.date_trunc("hour", "timestamp"))
+def to_hourly(readings: DataFrame) -> DataFrame:
+    """Readings -> hourly means per city; precipitation is summed."""
+    r = readings.withColumn("timestamp", F.date_trunc("hour", "timestamp"))
     aggs = [F.avg(c).alias(c) for c in READING_MEASURES if c != "precipitation"]
     aggs.append(F.sum("precipitation").alias("precipitation"))
     return r.groupBy("city", "timestamp").agg(*aggs)
 
 
+def hourly_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2: hourly means per city; precipitation is the number of events."""
+    return to_hourly(event_readings(spark, sf_dir))
+
+
 def hour_calendar(readings: DataFrame, key: str = "city", ts: str = "timestamp") -> DataFrame:
     """Every hour between each key's first and last reading (explode of a
     per-key sequence: no join fan-out, rows grow with the covered span)."""
@@ -68,8 +75,14 @@ def hour_calendar(readings: DataFrame, key: str = "city", ts: str = "timestamp")
 
 
 def densified_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V2d: hourly readings on a complete hour calendar (missing hours NULL)."""
-    h = hourly_readings(spark, sf_dir)
+    """V2d: hourly readings on a complete hour calendar (missing hours NULL).
+
+    The hourly aggregate is the grain-reduction boundary and is consumed by
+    several branches downstream (calendar span, the calendar join, the
+    gap-fill summary and window, the daily rollup and last-6 mean).  It is
+    materialised once (reliable checkpoint in the shared checkpoint folder)
+    so raw events are scanned and shuffled exactly once."""
+    h = cut_lineage(hourly_readings(spark, sf_dir))
     return hour_calendar(h).join(h, ["city", "timestamp"], "left")
 
 
