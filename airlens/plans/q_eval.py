@@ -8,6 +8,7 @@ from airlens.functions import scalars as S
 from airlens.operators import evaluate as EV
 from airlens.plans import sqlparts as Q
 from airlens.plans.catalog import register, round_cols
+from airlens.session import cut_lineage
 from airlens.sources import standins as V
 
 ACT = 'SELECT city, CAST("timestamp" AS DATE) AS date, avg(aqi) AS aqi_mean FROM v3 GROUP BY ALL'
@@ -35,7 +36,9 @@ D1 = ("SELECT a.city, a.date, a.aqi_mean, p.p1 AS pred_aqi FROM act a JOIN preds
 
 
 def _base(spark, sf_dir):
-    act = V.daily_actuals(spark, sf_dir)
+    # Daily actuals are read by the prediction builder and by the join:
+    # materialise the daily grain once (as a feature store would hold it).
+    act = cut_lineage(V.daily_actuals(spark, sf_dir))
     preds = EV.persistence_predictions(act)
     return act, preds, EV.predictions_long(preds)
 

@@ -43,10 +43,18 @@ def m07_ridge_one_feature(spark, sf_dir):
     return round_cols(out, ["coef", "intercept"])
 
 
+_TRAINED: dict = {}
+
+
 def _chain(spark, sf_dir):
-    f = features_complete(spark, sf_dir)
-    chain, with_preds = MD.train_chain(f, ML_FEATURES, SMALL_GRID)
-    return f, chain, with_preds
+    """Train the three-horizon chain once per session and input folder;
+    scoring, registration and the competition report reuse it."""
+    k = (spark.sparkContext.applicationId, sf_dir)
+    if k not in _TRAINED:
+        f = features_complete(spark, sf_dir)
+        chain, with_preds = MD.train_chain(f, ML_FEATURES, SMALL_GRID)
+        _TRAINED[k] = (f, chain, with_preds)
+    return _TRAINED[k]
 
 
 @register("m08_m09_c05_model_competition")

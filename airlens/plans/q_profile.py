@@ -9,6 +9,7 @@ from airlens.operators import profile as PR
 from airlens.operators import rollup as RU
 from airlens.plans import sqlparts as Q
 from airlens.plans.catalog import FEATURE_OUT, register, round_cols
+from airlens.session import cut_lineage
 from airlens.sources import standins as V
 
 FULL = Q.ctes(v3=Q.V3, d=Q.daily("v3"), f=Q.features("d"))
@@ -19,12 +20,15 @@ CORR_SET = ["aqi_mean", "pm2_5_mean", "temp_mean", "humidity_mean", "wind_mean",
 
 
 def features_full(spark, sf_dir):
-    """Daily features before any row is dropped (nulls at series ends)."""
-    return FE.add_daily_features(RU.daily_rollup(V.lineitem_readings(spark, sf_dir)))
+    """Daily features before any row is dropped (nulls at series ends).
+    Materialised once: the daily grain is what a feature store holds, and
+    downstream plans read it in several branches."""
+    return cut_lineage(FE.add_daily_features(RU.daily_rollup(V.lineitem_readings(spark, sf_dir))))
 
 
 def features_complete(spark, sf_dir):
-    return FE.compute_features(V.lineitem_readings(spark, sf_dir))
+    """The feature table (complete rows), materialised once (see above)."""
+    return cut_lineage(FE.compute_features(V.lineitem_readings(spark, sf_dir)))
 
 
 @register("a07_t06_null_counts", FULL + " UNION ALL ".join(
