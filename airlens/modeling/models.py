@@ -97,7 +97,7 @@ def test_metrics(model: PipelineModel, df: DataFrame, label: str) -> dict:
     p = model.transform(df)
     e = F.col(label) - F.col("prediction")
     r = p.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-              (F.lit(1.0) - F.sum(e * e) / (F.var_pop(label) * F.count(F.lit(1)))).alias("r2")).first()
+              (F.lit(1.0) - F.try_divide(F.sum(e * e), F.var_pop(label) * F.count(F.lit(1)))).alias("r2")).first()
     return {k: (round(r[k], 4) if r[k] is not None else None) for k in ("rmse", "mae", "r2")}
 
 

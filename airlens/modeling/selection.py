@@ -71,10 +71,11 @@ def score_ridge_one_feature(folds: DataFrame, target: str, feature: str, alpha:
     fit = tr.groupBy(*keys, "fold").agg(F.avg(x).alias("mx"), F.avg(y).alias("my"),
                                         F.covar_pop(x, y).alias("cxy"), F.stddev_pop(x).alias("sx"),
                                         F.count(F.lit(1)).alias("nt"))
-    coef = F.col("nt") * F.col("cxy") / (F.col("sx") * (F.col("nt") + F.lit(alpha)))
+    coef = F.try_divide(F.col("nt") * F.col("cxy"), F.col("sx") * (F.col("nt") + F.lit(alpha)))
     fit = fit.select(*keys, "fold", "mx", "my", "sx", coef.alias("coef"))
     te = folds.where((F.col("role") == "test") & x.isNotNull() & y.isNotNull())
-    pred = F.col("my") + F.col("coef") * (x - F.col("mx")) / F.col("sx")
+    # A constant feature carries no signal: predict the training mean.
+    pred = F.col("my") + F.coalesce(F.try_divide(F.col("coef") * (x - F.col("mx")), F.col("sx")), F.lit(0.0))
     return (te.join(fit, keys + ["fold"], "inner").groupBy(*keys, "fold")
               .agg(F.sqrt(F.avg((y - pred) ** 2)).alias("rmse"))
               .select(*keys, F.lit(name).alias("candidate"), "fold", "rmse"))

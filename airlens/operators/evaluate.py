@@ -62,7 +62,7 @@ def regression_metrics(pairs: DataFrame, by=("horizon",), digits: int | None = 4
     ss_tot = F.var_pop("actual") * n
     out = pairs.groupBy(*_as_list(by)).agg(
         F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-        (F.lit(1.0) - F.sum(e * e) / ss_tot).alias("r2"), n.alias("n"))
+        (F.lit(1.0) - F.try_divide(F.sum(e * e), ss_tot)).alias("r2"), n.alias("n"))
     return _round(out, ["rmse", "mae", "r2"], digits)
 
 

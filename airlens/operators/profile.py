@@ -40,33 +40,50 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None, only_positive:
 
 
 # A13 -------------------------------------------------------------------------
+def _long(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """(keep..., column, x) with one row per input row and profiled column."""
+    items = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]
+    return df.select(*keep, F.inline(F.array(*items)))
+
+
 def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
-    """count, mean, std, min, 25 %, 50 %, 75 %, max per numeric column."""
+    """count, mean, std, min, 25 %, 50 %, 75 %, max per numeric column.
+    Long form first, then one ``groupBy(column)``: eight aggregate
+    expressions however many columns, and each column reduces in its own
+    task."""
     cols = numeric_columns(df) if cols is None else list(cols)
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        q = _quantiles(x, (0.25, 0.5, 0.75), method)
-        aggs.append(F.struct(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                             F.min(x).alias("min"), q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"),
-                             F.max(x).alias("max")).alias(c))
-    long = df.agg(*aggs).unpivot([], cols, "column", "s")
-    return long.select("column", "s.*")
+    x = F.col("x")
+    q = _quantiles(x, (0.25, 0.5, 0.75), method)
+    return _long(df, cols).groupBy("column").agg(
+        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
+        q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), F.max(x).alias("max"))
 
 
 # A14 / A15 -------------------------------------------------------------------
+def safe_corr(x, y):
+    """Pearson correlation over rows where both are present, NULL when
+    either side is constant (``corr`` itself divides by zero under ANSI)."""
+    both = x.isNotNull() & y.isNotNull()
+    xm, ym = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_samp(xm, ym), F.stddev_samp(xm) * F.stddev_samp(ym))
+
+
+
 def correlations(df: DataFrame, xs: Sequence[str], ys: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation (pairwise-complete rows, as pandas) for every
-    pair in ``xs`` x ``ys`` (all pairs of ``xs`` when ``ys`` is None), one pass."""
+    pair in ``xs`` x ``ys`` (all pairs of ``xs`` when ``ys`` is None): the
+    ``xs`` are unpivoted next to the ``ys`` columns and grouped by feature,
+    so there is one ``corr`` expression per ``y``."""
     ys = list(xs) if ys is None else list(ys)
-    pairs = [(a, b) for a in xs for b in ys]
-    names = [f"{a}|{b}" for a, b in pairs]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(n)
-                    for (a, b), n in zip(pairs, names)])
-    long = wide.unpivot([], names, "pair", "corr")
-    parts = F.split("pair", r"\|")
+    yn = [f"_y{i}" for i in range(len(ys))]
+    src = df.select(*[F.col(c).cast("double").alias(c) for c in set(xs) | set(ys)],
+                    *[F.col(y).cast("double").alias(n) for y, n in zip(ys, yn)])
+    long = _long(src, xs, keep=yn)
+    wide = long.groupBy(F.col("column").alias("feature")).agg(*[safe_corr(F.col("x"), F.col(n)).alias(n) for n in yn])
+    out = wide.unpivot(["feature"], yn, "_t", "corr")
+    name = F.create_map(*[a for n, y in zip(yn, ys) for a in (F.lit(n), F.lit(y))])
     r = F.col("corr")
-    return long.select(parts[0].alias("feature"), parts[1].alias("target"), F.when(~F.isnan(r), r).alias("corr"))
+    return out.select("feature", name[F.col("_t")].alias("target"), F.when(~F.isnan(r), r).alias("corr"))
 
 
 # A16 -------------------------------------------------------------------------
@@ -79,7 +96,9 @@ def histogram(df: DataFrame, col: str, bins: int = 20, by=None) -> DataFrame:
     src = src.withColumn("_e", edges)
     lo, hi = F.col("_e.lo"), F.col("_e.hi")
     width = (hi - lo) / bins
-    b = F.least(F.floor(F.lit(float(bins)) * (x - lo) / (hi - lo)) + 1, F.lit(bins)).cast("int")
+    # A constant column (hi == lo) puts every value in bucket 1.
+    b = F.least(F.coalesce(F.floor(F.try_divide(F.lit(float(bins)) * (x - lo), hi - lo)), F.lit(0.0)) + 1,
+                F.lit(bins)).cast("int")
     out = src.groupBy(*_as_list(by), b.alias("bucket")).agg(
         F.count(F.lit(1)).alias("n"), F.first(F.col("_e")).alias("_e"))
     return out.select(*_as_list(by), "bucket", "n", (lo + (F.col("bucket") - 1) * width).alias("lower"),
@@ -99,7 +118,7 @@ def density(df: DataFrame, col: str, points: int = 50) -> DataFrame:
                  F.stddev_samp(x).alias("sd")).first()
     lo, hi, n, sd = st["lo"], st["hi"], st["n"], st["sd"]
     spark = df.sparkSession
-    if not n or sd is None:
+    if not n or not sd:
         return spark.createDataFrame([], "point int, x double, density double")
     bw = sd * n ** -0.2
     step = (hi - lo) / (points - 1)
