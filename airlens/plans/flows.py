@@ -24,10 +24,17 @@ def backfill(spark: SparkSession, aq: DataFrame, weather: DataFrame, raw_path: s
     raw = SRC.raw_ingest(aq, weather, ingested_at, key=key)
     cleaned = CL.clean_readings(raw, key, "timestamp")
     ST.save_raw(cleaned, raw_path, key)
-    stored = spark.read.parquet(raw_path).drop("day")
+    stored = _read_or_empty(spark, raw_path, cleaned.withColumn("day", F.to_date("timestamp"))).drop("day")
     feats = FE.compute_features(stored, key, "timestamp", compute_targets=True)
     ST.save_features(feats, features_path, key, mode="merge")
-    return spark.read.parquet(features_path).drop("month")
+    return _read_or_empty(spark, features_path, feats.withColumn("month", F.lit(""))).drop("month")
+
+
+def _read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A store that received only empty batches has no files yet: read it
+    as an empty frame with the expected schema."""
+    t = ST.read_table(spark, path)
+    return t if t is not None else spark.createDataFrame([], like.schema)
 
 
 def daily_increment(spark: SparkSession, fresh_raw: DataFrame, raw_path: str, features_path: str, as_of: str,
@@ -39,14 +46,14 @@ def daily_increment(spark: SparkSession, fresh_raw: DataFrame, raw_path: str, fe
     fresh = SRC.in_window(fresh_raw, as_of, "timestamp", mode="daily")
     ST.save_raw(CL.clean_readings(fresh, key, "timestamp"), raw_path, key)
     ref = F.lit(as_of).cast("date")
-    hist = (spark.read.parquet(raw_path)
-            .where(F.col("day") >= F.date_sub(ref, lookback_days)).drop("day"))
+    stored = _read_or_empty(spark, raw_path, fresh.withColumn("day", F.to_date("timestamp")))
+    hist = stored.where(F.col("day") >= F.date_sub(ref, lookback_days)).drop("day")
     live = FE.compute_features(hist, key, "timestamp", compute_targets=False, forecast=forecast)
     ST.save_features(live, features_path, key, mode="merge")
     daily = FE.add_daily_features(daily_rollup(hist, key), key, targets=True)
     known = daily.select(key, "date", *C.TARGETS).dropna(subset=C.TARGETS)
     ST.save_features(known, features_path, key, mode="merge")
-    return spark.read.parquet(features_path).drop("month")
+    return _read_or_empty(spark, features_path, live.withColumn("month", F.lit(""))).drop("month")
 
 
 def current_reading(spark: SparkSession, readings: DataFrame, current_path: str, key: str = "city") -> DataFrame:

@@ -11,9 +11,9 @@ MEASURES = ["aqi", "pm2_5", "pm10", "co", "no2", "so2", "o3", "temperature",
             "humidity", "wind_speed", "wind_direction", "pressure", "precipitation"]
 
 V1 = """SELECT event_type AS city, ts AS "timestamp", event_id AS seq, value / 1.09 AS aqi,
- CAST(user_id AS DOUBLE) / 1.31 AS pm2_5, value / 0.857 AS pm10, value * 10.0 / 3.07 AS co, value / 2.2 AS no2,
- value / 6.01 AS so2, value / 2.93 AS o3, CAST(user_id AS DOUBLE) / 7.01 - 10.0 AS temperature,
- CAST(user_id AS DOUBLE) / 1.51 AS humidity, value / 11.3 AS wind_speed,
+ value / 1.31 AS pm2_5, value / 0.857 AS pm10, CAST(user_id AS DOUBLE) * 10.0 / 3.07 AS co, value / 2.2 AS no2,
+ value / 6.01 AS so2, value / 2.93 AS o3, value / 11.3 - 10.0 AS temperature,
+ value / 5.71 AS humidity, value / 13.7 AS wind_speed,
  CAST(user_id AS DOUBLE) * 360.0 / 151.0 AS wind_direction, value / 7.03 + 950.0 AS pressure,
  CAST(1.0 AS DOUBLE) AS precipitation FROM events"""
 

@@ -30,7 +30,10 @@ def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Scale factors are chosen so that derived values are non-terminating
     decimals: averages of terminating decimals hit exact rounding ties,
-    where two engines' summation orders round differently."""
+    where two engines' summation orders round differently.  Required
+    measures derive from ``value`` (same range at every scale factor);
+    ``user_id`` grows with the scale factor and only feeds co and wind
+    direction."""
     e = table(spark, sf_dir, "events")
     v = F.col("value")
     u = F.col("user_id").cast("double")
@@ -39,15 +42,15 @@ def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("timestamp"),
         F.col("event_id").alias("seq"),
         (v / 1.09).alias("aqi"),
-        (u / 1.31).alias("pm2_5"),
+        (v / 1.31).alias("pm2_5"),
         (v / 0.857).alias("pm10"),
-        (v * 10.0 / 3.07).alias("co"),
+        (u * 10.0 / 3.07).alias("co"),
         (v / 2.2).alias("no2"),
         (v / 6.01).alias("so2"),
         (v / 2.93).alias("o3"),
-        (u / 7.01 - 10.0).alias("temperature"),
-        (u / 1.51).alias("humidity"),
-        (v / 11.3).alias("wind_speed"),
+        (v / 11.3 - 10.0).alias("temperature"),
+        (v / 5.71).alias("humidity"),
+        (v / 13.7).alias("wind_speed"),
         (u * 360.0 / 151.0).alias("wind_direction"),
         (v / 7.03 + 950.0).alias("pressure"),
         F.lit(1.0).alias("precipitation"),
