@@ -258,3 +258,19 @@ def s16_csv_roundtrip(spark, sf_dir):
 @register("k09_feature_count", Q.ctes(v3=Q.V3, d=Q.daily("v3")) + "SELECT count(*) AS n_rows FROM d")
 def k09_feature_count(spark, sf_dir):
     return ST.row_count(RU.daily_rollup(V.lineitem_readings(spark, sf_dir)))
+
+
+# S04 -------------------------------------------------------------------------
+@register("s04_a05_forecast_feed", Q.ctes(v1=Q.V1, v2=Q.V2)
+          + "SELECT city, CAST(\"timestamp\" AS DATE) AS date, round(avg(temperature), 6) AS temp_mean, "
+            "round(avg(humidity), 6) AS humidity_mean, round(avg(wind_speed), 6) AS wind_mean, "
+            "round(avg(pressure), 6) AS pressure_mean, round(coalesce(sum(precipitation), 0.0), 6) AS precip_sum FROM v2 GROUP BY ALL")
+def s04_forecast_feed(spark, sf_dir):
+    """A forecast feed (provider names + issue date) landed as Parquet, read
+    with its schema and renamed (S04), then rolled up to days (A05)."""
+    h = V.hourly_readings(spark, sf_dir)
+    path = ST.scratch_path(spark, "forecast")
+    (h.select("city", "timestamp", *[F.col(v).alias(k) for k, v in _WX.items()],
+              F.to_date("timestamp").alias("issued_date")).write.parquet(path))
+    fc = SRC.read_forecast_weather(spark, path)
+    return round_doubles(RU.forecast_daily(fc))

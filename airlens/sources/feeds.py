@@ -53,7 +53,8 @@ def read_weather(spark, path: str, fmt: str = "parquet") -> DataFrame:
 
 
 def read_forecast_weather(spark, path: str, fmt: str = "parquet") -> DataFrame:
-    schema = WEATHER_SCHEMA.add(T.StructField("issued_date", T.DateType()))
+    # A new StructType: StructType.add would mutate the shared schema.
+    schema = T.StructType(WEATHER_SCHEMA.fields + [T.StructField("issued_date", T.DateType())])
     return rename_provider_columns(_read(spark, path, schema, fmt))
 
 
