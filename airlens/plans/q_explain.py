@@ -52,12 +52,12 @@ def m16_base_value(spark, sf_dir):
 
 
 @register("t02_t04_top_contributions", CONTRIB + "SELECT city, date, horizon, feature, round(x, 6) AS x, round(shap_value, 6) AS shap_value, "
-          "round(base_value, 6) AS base_value, rank, round(abs(shap_value), 6) AS abs_shap FROM r WHERE rank <= 3")
+          "round(base_value, 6) AS base_value, CAST(rank AS INTEGER) AS rank, round(abs(shap_value), 6) AS abs_shap FROM r WHERE rank <= 3")
 def t02_top_contributions(spark, sf_dir):
     return round_cols(EX.top_contributions(contributions(spark, sf_dir), 3), ["x", "shap_value", "base_value", "abs_shap"])
 
 
-_WF = ("SELECT city, date, horizon, rank, feature, round(shap_value, 6) AS shap_value, round(base_value, 6) AS base_value, "
+_WF = ("SELECT city, date, horizon, CAST(rank AS INTEGER) AS rank, feature, round(shap_value, 6) AS shap_value, round(base_value, 6) AS base_value, "
        "round(base_value + sum(shap_value) OVER (PARTITION BY city, date, horizon ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS running_total "
        "FROM (SELECT city, date, horizon, rank, feature, shap_value, base_value FROM r WHERE rank <= 4 UNION ALL "
        "SELECT city, date, horizon, 5, 'other features', sum(shap_value), any_value(base_value) FROM r WHERE rank > 4 "

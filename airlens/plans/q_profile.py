@@ -32,7 +32,7 @@ def features_complete(spark, sf_dir):
 
 
 @register("a07_t06_null_counts", FULL + " UNION ALL ".join(
-    f"SELECT * FROM (SELECT '{c}' AS \"column\", count_if({c} IS NULL) AS n_null FROM f) WHERE n_null > 0" for c in FEATURE_OUT))
+    f"SELECT * FROM (SELECT '{c}' AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS n_null FROM f) WHERE n_null > 0" for c in FEATURE_OUT))
 def a07_null_counts(spark, sf_dir):
     return PR.null_counts(features_full(spark, sf_dir))
 
@@ -92,7 +92,7 @@ def _box_sql(by: str | None):
     return (f"SELECT {g}round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(q3 - q1, 6) AS iqr, "
             "round(min(CASE WHEN x >= q1 - 1.5 * (q3 - q1) THEN x END), 6) AS whisker_low, "
             "round(max(CASE WHEN x <= q3 + 1.5 * (q3 - q1) THEN x END), 6) AS whisker_high, "
-            "count_if(x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS n_outliers, count(*) AS n "
+            "CAST(count_if(x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS n_outliers, count(*) AS n "
             f"FROM (SELECT {g}aqi_mean AS x FROM f WHERE aqi_mean IS NOT NULL) t JOIN "
             f"(SELECT {g}quantile_cont(aqi_mean, 0.25) AS q1, quantile_cont(aqi_mean, 0.5) AS median, "
             f"quantile_cont(aqi_mean, 0.75) AS q3 FROM f WHERE aqi_mean IS NOT NULL {'GROUP BY ' + by if by else ''}) q {on} "

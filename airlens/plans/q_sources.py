@@ -54,7 +54,7 @@ def p05_range_null(spark, sf_dir):
 
 
 @register("p06_out_of_range_counts", Q.ctes(v3=Q.V3) + " UNION ALL ".join(
-    f"SELECT city, '{c}' AS \"column\", count_if({c} < {C.VALID_RANGES[c][0]} OR {c} > {C.VALID_RANGES[c][1]}) AS n_out_of_range FROM v3 GROUP BY city"
+    f"SELECT city, '{c}' AS \"column\", CAST(count_if({c} < {C.VALID_RANGES[c][0]} OR {c} > {C.VALID_RANGES[c][1]}) AS BIGINT) AS n_out_of_range FROM v3 GROUP BY city"
     for c in V3_COLS[2:]))
 def p06_out_of_range_counts(spark, sf_dir):
     return CL.out_of_range_counts(V.lineitem_readings(spark, sf_dir), by="city")

@@ -59,7 +59,8 @@ def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def to_hourly(readings: DataFrame) -> DataFrame:
     """Readings -> hourly means per city; precipitation is summed."""
-    r = readings.withColumn("timestamp", F.date_trunc("hour", "timestamp"))
+    # date_trunc returns a zoned TIMESTAMP; keep the naive (NTZ) type.
+    r = readings.withColumn("timestamp", F.date_trunc("hour", "timestamp").cast("timestamp_ntz"))
     aggs = [F.avg(c).alias(c) for c in READING_MEASURES if c != "precipitation"]
     aggs.append(F.sum("precipitation").alias("precipitation"))
     return r.groupBy("city", "timestamp").agg(*aggs)
