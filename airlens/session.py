@@ -7,8 +7,11 @@ setting ``spark.checkpoint.dir`` when one is configured.
 """
 from __future__ import annotations
 
+import atexit
 import os
-import tempfile
+import re
+import shutil
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,22 +53,49 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts.
+    """Shared folder for lineage cuts and intermediate tables.
 
     Uses ``spark.checkpoint.dir`` from the session (the cluster's shared
-    folder).  Only when nothing is configured -- local tests -- a scratch
-    folder is created and registered.
+    folder).  When nothing is configured, a local master gets a folder below
+    the JVM's own temporary folder (tests, bench); any other master is an
+    error, because its nodes would not see each other's files.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not d:
-        d = tempfile.mkdtemp(prefix="airlens-ckpt-")
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all nodes share")
+        d = f"{sc._jvm.java.lang.System.getProperty('java.io.tmpdir')}/airlens-{sc.applicationId}"
         spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder for one intermediate table, in the shared folder."""
+    sc = spark.sparkContext
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables-{sc.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back.
+
+    Later jobs read the written rows, so they survive lost executors and
+    neither repeat nor vary the work above them."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete every intermediate table this application has written."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/tables-{sc.applicationId}")
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss; never a local one)."""
     checkpoint_dir(df.sparkSession)
