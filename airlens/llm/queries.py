@@ -2,8 +2,12 @@
 from __future__ import annotations
 
 from airlens.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from airlens.llm.mixing import op9_source_mix
+from airlens.llm.packing import op10_packing
 
 QUERIES = {
+    "op9_source_mix": op9_source_mix,
+    "op10_packing": op10_packing,
     "op7_exact_dedup": op7_exact_dedup,
 }
 ORACLES = {
