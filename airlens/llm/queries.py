@@ -2,17 +2,22 @@
 from __future__ import annotations
 
 from airlens.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from airlens.llm.licenses import op1_license_scan
 from airlens.llm.mixing import op9_source_mix
 from airlens.llm.near_dedup import OP6_SQL, op6_minhash_dedup
 from airlens.llm.packing import op10_packing
+from airlens.llm.quality import OP5_SQL, op5_quality_rules
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
+    "op5_quality_rules": op5_quality_rules,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op9_source_mix": op9_source_mix,
     "op10_packing": op10_packing,
     "op7_exact_dedup": op7_exact_dedup,
 }
 ORACLES = {
+    "op5_quality_rules": OP5_SQL,
     "op6_minhash_dedup": OP6_SQL,
     "op7_exact_dedup": OP7_SQL,
 }
