@@ -27,7 +27,7 @@ class WordIds:
     are encoded whole.  ``most`` bounds the table; when it is full it is
     emptied and fills again, which changes time, never ids."""
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 900_000):
         from tokenizers import Tokenizer
         self.encoder = Tokenizer.from_file(path)
         self.most = most
@@ -42,7 +42,8 @@ class WordIds:
         for w in words:
             if _MARKED.fullmatch(w):
                 stems[w] = w[:-1]
-        new = list(({*words} - {*stems} | {*stems.values()} | {w[-1:] for w in stems}) - known.keys())
+        wanted = {w for w in words if w not in stems} | {*stems.values()} | {w[-1:] for w in stems}
+        new = [w for w in wanted if w not in known]
         known.update(zip(new, self._packed([w.decode() for w in new])))
         for w, stem in stems.items():
             known[w] = known[stem] + known[w[-1:]]
@@ -58,7 +59,7 @@ class WordIds:
         except KeyError:
             if len(known) > self.most:
                 known.clear()
-            self._learn({*words} - known.keys())
+            self._learn({w for w in words if w not in known})
             return b"".join([known[w] for w in words])
 
 
@@ -72,7 +73,7 @@ class SpacedIds:
     A single space between two visible characters always opens a pre-token,
     so the text is cut before each of those."""
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 900_000):
         from tokenizers import Tokenizer
         self.encoder = Tokenizer.from_file(path)
         self.encoder.encode_special_tokens = True
@@ -85,7 +86,7 @@ class SpacedIds:
 
     def counts(self, pieces: list[str]) -> list[int]:
         known = self.known
-        new = {*pieces} - known.keys()
+        new = {p for p in pieces if p not in known}
         if new:
             if len(known) + len(new) > self.most:
                 known.clear()
