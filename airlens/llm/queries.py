@@ -2,13 +2,19 @@
 from __future__ import annotations
 
 from airlens.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from airlens.llm.html_text import op2_html_extract
 from airlens.llm.licenses import op1_license_scan
 from airlens.llm.mixing import op9_source_mix
 from airlens.llm.near_dedup import OP6_SQL, op6_minhash_dedup
 from airlens.llm.packing import op10_packing
 from airlens.llm.quality import OP5_SQL, op5_quality_rules
+from airlens.llm.toxicity import op4_toxicity
+from airlens.llm.urls import op8_url_filter
 
 QUERIES = {
+    "op2_html_extract": op2_html_extract,
+    "op4_toxicity": op4_toxicity,
+    "op8_url_filter": op8_url_filter,
     "op1_license_scan": op1_license_scan,
     "op5_quality_rules": op5_quality_rules,
     "op6_minhash_dedup": op6_minhash_dedup,
