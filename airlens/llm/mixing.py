@@ -65,12 +65,12 @@ def running_start(df: DataFrame, keys: list[str], segment: str, order: list, val
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """(row_id, doc_id, src, no_src, size, shuffled): src is '' for a null
-    source, told apart by no_src; ``shuffled`` orders a source's rows."""
+    """(row_id, doc_id, text_key, src, no_src, size, shuffled): src is '' for a
+    null source, told apart by no_src; ``shuffled`` orders a source's rows."""
     words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(U.WORD)).cast("long")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                       words.alias("size"))
-    return rows.select(F.monotonically_increasing_id().alias("row_id"), "doc_id",
+                       words.alias("size"), U.text_key().alias("text_key"))
+    return rows.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text_key",
                        F.coalesce("source", F.lit("")).alias("src"), F.col("source").isNull().alias("no_src"), "size",
                        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("shuffled"))
 
@@ -130,8 +130,8 @@ def schedule(spark, sources: DataFrame, block_words: int = BLOCK_WORDS, epochs:
 
 
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
-    """The schedule, and a row per document: row_id, doc_id, size, source_size,
-    target, taken.
+    """The schedule, and a row per document: row_id, doc_id, text_key, size,
+    source_size, target, taken.
 
     Null texts have no words and nothing is taken of them; null sources are a
     source of their own, the last; repeated rows are documents of their own.
@@ -141,8 +141,8 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, Dat
     plan = materialise(schedule(docs.sparkSession, sources, block_words), "schedule")
     rows = (rows.join(sources.select("src", "no_src", "idx", "source_size", "target"), ["src", "no_src"])
             .withColumn("__seg", F.substring("shuffled", 1, SHUFFLE_PREFIX)))
-    rows = materialise(running_start(rows, ["idx"], "__seg", ["shuffled", "doc_id", "size", "row_id"], "size", "at")
-                       .select("row_id", "doc_id", "idx", "size", "source_size", "target", "at"), "places")
+    rows = materialise(running_start(rows, ["idx"], "__seg", ["shuffled", "doc_id", "text_key", "row_id"], "size", "at")
+                       .select("row_id", "doc_id", "text_key", "idx", "size", "source_size", "target", "at"), "places")
     end = F.col("at") + F.col("size")
     parts = rows.filter("size > 0").select("row_id", "idx", "at", end.alias("end"), F.explode(F.sequence(
         F.floor(F.col("at") / block_words), F.floor((end - 1) / block_words))).alias("block"))
@@ -152,9 +152,25 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, Dat
     taken = (parts.join(times, ["idx", "block"]).groupBy("row_id")
              .agg(F.sum(F.col("words") * F.col("times")).alias("taken")))
     return plan, (rows.join(taken, "row_id", "left")
-                  .select("row_id", "doc_id", "size", "source_size", "target",
+                  .select("row_id", "doc_id", "text_key", "size", "source_size", "target",
                           F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
 
+def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The mix in whole documents: each row of ``docs`` as often as the words
+    taken of it make up its text, to the nearest whole number.
+
+    Texts without words give nothing to a mix of words and are not in it.
+    Rows equal in doc_id and text share what is taken of them evenly."""
+    rows = materialise(mix(docs, block_words)[1], "mix")
+    plan = (rows.filter("size > 0").groupBy("doc_id", "text_key")
+            .agg(F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias("__times")).filter("__times > 0")
+            .select(F.col("doc_id").alias("__kid"), F.col("text_key").alias("__kkey"), "__times"))
+    left = docs.withColumn("__key", U.text_key()).withColumn("__id", F.col("doc_id").cast("long"))
+    return (left.join(plan, left["__key"].eqNullSafe(plan["__kkey"]) & left["__id"].eqNullSafe(plan["__kid"]))
+            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+
+
 def op9_source_mix(spark, sf_dir: str) -> DataFrame:
     return mix(U.documents(spark, sf_dir))[1].select("doc_id", "size", "source_size", "target", "taken")

@@ -8,19 +8,21 @@ from airlens.llm.mixing import op9_source_mix
 from airlens.llm.near_dedup import OP6_SQL, op6_minhash_dedup
 from airlens.llm.packing import op10_packing
 from airlens.llm.quality import OP5_SQL, op5_quality_rules
+from airlens.llm.token_edits import op3_token_edits
 from airlens.llm.toxicity import op4_toxicity
 from airlens.llm.urls import op8_url_filter
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_html_extract": op2_html_extract,
+    "op3_token_edits": op3_token_edits,
     "op4_toxicity": op4_toxicity,
-    "op8_url_filter": op8_url_filter,
-    "op1_license_scan": op1_license_scan,
     "op5_quality_rules": op5_quality_rules,
     "op6_minhash_dedup": op6_minhash_dedup,
+    "op7_exact_dedup": op7_exact_dedup,
+    "op8_url_filter": op8_url_filter,
     "op9_source_mix": op9_source_mix,
     "op10_packing": op10_packing,
-    "op7_exact_dedup": op7_exact_dedup,
 }
 ORACLES = {
     "op5_quality_rules": OP5_SQL,
