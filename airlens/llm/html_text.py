@@ -4,13 +4,14 @@ The standard library's parser streams events; text is gathered into lines,
 one for each block element, each with the number of tags met in it.  The
 ratio of text to tags is smoothed along the page by a Gaussian, and lines
 above a threshold form the content cluster.  The regions (sections of the
-page) that hold content lines are selected whole, so a short paragraph
-between long ones stays.  Regions that the page itself marks as furniture,
+page) with at least half their text in content lines are selected whole, so a
+short paragraph between long ones stays.  Regions that the page itself marks as furniture,
 by element or by class, id or role, are never selected; a region that the
 page marks as its article always is.
 """
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -139,7 +140,14 @@ def main_lines(html: str, sigma: float = SIGMA, spread: float = SPREAD) -> list[
     content = level >= spread * level.std()
     furniture = [page.regions[region][1] for _, _, region in page.lines]
     declared = {region for _, _, region in page.lines if page.regions[region][0] and not page.regions[region][1]}
-    chosen = declared or {region for (_, _, region), hit, out in zip(page.lines, content, furniture) if hit and not out}
+    chosen = declared
+    if not chosen:
+        whole, hit = Counter(), Counter()
+        for (text, _, region), is_content, out in zip(page.lines, content, furniture):
+            if not out:
+                whole[region] += len(text)
+                hit[region] += len(text) * bool(is_content)
+        chosen = {region for region, n in whole.items() if 2 * hit[region] >= n}
     return [text for text, _, region in page.lines if region in chosen]
 
 

@@ -160,10 +160,13 @@ class BlockMaxIndex:
     def score(self, key: bytes) -> tuple[float, list[tuple[int, float]]]:
         """(score, evidence as [(doc_id of an example, cosine)])."""
         if key not in self.known:
-            near = self.nearest(key)
-            at = np.array([e for _, e in near], int)
-            weight = 1 / (0.02 + 1 - np.array([c for c, _ in near]))
-            votes, all_ = weight @ self.pos[at], weight @ (self.pos[at] + self.neg[at])
+            near, left, votes, all_ = self.nearest(key), float(self.s.neighbours), 0.0, 0.0
+            for cosine, e in near:  # an example stands for all its texts, but k texts vote
+                both = self.pos[e] + self.neg[e]
+                weight = min(both, left) / (0.02 + 1 - cosine)
+                votes += weight * self.pos[e] / both if both else 0.0
+                all_ += weight
+                left = max(0.0, left - both)
             m = self.s.prior_weight
             value = (votes + m * self.prior) / (all_ + m)
             if len(self.known) > 100_000:
