@@ -104,8 +104,8 @@ class SumOfSquares:
 
 
 def pack_batches(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    from airlens.llm.tokens import WordIds
-    encode, end = WordIds(path), int(end_id).to_bytes(4, "little")
+    from airlens.llm.tokens import word_ids
+    encode, end = word_ids(path), int(end_id).to_bytes(4, "little")
     part = TaskContext.get().partitionId() << 32
     packer = SumOfSquares(size)
     texts: dict[int, list] = {}  # row -> [doc_id, ids, tokens not yet emitted]

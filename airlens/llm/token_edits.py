@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from airlens.llm import common as U
-from airlens.llm.tokens import SpacedIds
+from airlens.llm.tokens import SpacedIds, spaced_ids
 
 LEAF_PIECES = 32
 
@@ -123,7 +123,7 @@ COUNTED = ("doc_id long, n_tokens long, n_edits long, n_tokens_edited long, n_le
 
 
 def count_batches(batches: Iterator[pa.RecordBatch], path: str, edits_of) -> Iterator[pa.RecordBatch]:
-    encoder = SpacedIds(path)
+    encoder = spaced_ids(path)
     for batch in batches:
         rows = []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 
@@ -27,7 +28,7 @@ class WordIds:
     are encoded whole.  ``most`` bounds the table; when it is full it is
     emptied and fills again, which changes time, never ids."""
 
-    def __init__(self, path: str, most: int = 900_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         from tokenizers import Tokenizer
         self.encoder = Tokenizer.from_file(path)
         self.most = most
@@ -63,6 +64,12 @@ class WordIds:
             return b"".join([known[w] for w in words])
 
 
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """One table for each vocabulary and worker process, kept between tasks."""
+    return WordIds(path)
+
+
 #: Letters, digits, marks and underscores: never white space in any table.
 _CUT = re.compile(r"(?<=[!-~\w])(?= [!-~\w])")
 
@@ -94,3 +101,9 @@ class SpacedIds:
             new = list(new)
             known.update(zip(new, (len(e.ids) for e in self.encoder.encode_batch_fast(new, add_special_tokens=False))))
         return [known[p] for p in pieces]
+
+
+@lru_cache(maxsize=2)
+def spaced_ids(path: str) -> SpacedIds:
+    """One table for each vocabulary and worker process, kept between tasks."""
+    return SpacedIds(path)
