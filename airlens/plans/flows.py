@@ -60,7 +60,7 @@ def current_reading(spark: SparkSession, readings: DataFrame, current_path: str,
     """Newest non-null reading per key merged into the current table."""
     cur = SRC.latest_reading(readings, key).withColumn("updated_at", F.col("timestamp"))
     ST.save_current(cur, current_path, key)
-    return spark.read.parquet(current_path)
+    return ST.read_table(spark, current_path)
 
 
 def predict_and_store(spark: SparkSession, features: DataFrame, chain, predictions_path: str,

@@ -33,6 +33,10 @@ def configure(spark: SparkSession) -> SparkSession:
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
     checkpoint_dir(spark)
+    # Python workers find the package where the driver found it.
+    root, env = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
     return spark
 
 

@@ -3,21 +3,27 @@
 Upsert = rows of the *touched* partitions that the new batch does not
 replace, plus the new rows, written with ``partitionOverwriteMode=dynamic``:
 only partitions present in the output are rewritten, so the cost follows the
-batch, not the table.  Keys must determine the partition (e.g. key
-``(city, date)`` with partition ``month(date)``).  Both modes are idempotent:
-applying the same batch twice leaves the same table.
+batch, not the table.  Dynamic overwrite writes its files aside and swaps
+whole partitions at commit, so the plan may read the table it rewrites and a
+failed write leaves the old rows.  For that reason every store has a
+partition: one without partition columns of its own gets ``_bucket``, a hash
+of its keys, which :func:`read_table` drops.  Keys must determine the
+partition (e.g. key ``(city, date)`` with partition ``month(date)``).  The
+batch is written once to the shared folder before it is looked at, so it is
+evaluated once.  All modes are idempotent.
 """
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airlens.operators.clean import _as_list
-from airlens.session import checkpoint_dir
+from airlens.operators.clean import _as_list, dedupe
+from airlens.session import materialise, scratch_path  # noqa: F401 - scratch_path is part of this module's interface
+
+BUCKET = "_bucket"
 
 
 @dataclass
@@ -26,13 +32,7 @@ class UpsertResult:
     updated: int
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never machine-local
-    on a cluster: ``spark.checkpoint.dir`` names shared storage)."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+def _stored(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     r = spark.read.option("basePath", path)
     if schema is not None:
         r = r.schema(schema)
@@ -44,6 +44,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
         raise
 
 
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The stored rows; None where nothing has been stored yet."""
+    t = _stored(spark, path, schema)
+    return t if t is None else t.drop(BUCKET)
+
+
 def check_unique(df: DataFrame, keys) -> DataFrame:
     """Keys that occur more than once (must be empty before a write)."""
     keys = _as_list(keys)
@@ -71,40 +77,49 @@ def merge_rows(old: DataFrame, new: DataFrame, keys) -> DataFrame:
 
 
 def upsert(new: DataFrame, path: str, keys, partition_by=None, mode: str = "replace",
-           count: bool = False) -> UpsertResult | None:
-    """K01 (replace) / K05 (merge) keyed upsert into partitioned Parquet.
-
-    Empty batches write nothing.  With ``count=True`` the (inserted, updated)
-    numbers are computed with semi/anti joins on the keys (one extra pass)."""
+           count: bool = False, order: str | None = None, buckets: int = 16) -> UpsertResult | None:
+    """Keyed upsert into partitioned Parquet.
+
+    ``replace`` (K01) new rows take the place of stored rows; ``merge`` (K05)
+    their columns do; ``update`` as merge, but rows with unknown keys are left
+    out; ``latest`` the row with the largest ``order`` stays, whichever side it
+    comes from.  Empty batches write nothing.  With ``count=True`` the
+    (inserted, updated) numbers are computed from the staged batch."""
     spark = new.sparkSession
     keys = _as_list(keys)
-    parts = _as_list(partition_by)
-    dup = check_unique(new, keys)
-    if dup.take(1):
+    parts = _as_list(partition_by) if partition_by else [BUCKET]
+    if mode == "latest":
+        new = dedupe(new, keys, [order], keep="last")
+    if not partition_by:
+        new = new.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    new = materialise(new, "batch")
+    if check_unique(new, keys).take(1):
         raise ValueError(f"batch has duplicate keys {keys}")
     if not new.take(1):
         return UpsertResult(0, 0) if count else None
-    old = read_table(spark, path)
+    old = _stored(spark, path)
     result = None
     if old is None:
+        if mode == "update":
+            return UpsertResult(0, 0) if count else None
         out = new
         if count:
             result = UpsertResult(new.count(), 0)
     else:
-        old = old.select(*[c for c in old.columns])
         if count:
             hit = new.select(*keys).join(old.select(*keys), keys, "left_semi").count()
-            result = UpsertResult(new.count() - hit, hit)
-        touched = old.join(new.select(*parts).distinct(), parts, "left_semi") if parts else old
+            result = UpsertResult(0 if mode == "update" else new.count() - hit, hit)
+        touched = old.join(new.select(*parts).distinct(), parts, "left_semi")
         if mode == "merge":
             out = merge_rows(touched, new, keys)
+        elif mode == "update":
+            out = merge_rows(touched, new.join(touched.select(*keys), keys, "left_semi"), keys)
+        elif mode == "latest":
+            out = dedupe(touched.unionByName(new, allowMissingColumns=True), keys, [order], keep="last")
         else:
             kept = touched.join(new.select(*keys), keys, "left_anti")
             out = kept.unionByName(new, allowMissingColumns=True)
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if parts:
-        w = w.partitionBy(*parts)
-    w.parquet(path)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
     return result
 
 
@@ -117,7 +132,8 @@ def save_raw(df: DataFrame, path: str, key="city", ts: str = "timestamp") -> Ups
 
 def save_features(df: DataFrame, path: str, key="city", mode: str = "merge") -> UpsertResult | None:
     """Daily features keyed (key, date), partitioned by month; merge keeps
-    targets that a live batch (computed without targets) does not carry (Q02)."""
+    targets that a live batch (computed without targets) does not carry (Q02),
+    update writes targets only where the day's features are stored."""
     d = df.withColumn("month", F.date_format("date", "yyyy-MM"))
     return upsert(d, path, _as_list(key) + ["date"], ["month"], mode)
 

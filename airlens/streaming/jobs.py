@@ -17,34 +17,22 @@ bookkeeping in the checkpoint folder.
 """
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airlens.operators.clean import _as_list, dedupe
-from airlens.sinks.store import read_table
-
+from airlens.sinks.store import upsert
 
-def _upsert_latest(batch: DataFrame, path: str, keys, order: str, partition_by) -> None:
-    """Keep, per key, the row with the largest ``order`` among the stored
-    and the incoming rows; rewrite only the touched partitions."""
-    spark = batch.sparkSession
-    keys = _as_list(keys)
-    parts = _as_list(partition_by)
-    new = dedupe(batch, keys, [order], keep="last")
-    old = read_table(spark, path)
-    if old is None:
-        out = new
-    else:
-        touched = old.join(new.select(*parts).distinct(), parts, "left_semi") if parts else old
-        out = dedupe(touched.unionByName(new, allowMissingColumns=True), keys, [order], keep="last")
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    (w.partitionBy(*parts) if parts else w).parquet(path)
 
-
-def _upsert_replace(batch: DataFrame, path: str, keys, partition_by=None) -> None:
-    from airlens.sinks.store import upsert
-    upsert(batch, path, keys, partition_by, mode="replace")
+def _run(frame: DataFrame, checkpoint: str, batch, mode: str = "append") -> int:
+    """Process what has landed, then stop.  Returns the number of rows that
+    came later than the watermark and were left out."""
+    q = (frame.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+         .foreachBatch(lambda df, _id: batch(df)).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in json.loads(p.json)["stateOperators"])
 
 
 def stream_readings_upsert(spark: SparkSession, landing: str, schema: T.StructType, target: str,
@@ -55,16 +43,14 @@ def stream_readings_upsert(spark: SparkSession, landing: str, schema: T.StructTy
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     src = r.parquet(landing).withColumn("day", F.to_date("timestamp"))
-    q = (src.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, _id: _upsert_latest(b, target, list(keys), order, ["day"]))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _run(src, checkpoint, lambda b: upsert(b, target, list(keys), ["day"], mode="latest", order=order))
 
 
 def stream_daily_rollup(spark: SparkSession, landing: str, schema: T.StructType, target: str,
                         checkpoint: str, key: str = "city", ts: str = "timestamp",
-                        watermark: str = "3 days") -> None:
-    """One-day tumbling windows, watermark, update mode -> upsert."""
+                        watermark: str = "3 days") -> int:
+    """One-day tumbling windows, watermark, update mode -> upsert.
+    Returns the number of rows too late for the watermark."""
     # Event-time watermarks need TIMESTAMP (with zone); the session is
     # pinned to UTC, so casting naive UTC stamps is lossless.
     src = spark.readStream.schema(schema).parquet(landing).withColumn(ts, F.col(ts).cast("timestamp"))
@@ -75,10 +61,7 @@ def stream_daily_rollup(spark: SparkSession, landing: str, schema: T.StructType,
                    F.sum("precipitation").alias("precip_sum"))
               .select(key, F.to_date(F.col("w.start")).alias("date"), "n_rows", "aqi_mean", "aqi_max",
                       "aqi_min", "precip_sum"))
-    q = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, _id: _upsert_replace(b, target, [key, "date"]))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    return _run(agg, checkpoint, lambda b: upsert(b, target, [key, "date"]), "update")
 
 
 def stream_latest_reading(spark: SparkSession, landing: str, schema: T.StructType, target: str,
@@ -87,7 +70,4 @@ def stream_latest_reading(spark: SparkSession, landing: str, schema: T.StructTyp
     src = spark.readStream.schema(schema).parquet(landing).where(F.col(value).isNotNull())
     pick = F.max_by(F.struct(F.col(value).alias(value), F.col(ts).alias(ts)), F.struct(F.col(ts), F.col(value)))
     agg = src.groupBy(key).agg(pick.alias("_r")).select(key, f"_r.{value}", f"_r.{ts}")
-    q = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, _id: _upsert_replace(b, target, [key]))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _run(agg, checkpoint, lambda b: upsert(b, target, [key]), "update")
