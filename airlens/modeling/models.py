@@ -2,24 +2,30 @@
 ``pyspark.ml`` (M01-M11, M13-M15).
 
 Every fit is a distributed Spark ML job; the driver only loops over the
-(small, fixed) grid of candidates and folds, as a tuning harness does.  The
-training matrix for a horizon is checkpointed once into the shared
-checkpoint folder so the many fits do not recompute the feature plan and
-survive executor loss.  Statistics that reach the driver are bounded: one
-mean per feature, two numbers per ridge fit, one RMSE per fit.
+(small, fixed) grid of candidates and folds, several fits at a time, as a
+tuning harness does.  The folds of a horizon are written once to the shared
+folder, so the many fits neither recompute the feature plan nor its windows
+and survive executor loss.  Statistics that reach the driver are bounded: one
+mean per feature, two numbers per ridge fit, a few scores per fit.
+
+A stored pipeline holds all that scoring needs: the first stage fills nulls
+with the training means, the second fixes the feature order.
 """
 from __future__ import annotations
 
 import json
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Mapping, Sequence
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import (GBTRegressor, LinearRegression, LinearRegressionModel,
                                    RandomForestRegressor)
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +34,7 @@ from airlens.functions import scalars as S
 from airlens.modeling.selection import expanding_folds, time_split
 from airlens.operators.clean import _as_list
 from airlens.operators.features import check_leakage
-from airlens.session import cut_lineage
+from airlens.session import materialise
 
 
 # M01 / F16 -------------------------------------------------------------------
@@ -81,10 +87,33 @@ def make_estimator(family: str, params: Mapping, label: str, train: DataFrame |
     return GBTRegressor(featuresCol="features", labelCol=label, seed=C.RANDOM_SEED, **p)
 
 
-def fit(train: DataFrame, features: Sequence[str], label: str, family: str, params: Mapping) -> PipelineModel:
-    asm = VectorAssembler(inputCols=list(features), outputCol="features")
+IN = "__in"
+
+
+def imputer(features: Sequence[str], means: Mapping[str, float]) -> SQLTransformer:
+    """F16 as a pipeline stage: null -> training mean, into ``<name>__in``."""
+    filled = ", ".join(f"coalesce(CAST(`{f}` AS DOUBLE), {float(means.get(f, 0.0))!r}D) AS `{f}{IN}`" for f in features)
+    return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
+
+
+def fit(train: DataFrame, features: Sequence[str], label: str, family: str, params: Mapping,
+        means: Mapping[str, float] | None = None) -> PipelineModel:
+    means = fit_means(train, features) if means is None else means
+    asm = VectorAssembler(inputCols=[f + IN for f in features], outputCol="features")
     est = make_estimator(family, params, label, train)
-    return Pipeline(stages=[asm, est]).fit(train)
+    return Pipeline(stages=[imputer(features, means), asm, est]).fit(train)
+
+
+def model_features(model: PipelineModel) -> list[str]:
+    """The features of a (stored) pipeline, in its order."""
+    return [c[:-len(IN)] for c in model.stages[1].getInputCols()]
+
+
+def predict(model: PipelineModel, df: DataFrame, name: str = "prediction") -> DataFrame:
+    """``df`` with the pipeline's prediction; absent features count as 0."""
+    absent = [f for f in model_features(model) if f not in df.columns]
+    x = df.select("*", *[F.lit(0.0).alias(f) for f in absent])
+    return model.transform(x).select(*[F.col(c) for c in df.columns if c != name], F.col("prediction").alias(name))
 
 
 def rmse(model: PipelineModel, df: DataFrame, label: str) -> float:
@@ -93,25 +122,35 @@ def rmse(model: PipelineModel, df: DataFrame, label: str) -> float:
 
 
 def test_metrics(model: PipelineModel, df: DataFrame, label: str) -> dict:
-    """A08 on held-out rows, one aggregate."""
+    """A08 on held-out rows, one aggregate; constant actuals give R2 = 1 when
+    exact, else 0."""
     p = model.transform(df)
     e = F.col(label) - F.col("prediction")
-    r = p.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-              (F.lit(1.0) - F.try_divide(F.sum(e * e), F.var_pop(label) * F.count(F.lit(1)))).alias("r2")).first()
+    ss, tot = F.sum(e * e), F.var_pop(label) * F.count(F.lit(1))
+    r2 = F.when(tot > 0, F.lit(1.0) - F.try_divide(ss, tot)).when(ss == 0, F.lit(1.0)).when(ss > 0, F.lit(0.0))
+    r = p.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"), r2.alias("r2")).first()
     return {k: (round(r[k], 4) if r[k] is not None else None) for k in ("rmse", "mae", "r2")}
 
 
 # M02 -------------------------------------------------------------------------
-def cv_score(folds: DataFrame, features, label, family, params, n_splits: int = C.CV_SPLITS) -> float:
+def cv_score(folds: DataFrame, features, label, family, params, means, n_splits: int = C.CV_SPLITS) -> float:
     """Mean RMSE over expanding folds (fit on train rows, score test rows)."""
     scores = []
     for k in range(1, n_splits + 1):
         tr = folds.where((F.col("fold") == k) & (F.col("role") == "train"))
         te = folds.where((F.col("fold") == k) & (F.col("role") == "test"))
-        scores.append(rmse(fit(tr, features, label, family, params), te, label))
+        scores.append(rmse(fit(tr, features, label, family, params, means), te, label))
     return float(np.mean(scores))
 
 
+def scaled(grids: Mapping[str, list], rounds: float) -> dict:
+    """The grids with the number of trees or iterations times ``rounds`` (2 at
+    least): every point stays, at a fraction of its cost."""
+    size = ("maxIter", "numTrees")
+    return {f: [{k: max(2, round(v * rounds)) if k in size else v for k, v in p.items()} for p in points]
+            for f, points in grids.items()}
+
+
 # M08 -------------------------------------------------------------------------
 @dataclass
 class Trained:
@@ -122,15 +161,18 @@ class Trained:
     features: list
     means: dict
     scores: dict
-    candidates: list = field(default_factory=list)
+    candidates: list = field(default_factory=list)  # one dict per grid point
+    rows: dict = field(default_factory=dict)
 
 
-def train_best_model(df: DataFrame, target: str, features: Sequence[str], grids: Mapping[str, list],
-                     key="city", order: str = "date", extra_features: Sequence[str] = (),
-                     min_rows: int = C.MIN_TRAIN_ROWS) -> Trained:
+def train_best_model(df: DataFrame, target: str, features: Sequence[str] = tuple(C.FEATURE_COLS),
+                     grids: Mapping[str, list] = C.MODEL_GRIDS, key="city", order: str = "date",
+                     extra_features: Sequence[str] = (), min_rows: int = C.MIN_TRAIN_ROWS,
+                     parallelism: int = 8) -> Trained:
     """Competition: every grid point scored by expanding-window CV on the
-    training part (first 80 % of each key), winner = lowest CV RMSE (first
-    on ties), refit on the training part, reported on the test part."""
+    training part (first 80 % of each key), fitted on that part and scored on
+    the test part; winner = lowest CV RMSE (first on ties).  ``parallelism``
+    fits run at a time."""
     t0 = time.time()
     bad = [c for c in extra_features if c in C.TARGETS]
     if bad:
@@ -139,81 +181,91 @@ def train_best_model(df: DataFrame, target: str, features: Sequence[str], grids:
     check_leakage(feats, severity="warning")
     keys = _as_list(key)
     data = df.where(F.col(target).isNotNull()).select(*keys, order, target, *feats)
-    split = time_split(data, keys, order)
-    train0 = split.where("is_train")
-    means = fit_means(train0, feats)                    # Q05: training rows only
-    prepared = cut_lineage(impute(split, feats, means))
-    train = prepared.where("is_train").drop("rn", "n", "is_train")
-    test = prepared.where(~F.col("is_train"))
-    n_train = train.count()
+    split = materialise(time_split(data, keys, order), "split")
+    train, test = split.where("is_train").drop("rn", "n", "is_train"), split.where(~F.col("is_train"))
+    means = fit_means(train, feats)                     # Q05: training rows only
+    n_train, n_test = train.count(), test.count()
     if n_train < min_rows:
         raise ValueError(f"only {n_train} training rows for {target}; need {min_rows}")
-    folds = expanding_folds(train, keys, order)
-    cands = []
-    for family, points in grids.items():
-        for p in points:
-            cands.append((family, dict(p), cv_score(folds, feats, target, family, p)))
-    best = min(cands, key=lambda c: c[2])               # first on ties
-    model = fit(train, feats, target, best[0], best[1])
-    scores = test_metrics(model, test, target)
-    scores.update(model_name=best[0], params=json.dumps(best[1]), cv_rmse=round(best[2], 4),
-                  feature_count=len(feats), data_rows_used=n_train + test.count(),
+    folds = materialise(expanding_folds(train, keys, order), "folds").persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = {(r["fold"], r["role"]): r["count"] for r in folds.groupBy("fold", "role").count().collect()}
+
+    def run(point):
+        family, params = point
+        cv = cv_score(folds, feats, target, family, params, means)
+        model = fit(train, feats, target, family, params, means)
+        return dict(family=family, params=params, cv_rmse=cv, model=model, **test_metrics(model, test, target))
+
+    points = [(family, dict(p)) for family, ps in grids.items() for p in ps]
+    with ThreadPoolExecutor(max(1, min(parallelism, len(points)))) as pool:
+        cands = list(pool.map(run, points))
+    folds.unpersist()
+    best = min(cands, key=lambda c: c["cv_rmse"])       # first on ties
+    scores = {k: best[k] for k in ("rmse", "mae", "r2")}
+    scores.update(model_name=best["family"], params=json.dumps(best["params"]), cv_rmse=round(best["cv_rmse"], 4),
+                  feature_count=len(feats), data_rows_used=n_train + n_test,
                   training_duration_seconds=round(time.time() - t0, 2))
-    return Trained(target, model, best[0], best[1], feats, means, scores, cands)
+    return Trained(target, best["model"], best["family"], best["params"], feats, means, scores,
+                   [{k: v for k, v in c.items() if k != "model"} for c in cands],
+                   {"train": n_train, "test": n_test, "folds": sizes})
 
 
 def candidates_frame(spark, trained: Sequence[Trained]) -> DataFrame:
-    """Candidate table (target, model, params, cv_rmse, is_winner): one row
-    per grid point, built from the bounded list of fit results."""
-    rows = [(t.target, fam, json.dumps(p), float(cv), fam == t.model_name and p == t.params)
-            for t in trained for fam, p, cv in t.candidates]
-    return spark.createDataFrame(rows, "target string, model string, params string, cv_rmse double, is_winner boolean")
+    """Candidate table: one row per target and grid point, built from the
+    bounded list of fit results."""
+    rows = [(t.target, k, c["family"], json.dumps(c["params"]), float(c["cv_rmse"]), c["rmse"], c["mae"], c["r2"],
+             c["family"] == t.model_name and c["params"] == t.params)
+            for t in trained for k, c in enumerate(t.candidates)]
+    return spark.createDataFrame(rows, "target string, point int, model string, params string, cv_rmse double, "
+                                       "test_rmse double, test_mae double, test_r2 double, is_winner boolean")
+
+
+def metadata_frame(spark, trained: Sequence[Trained], trained_at) -> DataFrame:
+    """K08 rows of the winners, features in their order."""
+    rows = [(t.target, t.scores["model_name"], t.scores["params"], t.scores["cv_rmse"], t.scores["rmse"], t.scores["mae"],
+             t.scores["r2"], t.scores["feature_count"], t.features, t.scores["data_rows_used"],
+             t.scores["training_duration_seconds"], trained_at) for t in trained]
+    return spark.createDataFrame(rows, "target string, model_name string, params string, cv_rmse double, test_rmse double, "
+                                       "test_mae double, test_r2 double, feature_count int, features array<string>, "
+                                       "data_rows_used long, training_duration_seconds double, trained_at timestamp_ntz")
 
 
 # M09 -------------------------------------------------------------------------
-def train_chain(df: DataFrame, features: Sequence[str], grids: Mapping[str, list], key="city",
-                order: str = "date", targets: Sequence[str] = tuple(C.TARGETS)) -> tuple[list, DataFrame]:
+def prediction_name(target: str) -> str:
+    return "pred_" + target.replace("aqi_", "")
+
+
+def train_chain(df: DataFrame, features: Sequence[str] = tuple(C.FEATURE_COLS), grids: Mapping[str, list] = C.MODEL_GRIDS,
+                key="city", order: str = "date", targets: Sequence[str] = tuple(C.TARGETS), **kw) -> tuple[list, DataFrame]:
     """Horizon h is trained with the predictions of horizons < h as extra
     features (``pred_day1``, ``pred_day2``); returns the trained models and
     the frame with the prediction columns added."""
     out, cur, extra = [], df, []
     for t in targets:
-        tr = train_best_model(cur, t, features, grids, key, order, extra_features=extra)
+        tr = train_best_model(cur, t, features, grids, key, order, extra_features=extra, **kw)
         out.append(tr)
-        name = "pred_" + t.replace("aqi_", "")
-        cur = add_prediction(cur, tr, name)
-        extra = extra + [name]
+        cur = materialise(predict(tr.model, cur, prediction_name(t)), "chain")
+        extra = extra + [prediction_name(t)]
     return out, cur
 
 
-def add_prediction(df: DataFrame, tr: Trained, name: str) -> DataFrame:
-    x = impute(df, tr.features, tr.means)
-    p = tr.model.transform(x).select(*[F.col(c) for c in df.columns], F.col("prediction").alias(name))
-    return p
-
-
 # M10 -------------------------------------------------------------------------
-def score_chain(rows: DataFrame, chain: Sequence[Trained], key="city") -> DataFrame:
+def score_chain(rows: DataFrame, chain: Mapping[str, PipelineModel], key="city") -> DataFrame:
     """Chained predictions for the given rows (e.g. the latest row of each
-    key); interior steps use unclamped values, the outputs are clamped at 0
-    (Q18) and labelled (F04)."""
-    cur = rows
-    names = []
-    for tr in chain:
-        name = "pred_" + tr.target.replace("aqi_", "")
-        cur = add_prediction(cur, tr, name)
-        names.append(name)
-    keys = _as_list(key)
-    outs = []
-    for i, n in enumerate(names, start=1):
-        v = S.clamp_non_negative(n)
+    key) by target -> pipeline, in horizon order; interior steps use unclamped
+    values, the outputs are clamped at 0 (Q18) and labelled (F04)."""
+    cur, outs = rows, []
+    for i, (target, model) in enumerate(chain.items(), start=1):
+        name = prediction_name(target)
+        cur = predict(model, cur, name)
+        v = S.clamp_non_negative(name)
         outs.append(F.struct(v.alias("aqi"), S.aqi_label(v).alias("label")).alias(f"day{i}"))
-    return cur.select(*keys, *[c for c in ("date",) if c in cur.columns], *outs)
+    return cur.select(*_as_list(key), *[c for c in ("date",) if c in cur.columns], *outs)
 
 
 # M11 -------------------------------------------------------------------------
-def save(tr: Trained, path: str) -> str:
-    tr.model.write().overwrite().save(path)
+def save(model: PipelineModel, path: str) -> str:
+    model.write().overwrite().save(path)
     return path
 
 
@@ -222,19 +274,32 @@ def load(path: str) -> PipelineModel:
 
 
 # M12 / M13 / M14 / M15 / M16 -------------------------------------------------
+def filled(model: PipelineModel, df: DataFrame, keys) -> DataFrame:
+    """Keys and features, nulls filled as the pipeline fills them."""
+    x = model.stages[0].transform(df)
+    return x.select(*keys, *[F.col(f + IN).alias(f) for f in model_features(model)])
+
+
 def linear_attributions(model: PipelineModel, rows: DataFrame, background: DataFrame,
                         features: Sequence[str], key=("city", "date")) -> DataFrame:
     """Exact attribution for a fitted linear model: coef_i * (x_i - mean_i)
     (coefficients are in the original feature space)."""
     from airlens.operators.explain import linear_contributions
-    lm = model.stages[-1]
+    keys, lm = _as_list(key), model.stages[-1]
     w = {1: {f: float(c) for f, c in zip(features, lm.coefficients.toArray())}}
-    return linear_contributions(rows, w, {1: float(lm.intercept)}, key, background).drop("horizon")
+    return linear_contributions(filled(model, rows, keys), w, {1: float(lm.intercept)}, key,
+                                filled(model, background, [])).drop("horizon")
+
+
+def recent_background(features: DataFrame, as_of, days: int = 30, order: str = "date") -> DataFrame:
+    """The reference rows of an explanation: the last ``days`` days."""
+    ref = F.lit(as_of).cast("date") if isinstance(as_of, str) else F.lit(as_of)
+    return features.where(F.col(order) > F.date_sub(ref, days))
 
 
 def permutation_attributions(model: PipelineModel, rows: DataFrame, background: DataFrame,
                              features: Sequence[str], key=("city", "date"), n_perm: int = 8,
-                             max_background: int = 20, seed: int = C.RANDOM_SEED) -> DataFrame:
+                             max_background: int = 50, seed: int = C.RANDOM_SEED) -> DataFrame:
     """Model-agnostic sampled-permutation Shapley values.
 
     For every explained row, background row ``b`` (at most
@@ -244,32 +309,26 @@ def permutation_attributions(model: PipelineModel, rows: DataFrame, background:
     points, ``lag`` over the (d+1)-row path gives each feature's marginal
     change, and the average over (b, p) is its value.  Base = mean
     prediction with every feature from the background, so
-    ``base + sum(phi) = prediction`` holds exactly."""
-    keys = _as_list(key)
-    feats = list(features)
-    d = len(feats)
-    bg = (background.select(*feats).orderBy(F.xxhash64(*feats, F.lit(seed))).limit(max_background).collect())
-    rng = np.random.RandomState(seed)
+    ``base + sum(phi) = prediction`` holds exactly.  Nulls count as the
+    pipeline's own means on both sides."""
+    keys, feats = _as_list(key), list(features)
+    d, rng = len(feats), np.random.RandomState(seed)
+    bg = (background.select(*[F.col(f).cast("double").alias(f) for f in feats])
+          .orderBy(F.xxhash64(*feats, F.lit(seed)), *feats).limit(max_background).collect())
+    value = lambda v: "CAST(NULL AS DOUBLE)" if v is None else f"CAST('{float(v)!r}' AS DOUBLE)"
+    array = lambda items: "array(" + ", ".join(items) + ")"
+    grounds = array([f"named_struct('_b', {k}, '_bg', {array([value(r[f]) for f in feats])})" for k, r in enumerate(bg)])
     perms = [rng.permutation(d) for _ in range(n_perm)]
-    ps, js, added, masks = [], [], [], []
-    for p, perm in enumerate(perms):
-        pos = np.empty(d, dtype=int)
-        pos[perm] = np.arange(d)
-        for j in range(d + 1):
-            ps.append(p)
-            js.append(j)
-            added.append(feats[perm[j - 1]] if j > 0 else "")
-            masks.append([int(pos[i] < j) for i in range(d)])
-    bgz = F.arrays_zip(F.lit(list(range(len(bg)))).alias("_b"),
-                       *[F.lit([float(r[f]) for r in bg]).alias(f"_bg{i}") for i, f in enumerate(feats)])
-    steps = F.arrays_zip(F.lit(ps).alias("_p"), F.lit(js).alias("_j"), F.lit(added).alias("_feat"),
-                         F.lit(masks).alias("_mask"))
-    x = rows.select(*keys, *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(feats)])
-    x = x.select("*", F.inline(bgz)).select("*", F.inline(steps))
-    vals = [F.when(F.col("_mask")[i] == 1, F.col(f"_x{i}")).otherwise(F.col(f"_bg{i}")).alias(f)
+    orders = array([f"named_struct('_p', {k}, '_perm', {array([str(i) for i in p])}, '_pos', "
+                    f"{array([str(i) for i in np.argsort(p)])})" for k, p in enumerate(perms)])
+    names = array([f"'{f}'" for f in feats])
+    x = rows.select(*keys, F.array(*[F.col(f).cast("double") for f in feats]).alias("_x"))
+    x = x.select("*", F.expr(f"inline({grounds})")).select("*", F.expr(f"inline({orders})"))
+    x = x.select("*", F.explode(F.sequence(F.lit(0), F.lit(d))).alias("_j"))
+    feat = F.expr(f"CASE WHEN _j > 0 THEN {names}[_perm[_j - 1]] ELSE '' END").alias("_feat")
+    vals = [F.when(F.col("_pos")[i] < F.col("_j"), F.col("_x")[i]).otherwise(F.col("_bg")[i]).alias(f)
             for i, f in enumerate(feats)]
-    pts = x.select(*keys, "_b", "_p", "_j", "_feat", *vals)
-    pred = model.transform(pts)
+    pred = model.transform(x.select(*keys, "_b", "_p", "_j", feat, *vals))
     w = Window.partitionBy(*keys, "_b", "_p").orderBy("_j")
     marg = pred.select(*keys, "_j", "_feat", "prediction",
                        (F.col("prediction") - F.lag("prediction").over(w)).alias("_m"))
@@ -283,7 +342,10 @@ def explain(model: PipelineModel, rows: DataFrame, background: DataFrame, featur
             key=("city", "date"), **kw) -> tuple[DataFrame, str]:
     """Exact linear attribution for linear models, sampled
     permutations for everything else (trees included: interventional
-    values, the same interface)."""
+    values, the same interface) and where the linear one fails."""
     if isinstance(model.stages[-1], LinearRegressionModel):
-        return linear_attributions(model, rows, background, features, key), "linear"
+        try:
+            return linear_attributions(model, rows, background, features, key), "linear"
+        except (ValueError, KeyError, AnalysisException):
+            pass
     return permutation_attributions(model, rows, background, features, key, **kw), "permutation"

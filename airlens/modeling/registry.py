@@ -9,11 +9,16 @@ DataFrame operations per target.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Mapping
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airlens import constants as C
 from airlens.functions import scalars as S
+from airlens.session import materialise
+from airlens.sinks.store import read_table, upsert
 from airlens.sources.feeds import latest_active_models
 
 
@@ -38,6 +43,39 @@ def assign_versions(existing: DataFrame | None, new_rows: DataFrame, base_path:
     return out.drop("_max") if "_max" in out.columns else out
 
 
+def register(spark: SparkSession, registry_path: str, models_path: str, new_rows: DataFrame,
+             artefacts: Mapping[str, PipelineModel] | None = None, keep: int = C.RETAIN_VERSIONS) -> DataFrame:
+    """K08 / T05 as a store: append the next versions, save their pipelines,
+    mark versions beyond ``keep`` inactive and delete their artefacts.
+    Returns the registry.
+
+    Pipelines are saved before their rows appear, and deleted after the rows
+    are inactive, so an active row always has its pipeline."""
+    existing = read_table(spark, registry_path)
+    added = materialise(assign_versions(existing, new_rows, models_path), "versions")
+    for r in added.select("target", "model_path").collect():
+        if artefacts and r["target"] in artefacts:
+            artefacts[r["target"]].write().overwrite().save(r["model_path"])
+    every = added if existing is None else existing.unionByName(added, allowMissingColumns=True)
+    upsert(apply_retention(every, keep), registry_path, ["target", "version_num"])
+    stored = read_table(spark, registry_path)
+    fs_conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for r in stored.where("status = 'inactive'").select("model_path").collect():
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(r["model_path"])
+        path.getFileSystem(fs_conf).delete(path, True)
+    return stored
+
+
+def load_latest(spark: SparkSession, registry_path: str) -> dict[str, PipelineModel]:
+    """target -> pipeline of its newest active version, in horizon order; all
+    that scoring needs is read from the store."""
+    meta = read_table(spark, registry_path)
+    if meta is None:
+        raise ValueError(f"no model registered in {registry_path}")
+    latest = {r["target"]: r["model_path"] for r in latest_active_models(meta, drop=()).select("target", "model_path").collect()}
+    return {t: PipelineModel.load(latest[t]) for t in C.TARGETS if t in latest}
+
+
 def apply_retention(meta: DataFrame, keep: int = C.RETAIN_VERSIONS) -> DataFrame:
     """T05 (Q16): the newest ``keep`` versions per target stay active,
     older ones are marked inactive (their artefacts may be deleted)."""

@@ -13,6 +13,7 @@ from airlens import constants as C
 from airlens.operators import clean as CL
 from airlens.operators import features as FE
 from airlens.operators.rollup import daily_rollup
+from airlens.session import materialise
 from airlens.sinks import store as ST
 from airlens.sources import feeds as SRC
 
@@ -41,8 +42,9 @@ def daily_increment(spark: SparkSession, fresh_raw: DataFrame, raw_path: str, fe
                     forecast: DataFrame | None = None, lookback_days: int = 14, key: str = "city") -> DataFrame:
     """Clean the fresh window (S05) -> upsert raw -> read back the
     lookback (S09, pruned by the day partition) -> features without targets
-    and with the forecast override on each key's last row -> merge into the
-    feature store (targets kept, Q02) -> back-fill targets that became known."""
+    and with the forecast override on each key's last row, which is the live
+    row -> merge into the feature store (targets kept, Q02) -> back-fill the
+    targets that became known on rows whose features are stored."""
     fresh = SRC.in_window(fresh_raw, as_of, "timestamp", mode="daily")
     ST.save_raw(CL.clean_readings(fresh, key, "timestamp"), raw_path, key)
     ref = F.lit(as_of).cast("date")
@@ -52,7 +54,7 @@ def daily_increment(spark: SparkSession, fresh_raw: DataFrame, raw_path: str, fe
     ST.save_features(live, features_path, key, mode="merge")
     daily = FE.add_daily_features(daily_rollup(hist, key), key, targets=True)
     known = daily.select(key, "date", *C.TARGETS).dropna(subset=C.TARGETS)
-    ST.save_features(known, features_path, key, mode="merge")
+    ST.save_features(known, features_path, key, mode="update")
     return _read_or_empty(spark, features_path, live.withColumn("month", F.lit(""))).drop("month")
 
 
@@ -63,14 +65,36 @@ def current_reading(spark: SparkSession, readings: DataFrame, current_path: str,
     return ST.read_table(spark, current_path)
 
 
-def predict_and_store(spark: SparkSession, features: DataFrame, chain, predictions_path: str,
-                      key: str = "city") -> DataFrame:
-    """Latest row per key -> chained, clamped scores -> prediction
-    documents keyed (key, prediction_date = latest date + 1) (K06)."""
-    from airlens.modeling.models import score_chain
-    latest = SRC.latest_row(features, key, "date")
-    scored = score_chain(latest, chain, key)
+def training_run(spark: SparkSession, features: DataFrame, registry_path: str, models_path: str, trained_at,
+                 feature_cols=tuple(C.FEATURE_COLS), grids=C.MODEL_GRIDS, key: str = "city", **kw) -> list:
+    """Rows with all targets (S10) -> chained competitions (M08, M09) ->
+    pipelines saved (M11) and registered with their metadata (K08, T05)."""
+    from airlens.modeling import models as MD
+    from airlens.modeling import registry as RG
+    rows = SRC.training_rows(features, required=True)
+    chain, _ = MD.train_chain(rows, feature_cols, grids, key, **kw)
+    RG.register(spark, registry_path, models_path, MD.metadata_frame(spark, chain, trained_at),
+                {t.target: t.model for t in chain})
+    return chain
+
+
+def prediction_run(spark: SparkSession, features: DataFrame, registry_path: str, predictions_path: str,
+                   predicted_at, key: str = "city", **kw) -> tuple[DataFrame, DataFrame]:
+    """Latest row per key -> pipelines of the latest active versions, read
+    from the store -> chained, clamped scores -> prediction documents keyed
+    (key, prediction_date = latest date + 1) (K06) -> day-1 attributions
+    against the last 30 days (M15).  Returns (stored documents, attributions)."""
+    from airlens.modeling import models as MD
+    from airlens.modeling import registry as RG
+    chain = RG.load_latest(spark, registry_path)
+    latest = materialise(SRC.latest_row(features, key, "date"), "latest")
+    scored = MD.score_chain(latest, chain, key)
     docs = scored.select(key, F.date_add("date", 1).alias("prediction_date"),
-                         F.current_timestamp().cast("timestamp_ntz").alias("predicted_at"), "day1", "day2", "day3")
+                         F.lit(predicted_at).cast("timestamp_ntz").alias("predicted_at"),
+                         *[c for c in ("day1", "day2", "day3") if c in scored.columns])
     ST.save_predictions(docs, predictions_path, key)
-    return spark.read.parquet(predictions_path).drop("month")
+    first = next(iter(chain.values()))
+    names = MD.model_features(first)
+    ground = MD.recent_background(features, latest.agg(F.max("date")).first()[0])
+    phi, kind = MD.explain(first, latest, ground, names, (key, "date"), **kw)
+    return (ST.read_table(spark, predictions_path).drop("month"), phi.withColumn("method", F.lit(kind)))

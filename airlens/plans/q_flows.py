@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from airlens import constants as C
+from airlens.operators import features as FE
+from airlens.operators import rollup as RU
 from airlens.plans import flows as FL
 from airlens.plans import sqlparts as Q
 from airlens.plans.catalog import DOUBLE_FEATURES, FEATURE_OUT, register, round_doubles
@@ -40,19 +42,52 @@ def c02_backfill(spark, sf_dir):
     return round_doubles(out.select(*FEATURE_OUT))
 
 
-@register("c03_daily_increment")
+def _c03_sql():
+    """History and the fresh days are cleaned apart, as the two runs do."""
+    fc_cols = [f"fc_{n}_d{h}" for n, _ in Q.LEADS for h in (1, 2, 3)]
+    parts = dict(v1=Q.V1, v2=Q.V2, pd='SELECT CAST(max("timestamp") AS DATE) - 6 AS as_of FROM v2')
+    day = 'CAST("timestamp" AS DATE)'
+    for run, rows in (("a", f"{day} < as_of - 3"), ("b", f"{day} BETWEEN as_of - 3 AND as_of - 1")):
+        p, g = Q.gap_fill(f"r{run}", Q.MEASURES)
+        parts |= {f"s{run}": f"SELECT v2.* FROM v2, pd WHERE {rows}", f"r{run}": Q.range_null(f"s{run}", Q.MEASURES),
+                  f"r{run}_p": p, f"g{run}": g}
+    raw = " UNION ALL ".join(f"SELECT * FROM g{run} WHERE {Q.not_null(C.REQUIRED_COLUMNS)}" for run in "ab")
+    leads = ", ".join(f"max(CASE WHEN date = as_of - 1 + {h} THEN {s} END) AS fc_{n}_d{h}" for n, s in Q.LEADS for h in (1, 2, 3))
+    last = ", row_number() OVER (PARTITION BY city ORDER BY date DESC) = 1 AS is_last"
+    over = ", ".join(f"CASE WHEN is_last THEN coalesce(fc.{c}, l0.{c}) ELSE l0.{c} END AS {c}" for c in fc_cols)
+    live = [c for c in FEATURE_OUT if c not in C.TARGETS and c not in ("city", "date")]
+    merged = ", ".join(f"CASE WHEN l.city IS NOT NULL THEN l.{c} ELSE h.{c} END AS {c}" for c in live)
+    parts |= dict(
+        ha=f"SELECT * FROM ga WHERE {Q.not_null(C.REQUIRED_COLUMNS)}", da=Q.daily("ha"), fa=Q.features("da"),
+        h=f"SELECT * FROM fa WHERE {Q.not_null(sorted(set(C.FEATURE_COLS + C.TARGETS)))}",
+        raw=raw, back=f"SELECT raw.* FROM raw, pd WHERE {day} >= as_of - 14", d=Q.daily("back"),
+        fcd=Q.daily("v2"), fc=f"SELECT city, {leads} FROM fcd, pd GROUP BY city",
+        l0="SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in Q.feature_exprs(targets=False)) + last + " FROM d",
+        l1=f"SELECT l0.* REPLACE ({over}) FROM l0 LEFT JOIN fc ON l0.city = fc.city",
+        l2="SELECT *, pressure_mean - fc_pressure_d1 AS fc_pressure_drop_d1 FROM l1",
+        l=f"SELECT * FROM l2 WHERE {Q.not_null(C.FEATURE_COLS)}",
+        m=f"SELECT coalesce(l.city, h.city) AS city, coalesce(l.date, h.date) AS date, {merged}, "
+          + ", ".join(f"h.{t}" for t in C.TARGETS) + " FROM h FULL OUTER JOIN l ON h.city = l.city AND h.date = l.date",
+        t=Q.features("d"), k=f"SELECT city, date, {', '.join(C.TARGETS)} FROM t WHERE {Q.not_null(C.TARGETS)}",
+        out="SELECT m.* REPLACE (" + ", ".join(f"CASE WHEN k.city IS NOT NULL THEN k.{t} ELSE m.{t} END AS {t}" for t in C.TARGETS)
+            + ") FROM m LEFT JOIN k ON m.city = k.city AND m.date = k.date")
+    return Q.ctes(**parts) + f"SELECT {Q.select_rounded(FEATURE_OUT, set(DOUBLE_FEATURES))} FROM out"
+
+
+@register("c03_daily_increment", _c03_sql())
 def c03_daily_increment(spark, sf_dir):
-    """Backfill up to 2024-01-21, then a daily run as of 2024-01-24 with a
-    forecast for the last row; returns the feature store."""
+    """Backfill up to the tenth day before the last, then a daily run three
+    days later with the weather of the days after it as the forecast; the
+    whole feature store, live row included."""
     aq, wx = _feeds(spark, sf_dir)
     base = ST.scratch_path(spark, "daily")
-    cut = F.lit("2024-01-21").cast("timestamp_ntz")
-    FL.backfill(spark, aq.where(F.col("timestamp") < cut), wx.where(F.col("timestamp") < cut),
-                f"{base}/raw", f"{base}/features", "2024-01-21 00:00:00")
+    as_of = aq.agg(F.date_sub(F.max(F.to_date("timestamp")), 6)).first()[0]
+    before = F.to_date("timestamp") < F.date_sub(F.lit(as_of), 3)
+    FL.backfill(spark, aq.where(before), wx.where(before), f"{base}/raw", f"{base}/features", str(as_of))
     fresh = aq.join(wx, ["city", "timestamp"])
-    fc = fresh.groupBy("city").agg(*[F.avg("temperature").alias(f"fc_temp_d{h}") for h in (1, 2, 3)])
-    out = FL.daily_increment(spark, fresh, f"{base}/raw", f"{base}/features", "2024-01-24", forecast=fc)
-    return round_doubles(out.select("city", "date", "aqi_mean", "fc_temp_d1", *C.TARGETS))
+    ahead = FE.forecast_features(RU.forecast_daily(fresh), F.date_sub(F.lit(as_of), 1))
+    out = FL.daily_increment(spark, fresh, f"{base}/raw", f"{base}/features", str(as_of), forecast=ahead)
+    return round_doubles(out.select(*FEATURE_OUT))
 
 
 @register("c04_current_reading_run", Q.ctes(v1=Q.V1)

@@ -7,24 +7,30 @@ in tests (attributions sum to the prediction, chain guard, folds).
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 
 from airlens import constants as C
 from airlens.modeling import models as MD
 from airlens.modeling import registry as RG
+from airlens.plans import flows as FL
 from airlens.plans.catalog import register, round_cols
 from airlens.plans.q_profile import COMPLETE, FULL, features_complete, features_full
+from airlens.session import materialise
 from airlens.sinks import store as ST
 from airlens.sources import feeds as SRC
 
-ML_FEATURES = ["aqi_mean", "aqi_max", "aqi_min", "aqi_std", "aqi_last6h", "aqi_lag1d", "aqi_lag7d",
-               "aqi_roll_mean_3", "aqi_roll_mean_7", "temp_mean", "humidity_mean", "fc_temp_d1"]
-# A small grid for the registered queries; the full grid is constants.MODEL_GRIDS.
+# Sizes of the registered runs: one point per kind of model, or all 17 points
+# of constants.MODEL_GRIDS with a twentieth of their trees.  The flows default
+# to the full grids.
 SMALL_GRID = {"ridge": [{"alpha": C.RIDGE_ALPHA}],
               "gradient_boosting": [{"maxIter": 5, "stepSize": 0.1, "maxDepth": 3}],
               "random_forest": [{"numTrees": 10, "maxDepth": 4, "minInstancesPerNode": 8,
                                  "featureSubsetStrategy": "0.7"}]}
+EVERY_POINT = MD.scaled(C.MODEL_GRIDS, 0.05)
+RIDGE = {"ridge": C.MODEL_GRIDS["ridge"]}
+TRAINED_AT = dt.datetime(2024, 1, 1)
 
 
 @register("m07_ridge_one_feature", COMPLETE
@@ -43,77 +49,113 @@ def m07_ridge_one_feature(spark, sf_dir):
     return round_cols(out, ["coef", "intercept"])
 
 
-_TRAINED: dict = {}
-
-
-def _chain(spark, sf_dir):
-    """Train the three-horizon chain once per session and input folder;
-    scoring, registration and the competition report reuse it."""
-    k = (spark.sparkContext.applicationId, sf_dir)
-    if k not in _TRAINED:
-        f = features_complete(spark, sf_dir)
-        chain, with_preds = MD.train_chain(f, ML_FEATURES, SMALL_GRID)
-        _TRAINED[k] = (f, chain, with_preds)
-    return _TRAINED[k]
-
-
 @register("m08_m09_c05_model_competition")
 def m08_model_competition(spark, sf_dir):
-    """Three horizons, each a CV competition; day 2 uses pred_day1, day 3
-    uses pred_day1 and pred_day2."""
-    _, chain, _ = _chain(spark, sf_dir)
+    """Three horizons, each a CV competition over all features; day 2 uses
+    pred_day1, day 3 uses pred_day1 and pred_day2."""
+    chain, _ = MD.train_chain(features_complete(spark, sf_dir), grids=SMALL_GRID)
     return MD.candidates_frame(spark, chain)
 
 
+_POINTS = ", ".join(f"({k}, '{family}', '{json.dumps(p)}')" for k, (family, p) in enumerate(
+    (family, p) for family, points in EVERY_POINT.items() for p in points))
+_COUNTS = (",\np AS (SELECT city, floor(count(*) * 0.8) AS k, count(*) AS n FROM f GROUP BY city),\n"
+           "c AS (SELECT CAST(sum(k) AS BIGINT) AS train_rows, CAST(sum(n - k) AS BIGINT) AS test_rows, "
+           + ", ".join(f"CAST(sum(k - {4 - i} * floor(k / 4)) AS BIGINT) AS fold{i}_train, CAST(sum(floor(k / 4)) AS BIGINT) AS fold{i}_test" for i in (1, 2, 3))
+           + " FROM p)\n")
+
+
+@register("c05_training_run", COMPLETE.rstrip("\n") + _COUNTS
+          + "SELECT t.target, CAST(v.point AS INTEGER) AS point, v.model, v.params, CAST(52 + t.extra AS INTEGER) AS feature_count, "
+            "c.*, true AS scored, true AS winner_is_lowest, true AS winner_is_stored, 1 AS version_num "
+            f"FROM (VALUES ('aqi_day1', 0), ('aqi_day2', 1), ('aqi_day3', 2)) t(target, extra), (VALUES {_POINTS}) v(point, model, params), c")
+def c05_training_run(spark, sf_dir):
+    """All 17 grid points over all features for three horizons; pipelines and
+    registry are written, and the registry is read back.  Exact are the
+    candidates, row counts, folds and that the lowest CV error won."""
+    base = ST.scratch_path(spark, "training")
+    chain = FL.training_run(spark, features_complete(spark, sf_dir), f"{base}/registry", f"{base}/models", TRAINED_AT,
+                            grids=EVERY_POINT)
+    stored = ST.read_table(spark, f"{base}/registry").select(
+        "target", "version_num", "feature_count", F.col("model_name").alias("stored"), F.col("params").alias("stored_params"),
+        F.size("features").alias("n_stored"))
+    sizes = spark.createDataFrame(
+        [(t.target, t.rows["train"], t.rows["test"], *(t.rows["folds"][i, r] for i in (1, 2, 3) for r in ("train", "test")))
+         for t in chain], "target string, train_rows long, test_rows long, " + ", ".join(
+             f"fold{i}_{r} long" for i in (1, 2, 3) for r in ("train", "test")))
+    cands = MD.candidates_frame(spark, chain)
+    best = cands.groupBy("target").agg(F.min("cv_rmse").alias("lowest"),
+                                       F.max(F.when(F.col("is_winner"), F.struct("cv_rmse", "model", "params"))).alias("w"))
+    return (cands.join(best, "target").join(stored, "target").join(sizes, "target")
+            .select("target", "point", "model", "params", "feature_count", *[c for c in sizes.columns if c != "target"],
+                    (F.col("cv_rmse").isNotNull() & F.col("test_rmse").isNotNull() & F.col("test_mae").isNotNull()
+                     & F.col("test_r2").isNotNull()).alias("scored"), (F.col("w.cv_rmse") == F.col("lowest")).alias("winner_is_lowest"),
+                    ((F.col("stored") == F.col("w.model")) & (F.col("stored_params") == F.col("w.params"))
+                     & (F.col("n_stored") == F.col("feature_count"))).alias("winner_is_stored"), "version_num"))
+
+
+def _trained(spark, sf_dir):
+    """Features, the folder of a ridge training run, and its pipelines."""
+    f, base = features_complete(spark, sf_dir), ST.scratch_path(spark, "training")
+    chain = FL.training_run(spark, f, f"{base}/registry", f"{base}/models", TRAINED_AT, grids=RIDGE)
+    return f, base, {t.target: t.model for t in chain}
+
+
+@register("c06_prediction_run", COMPLETE
+          + "SELECT city, max(date) + 1 AS prediction_date, true AS same_as_trained, 52 AS n_features, true AS adds_up FROM f GROUP BY city")
+def c06_prediction_run(spark, sf_dir):
+    """Train, register, then predict twice from the stored pipelines alone;
+    the stored documents are read back and compared by a join with the scores
+    of the pipelines in memory, and attributions add up to the prediction."""
+    f, base, chain = _trained(spark, sf_dir)
+    for _ in range(2):
+        docs, phi = FL.prediction_run(spark, f, f"{base}/registry", f"{base}/predictions", "2024-01-02 00:00:00")
+    latest = SRC.latest_row(f, "city", "date")
+    own = MD.score_chain(latest, chain).select("city", "date", *[F.col(f"day{h}").alias(f"own{h}") for h in (1, 2, 3)])
+    sums = (phi.groupBy("city").agg(F.sum("shap_value").alias("s"), F.max("base_value").alias("b"), F.count(F.lit(1)).alias("n"))
+            .join(MD.predict(chain["aqi_day1"], latest).select("city", "prediction"), "city"))
+    same = (F.col("day1") == F.col("own1")) & (F.col("day2") == F.col("own2")) & (F.col("day3") == F.col("own3"))
+    return (docs.join(own, (docs["city"] == own["city"]) & (docs["prediction_date"] == F.date_add(own["date"], 1))).drop(own["city"])
+            .join(sums, "city").select("city", "prediction_date", same.alias("same_as_trained"), F.col("n").cast("int").alias("n_features"),
+                                       (F.abs(F.col("s") + F.col("b") - F.col("prediction")) < 1e-6).alias("adds_up")))
+
+
 @register("m10_c06_score_latest")
 def m10_score_latest(spark, sf_dir):
-    f, chain, _ = _chain(spark, sf_dir)
-    latest = SRC.latest_row(f, "city", "date")
-    s = MD.score_chain(latest, chain)
+    """Scores of each city's latest row from the stored pipelines."""
+    f, base, _ = _trained(spark, sf_dir)
+    s = MD.score_chain(SRC.latest_row(f, "city", "date"), RG.load_latest(spark, f"{base}/registry"))
     return s.select("city", "date", *[F.col(f"day{h}.{x}").alias(f"day{h}_{x}") for h in (1, 2, 3) for x in ("aqi", "label")])
 
 
 @register("m11_k08_save_load_register")
 def m11_save_load_register(spark, sf_dir):
-    """Each winner is saved with Spark ML's writer, loaded back and must
-    score the latest rows identically; the registry rows are returned."""
-    f, chain, _ = _chain(spark, sf_dir)
-    base = ST.scratch_path(spark, "models")
-    latest = SRC.latest_row(f, "city", "date")
-    rows = []
-    for tr in chain:
-        path = MD.save(tr, f"{base}/{tr.target}")
-        loaded = MD.load(path)
-        x = MD.impute(latest, tr.features, tr.means)
-        a = sorted(r.prediction for r in tr.model.transform(x).select("prediction").collect())
-        b = sorted(r.prediction for r in loaded.transform(x).select("prediction").collect())
-        if a != b:
-            raise AssertionError(f"reloaded model for {tr.target} scores differently")
-        s = tr.scores
-        rows.append((tr.target, s["model_name"], s["cv_rmse"], s["rmse"], s["mae"], s["r2"], s["feature_count"],
-                     s["data_rows_used"], s["training_duration_seconds"], dt.datetime(2024, 1, 1)))
-    meta = spark.createDataFrame(rows, "target string, model_name string, cv_rmse double, test_rmse double, "
-                                       "test_mae double, test_r2 double, feature_count int, data_rows_used long, "
-                                       "training_duration_seconds double, trained_at timestamp_ntz")
-    return RG.assign_versions(None, meta, base_path=base)
+    """Three trainings are registered one after the other: versions count on,
+    the oldest is retired and its pipeline deleted, and the newest is loaded."""
+    f, base, chain = _trained(spark, sf_dir)
+    meta = materialise(ST.read_table(spark, f"{base}/registry").drop("version_num", "version", "model_path", "confidence", "status"), "meta")
+    for day in (1, 2):
+        later = meta.withColumn("trained_at", F.col("trained_at") + F.make_dt_interval(F.lit(day)))
+        RG.register(spark, f"{base}/registry", f"{base}/models", materialise(later, "meta"), chain)
+    if len(RG.load_latest(spark, f"{base}/registry")) != 3:
+        raise AssertionError("a latest active pipeline is missing")
+    return ST.read_table(spark, f"{base}/registry").drop("features")
 
 
 @register("m13_m14_m15_attribution")
 def m13_attribution(spark, sf_dir):
-    """Attributions of the day-1 winner (linear: exact; otherwise sampled
-    permutations) and of the boosted-tree candidate (permutations), for the
-    latest row of each city, with the prediction they must add up to."""
+    """Attributions of a ridge (exact) and of a boosted-tree model (sampled
+    permutations) for the latest row of each city, against the last 30 days."""
     f = features_complete(spark, sf_dir)
-    tr = MD.train_best_model(f, "aqi_day1", ML_FEATURES, SMALL_GRID)
-    x = MD.impute(f, tr.features, tr.means)
-    latest = SRC.latest_row(x, "city", "date")
-    phi, kind = MD.explain(tr.model, latest, x, tr.features)
-    gbt = MD.fit(x.where(F.col("aqi_day1").isNotNull()), tr.features, "aqi_day1", "gradient_boosting",
-                 SMALL_GRID["gradient_boosting"][0])
-    phi2 = MD.permutation_attributions(gbt, latest, x, tr.features, n_perm=4, max_background=10)
-    return (phi.select("city", "date", "feature", "shap_value", "base_value", F.lit(kind).alias("method"))
-            .unionByName(phi2.select("city", "date", "feature", "shap_value", "base_value",
-                                     F.lit("permutation_gbt").alias("method"))))
+    latest = materialise(SRC.latest_row(f, "city", "date"), "latest")
+    ground = materialise(MD.recent_background(f, latest.agg(F.max("date")).first()[0]), "background")
+    feats = MD.feature_columns(f, "aqi_day1")[0]
+    out = []
+    for family in ("ridge", "gradient_boosting"):
+        model = MD.fit(f, feats, "aqi_day1", family, SMALL_GRID[family][0])
+        phi, kind = MD.explain(model, latest, ground, feats)
+        out.append(phi.select("city", "date", "feature", "shap_value", "base_value", F.lit(kind).alias("method")))
+    return out[0].unionByName(out[1])
 
 
 IMPUTE_COLS = ["aqi_lag7d", "aqi_roll_mean_7", "aqi_pct_change", "fc_temp_d3", "aqi_day1"]

@@ -142,9 +142,9 @@ _LAT = ("SELECT city, date, aqi_mean FROM (SELECT *, row_number() OVER (PARTITIO
 
 
 @register("j08_s15_current_or_daily", Q.ctes(v1=Q.V1, v3=Q.V3, lat=_LAT)
-          + "SELECT l.city, l.date AS latest_date, coalesce(c.aqi, l.aqi_mean, 0.0) AS current_aqi, "
+          + "SELECT l.city, l.date AS latest_date, coalesce(c.at, CAST(l.date AS TIMESTAMP)) AS current_at, coalesce(c.aqi, l.aqi_mean, 0.0) AS current_aqi, "
             "CASE WHEN c.aqi IS NOT NULL THEN 'current' WHEN l.aqi_mean IS NOT NULL THEN 'daily' ELSE 'none' END AS source "
-            "FROM lat l LEFT JOIN (SELECT city, arg_max(aqi, (\"timestamp\", aqi)) AS aqi FROM v1 WHERE aqi IS NOT NULL GROUP BY city) c "
+            "FROM lat l LEFT JOIN (SELECT city, arg_max(aqi, (\"timestamp\", aqi)) AS aqi, max(\"timestamp\") AS at FROM v1 WHERE aqi IS NOT NULL GROUP BY city) c "
             "ON l.city = c.city")
 def j08_current_or_daily(spark, sf_dir):
     v1 = V.event_readings(spark, sf_dir)

@@ -6,12 +6,15 @@ parameter so reads are reproducible and prune on date-partitioned tables.
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airlens import constants as C
 from airlens.operators.clean import _as_list
+from airlens.session import materialise
 
 D = T.DoubleType()
 AQ_SCHEMA = T.StructType([T.StructField("city", T.StringType()),
@@ -25,9 +28,9 @@ READING_COLUMNS = ["pm10", "pm2_5", "co", "no2", "so2", "o3", "aqi", "temperatur
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
-    r = (spark.read.schema(schema).option("ignoreMissingFiles", "true")
-         .option("ignoreCorruptFiles", "true"))
-    return r.json(path) if fmt == "json" else r.format(fmt).load(path)
+    """Landed files; a missing or unreadable one is an error, never a silent gap."""
+    r = spark.read.schema(schema)
+    return r.option("mode", "FAILFAST").json(path) if fmt == "json" else r.format(fmt).load(path)
 
 
 # S01 -------------------------------------------------------------------------
@@ -65,7 +68,7 @@ def rename_provider_columns(df: DataFrame, mapping: dict | None = None) -> DataF
 
 def add_constants(df: DataFrame, constants: dict) -> DataFrame:
     """Constant columns (city, source, ingested_at ...)."""
-    return df.withColumns({k: F.lit(v) for k, v in constants.items()})
+    return df.withColumns({k: F.lit(v) for k, v in constants.items()})  # lit() leaves a Column as it is
 
 
 # S05 -------------------------------------------------------------------------
@@ -83,16 +86,40 @@ def in_window(df: DataFrame, as_of, ts: str = "timestamp", mode: str = "daily",
 
 
 # S06 -------------------------------------------------------------------------
-def chunk_plan(spark: SparkSession, start, end, chunk_days: int = 30) -> DataFrame:
-    """Range-plan table: one row per ``chunk_days`` chunk of [start, end]."""
+def chunk_plan(frame: DataFrame, start, end, chunk_days: int = 30) -> DataFrame:
+    """The rows of ``frame`` once per ``chunk_days`` chunk of [start, end]:
+    chunk_id, chunk_start, chunk_end."""
     s = F.lit(start).cast("date") if isinstance(start, str) else start
     e = F.lit(end).cast("date") if isinstance(end, str) else end
-    base = spark.range(1).select(F.explode(F.sequence(s, e, F.expr(f"INTERVAL {chunk_days} DAYS"))).alias("chunk_start"))
+    base = frame.select("*", F.explode(F.sequence(s, e, F.expr(f"INTERVAL {chunk_days} DAYS"))).alias("chunk_start"))
     return base.select(
-        ((F.datediff("chunk_start", s) / chunk_days).cast("int")).alias("chunk_id"),
+        *frame.columns, ((F.datediff("chunk_start", s) / chunk_days).cast("int")).alias("chunk_id"),
         "chunk_start", F.least(F.date_add("chunk_start", chunk_days - 1), e).alias("chunk_end"))
 
 
+def load_chunks(spark: SparkSession, start: str, end: str, load, chunk_days: int = 30) -> tuple[DataFrame, DataFrame]:
+    """Load [start, end] chunk by chunk with ``load(chunk_start, chunk_end)``,
+    which returns a frame or raises.
+
+    Returns the rows that loaded and an account with one row per chunk: n_rows,
+    or the error of a chunk that failed.  When no chunk loads it is an error.
+    A chunk is written to the shared folder as it loads, so a file that breaks
+    later breaks its own chunk.  The number of chunks is that of the plan."""
+    plan = chunk_plan(spark.range(1), start, end, chunk_days).orderBy("chunk_id").collect()
+    got, account = [], []
+    for c in plan:
+        try:
+            rows = materialise(load(c["chunk_start"], c["chunk_end"]), "chunk")
+            account.append((c["chunk_id"], c["chunk_start"], c["chunk_end"], rows.count(), None))
+            got.append(rows)
+        except Exception as e:  # noqa: BLE001 - every failure goes into the account
+            account.append((c["chunk_id"], c["chunk_start"], c["chunk_end"], None, str(e).splitlines()[0][:500]))
+    if not got:
+        raise RuntimeError(f"none of the {len(plan)} chunks loaded: {account[0][-1]}")
+    return (reduce(DataFrame.unionByName, got),
+            spark.createDataFrame(account, "chunk_id int, chunk_start date, chunk_end date, n_rows long, error string"))
+
+
 def chunk_coverage(readings: DataFrame, start, end, ts: str = "timestamp", key="city",
                    chunk_days: int = 30) -> DataFrame:
     """Rows per (key, chunk) for every planned chunk; missing chunks give 0.
@@ -104,12 +131,8 @@ def chunk_coverage(readings: DataFrame, start, end, ts: str = "timestamp", key="
     counts = (readings.where(d.between(s, e))
               .withColumn("chunk_id", (F.datediff(d, s) / chunk_days).cast("int"))
               .groupBy(*keys, "chunk_id").agg(F.count(F.lit(1)).alias("n_rows")))
-    # Every key gets the planned chunks by exploding the date sequence in
-    # place (the same rows chunk_plan() gives), so no join fans out.
-    grid = (readings.select(*keys).distinct()
-            .select(*keys, F.explode(F.sequence(s, e, F.expr(f"INTERVAL {chunk_days} DAYS"))).alias("chunk_start"))
-            .select(*keys, ((F.datediff("chunk_start", s) / chunk_days).cast("int")).alias("chunk_id"),
-                    "chunk_start", F.least(F.date_add("chunk_start", chunk_days - 1), e).alias("chunk_end")))
+    # Every key gets the planned chunks in place, so no join fans out.
+    grid = chunk_plan(readings.select(*keys).distinct(), s, e, chunk_days)
     return (grid.join(counts, keys + ["chunk_id"], "left")
             .withColumn("n_rows", F.coalesce("n_rows", F.lit(0)).cast("long"))
             .withColumn("missing", F.col("n_rows") == 0))
@@ -123,8 +146,7 @@ def raw_ingest(aq: DataFrame, weather: DataFrame, ingested_at, source: str = "la
     AQE turns the join into a broadcast when one side is small."""
     keys = _as_list(key)
     j = rename_provider_columns(aq).join(rename_provider_columns(weather), keys + [ts], "inner")
-    return j.withColumns({"ingested_at": F.lit(ingested_at).cast("timestamp_ntz"),
-                          "source": F.lit(source)})
+    return add_constants(j, {"ingested_at": F.lit(ingested_at).cast("timestamp_ntz"), "source": source})
 
 
 # S08 / X03 -------------------------------------------------------------------
@@ -144,10 +166,14 @@ def recent(df: DataFrame, as_of, days: int, ts: str = "timestamp") -> DataFrame:
 
 
 # S10 -------------------------------------------------------------------------
-def training_rows(features: DataFrame) -> DataFrame:
+def training_rows(features: DataFrame, required: bool = False) -> DataFrame:
+    """Rows with all targets; with ``required``, none at all is an error."""
     present = [t for t in C.TARGETS if t in features.columns]
-    return features.where(F.lit(True) if not present else
+    rows = features.where(F.lit(True) if not present else
                           F.expr(" AND ".join(f"{t} IS NOT NULL" for t in present)))
+    if required and rows.isEmpty():
+        raise ValueError("the training set is empty")
+    return rows
 
 
 # S11 / S17 -------------------------------------------------------------------
@@ -190,13 +216,16 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
 
 # J08 -------------------------------------------------------------------------
 def current_or_daily(latest_daily: DataFrame, current: DataFrame, key="city") -> DataFrame:
-    """Current reading when one exists, else the latest daily mean, else 0.
-    ``latest_daily``: (key, date, aqi_mean) one row per key; ``current``:
-    (key, aqi, timestamp) one row per key."""
+    """Current reading with its own time when one exists, else the latest
+    daily mean with its date, else 0.  ``latest_daily``: (key, date, aqi_mean)
+    one row per key; ``current``: (key, aqi, timestamp) one row per key, looked
+    up by key (S15)."""
     keys = _as_list(key)
-    c = current.select(*keys, F.col("aqi").alias("_cur"))
+    c = current_for(latest_daily, current, key).select(*keys, F.col("aqi").alias("_cur"), F.col("timestamp").alias("_at"))
     j = latest_daily.join(c, keys, "left")
+    live = F.col("_cur").isNotNull()
     return j.select(*keys, F.col("date").alias("latest_date"),
+                    F.when(live, F.coalesce("_at", F.col("date").cast("timestamp_ntz")))
+                     .otherwise(F.col("date").cast("timestamp_ntz")).alias("current_at"),
                     F.coalesce("_cur", "aqi_mean", F.lit(0.0)).alias("current_aqi"),
-                    F.when(F.col("_cur").isNotNull(), "current").when(F.col("aqi_mean").isNotNull(), "daily")
-                     .otherwise("none").alias("source"))
+                    F.when(live, "current").when(F.col("aqi_mean").isNotNull(), "daily").otherwise("none").alias("source"))

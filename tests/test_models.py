@@ -42,7 +42,7 @@ def test_attributions_add_up(spark, frame, family, params):
     rows = frame.where(F.col("date") == dt.date(2024, 4, 1))
     phi = MD.permutation_attributions(m, rows, frame, ["x1", "x2"], n_perm=4, max_background=8)
     got = phi.groupBy("city", "date").agg((F.first("base_value") + F.sum("shap_value")).alias("s"))
-    pred = m.transform(rows).select("city", "date", "prediction")
+    pred = MD.predict(m, rows).select("city", "date", "prediction")
     for r in got.join(pred, ["city", "date"]).collect():
         assert r.s == pytest.approx(r.prediction, abs=1e-9)
 
@@ -53,6 +53,6 @@ def test_linear_attribution_exact(spark, frame):
     phi, kind = MD.explain(m, rows, frame, ["x1", "x2"])
     assert kind == "linear"
     s = phi.groupBy("city", "date").agg((F.first("base_value") + F.sum("shap_value")).alias("s"))
-    pred = m.transform(rows).select("city", "date", "prediction")
+    pred = MD.predict(m, rows).select("city", "date", "prediction")
     for r in s.join(pred, ["city", "date"]).collect():
         assert r.s == pytest.approx(r.prediction, abs=1e-6)
