@@ -99,6 +99,14 @@ ERROR_TIER_WARN = 15.0            # |error| > 15 -> warn
 FORECAST_BAND = {2: 0.15, 3: 0.25}  # +-15 % on day 2, +-25 % on day 3
 WATERFALL_OTHER_MIN = 0.01        # remainder row only when |sum| > 0.01
 
+# --- FIXED VALUES: output texts of explanations ------------------------------
+WATERFALL_OTHER_NAME = "other features"
+PHRASE_UP = "pushed the forecast up by"
+PHRASE_DOWN = "reduced it by"
+PHRASE_FORMAT = "%s %s %.1f AQI points"
+INSIGHT_UNAVAILABLE = "SHAP explanation unavailable for this model."
+INSIGHT_NO_FEATURE = "No dominant features identified."
+
 # --- FIXED VALUES: model selection ------------------------------------------
 MIN_TRAIN_ROWS = 50
 TEST_RATIO = 0.2

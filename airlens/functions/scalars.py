@@ -159,11 +159,12 @@ def fmt_day_long(d) -> Column:
 
 # F14 -------------------------------------------------------------------------
 def direction_phrase(v) -> Column:
-    return F.when(col(v) > 0, F.lit("pushed the forecast up by")).otherwise(F.lit("reduced it by"))
+    return F.when(col(v) > 0, F.lit(C.PHRASE_UP)).otherwise(F.lit(C.PHRASE_DOWN))
 
 
 def contribution_phrase(feature, v) -> Column:
-    return F.format_string("%s %s %.1f AQI points", col(feature), direction_phrase(v), F.abs(col(v)))
+    """Magnitudes are rounded half to even before they are printed."""
+    return F.format_string(C.PHRASE_FORMAT, col(feature), direction_phrase(v), round_half_even(F.abs(col(v)), 1))
 
 
 # F15 -------------------------------------------------------------------------

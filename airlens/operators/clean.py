@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airlens import constants as C
+from airlens.session import materialise
 
 
 def _as_list(x) -> list:
@@ -105,7 +106,7 @@ def drop_null_features(df: DataFrame, features: Sequence[str] | None = None) ->
 
 # W12-W14 ---------------------------------------------------------------------
 def fill_gaps(df: DataFrame, key, order, cols: Sequence[str] | None = None,
-              limit: int = 3, bucket: str | None = "month") -> DataFrame:
+              limit: int = 3, bucket: str = "month") -> DataFrame:
     """Linear interpolation by row position (at most ``limit`` steps into a
     gap, later steps repeat the last interpolated value), then forward fill,
     then backward fill -- per key, ordered by ``order``.
@@ -118,16 +119,18 @@ def fill_gaps(df: DataFrame, key, order, cols: Sequence[str] | None = None,
         pv                                    if nv is null   (trailing gap)
         pv + (nv - pv) * least(rn - pr, limit) / (nr - pr)
 
-    ``bucket`` ('month', 'day', 'year', or None for whole key) bounds the
-    rows one window task holds.  ``order`` must be unique within a key.
+    ``bucket`` ('month', 'day' or 'year') bounds the rows one window task
+    holds.  ``order`` must be unique within a key.  The rows with their
+    nearest neighbours are written once to the shared folder: the bucket
+    summary and the final join both read them there, so everything above
+    (de-duplication, calendar, windows) runs once.
     """
     keys = _as_list(key)
     cols = numeric_columns(df, exclude=keys + [order]) if cols is None else list(cols)
     if not cols:
         return df
     order_c = F.col(order)
-    bkey = F.date_trunc(bucket, order_c) if bucket else F.lit(0)
-    base = df.withColumn("_bk", bkey)
+    base = df.withColumn("_bk", F.date_trunc(bucket, order_c))
     part = keys + ["_bk"]
     w = Window.partitionBy(*part).orderBy(order_c)
     back = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -145,7 +148,7 @@ def fill_gaps(df: DataFrame, key, order, cols: Sequence[str] | None = None,
                 F.last(F.when(nn, F.col("_rb")), True).over(back).alias(f"_pr_{c}"),
                 F.last(F.col(c), True).over(fwd).alias(f"_nv_{c}"),
                 F.last(F.when(nn, F.col("_rb")), True).over(fwd).alias(f"_nr_{c}")]
-    local = local.select(*sel)
+    local = materialise(local.select(*sel).sortWithinPartitions(*part, order), "gaps")
 
     # Bucket summary: size, last / first non-null value and its position.
     aggs = [F.count(F.lit(1)).alias("_n")]
@@ -187,14 +190,14 @@ def fill_gaps(df: DataFrame, key, order, cols: Sequence[str] | None = None,
 
 # P20 / P10 -------------------------------------------------------------------
 def fill_nulls(df: DataFrame, key="city", order="timestamp", limit: int = 3,
-               bucket: str | None = "month") -> DataFrame:
+               bucket: str = "month") -> DataFrame:
     """P20: interpolate/ffill/bfill every numeric column of the frame."""
     return fill_gaps(df, key, order, None, limit=limit, bucket=bucket)
 
 
 def clean_readings(df: DataFrame, key="city", order="timestamp", seq=None,
                    ranges: dict | None = None, limit: int = 3,
-                   bucket: str | None = "month") -> DataFrame:
+                   bucket: str = "month") -> DataFrame:
     """P10: de-duplicate (keep first by ``seq``) -> null out-of-range ->
     fill gaps -> drop rows still missing a required column."""
     keys = _as_list(key)

@@ -14,9 +14,10 @@ sketches with bounded memory).
 from __future__ import annotations
 
 import math
+from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airlens.operators.clean import _as_list, numeric_columns
@@ -40,23 +41,35 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None, only_positive:
 
 
 # A13 -------------------------------------------------------------------------
-def _long(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """(keep..., column, x) with one row per input row and profiled column."""
-    items = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]
-    return df.select(*keep, F.inline(F.array(*items)))
+def _batches(cols: Sequence[str], size: int) -> list[list[str]]:
+    """Columns in batches, so that one aggregate's generated code stays small."""
+    return [list(cols[k:k + size]) for k in range(0, len(cols), size)]
 
 
-def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
-    """count, mean, std, min, 25 %, 50 %, 75 %, max per numeric column.
-    Long form first, then one ``groupBy(column)``: eight aggregate
-    expressions however many columns, and each column reduces in its own
-    task."""
+def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "exact", batch: int = 8) -> DataFrame:
+    """count, mean, std, min, 25 %, 50 %, 75 %, max per numeric column: one
+    wide aggregate for each batch of columns, which reads those columns
+    alone, then unpivoted.  No row is copied per column."""
     cols = numeric_columns(df) if cols is None else list(cols)
-    x = F.col("x")
-    q = _quantiles(x, (0.25, 0.5, 0.75), method)
-    return _long(df, cols).groupBy("column").agg(
-        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-        q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), F.max(x).alias("max"))
+    parts = []
+    for names in _batches(cols, batch):
+        stats = []
+        for c in names:
+            x = F.col(c).cast("double")
+            q = _quantiles(x, (0.25, 0.5, 0.75), method)
+            stats.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
+                                  F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q[0].alias("q25"),
+                                  q[1].alias("q50"), q[2].alias("q75"), F.max(x).alias("max")))
+        parts.append(df.select(*names).agg(F.array(*stats).alias("_s")).select(F.inline("_s")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def shape(df: DataFrame) -> DataFrame:
+    """(n_rows, n_columns) and the columns' types, one row."""
+    types = F.array(*[F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"))
+                      for f in df.schema.fields])
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.lit(len(df.columns)).alias("n_columns"),
+                                                            types.alias("types"))
 
 
 # A14 / A15 -------------------------------------------------------------------
@@ -69,21 +82,23 @@ def safe_corr(x, y):
 
 
 
-def correlations(df: DataFrame, xs: Sequence[str], ys: Sequence[str] | None = None) -> DataFrame:
+def correlations(df: DataFrame, xs: Sequence[str], ys: Sequence[str] | None = None, batch: int = 8) -> DataFrame:
     """Pearson correlation (pairwise-complete rows, as pandas) for every
-    pair in ``xs`` x ``ys`` (all pairs of ``xs`` when ``ys`` is None): the
-    ``xs`` are unpivoted next to the ``ys`` columns and grouped by feature,
-    so there is one ``corr`` expression per ``y``."""
-    ys = list(xs) if ys is None else list(ys)
-    yn = [f"_y{i}" for i in range(len(ys))]
-    src = df.select(*[F.col(c).cast("double").alias(c) for c in set(xs) | set(ys)],
-                    *[F.col(y).cast("double").alias(n) for y, n in zip(ys, yn)])
-    long = _long(src, xs, keep=yn)
-    wide = long.groupBy(F.col("column").alias("feature")).agg(*[safe_corr(F.col("x"), F.col(n)).alias(n) for n in yn])
-    out = wide.unpivot(["feature"], yn, "_t", "corr")
-    name = F.create_map(*[a for n, y in zip(yn, ys) for a in (F.lit(n), F.lit(y))])
+    pair in ``xs`` x ``ys`` (all pairs of ``xs`` when ``ys`` is None): one wide
+    aggregate for each batch of ``xs``; no row is copied per column."""
+    ys, parts = list(xs) if ys is None else list(ys), []
+    for names in _batches(list(xs), batch):
+        pairs = [F.struct(F.lit(x).alias("feature"), F.lit(y).alias("target"),
+                          safe_corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("corr")) for x in names for y in ys]
+        parts.append(df.select(*dict.fromkeys(names + ys)).agg(F.array(*pairs).alias("_c")).select(F.inline("_c")))
     r = F.col("corr")
-    return out.select("feature", name[F.col("_t")].alias("target"), F.when(~F.isnan(r), r).alias("corr"))
+    return reduce(DataFrame.unionByName, parts).select("feature", "target", F.when(~F.isnan(r), r).alias("corr"))
+
+
+def ranked_correlations(corr: DataFrame) -> DataFrame:
+    """By falling magnitude within each target, nulls last."""
+    w = Window.partitionBy("target").orderBy(F.abs("corr").desc_nulls_last(), "feature")
+    return corr.withColumn("rank", F.row_number().over(w))
 
 
 # A16 -------------------------------------------------------------------------
@@ -136,24 +151,21 @@ def density(df: DataFrame, col: str, points: int = 50) -> DataFrame:
 # A18 / A19 -------------------------------------------------------------------
 def box_stats(df: DataFrame, col: str, by=None, method: str = "exact") -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (most extreme values inside the fences)
-    and outlier count, per group of ``by``.  The per-group quartiles (one
-    row per group) are joined back on the group key."""
+    and outlier count, per group of ``by``.  The quartiles come back to the
+    rows as one scalar without groups, else by a join on the group key."""
     by = _as_list(by)
     x = F.col(col).cast("double")
     src = df.where(x.isNotNull()).select(*by, x.alias("_x"))
-    keys = by or ["_g"]
-    if not by:
-        src = src.withColumn("_g", F.lit(0))
     q = _quantiles(F.col("_x"), (0.25, 0.5, 0.75), method)
-    qs = src.groupBy(*keys).agg(q.alias("_q")).select(
-        *keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
-    lo_f = F.col("q1") - 1.5 * F.col("iqr")
-    hi_f = F.col("q3") + 1.5 * F.col("iqr")
-    j = src.join(qs, keys, "inner")
-    out = j.groupBy(*keys, "q1", "median", "q3", "iqr").agg(
-        F.min(F.when(F.col("_x") >= lo_f, F.col("_x"))).alias("whisker_low"),
-        F.max(F.when(F.col("_x") <= hi_f, F.col("_x"))).alias("whisker_high"),
-        F.count_if((F.col("_x") < lo_f) | (F.col("_x") > hi_f)).alias("n_outliers"),
-        F.count(F.lit(1)).alias("n"))
-    return out.drop("_g") if not by else out
+    if by:
+        j = src.join(src.groupBy(*by).agg(q.alias("_q")), by)
+    else:
+        j = src.select("_x", src.agg(q.alias("_q")).scalar().alias("_q"))
+    q1, q2, q3 = (F.element_at("_q", i) for i in (1, 2, 3))
+    low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+    out = j.groupBy(*by).agg(
+        F.first("_q").alias("_q"), F.min(F.when(F.col("_x") >= low, F.col("_x"))).alias("whisker_low"),
+        F.max(F.when(F.col("_x") <= high, F.col("_x"))).alias("whisker_high"),
+        F.count_if((F.col("_x") < low) | (F.col("_x") > high)).alias("n_outliers"), F.count(F.lit(1)).alias("n"))
+    return (out.where("n > 0").select(*by, q1.alias("q1"), q2.alias("median"), q3.alias("q3"), (q3 - q1).alias("iqr"),
+                                      "whisker_low", "whisker_high", "n_outliers", "n"))

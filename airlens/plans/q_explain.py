@@ -18,8 +18,8 @@ INTERCEPTS = {1: 2.0, 2: 4.0, 3: 6.0}
 FEATS = sorted({f for w in WEIGHTS.values() for f in w})
 
 
-def contributions(spark, sf_dir):
-    return EX.linear_contributions(features_complete(spark, sf_dir), WEIGHTS, INTERCEPTS)
+def explained(spark, sf_dir):
+    return EX.explanations(features_complete(spark, sf_dir, ["city", "date", *FEATS]), WEIGHTS, INTERCEPTS)
 
 
 def _contrib_sql() -> str:
@@ -40,21 +40,21 @@ CONTRIB = COMPLETE.rstrip("\n") + f",\nc AS ({_contrib_sql()}),\n" \
 @register("m12_linear_contributions", CONTRIB + "SELECT city, date, horizon, feature, round(x, 6) AS x, round(shap_value, 6) AS shap_value, "
           "round(base_value, 6) AS base_value FROM c")
 def m12_linear_contributions(spark, sf_dir):
-    return round_cols(contributions(spark, sf_dir), ["x", "shap_value", "base_value"])
+    return round_cols(EX.contributions(explained(spark, sf_dir)), ["x", "shap_value", "base_value"])
 
 
 @register("m16_base_value", CONTRIB + "SELECT horizon, round(avg(bv + s), 6) AS base_value FROM "
           "(SELECT city, date, horizon, any_value(base_value) AS bv, sum(shap_value) AS s FROM c GROUP BY ALL) GROUP BY horizon")
 def m16_base_value(spark, sf_dir):
     """Mean prediction over the background equals the base value (linear)."""
-    preds = EX.predictions_from_contributions(contributions(spark, sf_dir))
+    preds = EX.predictions_from_contributions(explained(spark, sf_dir))
     return round_cols(EX.base_values(preds), ["base_value"])
 
 
 @register("t02_t04_top_contributions", CONTRIB + "SELECT city, date, horizon, feature, round(x, 6) AS x, round(shap_value, 6) AS shap_value, "
           "round(base_value, 6) AS base_value, CAST(rank AS INTEGER) AS rank, round(abs(shap_value), 6) AS abs_shap FROM r WHERE rank <= 3")
 def t02_top_contributions(spark, sf_dir):
-    return round_cols(EX.top_contributions(contributions(spark, sf_dir), 3), ["x", "shap_value", "base_value", "abs_shap"])
+    return round_cols(EX.top_contributions(explained(spark, sf_dir), 3), ["x", "shap_value", "base_value", "abs_shap"])
 
 
 _WF = ("SELECT city, date, horizon, CAST(rank AS INTEGER) AS rank, feature, round(shap_value, 6) AS shap_value, round(base_value, 6) AS base_value, "
@@ -66,7 +66,7 @@ _WF = ("SELECT city, date, horizon, CAST(rank AS INTEGER) AS rank, feature, roun
 
 @register("m17_u03_p17_w16_waterfall", CONTRIB + _WF)
 def m17_waterfall(spark, sf_dir):
-    return round_cols(EX.waterfall(contributions(spark, sf_dir), 4), ["shap_value", "base_value", "running_total"])
+    return round_cols(EX.waterfall(explained(spark, sf_dir), 4), ["shap_value", "base_value", "running_total"])
 
 
 @register("f14_insight", CONTRIB + "SELECT city, date, horizon, 'For day ' || CAST(horizon AS VARCHAR) || ': ' || "
@@ -74,7 +74,7 @@ def m17_waterfall(spark, sf_dir):
           "ELSE 'reduced it by' END, abs(shap_value)), ', and ' ORDER BY rank) || '.' AS insight FROM r WHERE rank <= 3 "
           "GROUP BY city, date, horizon")
 def f14_insight(spark, sf_dir):
-    return EX.insight(contributions(spark, sf_dir), 3)
+    return EX.insight(explained(spark, sf_dir), 3)
 
 
 @register("j06_u04_align_top_features", CONTRIB
@@ -82,4 +82,4 @@ def f14_insight(spark, sf_dir):
               f"round(coalesce(max(CASE WHEN horizon = {h} THEN shap_value END), 0.0), 6) AS day{h}" for h in (1, 2, 3))
           + " FROM c WHERE (city, date, feature) IN (SELECT city, date, feature FROM r WHERE rank <= 2) GROUP BY city, date, feature")
 def j06_align_top_features(spark, sf_dir):
-    return round_cols(EX.align_top_features(contributions(spark, sf_dir), 2), ["day1", "day2", "day3"])
+    return round_cols(EX.align_top_features(explained(spark, sf_dir), 2), ["day1", "day2", "day3"])

@@ -40,7 +40,7 @@ TRAINED_AT = dt.datetime(2024, 1, 1)
 def m07_ridge_one_feature(spark, sf_dir):
     """Standardised ridge (alpha 10) with Spark ML on one feature; equals
     the closed form n*cov/(var*(n+alpha))."""
-    f = features_complete(spark, sf_dir)
+    f = features_complete(spark, sf_dir, ["aqi_mean", "aqi_day1"])
     m = MD.fit(f, ["aqi_mean"], "aqi_day1", "ridge", {"alpha": C.RIDGE_ALPHA})
     lm = m.stages[-1]
     n = f.count()
@@ -170,6 +170,6 @@ def m01_impute(spark, sf_dir):
     """Means fitted on the training rows only (first 80 % of each city),
     then null -> mean -> 0 on every row."""
     from airlens.modeling.selection import time_split
-    f = features_full(spark, sf_dir)
+    f = features_full(spark, sf_dir, ["city", "date", *IMPUTE_COLS])
     means = MD.fit_means(time_split(f).where("is_train"), IMPUTE_COLS)
     return round_cols(MD.impute(f.select("city", "date", *IMPUTE_COLS), IMPUTE_COLS, means), IMPUTE_COLS)

@@ -29,7 +29,7 @@ _POS = ("SELECT city, date, aqi_mean, aqi_lag1d, aqi_roll_mean_3, aqi_roll_mean_
 @register("w18_time_split", _tail(COMPLETE, p=_POS)
           + "SELECT city, date, CAST(rn AS INTEGER) AS rn, n, rn <= floor(n * 0.8) AS is_train FROM p")
 def w18_time_split(spark, sf_dir):
-    return SE.time_split(features_complete(spark, sf_dir)).select("city", "date", "rn", "n", "is_train")
+    return SE.time_split(features_complete(spark, sf_dir, ["city", "date"])).select("city", "date", "rn", "n", "is_train")
 
 
 _FOLDS = " UNION ALL ".join(
@@ -40,7 +40,7 @@ _FOLDS = " UNION ALL ".join(
 @register("w19_expanding_folds", _tail(COMPLETE, p=_POS, fo=_FOLDS)
           + "SELECT city, date, CAST(rn AS INTEGER) AS rn, fold, role FROM fo WHERE role IS NOT NULL")
 def w19_expanding_folds(spark, sf_dir):
-    return SE.expanding_folds(features_complete(spark, sf_dir)).select("city", "date", "rn", "fold", "role")
+    return SE.expanding_folds(features_complete(spark, sf_dir, ["city", "date"])).select("city", "date", "rn", "fold", "role")
 
 
 CANDIDATES = {"persistence": "aqi_mean", "lag1": "aqi_lag1d", "roll_mean_3": "aqi_roll_mean_3",
@@ -197,13 +197,13 @@ def j04_last_row_override(spark, sf_dir):
 # S10-S14 ---------------------------------------------------------------------
 @register("s10_training_rows", FULL + f"SELECT city, date, aqi_mean, {', '.join(C.TARGETS)} FROM f WHERE {Q.not_null(C.TARGETS)}")
 def s10_training_rows(spark, sf_dir):
-    return SRC.training_rows(features_full(spark, sf_dir)).select("city", "date", "aqi_mean", *C.TARGETS)
+    return SRC.training_rows(features_full(spark, sf_dir, ["city", "date", "aqi_mean", *C.TARGETS])).select("city", "date", "aqi_mean", *C.TARGETS)
 
 
 @register("s11_latest_feature_row", FULL + "SELECT city, date, aqi_mean, round(aqi_roll_mean_7, 6) AS aqi_roll_mean_7, aqi_lag1d FROM "
           "(SELECT *, row_number() OVER (PARTITION BY city ORDER BY date DESC) AS r FROM f) WHERE r = 1")
 def s11_latest_feature_row(spark, sf_dir):
-    f = features_full(spark, sf_dir).select("city", "date", "aqi_mean", "aqi_roll_mean_7", "aqi_lag1d")
+    f = features_full(spark, sf_dir, ["city", "date", "aqi_mean", "aqi_roll_mean_7", "aqi_lag1d"])
     return round_cols(SRC.latest_row(f, "city", "date"), ["aqi_roll_mean_7"])
 
 
@@ -223,4 +223,4 @@ def s13_past_predictions(spark, sf_dir):
 
 @register("s14_actuals_projection", COMPLETE + "SELECT city, date, aqi_mean FROM f WHERE aqi_mean IS NOT NULL")
 def s14_actuals_projection(spark, sf_dir):
-    return SRC.actuals(features_complete(spark, sf_dir))
+    return SRC.actuals(features_complete(spark, sf_dir, ["city", "date", "aqi_mean"]))

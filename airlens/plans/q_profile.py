@@ -19,16 +19,18 @@ PROFILED = [c for c in FEATURE_OUT if c not in ("city", "date")]
 CORR_SET = ["aqi_mean", "pm2_5_mean", "temp_mean", "humidity_mean", "wind_mean", "pressure_mean", "aqi_day1"]
 
 
-def features_full(spark, sf_dir):
-    """Daily features before any row is dropped (nulls at series ends).
-    Materialised once: the daily grain is what a feature store holds, and
-    downstream plans read it in several branches."""
-    return cut_lineage(FE.add_daily_features(RU.daily_rollup(V.lineitem_readings(spark, sf_dir))))
+def features_full(spark, sf_dir, cols=None):
+    """Daily features before any row is dropped (nulls at series ends), only
+    ``cols`` where given.  Materialised once: the daily grain is what a
+    feature store holds, and downstream plans read it in several branches."""
+    f = FE.add_daily_features(RU.daily_rollup(V.lineitem_readings(spark, sf_dir)))
+    return cut_lineage(f if cols is None else f.select(*dict.fromkeys(cols)))
 
 
-def features_complete(spark, sf_dir):
+def features_complete(spark, sf_dir, cols=None):
     """The feature table (complete rows), materialised once (see above)."""
-    return cut_lineage(FE.compute_features(V.lineitem_readings(spark, sf_dir)))
+    f = FE.compute_features(V.lineitem_readings(spark, sf_dir))
+    return cut_lineage(f if cols is None else f.select(*dict.fromkeys(cols)))
 
 
 @register("a07_t06_null_counts", FULL + " UNION ALL ".join(
@@ -46,7 +48,7 @@ def _r(e):
     f"{_r(f'min({c})')} AS min, {_r(f'quantile_cont({c}, 0.25)')} AS q25, {_r(f'quantile_cont({c}, 0.5)')} AS q50, "
     f"{_r(f'quantile_cont({c}, 0.75)')} AS q75, {_r(f'max({c})')} AS max FROM f" for c in PROFILED))
 def a13_describe(spark, sf_dir):
-    d = PR.describe(features_complete(spark, sf_dir), PROFILED)
+    d = PR.describe(features_complete(spark, sf_dir, PROFILED), PROFILED)
     return round_cols(d, ["mean", "std", "min", "q25", "q50", "q75", "max"])
 
 
@@ -58,12 +60,12 @@ def _corr_sql(xs, ys):
 
 @register("a14_feature_target_corr", COMPLETE + _corr_sql(C.FEATURE_COLS, C.TARGETS))
 def a14_feature_target_corr(spark, sf_dir):
-    return round_cols(PR.correlations(features_complete(spark, sf_dir), C.FEATURE_COLS, C.TARGETS), ["corr"])
+    return round_cols(PR.correlations(features_complete(spark, sf_dir, C.FEATURE_COLS + C.TARGETS), C.FEATURE_COLS, C.TARGETS), ["corr"])
 
 
 @register("a15_corr_matrix", COMPLETE + _corr_sql(CORR_SET, CORR_SET))
 def a15_corr_matrix(spark, sf_dir):
-    return round_cols(PR.correlations(features_complete(spark, sf_dir), CORR_SET), ["corr"])
+    return round_cols(PR.correlations(features_complete(spark, sf_dir, CORR_SET), CORR_SET), ["corr"])
 
 
 @register("a16_histogram", COMPLETE
@@ -73,7 +75,7 @@ def a15_corr_matrix(spark, sf_dir):
             "FROM f, (SELECT min(aqi_mean) AS lo, max(aqi_mean) AS hi, (max(aqi_mean) - min(aqi_mean)) / 20 AS w FROM f) s "
             "WHERE aqi_mean IS NOT NULL GROUP BY 1")
 def a16_histogram(spark, sf_dir):
-    return round_cols(PR.histogram(features_complete(spark, sf_dir), "aqi_mean", 20), ["lower", "upper"])
+    return round_cols(PR.histogram(features_complete(spark, sf_dir, ["aqi_mean"]), "aqi_mean", 20), ["lower", "upper"])
 
 
 @register("a17_density", COMPLETE
@@ -83,7 +85,7 @@ def a16_histogram(spark, sf_dir):
             "stddev_samp(aqi_mean) * pow(CAST(count(aqi_mean) AS DOUBLE), -0.2) AS bw FROM f) s, range(50) g(i) "
             "WHERE aqi_mean IS NOT NULL GROUP BY i, lo, st, n, bw")
 def a17_density(spark, sf_dir):
-    return round_cols(PR.density(features_complete(spark, sf_dir), "aqi_mean", 50), ["x", "density"])
+    return round_cols(PR.density(features_complete(spark, sf_dir, ["aqi_mean"]), "aqi_mean", 50), ["x", "density"])
 
 
 def _box_sql(by: str | None):
@@ -104,9 +106,9 @@ BOX_ROUND = ["q1", "median", "q3", "iqr", "whisker_low", "whisker_high"]
 
 @register("a18_box_stats", COMPLETE + _box_sql(None))
 def a18_box_stats(spark, sf_dir):
-    return round_cols(PR.box_stats(features_complete(spark, sf_dir), "aqi_mean"), BOX_ROUND)
+    return round_cols(PR.box_stats(features_complete(spark, sf_dir, ["aqi_mean"]), "aqi_mean"), BOX_ROUND)
 
 
 @register("a19_box_by_dow", COMPLETE + _box_sql("dow"))
 def a19_box_by_dow(spark, sf_dir):
-    return round_cols(PR.box_stats(features_complete(spark, sf_dir), "aqi_mean", by="dow"), BOX_ROUND)
+    return round_cols(PR.box_stats(features_complete(spark, sf_dir, ["aqi_mean", "dow"]), "aqi_mean", by="dow"), BOX_ROUND)

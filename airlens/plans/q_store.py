@@ -70,7 +70,7 @@ def k03_save_features(spark, sf_dir):
     """Q02: a live batch without targets is merged into the feature store;
     stored targets survive (replace would erase them)."""
     from airlens.plans.q_profile import features_full
-    f = features_full(spark, sf_dir).select("city", "date", "aqi_mean", "aqi_day1")
+    f = features_full(spark, sf_dir, ["city", "date", "aqi_mean", "aqi_day1"])
     p = ST.scratch_path(spark, "features")
     ST.save_features(f, p)
     ST.save_features(f.select("city", "date", "aqi_day1"), p, mode="update")
