@@ -14,6 +14,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ class Settings:
     least_toxic: int = 3
     least_odds: float = math.log(3)
     constant: float = 3.0
-    block: int = 64
+    block: int = 1024
     neighbours: int = 15
     prior_weight: float = 1.0
 
@@ -141,21 +142,25 @@ class BlockMaxIndex:
     def nearest(self, key: bytes) -> list[tuple[float, int]]:
         """Exact (cosine, example) of the nearest, ties by example number."""
         number, weight = self.vectors.unit(key)
-        bound = weight @ self.highest[number]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if len(best) == self.s.neighbours and bound[b] < best[-1][0] - 1e-12:
+        bound, k = weight @ self.highest[number], self.s.neighbours
+        best, at_best = np.empty(0), np.empty(0, np.int64)
+        for b in np.argsort(-bound, kind="stable").tolist():
+            if len(best) == k and bound[b] < best[-1] - 1e-9:
                 break
-            lo = int(b) * self.s.block
+            lo = b * self.s.block
             score = np.zeros(min(self.s.block, len(self.examples) - lo))
-            for t, w in zip(number.tolist(), weight):
+            for t, w in zip(number.tolist(), weight.tolist()):
                 if t in self.posts:
                     at, weights, cut = self.posts[t]
-                    part = slice(cut[b], cut[b + 1])
-                    score[at[part] - lo] += w * weights[part]
-            best += [(round(float(x), 9), lo + k) for k, x in enumerate(score)]
-            best = sorted(best, key=lambda x: (-x[0], x[1]))[:self.s.neighbours]
-        return best
+                    i, j = cut[b], cut[b + 1]
+                    if i < j:
+                        score[at[i:j] - lo] += w * weights[i:j]
+            score = score.round(9)
+            fit = np.flatnonzero(score >= best[-1]) if len(best) == k else np.arange(len(score))
+            best, at_best = np.concatenate([best, score[fit]]), np.concatenate([at_best, fit + lo])
+            order = np.lexsort((at_best, -best))[:k]
+            best, at_best = best[order], at_best[order]
+        return list(zip(best.tolist(), at_best.tolist()))
 
     def score(self, key: bytes) -> tuple[float, list[tuple[int, float]]]:
         """(score, evidence as [(doc_id of an example, cosine)])."""
@@ -175,6 +180,18 @@ class BlockMaxIndex:
         return self.known[key]
 
 
+_BUILT: dict[str, tuple[Vectors, BlockMaxIndex]] = {}
+
+
+def built(run: str, terms, examples, s: Settings) -> tuple[Vectors, BlockMaxIndex]:
+    """The index of a run, built once in each worker process; one is kept."""
+    if run not in _BUILT:
+        _BUILT.clear()
+        vectors = Vectors(terms, s)
+        _BUILT[run] = vectors, BlockMaxIndex(examples or [(b"", 0, 0, None)], vectors, s)
+    return _BUILT[run]
+
+
 def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings()):
     """The terms and the examples [(vector, toxic, clean, a doc_id)], both
     within the bounds of the settings."""
@@ -201,10 +218,10 @@ def scored(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Data
     Null and empty texts have the constant term alone.  Without labels of both
     classes the score is the prior.  Repeated rows score alike."""
     terms, examples = learn(docs, labels, s)
+    name = uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors = Vectors(terms, s)
-        index = BlockMaxIndex(examples or [(b"", 0, 0, None)], vectors, s)
+        vectors, index = built(name, terms, examples, s)
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))
         for batch in batches:
             got = [index.score(vectors.key(t.as_py() or "")) for t in batch.column("text")]
