@@ -44,6 +44,18 @@ AQ_VARIABLES = ["pm10", "pm2_5", "carbon_monoxide", "nitrogen_dioxide",
 WEATHER_VARIABLES = ["temperature_2m", "relative_humidity_2m", "wind_speed_10m",
                      "wind_direction_10m", "surface_pressure", "precipitation"]
 
+def _reading(names: list) -> list:
+    return [COLUMN_RENAME_MAP.get(n, n) for n in names]
+
+
+# Reading columns of the two feeds, and all of them.
+AQ_COLUMNS, WEATHER_COLUMNS = _reading(AQ_VARIABLES), _reading(WEATHER_VARIABLES)
+MEASURES = AQ_COLUMNS + WEATHER_COLUMNS
+
+# Prefixes of derived columns that may speak of later days: predictions of
+# earlier horizons and forecasts.
+DERIVED_PREFIXES = ("pred_", "fc_")
+
 # --- FIXED VALUES: targets and the feature list used for modelling ---------
 TARGETS = ["aqi_day1", "aqi_day2", "aqi_day3"]
 

@@ -50,7 +50,7 @@ def impute(df: DataFrame, cols: Sequence[str], means: Mapping[str, float]) -> Da
     sel = [c for c in df.columns if c not in cols]
     for c in cols:
         src = F.col(c).cast("double") if c in df.columns else F.lit(None).cast("double")
-        sel.append(F.coalesce(src, F.lit(float(means.get(c, 0.0))), F.lit(0.0)).alias(c))
+        sel.append(S.fill_mean_then_zero(src, F.lit(float(means.get(c, 0.0)))).alias(c))
     return df.select(*sel)
 
 

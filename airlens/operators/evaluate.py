@@ -56,13 +56,15 @@ def horizon_join(actuals: DataFrame, preds_long: DataFrame, key="city") -> DataF
 
 # A08 / A09 -------------------------------------------------------------------
 def regression_metrics(pairs: DataFrame, by=("horizon",), digits: int | None = 4) -> DataFrame:
-    """RMSE, MAE, R^2 (``1 - SS_res / SS_tot``) in one aggregation."""
+    """RMSE, MAE, R^2 (``1 - SS_res / SS_tot``) in one aggregation;
+    constant actuals give R^2 = 1 when the predictions are exact, else 0."""
     e = F.col("actual") - F.col("predicted")
     n = F.count(F.lit(1))
     ss_tot = F.var_pop("actual") * n
     out = pairs.groupBy(*_as_list(by)).agg(
         F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-        (F.lit(1.0) - F.try_divide(F.sum(e * e), ss_tot)).alias("r2"), n.alias("n"))
+        F.when(ss_tot > 0, F.lit(1.0) - F.try_divide(F.sum(e * e), ss_tot))
+         .when(F.sum(e * e) == 0, 1.0).when(F.sum(e * e) > 0, 0.0).alias("r2"), n.alias("n"))
     return _round(out, ["rmse", "mae", "r2"], digits)
 
 

@@ -9,16 +9,23 @@ from airlens.operators import evaluate as EV
 from airlens.plans import sqlparts as Q
 from airlens.plans.catalog import register, round_cols
 from airlens.session import cut_lineage
+from airlens.sinks import store as ST
 from airlens.sources import standins as V
 
 ACT = 'SELECT city, CAST("timestamp" AS DATE) AS date, avg(aqi) AS aqi_mean FROM v3 GROUP BY ALL'
 
 
+def band_case(v: str, values, otherwise, parity: bool = False) -> str:
+    """CASE over the bands of the constants table: contiguous bands by upper
+    edge, or (parity) the integer edges themselves."""
+    tests = [f"{v} BETWEEN {b[0]} AND {b[1]}" if parity else f"{v} <= {b[1]}" for b in C.AQI_BANDS]
+    text = lambda x: f"'{x}'" if isinstance(x, str) else str(x)
+    return "CASE " + " ".join(f"WHEN {t} THEN {text(x)}" for t, x in zip(tests, values)) + f" ELSE {text(otherwise)} END"
+
+
 def label_sql(v: str) -> str:
-    g = f"greatest(0.0, {v})"
-    return (f"CASE WHEN {v} IS NULL THEN NULL WHEN {g} <= 50 THEN 'Good' WHEN {g} <= 100 THEN 'Moderate' "
-            f"WHEN {g} <= 150 THEN 'Unhealthy (Sensitive)' WHEN {g} <= 200 THEN 'Unhealthy' "
-            f"WHEN {g} <= 300 THEN 'Very Unhealthy' ELSE 'Hazardous' END")
+    labels = [b[2] for b in C.AQI_BANDS]
+    return f"CASE WHEN {v} IS NOT NULL THEN {band_case(f'greatest(0.0, {v})', labels, labels[-1])} END"
 
 
 _W = "OVER (PARTITION BY city ORDER BY date)"
@@ -35,10 +42,11 @@ D1 = ("SELECT a.city, a.date, a.aqi_mean, p.p1 AS pred_aqi FROM act a JOIN preds
       "ON a.city = p.city AND a.date = p.prediction_date WHERE p.p1 IS NOT NULL")
 
 
-def _base(spark, sf_dir):
+def _base(spark, sf_dir, since=None):
     # Daily actuals are read by the prediction builder and by the join:
     # materialise the daily grain once (as a feature store would hold it).
-    act = cut_lineage(V.daily_actuals(spark, sf_dir))
+    act = V.daily_actuals(spark, sf_dir)
+    act = cut_lineage(act if since is None else act.where(F.col("date") >= since))
     preds = EV.persistence_predictions(act)
     return act, preds, EV.predictions_long(preds)
 
@@ -59,9 +67,13 @@ def p18_predictions_long(spark, sf_dir):
           + "p2 AS day2_aqi, " + label_sql("p2") + " AS day2_label, p3 AS day3_aqi, " + label_sql("p3")
           + " AS day3_label FROM preds")
 def k06_prediction_documents(spark, sf_dir):
-    """Nested prediction documents (struct per horizon), flattened for display."""
-    p = _base(spark, sf_dir)[1]
-    return p.select("city", "prediction_date", "predicted_at",
+    """Nested prediction documents (struct per horizon), saved twice, read
+    back and flattened for display."""
+    path = ST.scratch_path(spark, "predictions")
+    docs = _base(spark, sf_dir)[1]
+    for _ in range(2):
+        ST.save_predictions(docs, path)
+    return ST.read_table(spark, path).select("city", "prediction_date", "predicted_at",
                     *[F.col(f"day{h}.{f}").alias(f"day{h}_{f}") for h in (1, 2, 3) for f in ("aqi", "label")])
 
 
@@ -177,8 +189,8 @@ def w17_step_changes(spark, sf_dir):
     return EV.step_changes(EV.forecast_line(_base(spark, sf_dir)[1]))
 
 
-_SEV = ("CASE label WHEN 'Good' THEN 0 WHEN 'Moderate' THEN 1 WHEN 'Unhealthy (Sensitive)' THEN 2 "
-        "WHEN 'Unhealthy' THEN 3 WHEN 'Very Unhealthy' THEN 4 WHEN 'Hazardous' THEN 5 END")
+_SEV = "CASE label " + " ".join(f"WHEN '{b[2]}' THEN {k}" for k, b in enumerate(C.AQI_BANDS)) + " END"
+
 
 
 @register("a20_worst_category", Q.ctes(**{k: v for k, v in BASE.items() if k != "pairs"})
@@ -191,18 +203,10 @@ def a20_worst_category(spark, sf_dir):
 # Scalars over raw event values (F04, F05, F07, F10, F12) -------------------
 def _bands_sql(v: str) -> str:
     g = f"greatest(0.0, {v})"
-    out = []
-    for col_, vals in (("label", ["Good", "Moderate", "Unhealthy (Sensitive)", "Unhealthy", "Very Unhealthy", "Hazardous", "Hazardous"]),
-                       ("low", [0, 51, 101, 151, 201, 301, 301]), ("high", [50, 100, 150, 200, 300, 500, 500]),
-                       ("bg_color", ["#05be05", "#e5e50f", "#f07a05", "#ed0303", "#802b88", "#730222", "#7e0023"])):
-        lit = [f"'{x}'" if isinstance(x, str) else str(x) for x in vals]
-        out.append(f"CASE WHEN {g} <= 50 THEN {lit[0]} WHEN {g} <= 100 THEN {lit[1]} WHEN {g} <= 150 THEN {lit[2]} "
-                   f"WHEN {g} <= 200 THEN {lit[3]} WHEN {g} <= 300 THEN {lit[4]} WHEN {g} <= 500 THEN {lit[5]} ELSE {lit[6]} END AS {col_}")
-    par = " ".join(f"WHEN {g} BETWEEN {lo} AND {hi} THEN '{lab}'" for lo, hi, lab in
-                   [(0, 50, "Good"), (51, 100, "Moderate"), (101, 150, "Unhealthy (Sensitive)"), (151, 200, "Unhealthy"),
-                    (201, 300, "Very Unhealthy"), (301, 500, "Hazardous")])
-    out.append(f"CASE {par} ELSE 'Hazardous' END AS parity_label")
-    return ", ".join(out)
+    out = [f"{band_case(g, [b[k] for b in C.AQI_BANDS], C.AQI_FALLBACK[k])} AS {name}"
+           for name, k in (("label", 2), ("low", 0), ("high", 1), ("bg_color", 3), ("text_color", 4))]
+    parity = band_case(g, [b[2] for b in C.AQI_BANDS], C.AQI_FALLBACK[2], parity=True)
+    return ", ".join([*out, f"{parity} AS parity_label"])
 
 
 _ADV = ("CASE label " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.HEALTH_ADVICE.items())
@@ -210,7 +214,7 @@ _ADV = ("CASE label " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.HEALTH_A
 
 
 @register("f04_f05_f07_f10_f12_scalars",
-          f"SELECT event_id, value, label, low, high, bg_color, parity_label, {_ADV} AS advice, clamped, gauge_pct, int_trunc, int_round FROM ("
+          f"SELECT event_id, value, label, low, high, bg_color, text_color, parity_label, {_ADV} AS advice, clamped, gauge_pct, int_trunc, int_round FROM ("
           f"SELECT event_id, value - 5.0 AS value, {_bands_sql('value - 5.0')}, greatest(0.0, value - 5.0) AS clamped, "
           "least(100.0, greatest(0.0, (value - 5.0) / 500.0 * 100.0)) AS gauge_pct, "
           "CAST(trunc(value - 5.0) AS INTEGER) AS int_trunc, CAST(round_even(value - 5.0, 0) AS INTEGER) AS int_round FROM events)")
@@ -221,7 +225,7 @@ def f04_scalars(spark, sf_dir):
     cat = S.aqi_category("value")
     return e.select("event_id", "value", cat["label"].alias("label"), cat["low"].alias("low"),
                     cat["high"].alias("high"), cat["bg_color"].alias("bg_color"),
-                    S.aqi_label("value", parity=True).alias("parity_label"),
+                    cat["text_color"].alias("text_color"), S.aqi_label("value", parity=True).alias("parity_label"),
                     S.health_advice(cat["label"]).alias("advice"),
                     S.clamp_non_negative("value").alias("clamped"), S.gauge_pct("value").alias("gauge_pct"),
                     S.int_truncate("value").alias("int_trunc"), S.int_round_half_even("value").alias("int_round"))

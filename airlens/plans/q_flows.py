@@ -13,13 +13,9 @@ from airlens.plans.q_eval import ACT, PREDS
 from airlens.sinks import store as ST
 from airlens.sources import standins as V
 
-_AQ = ["pm10", "pm2_5", "co", "no2", "so2", "o3", "aqi"]
-_WX = ["temperature", "humidity", "wind_speed", "wind_direction", "pressure", "precipitation"]
-
-
 def _feeds(spark, sf_dir):
     h = V.hourly_readings(spark, sf_dir)
-    return h.select("city", "timestamp", *_AQ), h.select("city", "timestamp", *_WX)
+    return h.select("city", "timestamp", *C.AQ_COLUMNS), h.select("city", "timestamp", *C.WEATHER_COLUMNS)
 
 
 def _c02_sql():

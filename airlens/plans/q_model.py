@@ -216,7 +216,9 @@ def s12_feature_history(spark, sf_dir):
 @register("s13_past_predictions", Q.ctes(v3=Q.V3, act=QE.ACT, preds=QE.PREDS)
           + "SELECT city, prediction_date, p1 AS day1_aqi FROM preds WHERE prediction_date >= TIMESTAMP '2001-06-30 00:00:00' - INTERVAL 14 DAY")
 def s13_past_predictions(spark, sf_dir):
-    p = QE._base(spark, sf_dir)[1]
+    # The window and a month before it: a prediction looks back three rows.
+    since = F.date_sub(F.lit("2001-06-30").cast("date"), 14 + 30)
+    p = QE._base(spark, sf_dir, since)[1]
     return SRC.recent(p, "2001-06-30 00:00:00", 14, ts="prediction_date").select(
         "city", "prediction_date", F.col("day1.aqi").alias("day1_aqi"))
 

@@ -58,11 +58,45 @@ def _corr_sql(xs, ys):
         for a in xs for b in ys)
 
 
+@register("p12_p13_p14_column_roles", COMPLETE + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{r}' AS role, {n} AS n_values FROM f" for c, r, n in
+    [(c, "target" if c in C.TARGETS else "feature" if c in C.FEATURE_COLS else "other", f"count({c})") for c in FEATURE_OUT if c != "wind_max"]
+    + [("seen_day2", "horizon", "count(*)"), ("pred_day1", "other", "count(*)")]
+    + [(c, "missing", "CAST(0 AS BIGINT) * count(*)") for c in C.FEATURE_COLS if c == "wind_max"]))
+def p12_column_roles(spark, sf_dir):
+    """The feature table, one listed feature taken away, one suspicious and
+    one allowed column added: every column's role."""
+    f = features_complete(spark, sf_dir, FEATURE_OUT).drop("wind_max")
+    return FE.column_roles(f.withColumns({"seen_day2": F.col("aqi_mean"), "pred_day1": F.col("aqi_mean")}), "aqi_day1")
+
+
+@register("p15_absent_feature", COMPLETE + "SELECT city, date, 0.0::DOUBLE AS wind_max, aqi_mean FROM f")
+def p15_absent_feature(spark, sf_dir):
+    """A feature that is absent when scoring counts as 0."""
+    from airlens.modeling import models as MD
+    f = features_complete(spark, sf_dir, ["city", "date", "aqi_mean"])
+    return MD.impute(f, ["wind_max", "aqi_mean"], {})
+
+
+@register("a13_shape", COMPLETE + "SELECT count(*) AS n_rows, 58 AS n_columns FROM f")
+def a13_shape(spark, sf_dir):
+    return PR.shape(features_complete(spark, sf_dir, FEATURE_OUT)).drop("types")
+
+
 @register("a14_feature_target_corr", COMPLETE + _corr_sql(C.FEATURE_COLS, C.TARGETS))
 def a14_feature_target_corr(spark, sf_dir):
     return round_cols(PR.correlations(features_complete(spark, sf_dir, C.FEATURE_COLS + C.TARGETS), C.FEATURE_COLS, C.TARGETS), ["corr"])
 
 
+@register("t06_ranked_correlations", COMPLETE + "SELECT feature, target, corr, CAST(row_number() OVER (PARTITION BY target "
+          "ORDER BY abs(corr) DESC NULLS LAST, feature) AS INTEGER) AS rank FROM ("
+          + _corr_sql(C.FEATURE_COLS, C.TARGETS) + ")")
+def t06_ranked_correlations(spark, sf_dir):
+    """Features by the size of their correlation with each target."""
+    f = features_complete(spark, sf_dir, C.FEATURE_COLS + C.TARGETS)
+    return PR.ranked_correlations(round_cols(PR.correlations(f, C.FEATURE_COLS, C.TARGETS), ["corr"]))
+
+
 @register("a15_corr_matrix", COMPLETE + _corr_sql(CORR_SET, CORR_SET))
 def a15_corr_matrix(spark, sf_dir):
     return round_cols(PR.correlations(features_complete(spark, sf_dir, CORR_SET), CORR_SET), ["corr"])

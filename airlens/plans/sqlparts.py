@@ -7,8 +7,7 @@ from __future__ import annotations
 
 from airlens import constants as C
 
-MEASURES = ["aqi", "pm2_5", "pm10", "co", "no2", "so2", "o3", "temperature",
-            "humidity", "wind_speed", "wind_direction", "pressure", "precipitation"]
+MEASURES = C.MEASURES
 
 V1 = """SELECT event_type AS city, ts AS "timestamp", event_id AS seq, value / 1.09 AS aqi,
  value / 1.31 AS pm2_5, value / 0.857 AS pm10, CAST(user_id AS DOUBLE) * 10.0 / 3.07 AS co, value / 2.2 AS no2,

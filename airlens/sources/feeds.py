@@ -23,8 +23,7 @@ AQ_SCHEMA = T.StructType([T.StructField("city", T.StringType()),
 WEATHER_SCHEMA = T.StructType([T.StructField("city", T.StringType()),
                                T.StructField("timestamp", T.TimestampNTZType())]
                               + [T.StructField(v, D) for v in C.WEATHER_VARIABLES])
-READING_COLUMNS = ["pm10", "pm2_5", "co", "no2", "so2", "o3", "aqi", "temperature", "humidity",
-                   "wind_speed", "wind_direction", "pressure", "precipitation"]
+
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:

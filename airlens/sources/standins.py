@@ -15,10 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airlens import constants as C
 from airlens.session import cut_lineage
 
-READING_MEASURES = ["aqi", "pm2_5", "pm10", "co", "no2", "so2", "o3", "temperature",
-                    "humidity", "wind_speed", "wind_direction", "pressure", "precipitation"]
+READING_MEASURES = C.MEASURES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,13 +107,6 @@ def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders_daily_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Second feed: daily mean order price as pressure, per order status."""
-    o = table(spark, sf_dir, "orders")
-    return (o.groupBy(F.col("o_orderstatus").alias("city"), F.col("o_orderdate").alias("timestamp"))
-             .agg(F.avg("o_totalprice").alias("pressure"), F.count(F.lit(1)).cast("double").alias("precipitation")))
-
-
 def daily_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily actual AQI per city from the long series (V3 -> day means)."""
     r = lineitem_readings(spark, sf_dir)
