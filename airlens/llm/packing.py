@@ -104,8 +104,8 @@ class SumOfSquares:
 
 
 def pack_batches(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    from airlens.llm.tokens import word_ids
-    encode, end = word_ids(path), int(end_id).to_bytes(4, "little")
+    from airlens.llm.tokens import slices, word_ids
+    encoder, end = word_ids(path), int(end_id).to_bytes(4, "little")
     part = TaskContext.get().partitionId() << 32
     packer = SumOfSquares(size)
     texts: dict[int, list] = {}  # row -> [doc_id, ids, tokens not yet emitted]
@@ -137,8 +137,9 @@ def pack_batches(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id
         return batch
 
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            ids = encode(text.as_py() or "") + end
+        encoded = (ids for part in slices(batch.column("text").to_pylist()) for ids in encoder.many(part))
+        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):
+            ids += end
             total = len(ids) // 4
             texts[n_row] = [doc_id, ids, total]
             whole = total - total % size

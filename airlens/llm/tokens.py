@@ -9,15 +9,17 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: A lower-case ASCII letter, then one mark: a border of every word vocabulary
-#: that keeps letters and marks in different pre-tokens.
-_MARKED = re.compile(rb".*[a-z][.,;:!?]", re.DOTALL)
+#: Composed lower-case Latin letters, then at most one mark: letters and marks
+#: are different pre-tokens, and normalising leaves both as they are.
+_PLAIN = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,;:!?]?)")
+_TOGETHER = 256
 
 
 class WordIds:
@@ -29,39 +31,88 @@ class WordIds:
     emptied and fills again, which changes time, never ids."""
 
     def __init__(self, path: str, most: int = 1_000_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.encoder = Tokenizer.from_file(path)
         self.most = most
         self.known: dict[bytes, bytes] = {}
+        # Plain words need neither normalising nor splitting by a pattern.
+        self.plain = Tokenizer(self.encoder.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix = getattr(self.encoder.model, "end_of_word_suffix", None)
+        vocabulary = self.encoder.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def _packed(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """ids of plain words, many to a call: a word ends where a token with
+        the end-of-word suffix does."""
+        parts = [words[k:k + _TOGETHER] for k in range(0, len(words), _TOGETHER)]
+        out: list[bytes] = []
+        for part, e in zip(parts, self.plain.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
+            if len(ends) != len(part):
+                out += self._packed(part)
+                continue
+            raw = ids.tobytes()
+            out += [raw[i:j] for i, j in zip([0, *ends], ends)]
+        return out
+
     def _learn(self, words: set[bytes]) -> None:
-        known, stems = self.known, {}
+        known, plain, marked, other = self.known, set(), [], []
         for w in words:
-            if _MARKED.fullmatch(w):
-                stems[w] = w[:-1]
-        wanted = {w for w in words if w not in stems} | {*stems.values()} | {w[-1:] for w in stems}
-        new = [w for w in wanted if w not in known]
-        known.update(zip(new, self._packed([w.decode() for w in new])))
-        for w, stem in stems.items():
-            known[w] = known[stem] + known[w[-1:]]
+            m = _PLAIN.fullmatch(w.decode())
+            if not m:
+                other.append(w)
+            elif m[2]:
+                marked.append((w, m[1].encode(), m[2].encode()))
+                plain.add(m[1])
+            else:
+                plain.add(m[1])
+        new = [w for w in plain if w.encode() not in known]
+        known.update(zip([w.encode() for w in new], self._plain(new)))
+        other += [mark for mark in {x[2] for x in marked} if mark not in known]
+        known.update(zip(other, self._packed([w.decode() for w in other])))
+        for w, stem, mark in marked:
+            known[w] = known[stem] + known[mark]
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each whole text; words that
+        are new to the table are learned together."""
+        known, lists = self.known, [None if "<|" in t else t.encode().lower().split() for t in texts]
+        if len(known) > self.most:
+            known.clear()
+        new = set()
+        for words in lists:
+            if words:
+                new.update(words)
+        new = {w for w in new if w not in known}
+        if new:
+            self._learn(new)
+        return [self._packed([t])[0] if words is None else b"".join([known[w] for w in words])
+                for t, words in zip(texts, lists)]
 
     def __call__(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids of the whole text."""
-        if "<|" in text:
-            return self._packed([text])[0]
-        words = text.encode().lower().split()
-        known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > self.most:
-                known.clear()
-            self._learn({w for w in words if w not in known})
-            return b"".join([known[w] for w in words])
+        return self.many([text])[0]
+
+
+def slices(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
+    """Runs of texts of about ``most`` characters, one text at least."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t)
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 @lru_cache(maxsize=2)
