@@ -283,12 +283,14 @@ def filled(model: PipelineModel, df: DataFrame, keys) -> DataFrame:
 def linear_attributions(model: PipelineModel, rows: DataFrame, background: DataFrame,
                         features: Sequence[str], key=("city", "date")) -> DataFrame:
     """Exact attribution for a fitted linear model: coef_i * (x_i - mean_i)
-    (coefficients are in the original feature space)."""
+    (coefficients are in the original feature space).  The filled rows are
+    written first: the optimizer's constraints would else combine every
+    feature with its filled form."""
     from airlens.operators.explain import linear_contributions
     keys, lm = _as_list(key), model.stages[-1]
     w = {1: {f: float(c) for f, c in zip(features, lm.coefficients.toArray())}}
-    return linear_contributions(filled(model, rows, keys), w, {1: float(lm.intercept)}, key,
-                                filled(model, background, [])).drop("horizon")
+    return linear_contributions(materialise(filled(model, rows, keys), "explained"), w, {1: float(lm.intercept)}, key,
+                                materialise(filled(model, background, []), "background")).drop("horizon")
 
 
 def recent_background(features: DataFrame, as_of, days: int = 30, order: str = "date") -> DataFrame:
