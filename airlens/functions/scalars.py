@@ -14,12 +14,6 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def nan_to_null(c) -> Column:
-    """NaN never travels: it is turned into NULL once at the source."""
-    c = col(c)
-    return F.when(~F.isnan(c), c)
-
-
 # F01 -------------------------------------------------------------------------
 def day_of(ts) -> Column:
     return F.to_date(col(ts))
