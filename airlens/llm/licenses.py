@@ -50,12 +50,12 @@ NOTICES = (
 ANCHORS = 2
 
 _KEEP = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
-_WORDS = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c in _KEEP else 0x20 for c in range(256))
+WORD_BYTES = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c in _KEEP else 0x20 for c in range(256))
 
 
 def words_of(text: str) -> list[bytes]:
     """Runs of digits, letters and non-ASCII characters, A-Z lower-cased."""
-    return text.encode().translate(_WORDS).split()
+    return text.encode().translate(WORD_BYTES).split()
 
 
 class Index:

@@ -1,7 +1,8 @@
 """Toxicity by nearest labelled examples (operator 4).
 
 Labelled texts become TF-IDF vectors over the terms that tell the classes
-apart, plus one constant term that every text has; texts with equal vectors
+apart, which are words and the beginnings of longer words, plus one constant
+term that every text has; texts with equal vectors
 are one example with its counts of both labels.  A text's nearest examples
 are found by exact cosine in an inverted index whose postings are cut into
 blocks with their largest weight: blocks are visited by falling upper bound
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airlens.llm import common as U
-from airlens.llm.licenses import words_of
+from airlens.llm.licenses import WORD_BYTES
 from airlens.session import materialise
 
 
@@ -36,12 +37,29 @@ class Settings:
     most_examples: int = 16_384
     least_toxic: int = 3
     least_odds: float = math.log(3)
-    constant: float = 3.0
+    constant: float = 1.0
     block: int = 1024
     neighbours: int = 15
     prior_weight: float = 1.0
 
 
+#: Characters of the beginnings that are terms of their own, and their mark.
+BEGINNINGS = (4, 6)
+MARK = "^"
+
+
+def words_in(text: str) -> Counter:
+    """Words of digits, letters and non-ASCII characters, A-Z lower-cased."""
+    return Counter(text.encode().translate(WORD_BYTES).decode().split())
+
+
+def terms_in(words: Counter) -> set[str]:
+    out = set(words)
+    for n in BEGINNINGS:
+        out.update([MARK + w[:n] for w in words if len(w) > n])
+    return out
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32 of doc_id as text is divisible by 5 (null: as the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
@@ -60,7 +78,7 @@ def labelled(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
     return U.doc_text(docs).join(F.broadcast(rows), "doc_id")
 
 
-def choose_terms(train: DataFrame, s: Settings) -> tuple[dict[bytes, tuple[int, float]], int, int]:
+def choose_terms(train: DataFrame, s: Settings) -> tuple[dict[str, tuple[int, float]], int, int]:
     """term -> (number, idf) of the terms that favour the toxic class most (by
     the likelihood ratio), with the class sizes."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,17 +86,17 @@ def choose_terms(train: DataFrame, s: Settings) -> tuple[dict[bytes, tuple[int,
             seen = Counter(), Counter()
             size = [0, 0]
             for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-                seen[toxic > 0].update(set(words_of(text.as_py())))
+                seen[toxic > 0].update(terms_in(words_in(text.as_py())))
                 size[toxic > 0] += 1
-            terms = [b"", *(seen[0].keys() | seen[1].keys())]
-            seen[0][b""], seen[1][b""] = size
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), pa.array([seen[1][t] for t in terms], pa.int64()),
+            terms = ["", *(seen[0].keys() | seen[1].keys())]
+            seen[0][""], seen[1][""] = size
+            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([seen[1][t] for t in terms], pa.int64()),
                                               pa.array([seen[0][t] for t in terms], pa.int64())], names=["term", "pos", "neg"])
 
-    counts = (train.mapInArrow(count, "term binary, pos long, neg long").groupBy("term")
+    counts = (train.mapInArrow(count, "term string, pos long, neg long").groupBy("term")
               .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
-    counts = materialise(counts.filter((F.col("pos") >= s.least_toxic) | (F.col("term") == F.lit(b""))), "term-counts")
-    total = counts.filter(F.col("term") == F.lit(b"")).first()
+    counts = materialise(counts.filter((F.col("pos") >= s.least_toxic) | (F.col("term") == F.lit(""))), "term-counts")
+    total = counts.filter(F.col("term") == F.lit("")).first()
     pos, neg = (total["pos"], total["neg"]) if total else (0, 0)
     if not pos or not neg:
         return {}, pos, neg
@@ -86,27 +104,31 @@ def choose_terms(train: DataFrame, s: Settings) -> tuple[dict[bytes, tuple[int,
     p, q = (F.col("pos") + 0.5) / (pos + 1.0), (F.col("neg") + 0.5) / (neg + 1.0)
     both = (F.col("pos") + F.col("neg") + 1.0) / (pos + neg + 2.0)
     ratio = F.col("pos") * F.log(p / both) + F.col("neg") * F.log(q / both)
-    top = (counts.filter(F.col("term") != F.lit(b"")).filter(odds >= s.least_odds)
+    top = (counts.filter(F.col("term") != F.lit("")).filter(odds >= s.least_odds)
            .orderBy(F.desc(F.round(ratio, 6)), "term").limit(s.most_terms).collect())
     n = pos + neg
-    return {bytes(r["term"]): (k, math.log((1 + n) / (1 + r["pos"] + r["neg"]))) for k, r in enumerate(top)}, pos, neg
+    return {r["term"]: (k, math.log((1 + n) / (1 + r["pos"] + r["neg"]))) for k, r in enumerate(top)}, pos, neg
 
 
 class Vectors:
     """Unit vectors over the chosen terms and the constant term (the last)."""
 
-    def __init__(self, terms: dict[bytes, tuple[int, float]], s: Settings):
-        self.terms, self.names, self.constant = terms, frozenset(terms), s.constant
+    def __init__(self, terms: dict[str, tuple[int, float]], s: Settings):
+        self.terms, self.constant = terms, s.constant
         self.idf = np.array([idf for _, idf in terms.values()] + [0.0])
+        self.words = {t: k for t, (k, _) in terms.items() if not t.startswith(MARK)}
+        self.beginnings = [(n, {t[1:]: k for t, (k, _) in terms.items() if t.startswith(MARK) and len(t) == n + 1})
+                           for n in BEGINNINGS]
 
     def key(self, text: str) -> bytes:
         """Term numbers and frequencies, packed; equal for equal vectors."""
-        words = words_of(text)
-        found = self.names.intersection(words)
-        if not found:
-            return b""
-        tf = Counter(w for w in words if w in found)
-        return np.array(sorted((self.terms[w][0], n) for w, n in tf.items()), np.int32).tobytes()
+        words, tf = words_in(text), Counter()
+        for w in [w for w in words if w in self.words]:
+            tf[self.words[w]] += words[w]
+        for n, known in self.beginnings:
+            for w in [w for w in words if w[:n] in known and len(w) > n]:
+                tf[known[w[:n]]] += words[w]
+        return np.array(sorted(tf.items()), np.int32).tobytes()
 
     def unit(self, key: bytes) -> tuple[np.ndarray, np.ndarray]:
         at = np.frombuffer(key, np.int32).reshape(-1, 2)

@@ -448,9 +448,9 @@ def test_toxicity_on_held_out_rows(spark):
 def test_nearest_examples_are_exact():
     rnd = random.Random(2)
     s = toxicity.Settings(block=4, neighbours=5)
-    terms = {f"t{k}".encode(): (k, rnd.uniform(1, 5)) for k in range(30)}
+    terms = {f"t{k}": (k, rnd.uniform(1, 5)) for k in range(30)}
     v = toxicity.Vectors(terms, s)
-    text = lambda: " ".join(rnd.choice(list(terms)).decode() for _ in range(rnd.randint(0, 9)))
+    text = lambda: " ".join(rnd.choice(list(terms)) for _ in range(rnd.randint(0, 9)))
     index = toxicity.BlockMaxIndex([(k, 1, 2, 0) for k in {v.key(text()) for _ in range(200)}], v, s)
     dense = np.zeros((len(index.examples), 31))
     for e, (key, *_) in enumerate(index.examples):
