@@ -174,3 +174,43 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
 
 def op9_source_mix(spark, sf_dir: str) -> DataFrame:
     return mix(U.documents(spark, sf_dir))[1].select("doc_id", "size", "source_size", "target", "taken")
+
+
+_LOW, _HIGH = float(_GOLDEN % 1), float((_GOLDEN * _STEP) % 1)
+OP9_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS src, source IS NULL AS no_src,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS shuffled, sha256(coalesce(text, '')) AS k FROM documents
+), s0 AS (SELECT src, no_src, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY ALL
+), s1 AS (SELECT *, row_number() OVER (ORDER BY no_src, src) - 1 AS idx FROM s0
+), s AS (SELECT *, CASE idx % 3 WHEN 0 THEN {WEIGHTS[0]} WHEN 1 THEN {WEIGHTS[1]} ELSE {WEIGHTS[2]} END AS weight FROM s1
+), t AS (SELECT {TOTAL_SHARE} * sum(source_size) AS share FROM s
+), c AS (
+  SELECT *, {MAX_EPOCHS}.0 * source_size / weight AS ratio,
+         (share - coalesce(sum({MAX_EPOCHS} * source_size) OVER (ORDER BY {MAX_EPOCHS}.0 * source_size / weight, idx
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY {MAX_EPOCHS}.0 * source_size / weight, idx
+            ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s, t
+), l AS (SELECT coalesce(arg_min(level, (ratio, idx)), 0) AS level FROM c WHERE ratio >= level
+), g AS (SELECT s.*, CAST(least({MAX_EPOCHS} * source_size, level * weight) AS DOUBLE) AS target FROM s, l
+), b AS (SELECT g.*, (sum(target) OVER (ORDER BY idx) - target) / share AS lo, sum(target) OVER (ORDER BY idx) / share AS hi FROM g, t
+), n AS (SELECT CAST(unnest(range(0, CAST(greatest(round_even(share / {BLOCK_WORDS}, 0), 1) AS BIGINT))) AS BIGINT) AS slot FROM t WHERE share > 0
+), x AS (SELECT slot, floor(slot / {_STEP}.0) * CAST({_HIGH!r} AS DOUBLE) + (slot % {_STEP}) * CAST({_LOW!r} AS DOUBLE) AS x FROM n
+), p AS (SELECT slot, x - floor(x) AS point FROM x
+), q AS (
+  SELECT b.idx, row_number() OVER (PARTITION BY b.idx ORDER BY slot) - 1 AS rank,
+         CAST(ceil(source_size / {BLOCK_WORDS}.0) AS BIGINT) AS blocks
+  FROM p JOIN b ON point >= lo AND (point < hi OR b.idx = (SELECT arg_max(idx, (hi, idx)) FROM b)) AND hi > lo
+), u AS (SELECT idx, rank % blocks AS block, count(*) AS times FROM q WHERE rank // blocks < {MAX_EPOCHS} GROUP BY ALL
+), e AS (
+  SELECT d.*, b.idx, b.source_size, b.target,
+         CAST(sum(size) OVER (PARTITION BY b.idx ORDER BY shuffled, doc_id, k, r ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS pos
+  FROM d JOIN b ON d.src = b.src AND d.no_src = b.no_src
+), f AS (SELECT r, idx, pos, size, unnest(range(pos // {BLOCK_WORDS}, (pos + size - 1) // {BLOCK_WORDS} + 1)) AS block FROM e WHERE size > 0
+), k AS (
+  SELECT r, CAST(sum((least(pos + size, (f.block + 1) * {BLOCK_WORDS}) - greatest(pos, f.block * {BLOCK_WORDS})) * times) AS BIGINT) AS taken
+  FROM f JOIN u ON f.idx = u.idx AND f.block = u.block GROUP BY r
+)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM e LEFT JOIN k ON e.r = k.r
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 from airlens.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from airlens.llm.html_text import op2_html_extract
 from airlens.llm.licenses import op1_license_scan
-from airlens.llm.mixing import op9_source_mix
+from airlens.llm.mixing import OP9_SQL, op9_source_mix
 from airlens.llm.near_dedup import OP6_SQL, op6_minhash_dedup
 from airlens.llm.packing import op10_packing
 from airlens.llm.quality import OP5_SQL, op5_quality_rules
@@ -28,4 +28,5 @@ ORACLES = {
     "op5_quality_rules": OP5_SQL,
     "op6_minhash_dedup": OP6_SQL,
     "op7_exact_dedup": OP7_SQL,
+    "op9_source_mix": OP9_SQL,
 }
