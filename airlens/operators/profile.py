@@ -149,18 +149,55 @@ def density(df: DataFrame, col: str, points: int = 50) -> DataFrame:
 
 
 # A18 / A19 -------------------------------------------------------------------
+def _with_group(df: DataFrame, facts: list, by: list[str]) -> DataFrame:
+    """Each row with the aggregates of its group: a join on the group key, or
+    one scalar row where there are no groups."""
+    if by:
+        return df.join(df.groupBy(*by).agg(F.struct(*facts).alias("_f")), by)
+    return df.select("*", df.agg(F.struct(*facts)).scalar().alias("_f"))
+
+
+def exact_quantiles(df: DataFrame, x, probs: Sequence[float], by=None, cuts: int = 256) -> DataFrame:
+    """(by..., _q): exact quantiles with linear interpolation, none of whose
+    tasks holds a whole group.
+
+    Equal values are counted first.  A mergeable sketch gives ``cuts`` edges per
+    group; the values between two edges form a bucket, bucket sizes give each
+    bucket's first rank, and only buckets are sorted.  Edges that are a little
+    off make buckets uneven, never the result."""
+    by = _as_list(by)
+    src = df.select(*by, x.alias("_x")).where("_x is not null")
+    counts = src.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_n"))
+    counts = _with_group(counts, [F.percentile_approx("_x", [k / cuts for k in range(1, cuts)], 10 * cuts).alias("edges"),
+                                  F.sum("_n").alias("total")], by)
+    counts = counts.select(*by, "_x", "_n", F.col("_f.total").alias("_total"),
+                           F.size(F.filter("_f.edges", lambda e: e < F.col("_x"))).alias("_b"))
+    sizes = counts.groupBy(*by, "_b").agg(F.sum("_n").alias("_size"))
+    first = F.sum("_size").over(Window.partitionBy(*by).orderBy("_b")) - F.col("_size")
+    inside = F.sum("_n").over(Window.partitionBy(*by, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = (counts.withColumn("_in", inside).join(sizes.select(*by, "_b", first.alias("_first")), [*by, "_b"])
+              .withColumn("_end", F.col("_first") + F.col("_in")).withColumn("_start", F.col("_end") - F.col("_n")))
+    aggs = []
+    for p in probs:
+        at = F.lit(float(p)) * (F.col("_total") - 1)
+        pick = lambda r: F.max(F.when((F.col("_start") <= r) & (r < F.col("_end")), F.col("_x")))
+        low, high, share = pick(F.floor(at)), pick(F.ceil(at)), F.max(at - F.floor(at))
+        aggs.append(low + share * (high - low))
+    return ranked.groupBy(*by).agg(F.array(*aggs).alias("_q"))
+
+
 def box_stats(df: DataFrame, col: str, by=None, method: str = "exact") -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (most extreme values inside the fences)
     and outlier count, per group of ``by``.  The quartiles come back to the
     rows as one scalar without groups, else by a join on the group key."""
-    by = _as_list(by)
+    by, probs = _as_list(by), (0.25, 0.5, 0.75)
     x = F.col(col).cast("double")
     src = df.where(x.isNotNull()).select(*by, x.alias("_x"))
-    q = _quantiles(F.col("_x"), (0.25, 0.5, 0.75), method)
-    if by:
-        j = src.join(src.groupBy(*by).agg(q.alias("_q")), by)
+    if method == "exact":
+        q = exact_quantiles(src, F.col("_x"), probs, by)
     else:
-        j = src.select("_x", src.agg(q.alias("_q")).scalar().alias("_q"))
+        q = src.groupBy(*by).agg(_quantiles(F.col("_x"), probs, method).alias("_q"))
+    j = src.join(q, by) if by else src.select("_x", q.select("_q").scalar().alias("_q"))
     q1, q2, q3 = (F.element_at("_q", i) for i in (1, 2, 3))
     low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
     out = j.groupBy(*by).agg(

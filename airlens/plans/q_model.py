@@ -13,6 +13,7 @@ from airlens.plans import q_eval as QE
 from airlens.plans import sqlparts as Q
 from airlens.plans.catalog import register, round_cols, round_doubles
 from airlens.plans.q_profile import COMPLETE, FULL, features_complete, features_full
+from airlens.session import materialise
 from airlens.sources import feeds as SRC
 from airlens.sources import standins as V
 
@@ -66,7 +67,8 @@ _ORD = "CASE candidate " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in ORDER.ite
 def m02_cv_selection(spark, sf_dir):
     """Expanding-window CV of five fixed forecasters and a one-feature
     ridge fitted per fold; winner = lowest mean fold RMSE per city."""
-    folds = SE.expanding_folds(features_complete(spark, sf_dir))
+    folds = materialise(SE.expanding_folds(features_complete(
+        spark, sf_dir, ["city", "date", "aqi_mean", "aqi_day1", *CANDIDATES.values()])), "folds")
     sc = SE.score_fixed_candidates(folds, "aqi_day1", CANDIDATES).unionByName(
         SE.score_ridge_one_feature(folds, "aqi_day1", "aqi_mean"))
     return round_cols(SE.select_winner(sc, order=ORDER), ["cv_rmse"])

@@ -1,6 +1,8 @@
 """Source, hygiene, rollup and store queries (V1/V2/V2c/V3 views)."""
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -217,6 +219,29 @@ def s06_chunk_coverage(spark, sf_dir):
     return SRC.chunk_coverage(V.lineitem_readings(spark, sf_dir), "1995-01-01", "2001-12-31")
 
 
+_CHUNK = "CAST(floor(datediff('day', DATE '2024-01-01', CAST(\"timestamp\" AS DATE)) / 7) AS INTEGER)"
+
+
+@register("s06_chunk_account", Q.ctes(v1=Q.V1, v2=Q.V2)
+          + "SELECT CAST(c.i AS INTEGER) AS chunk_id, DATE '2024-01-01' + CAST(7 * c.i AS INTEGER) AS chunk_start, "
+            "least(DATE '2024-01-01' + CAST(7 * c.i + 6 AS INTEGER), DATE '2024-01-30') AS chunk_end, "
+            "CASE WHEN c.i <> 2 THEN coalesce(n.n, 0) END AS n_rows, c.i = 2 AS failed FROM range(5) c(i) "
+            f"LEFT JOIN (SELECT {_CHUNK} AS i, count(*) AS n FROM v2 GROUP BY 1) n ON n.i = c.i")
+def s06_chunk_account(spark, sf_dir):
+    """A feed landed week by week, one week missing: the others load, and the
+    account names the one that did not."""
+    h = V.hourly_readings(spark, sf_dir)
+    base = ST.scratch_path(spark, "chunks")
+    week = F.floor(F.datediff(F.to_date("timestamp"), F.lit("2024-01-01").cast("date")) / 7).cast("int")
+    cols = ["city", "timestamp", *[F.col(v).alias(k) for k, v in _AQ.items()]]
+    h.select(*cols, week.alias("week")).where("week <> 2").write.partitionBy("week").parquet(base)
+
+    def load(start, end):
+        return SRC.read_air_quality(spark, f"{base}/week={(start - dt.date(2024, 1, 1)).days // 7}")
+    _, account = SRC.load_chunks(spark, "2024-01-01", "2024-01-30", load, 7)
+    return account.select("chunk_id", "chunk_start", "chunk_end", "n_rows", F.col("error").isNotNull().alias("failed"))
+
+
 @register("s08_x03_latest_reading", Q.ctes(v1=Q.V1)
           + "SELECT city, arg_max(aqi, (\"timestamp\", aqi)) AS aqi, max(\"timestamp\") AS \"timestamp\" FROM v1 WHERE aqi IS NOT NULL GROUP BY city")
 def s08_latest_reading(spark, sf_dir):
