@@ -12,6 +12,8 @@ import os
 import re
 import shutil
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,6 +88,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tables-{sc.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+#: Tables written inside the running :func:`settled` call, if any.
+_PASSING: ContextVar[list | None] = ContextVar("passing", default=None)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -93,14 +105,31 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     neither repeat nor vary the work above them."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if _PASSING.get() is not None:
+        _PASSING.get().append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """:func:`materialise` what ``build()`` returns and delete the tables that
+    were written on the way to it."""
+    token = _PASSING.set(passing := [])
+    try:
+        df = build()
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+    finally:
+        _PASSING.reset(token)
+        for p in passing:
+            _delete(spark, p)
+    if _PASSING.get() is not None:
+        _PASSING.get().append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete every intermediate table this application has written."""
-    sc = spark.sparkContext
-    path = sc._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/tables-{sc.applicationId}")
-    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{checkpoint_dir(spark).rstrip('/')}/tables-{spark.sparkContext.applicationId}")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
