@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airlens.llm import common as U
-from airlens.session import materialise
+from airlens.session import materialise, settled
 
 BLOCK_CHARS = 4096
 
@@ -98,7 +98,7 @@ def exact_groups(docs: DataFrame, block_chars: int = BLOCK_CHARS,
     texts, and all empty texts are one group.  Group sizes are counted with
     map-side combining; the join back to the rows may meet a group of any
     size, which adaptive execution splits."""
-    ident = materialise(identify(docs, block_chars, digest), "identities")
+    ident = settled(docs.sparkSession, "identities", lambda: identify(docs, block_chars, digest))
     groups = (ident.groupBy("level", "name")
               .agg(F.max(F.struct("doc_id", "row_id")).alias("keep"), F.count(F.lit(1)).alias("group_size")))
     return (ident.join(groups, ["level", "name"])
@@ -109,7 +109,7 @@ def exact_groups(docs: DataFrame, block_chars: int = BLOCK_CHARS,
 
 def drop_exact_copies(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the rows that :func:`exact_groups` drops."""
-    rows = materialise(exact_groups(docs, block_chars), "exact-groups")
+    rows = settled(docs.sparkSession, "exact-groups", lambda: exact_groups(docs, block_chars))
     copies = rows.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("copies"))
     kept = (rows.filter("kept").select("doc_id", F.col("text_sha256").alias("text_key"))
             .join(copies.select(F.col("doc_id").alias("i"), F.col("text_sha256").alias("k"), "copies"),

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airlens.llm import common as U
-from airlens.session import materialise
+from airlens.session import materialise, settled
 
 WEIGHTS = (5, 2, 1)
 TOTAL_SHARE = 1.5
@@ -162,7 +162,7 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
 
     Texts without words give nothing to a mix of words and are not in it.
     Rows equal in doc_id and text share what is taken of them evenly."""
-    rows = materialise(mix(docs, block_words)[1], "mix")
+    rows = settled(docs.sparkSession, "mix", lambda: mix(docs, block_words)[1])
     plan = (rows.filter("size > 0").groupBy("doc_id", "text_key")
             .agg(F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias("__times")).filter("__times > 0")
             .select(F.col("doc_id").alias("__kid"), F.col("text_key").alias("__kkey"), "__times"))
@@ -173,7 +173,7 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
 
 
 def op9_source_mix(spark, sf_dir: str) -> DataFrame:
-    return mix(U.documents(spark, sf_dir))[1].select("doc_id", "size", "source_size", "target", "taken")
+    return settled(spark, "mix", lambda: mix(U.documents(spark, sf_dir))[1]).select("doc_id", "size", "source_size", "target", "taken")
 
 
 _LOW, _HIGH = float(_GOLDEN % 1), float((_GOLDEN * _STEP) % 1)

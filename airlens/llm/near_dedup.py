@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from airlens.llm import common as U
 from airlens.llm.components import components
 from airlens.llm.wordhash import mix, shingle_hashes, word_hashes
-from airlens.session import materialise
+from airlens.session import materialise, settled
 
 #: Members of a bucket, and shingles of a cluster, that one chunk holds.
 BUCKET_CHUNK = 2048
@@ -304,17 +304,13 @@ def in_chunk_pairs(members: DataFrame, chunks: str) -> DataFrame:
             .drop("__own", "__other", chunks))
 
 
-def near_groups(docs: DataFrame, m: MinHash = MinHash()) -> DataFrame:
-    """A row per row of ``docs``: doc_id, text_key, n_shingles, component_id
-    and group (an opaque number; null for texts without words).
-
-    component_id is the smallest doc_id of the group, null if it has none
-    (null doc_ids only); texts without words are linked with nothing and keep
-    their own doc_id.  Repeated rows have equal sets and so are one group."""
+def link(docs: DataFrame, m: MinHash) -> DataFrame:
+    """A row per row of ``docs``: doc_id, text_key, n_shingles and group."""
+    spark = docs.sparkSession
     signed = materialise(U.doc_text(docs).mapInArrow(lambda it: sign_batches(it, m), SIGNATURES), "signatures")
     full = signed.filter("set_key is not null")
     nodes = materialise(full.dropDuplicates(["set_key"]).withColumn("node", F.monotonically_increasing_id())
-                        .select("node", "set_key", "doc_id", "n_shingles", "bands", "signature"), "nodes")
+                        .select("node", "set_key", "doc_id", "text_key", "n_shingles", "bands", "signature"), "nodes")
 
     # Buckets of two or more nodes, split where they are large.
     entries = nodes.select("node", F.explode("bands").alias("key"))
@@ -324,27 +320,38 @@ def near_groups(docs: DataFrame, m: MinHash = MinHash()) -> DataFrame:
     members = in_chunk_pairs(members, "chunks").select("key", "i", "j", "node", "signature")
     links = (members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
              .mapInArrow(lambda it: link_buckets(it, m), "a long, b long").distinct())
-    clusters = materialise(components(links).withColumnRenamed("label", "cluster"), "clusters")
+    clusters = settled(spark, "clusters", lambda: components(links).withColumnRenamed("label", "cluster"))
 
     # Exact comparison inside the clusters.
-    wanted = clusters.join(nodes.select("node", "set_key", "doc_id", "n_shingles"), "node")
+    wanted = clusters.join(nodes.select("node", "set_key", "doc_id", "text_key", "n_shingles"), "node")
     chunks = (wanted.groupBy("cluster").agg(F.sum("n_shingles").alias("n"))
               .select("cluster", F.ceil(F.col("n") / CLUSTER_CHUNK).cast("long").alias("chunks")))
-    text = U.doc_text(docs)
-    sets = (wanted.select("node", "set_key", F.col("doc_id").alias("__id"))
-            .join(text, F.col("__id").eqNullSafe(text["doc_id"])).select("node", "set_key", "text")
+    text = U.doc_text(docs).withColumn("__key", U.text_key())
+    sets = (wanted.select("node", "set_key", F.col("doc_id").alias("__id"), "text_key")
+            .join(text, (F.col("text_key") == F.col("__key")) & F.col("__id").eqNullSafe(text["doc_id"]))
+            .select("node", "set_key", "text")
             .mapInArrow(lambda it: set_batches(it, m), "node long, shingles binary"))
     sets = materialise(sets.dropDuplicates(["node"]), "sets")
     members = in_chunk_pairs(clusters.join(chunks, "cluster"), "chunks").join(sets, "node")
     exact = (members.select("cluster", "i", "j", "node", "shingles")
              .repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "node")
              .mapInArrow(lambda it: confirm_clusters(it, m), "a long, b long"))
-    labels = components(exact)
+    labels = settled(spark, "labels", lambda: components(exact))
 
     of_set = (nodes.select("node", "set_key").join(labels, "node", "left")
               .select("set_key", F.coalesce("label", "node").alias("group")))
-    rows = materialise(signed.select("doc_id", "text_key", "n_shingles", "set_key").join(of_set, "set_key", "left")
-                       .drop("set_key"), "near-rows")
+    return (signed.select("doc_id", "text_key", "n_shingles", "set_key").join(of_set, "set_key", "left")
+            .drop("set_key"))
+
+
+def near_groups(docs: DataFrame, m: MinHash = MinHash()) -> DataFrame:
+    """A row per row of ``docs``: doc_id, text_key, n_shingles, component_id
+    and group (an opaque number; null for texts without words).
+
+    component_id is the smallest doc_id of the group, null if it has none
+    (null doc_ids only); texts without words are linked with nothing and keep
+    their own doc_id.  Repeated rows have equal sets and so are one group."""
+    rows = settled(docs.sparkSession, "near-rows", lambda: link(docs, m))
     least = rows.filter("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id"))
     grouped = rows.filter("group is not null").join(least, "group")
     alone = rows.filter("group is null").withColumn("component_id", F.col("doc_id"))
@@ -355,7 +362,7 @@ def near_groups(docs: DataFrame, m: MinHash = MinHash()) -> DataFrame:
 def drop_near_copies(docs: DataFrame, m: MinHash = MinHash()) -> DataFrame:
     """``docs`` with one row of each group: that of the smallest doc_id (nulls
     last, then by text).  Texts without words all stay."""
-    rows = materialise(near_groups(docs, m), "near-groups")
+    rows = settled(docs.sparkSession, "near-groups", lambda: near_groups(docs, m))
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_key")
     first = rows.filter("group is not null").groupBy("group").agg(F.min(order).alias("keep"))
     kept = first.select(F.col("keep.doc_id").alias("doc_id"), F.col("keep.text_key").alias("text_key"))

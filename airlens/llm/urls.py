@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airlens.llm import common as U
-from airlens.session import materialise
+from airlens.session import materialise, settled
 
 # Fixed values: (verdict, host, path) rules of the contract.
 RULES = (
@@ -171,4 +171,4 @@ def judge(pages: DataFrame, docs: DataFrame, rules=RULES) -> DataFrame:
 
 
 def op8_url_filter(spark, sf_dir: str) -> DataFrame:
-    return judge(U.table(spark, sf_dir, "pages"), U.documents(spark, sf_dir))
+    return settled(spark, "judged", lambda: judge(U.table(spark, sf_dir, "pages"), U.documents(spark, sf_dir)))
