@@ -96,14 +96,17 @@ def exact_groups(docs: DataFrame, block_chars: int = BLOCK_CHARS,
     Of equal texts the row with the largest doc_id stays; a null doc_id is the
     smallest, and of rows equal in both one stays.  Null texts are empty
     texts, and all empty texts are one group.  Group sizes are counted with
-    map-side combining; the join back to the rows may meet a group of any
-    size, which adaptive execution splits."""
-    ident = settled(docs.sparkSession, "identities", lambda: identify(docs, block_chars, digest))
-    groups = (ident.groupBy("level", "name")
-              .agg(F.max(F.struct("doc_id", "row_id")).alias("keep"), F.count(F.lit(1)).alias("group_size")))
-    return (ident.join(groups, ["level", "name"])
-            .select("doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
-                    (F.col("row_id") == F.col("keep.row_id")).alias("kept"),
+    map-side combining and written; the join back meets groups of any size,
+    and as both its sides are plain shuffles, adaptive execution splits them."""
+    spark = docs.sparkSession
+    ident = settled(spark, "identities", lambda: identify(docs, block_chars, digest))
+    groups = settled(spark, "copies", lambda: ident.groupBy("level", "name").agg(
+        F.max(F.struct("doc_id", "row_id")).alias("keep"), F.count(F.lit(1)).alias("group_size")).filter("group_size > 1"))
+    alone = F.col("group_size").isNull()
+    return (ident.join(groups, ["level", "name"], "left")
+            .select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"),
+                    F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+                    (alone | (F.col("row_id") == F.col("keep.row_id"))).alias("kept"),
                     F.col("text_key").alias("text_sha256")))
 
 
