@@ -8,9 +8,11 @@ from airlens.session import materialise
 
 
 def _star(pairs: DataFrame) -> DataFrame:
-    """(u, v) with the smallest of u and its v's as ``m``."""
+    """(u, v) with the smallest of u and its v's as ``m``.  The minima are
+    written first, so that both sides of the join are plain shuffles and a node
+    with very many links is split."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return pairs.join(least, "u")
+    return pairs.join(materialise(least, "least"), "u")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,7 +26,8 @@ def components(edges: DataFrame) -> DataFrame:
     links = materialise(up, "links")
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = materialise(_star(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(),
+                            "large")
         small = _star(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             small.select("u", F.col("m").alias("v"))).filter("u > v").distinct()

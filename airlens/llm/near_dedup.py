@@ -352,11 +352,11 @@ def near_groups(docs: DataFrame, m: MinHash = MinHash()) -> DataFrame:
     (null doc_ids only); texts without words are linked with nothing and keep
     their own doc_id.  Repeated rows have equal sets and so are one group."""
     rows = settled(docs.sparkSession, "near-rows", lambda: link(docs, m))
-    least = rows.filter("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    grouped = rows.filter("group is not null").join(least, "group")
-    alone = rows.filter("group is null").withColumn("component_id", F.col("doc_id"))
-    out = ["doc_id", "text_key", "n_shingles", "component_id", "group"]
-    return grouped.select(*out).unionByName(alone.select(*out))
+    least = settled(docs.sparkSession, "least-ids", lambda: rows.filter("group is not null").groupBy("group").agg(
+        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    return rows.join(least, "group", "left").select(
+        "doc_id", "text_key", "n_shingles",
+        F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "group")
 
 
 def drop_near_copies(docs: DataFrame, m: MinHash = MinHash()) -> DataFrame:
