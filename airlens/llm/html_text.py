@@ -64,6 +64,7 @@ class Lines(HTMLParser):
         self.lines: list[list] = []
         self.regions: list[list[bool]] = [[False, False]]
         self.stack: list[tuple[str, int]] = []  # open element, region outside it
+        self.open = Counter()  # how often each element is on the stack
         self.region = 0
         self.text: list[str] = []
         self.tags = 0
@@ -79,13 +80,14 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCK:
             self.end_line()
-            if tag in CLOSES_P and any(t == "p" for t, _ in self.stack):
+            if tag in CLOSES_P and self.open["p"]:
                 self._close("p")
         elif tag == "br":
             self.text.append(" ")
         if tag in VOID:
             return
         self.stack.append((tag, self.region))
+        self.open[tag] += 1
         furniture = tag in FURNITURE and not (tag == "header" and self.regions[self.region][0]) or _marked(attrs)
         if furniture or tag in REGION:
             self.end_line()
@@ -96,6 +98,7 @@ class Lines(HTMLParser):
     def _close(self, tag: str) -> None:
         while self.stack:
             top, self.region = self.stack.pop()
+            self.open[top] -= 1
             if top == tag:
                 return
 
@@ -106,7 +109,7 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        if not any(t == tag for t, _ in self.stack):
+        if not self.open[tag]:
             return
         if tag in BLOCK or tag in FURNITURE or self.stack[-1][0] != tag:
             self.end_line()
