@@ -9,6 +9,7 @@ change.
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,26 +21,33 @@ from airlens.llm.tokens import SpacedIds, spaced_ids
 
 LEAF_PIECES = 32
 
-#: Edits of the registered query: personal data and secrets are masked.
+#: Edits of the registered query: personal data and secrets are masked.  The
+#: patterns start at the beginning of a run only, so long runs cost no more.
 MASKS = (
-    ("<EMAIL>", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")),
+    ("<EMAIL>", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")),
     ("<PHONE>", re.compile(r"(?<![\w.])\+?\(?\d{1,4}\)?[ .-]\(?\d{2,4}\)?[ .-]\d{3,4}(?:[ .-]?\d{2,4})?(?![\w])")),
     ("<ADDRESS>", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w.])")),
-    ("<SECRET>", re.compile(r"\b(?=[A-Za-z_-]*\d)[A-Za-z0-9_-]{20,}\b")),
+    ("<SECRET>", re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+")),
 )
+_DIGIT = re.compile(r"\d")
 
 
 def mask_edits(text: str) -> list[tuple[int, int, str]]:
     """(start, end, replacement), in order, none overlapping; of overlapping
-    finds the first listed kind stays."""
+    finds the first listed kind stays.  A secret has a digit."""
     taken: list[tuple[int, int, str]] = []
-    if not any(c.isdigit() for c in text) and "@" not in text:
+    if not _DIGIT.search(text) and "@" not in text:
         return taken
     for name, pattern in MASKS:
+        before = list(taken)
         for m in pattern.finditer(text):
-            if all(m.end() <= s or e <= m.start() for s, e, _ in taken):
+            if name == "<SECRET>" and not _DIGIT.search(m[0]):
+                continue
+            at = bisect(before, (m.start(),))
+            if (not at or before[at - 1][1] <= m.start()) and (at == len(before) or m.end() <= before[at][0]):
                 taken.append((m.start(), m.end(), name))
-    return sorted(taken)
+        taken.sort()
+    return taken
 
 
 class CountedText:
@@ -111,11 +119,15 @@ class CountedText:
             region += self.leaves[last]
         region = region[:lo] + new + region[cut:]
         self.encoded += len(region)
-        # Beyond the region nothing changes, as its outer borders stay.
-        self._set(first, region, sum(self.encoder.counts(self.encoder.pieces(region))))
-        for leaf in range(first + 1, last + 1):
-            if self.leaves[leaf]:
-                self._set(leaf, "", 0)
+        # Beyond the region nothing changes, as its outer borders stay.  The
+        # pieces are dealt evenly over the region's leaves, so none grows by
+        # taking in its neighbours.
+        pieces = self.encoder.pieces(region)
+        counts = self.encoder.counts(pieces)
+        width = -(-len(pieces) // (last + 1 - first))
+        for leaf in range(first, last + 1):
+            at = (leaf - first) * width
+            self._set(leaf, "".join(pieces[at:at + width]), sum(counts[at:at + width]))
 
 
 COUNTED = ("doc_id long, n_tokens long, n_edits long, n_tokens_edited long, n_leaves long, n_chars long, "
