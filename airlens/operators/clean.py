@@ -38,16 +38,15 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
 # P03 / P04 -------------------------------------------------------------------
 def dedupe(df: DataFrame, keys, order, keep: str = "first") -> DataFrame:
     """One row per ``keys``: the row with the smallest (``keep='first'``) or
-    largest (``keep='last'``) ``order`` tuple.  All other columns are carried
-    in a struct; ties on ``order`` are broken by the carried values, so the
-    pick is deterministic.  Partial aggregation makes it skew-safe."""
+    largest (``keep='last'``) ``order`` tuple.  The row is one struct that
+    begins with ``order``, carried once; ties on ``order`` are broken by the
+    other values, so the pick is deterministic.  Partial aggregation makes it
+    skew-safe."""
     keys = _as_list(keys)
-    order = _as_list(order)
+    order = [c for c in _as_list(order) if c not in keys]
     rest = [c for c in df.columns if c not in keys]
-    payload = F.struct(*[F.col(c) for c in rest])
-    ordering = F.struct(*[F.col(c) for c in order], payload)
-    pick = F.min_by if keep == "first" else F.max_by
-    out = df.groupBy(*keys).agg(pick(payload, ordering).alias("_row"))
+    row = F.struct(*[F.col(c) for c in dict.fromkeys(order + rest)])
+    out = df.groupBy(*keys).agg((F.min if keep == "first" else F.max)(row).alias("_row"))
     return out.select(*keys, *[F.col("_row." + c).alias(c) for c in rest])
 
 

@@ -209,6 +209,13 @@ def s11_latest_feature_row(spark, sf_dir):
     return round_cols(SRC.latest_row(f, "city", "date"), ["aqi_roll_mean_7"])
 
 
+@register("t01_time_order", Q.ctes(v3=Q.V3, act=QE.ACT) + "SELECT city, date, aqi_mean, CAST(row_number() OVER (PARTITION BY city ORDER BY date) AS INTEGER) AS rn "
+          "FROM act ORDER BY city, date")
+def t01_time_order(spark, sf_dir):
+    """Rows in the order of time, with their position in it."""
+    return SE.positions(V.daily_actuals(spark, sf_dir)).drop("n").orderBy("city", "date")
+
+
 @register("s12_feature_history", Q.ctes(v3=Q.V3, act=QE.ACT)
           + "SELECT * FROM act WHERE date >= TIMESTAMP '2001-06-30 00:00:00' - INTERVAL 30 DAY")
 def s12_feature_history(spark, sf_dir):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airlens import constants as C
-from airlens.operators.clean import _as_list
+from airlens.operators.clean import _as_list, dedupe
 from airlens.session import materialise
 
 D = T.DoubleType()
@@ -177,14 +177,10 @@ def training_rows(features: DataFrame, required: bool = False) -> DataFrame:
 
 # S11 / S17 -------------------------------------------------------------------
 def latest_row(df: DataFrame, key="city", order: str = "date") -> DataFrame:
-    """Newest row per key.  ``max_by`` over a struct of all columns: a
+    """Newest row per key, as the largest struct that begins with ``order``: a
     partial aggregate, so one key with a third of the rows is reduced
     map-side rather than sorted in one task."""
-    keys = _as_list(key)
-    rest = [c for c in df.columns if c not in keys]
-    payload = F.struct(*[F.col(c) for c in rest])
-    return (df.groupBy(*keys).agg(F.max_by(payload, F.struct(F.col(order), payload)).alias("_r"))
-              .select(*keys, *[F.col("_r." + c).alias(c) for c in rest]))
+    return dedupe(df, key, order, keep="last")
 
 
 def latest_active_models(meta: DataFrame, drop=("model_path",)) -> DataFrame:
