@@ -3,11 +3,13 @@
 The standard library's parser streams events; text is gathered into lines,
 one for each block element, each with the number of tags met in it.  The
 ratio of text to tags is smoothed along the page by a Gaussian, and lines
-above a threshold form the content cluster.  The regions (sections of the
-page) with at least half their text in content lines are selected whole, so a
-short paragraph between long ones stays.  Regions that the page itself marks as furniture,
-by element or by class, id or role, are never selected; a region that the
-page marks as its article always is.
+above a threshold form the content cluster.  On every page the regions
+(sections of the page) with at least half their text in content lines are
+selected whole, so a short paragraph between long ones stays.  What the page
+marks as its article has the threshold added to its level; a list or region
+there whose text is mostly links has not, and lists of links are judged apart
+from the region around them.  Regions that the page itself marks as furniture,
+by element or by class, id or role, are never selected.
 """
 from __future__ import annotations
 
@@ -31,6 +33,7 @@ REGION = frozenset("article aside body div footer form header main nav section".
 FURNITURE = frozenset("aside button datalist dialog fieldset footer form head header iframe input label legend menu nav "
                       "noscript object option script select style svg template textarea title".split())
 CONTENT = frozenset("article main".split())
+LISTS = frozenset("dl ol table ul".split())
 FURNITURE_WORDS = frozenset("ad ads advert advertisement advertising alert banner breadcrumb breadcrumbs comment comments "
                             "consent cookie cookies disqus footer form gdpr header masthead menu modal nav navbar "
                             "navigation newsletter notice notices popup promo promoted related replies reply share sidebar "
@@ -57,24 +60,26 @@ def _marked(attrs: list) -> bool:
 
 
 class Lines(HTMLParser):
-    """Lines [text, tags, region]; regions [marked as content, as furniture]."""
+    """Lines [text, tags, region, characters in links]; regions [marked as
+    content, as furniture, region that a list is part of (else itself)]."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[list] = []
-        self.regions: list[list[bool]] = [[False, False]]
+        self.regions: list[list] = [[False, False, 0]]
         self.stack: list[tuple[str, int]] = []  # open element, region outside it
         self.open = Counter()  # how often each element is on the stack
         self.region = 0
         self.text: list[str] = []
+        self.linked = 0
         self.tags = 0
 
     def end_line(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append([text, self.tags, self.region])
+            self.lines.append([text, self.tags, self.region, min(self.linked, len(text))])
             self.tags = 0
-        self.text = []
+        self.text, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
@@ -84,15 +89,18 @@ class Lines(HTMLParser):
                 self._close("p")
         elif tag == "br":
             self.text.append(" ")
+        elif tag == "a" and self.open["a"] and self.stack[-1][0] == "a":
+            self._close("a")
         if tag in VOID:
             return
         self.stack.append((tag, self.region))
         self.open[tag] += 1
         furniture = tag in FURNITURE and not (tag == "header" and self.regions[self.region][0]) or _marked(attrs)
-        if furniture or tag in REGION:
+        if furniture or tag in REGION or tag in LISTS:
             self.end_line()
-            inside, out = self.regions[self.region]
-            self.regions.append([inside or tag in CONTENT, out or furniture])
+            inside, out, whole = self.regions[self.region]
+            part = tag in LISTS and not furniture
+            self.regions.append([inside or tag in CONTENT, out or furniture, whole if part else len(self.regions)])
             self.region = len(self.regions) - 1
 
     def _close(self, tag: str) -> None:
@@ -117,6 +125,8 @@ class Lines(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         self.text.append(data)
+        if self.open["a"] and not self.open["h1"] and not self.open["h2"]:  # a headline may be a link to its own page
+            self.linked += len(" ".join(data.split()))
 
     def close(self) -> None:
         super().close()
@@ -138,20 +148,26 @@ def main_lines(html: str, sigma: float = SIGMA, spread: float = SPREAD) -> list[
     page.close()
     if not page.lines:
         return []
-    ratio = np.array([len(text) / max(tags, 1) for text, tags, _ in page.lines])
+    ratio = np.array([len(text) / max(tags, 1) for text, tags, _, _ in page.lines])
     level = smooth(ratio, sigma)
-    content = level >= spread * level.std()
-    furniture = [page.regions[region][1] for _, _, region in page.lines]
-    declared = {region for _, _, region in page.lines if page.regions[region][0] and not page.regions[region][1]}
-    chosen = declared
-    if not chosen:
-        whole, hit = Counter(), Counter()
-        for (text, _, region), is_content, out in zip(page.lines, content, furniture):
-            if not out:
-                whole[region] += len(text)
-                hit[region] += len(text) * bool(is_content)
-        chosen = {region for region, n in whole.items() if 2 * hit[region] >= n}
-    return [text for text, _, region in page.lines if region in chosen]
+    bar = spread * level.std()
+
+    size, linked = Counter(), Counter()
+    for text, _, region, links in page.lines:
+        size[region] += len(text)
+        linked[region] += links
+    links_only = {region for region, n in size.items() if 2 * linked[region] >= n}
+    judged = {region: region if region in links_only else page.regions[region][2] for region in size}
+
+    whole, hit = Counter(), Counter()
+    for (text, _, region, _), at in zip(page.lines, level):
+        declared, out, _ = page.regions[region]
+        if not out:
+            weight = bar if declared and region not in links_only else 0.0
+            whole[judged[region]] += len(text)
+            hit[judged[region]] += len(text) * bool(at + weight >= bar)
+    chosen = {region for region, n in whole.items() if 2 * hit[region] >= n}
+    return [text for text, _, region, _ in page.lines if judged[region] in chosen]
 
 
 def extract(pages: DataFrame) -> DataFrame:

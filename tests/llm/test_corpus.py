@@ -345,6 +345,23 @@ def test_regions_are_chosen_by_text_to_tag_ratio():
     assert len(lines) == 7 and lines[-1] == "Short."
 
 
+STORY = "".join(f"<p>{'plain words of the story ' * 12}</p>" for _ in range(6))
+
+
+def test_an_article_does_not_hide_the_rest_of_the_page():
+    card = "<article><h3>Read next</h3><p><a href='/n'>Another story</a></p></article>"
+    for page in (f"<body>{card}<div>{STORY}</div></body>", f"<body><div>{STORY}</div>{card}</body>"):
+        assert sum(line.startswith("plain words") for line in html_text.main_lines(page)) == 6
+
+
+def test_link_lists_in_an_article_are_judged_by_ratio():
+    links = "".join(f"<li><a href='/{k}'>go {k}</a></li>" for k in range(30))
+    facts = "<ul><li>a fact</li><li>one <a href='/f'>more</a> short fact</li></ul>"
+    lines = html_text.main_lines(f"<article><h1>Title</h1>{STORY}{facts}<p>End.</p>{STORY}<ul>{links}</ul></article>")
+    assert len(lines) == 16 and "a fact" in lines and "End." in lines and "one more short fact" in lines
+    assert not any(line.startswith("go ") for line in lines)
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", "<article><p>a b</p>"), (1, "u", None), (None, None, ""), (2, "v", "<p>" + "z" * 300_000)]
     got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
