@@ -8,8 +8,10 @@ above a threshold form the content cluster.  On every page the regions
 selected whole, so a short paragraph between long ones stays.  What the page
 marks as its article has the threshold added to its level; a list or region
 there whose text is mostly links has not, and lists of links are judged apart
-from the region around them.  Regions that the page itself marks as furniture,
-by element or by class, id or role, are never selected.
+from the region around them.  Regions that the page itself marks as furniture
+by element or by role are never selected.  A word of class or id (not of the
+page's outer elements or its article) only rules out what the level of its own
+lines does not show to be running text, and never all that a page has.
 """
 from __future__ import annotations
 
@@ -34,6 +36,10 @@ FURNITURE = frozenset("aside button datalist dialog fieldset footer form head he
                       "noscript object option script select style svg template textarea title".split())
 CONTENT = frozenset("article main".split())
 LISTS = frozenset("dl ol table ul".split())
+#: Elements whose class and id say what is on the page, not what they are, and
+#: words that within an article name its own head.
+WORDLESS = frozenset("article body html main".split())
+HEAD_WORDS = frozenset("header masthead".split())
 FURNITURE_WORDS = frozenset("ad ads advert advertisement advertising alert banner breadcrumb breadcrumbs comment comments "
                             "consent cookie cookies disqus footer form gdpr header masthead menu modal nav navbar "
                             "navigation newsletter notice notices popup promo promoted related replies reply share sidebar "
@@ -44,29 +50,30 @@ FURNITURE_ROLES = frozenset("alert alertdialog banner complementary contentinfo
 CLOSES_P = BLOCK - {"body", "html"}
 SIGMA = 1.0
 SPREAD = 0.5
+#: Least characters per tag of running text.
+RUNNING = 25.0
+
+
+def _words(attrs: list) -> set[str]:
+    """Words of class and id that name furniture."""
+    return {w for name, value in attrs if value and name in ("class", "id")
+            for w in value.lower().replace("_", " ").replace("-", " ").split()} & FURNITURE_WORDS
 
 
 def _marked(attrs: list) -> bool:
-    for name, value in attrs:
-        if not value:
-            continue
-        if name in ("class", "id"):
-            words = value.lower().replace("_", " ").replace("-", " ").split()
-            if not FURNITURE_WORDS.isdisjoint(words):
-                return True
-        elif name == "role" and value.lower() in FURNITURE_ROLES:
-            return True
-    return any(name in ("hidden",) or name == "aria-hidden" and value == "true" for name, value in attrs)
+    return any(name == "role" and (value or "").lower() in FURNITURE_ROLES or name == "hidden"
+               or name == "aria-hidden" and value == "true" for name, value in attrs)
 
 
 class Lines(HTMLParser):
     """Lines [text, tags, region, characters in links]; regions [marked as
-    content, as furniture, region that a list is part of (else itself)]."""
+    content, as furniture, region that a list is part of (else itself), marked
+    by a word of class or id]."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[list] = []
-        self.regions: list[list] = [[False, False, 0]]
+        self.regions: list[list] = [[False, False, 0, False]]
         self.stack: list[tuple[str, int]] = []  # open element, region outside it
         self.open = Counter()  # how often each element is on the stack
         self.region = 0
@@ -95,12 +102,14 @@ class Lines(HTMLParser):
             return
         self.stack.append((tag, self.region))
         self.open[tag] += 1
-        furniture = tag in FURNITURE and not (tag == "header" and self.regions[self.region][0]) or _marked(attrs)
-        if furniture or tag in REGION or tag in LISTS:
+        inside, out, whole, worded = self.regions[self.region]
+        furniture = tag in FURNITURE and not (tag == "header" and inside) or _marked(attrs)
+        words = set() if tag in WORDLESS else _words(attrs) - (HEAD_WORDS if inside else set())
+        if furniture or words or tag in REGION or tag in LISTS:
             self.end_line()
-            inside, out, whole = self.regions[self.region]
-            part = tag in LISTS and not furniture
-            self.regions.append([inside or tag in CONTENT, out or furniture, whole if part else len(self.regions)])
+            part = tag in LISTS and not furniture and not words
+            self.regions.append([inside or tag in CONTENT, out or furniture, whole if part else len(self.regions),
+                                 worded or bool(words)])
             self.region = len(self.regions) - 1
 
     def _close(self, tag: str) -> None:
@@ -159,15 +168,18 @@ def main_lines(html: str, sigma: float = SIGMA, spread: float = SPREAD) -> list[
     links_only = {region for region, n in size.items() if 2 * linked[region] >= n}
     judged = {region: region if region in links_only else page.regions[region][2] for region in size}
 
-    whole, hit = Counter(), Counter()
-    for (text, _, region, _), at in zip(page.lines, level):
-        declared, out, _ = page.regions[region]
+    whole, hit, running = Counter(), Counter(), Counter()
+    plain = max(bar, level.mean() / 2, RUNNING)
+    for (text, _, region, _), at, own in zip(page.lines, level, ratio):
+        declared, out, _, _ = page.regions[region]
         if not out:
             weight = bar if declared and region not in links_only else 0.0
             whole[judged[region]] += len(text)
             hit[judged[region]] += len(text) * bool(at + weight >= bar)
-    chosen = {region for region, n in whole.items() if 2 * hit[region] >= n}
-    return [text for text, _, region, _ in page.lines if judged[region] in chosen]
+            running[judged[region]] += len(text) * bool(min(at, own) >= plain)
+    content = {region for region, n in whole.items() if 2 * hit[region] >= n}
+    chosen = {region for region in content if not page.regions[region][3] or 2 * running[region] >= whole[region]}
+    return [text for text, _, region, _ in page.lines if judged[region] in (chosen or content)]
 
 
 def extract(pages: DataFrame) -> DataFrame:

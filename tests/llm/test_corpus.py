@@ -362,6 +362,24 @@ def test_link_lists_in_an_article_are_judged_by_ratio():
     assert not any(line.startswith("go ") for line in lines)
 
 
+@pytest.mark.parametrize("html,want", [
+    ("<body class='has-sidebar'><article><p>x</p><p>y</p></article></body>", ["x", "y"]),
+    ("<main class='no-sidebar'><p>x</p></main>", ["x"]),
+    ("<article class='post comments-open'><div class='post-header'><h1>Title</h1></div><p>x</p></article>", ["Title", "x"]),
+    ("<div id='page-with-nav'><p>x</p></div>", ["x"]),
+    ("<div class='ad'>Buy</div><div><p>x</p></div>", ["x"]),
+])
+def test_words_of_class_and_id_do_not_empty_a_page(html, want):
+    assert html_text.main_lines(html) == want
+
+
+def test_a_word_rules_out_only_what_is_not_running_text():
+    menu = "<ul>" + "".join(f"<li><a href='/{k}'>go {k}</a></li>" for k in range(30)) + "</ul>"
+    page = f"<body><div id='page-with-nav'>{menu}<div class='content'>{STORY}</div><div class='promo'>Buy now</div></div><div>{menu}</div>"
+    lines = html_text.main_lines(page)
+    assert len(lines) == 6 and all(line.startswith("plain words") for line in lines)
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", "<article><p>a b</p>"), (1, "u", None), (None, None, ""), (2, "v", "<p>" + "z" * 300_000)]
     got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
