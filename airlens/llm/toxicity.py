@@ -31,10 +31,9 @@ from airlens.session import materialise
 @dataclass(frozen=True)
 class Settings:
     """Bounds of what is learned: labelled rows (a sample by hash of doc_id
-    beyond that), terms, and distinct example vectors."""
+    beyond that) and terms.  Every vector of the labelled rows is an example."""
     most_labelled: int = 200_000
     most_terms: int = 4096
-    most_examples: int = 16_384
     least_toxic: int = 3
     least_odds: float = math.log(3)
     constant: float = 1.0
@@ -146,16 +145,21 @@ class BlockMaxIndex:
         self.vectors, self.s = vectors, s
         n, width = len(self.examples), len(vectors.terms) + 1
         self.n_blocks = -(-n // s.block)
-        posts: dict[int, list] = {}
+        number, freq = np.frombuffer(b"".join(key for key, *_ in self.examples), np.int32).reshape(-1, 2).T
+        at = np.repeat(np.arange(n), [len(key) // 8 for key, *_ in self.examples])
+        weight = (1 + np.log(freq)) * vectors.idf[number]
+        norm = np.sqrt(np.bincount(at, weight * weight, n) + vectors.constant ** 2)
+        number, at = np.append(number, np.full(n, width - 1)), np.append(at, np.arange(n))
+        weight = np.append(weight, np.full(n, vectors.constant)) / norm[at]
         self.highest = np.zeros((width, self.n_blocks))
-        for e, (key, *_) in enumerate(self.examples):
-            for t, w in zip(*vectors.unit(key)):
-                posts.setdefault(int(t), []).append((e, w))
-                self.highest[t, e // s.block] = max(self.highest[t, e // s.block], w)
+        np.maximum.at(self.highest, (number, at // s.block), weight)
+        order = np.argsort(number, kind="stable")  # within a term by example
+        cut = np.searchsorted(number[order], np.arange(width + 1))
+        at, weight = at[order], weight[order]
         self.posts = {}
-        for t, p in posts.items():
-            at = np.array([e for e, _ in p])
-            self.posts[t] = at, np.array([w for _, w in p]), np.searchsorted(at, np.arange(self.n_blocks + 1) * s.block)
+        for t in np.flatnonzero(np.diff(cut)).tolist():
+            own = at[cut[t]:cut[t + 1]]
+            self.posts[t] = own, weight[cut[t]:cut[t + 1]], np.searchsorted(own, np.arange(self.n_blocks + 1) * s.block)
         self.pos = np.array([p for _, p, _, _ in self.examples], float)
         self.neg = np.array([q for _, _, q, _ in self.examples], float)
         self.prior = (self.pos.sum() + 1) / (self.pos.sum() + self.neg.sum() + 2)
@@ -215,8 +219,8 @@ def built(run: str, terms, examples, s: Settings) -> tuple[Vectors, BlockMaxInde
 
 
 def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings()):
-    """The terms and the examples [(vector, toxic, clean, a doc_id)], both
-    within the bounds of the settings."""
+    """The terms and the examples [(vector, toxic, clean, a doc_id)], one for
+    each vector of the labelled rows."""
     train = labelled(docs, labels, s)
     terms, _, _ = choose_terms(train, s)
 
@@ -229,8 +233,7 @@ def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings()):
     rows = (train.mapInArrow(vectors, "doc_id long, vector binary, toxic long").groupBy("vector")
             .agg(F.sum((F.col("toxic") > 0).cast("long")).alias("pos"), F.sum((F.col("toxic") <= 0).cast("long")).alias("neg"),
                  F.min("doc_id").alias("doc_id")))
-    rows = rows.orderBy(F.desc(F.length("vector") == 0), F.xxhash64("vector")).limit(s.most_examples).collect()
-    return terms, [(bytes(r["vector"]), r["pos"], r["neg"], r["doc_id"]) for r in rows]
+    return terms, [(bytes(r["vector"]), r["pos"], r["neg"], r["doc_id"]) for r in rows.collect()]
 
 
 def scored(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:

@@ -1,5 +1,6 @@
 """Corpus operators against brute force, with the odd rows every one must take."""
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -501,6 +502,20 @@ def test_nearest_examples_are_exact():
         assert index.nearest(key) == want
 
 
+def test_every_labelled_vector_is_an_example(spark):
+    n, clean = 22_000, 2_000
+    some = list(itertools.islice(itertools.combinations([f"b{k}" for k in range(60)], 3), n))
+    rows = [(k, " ".join(t), "", "", 0) for k, t in enumerate(some)] + [(n + k, "plain", "", "", 0) for k in range(clean)]
+    labels = spark.createDataFrame([(k, 1, int(k < n)) for k in range(n + clean)], "doc_id long, quality int, toxic int")
+    s = toxicity.Settings()
+    terms, examples = toxicity.learn(frame(spark, rows), labels, s)
+    used = [k for k in range(n + clean) if crc32(str(k).encode()) % 5]
+    pos = sum(k < n for k in used)
+    assert pos > 16_384 and sum(e[1] for e in examples) == pos and sum(e[2] for e in examples) == len(used) - pos
+    index = toxicity.BlockMaxIndex(examples, toxicity.Vectors(terms, s), s)
+    assert index.prior == (pos + 1) / (len(used) + 2)
+
+
 def test_labels_of_held_out_rows_do_not_matter(spark):
     rows, labels = toxic_corpus(1, 200)
     turned = [(k, q, 1 - t if crc32(str(k).encode()) % 5 == 0 else t) for k, q, t in labels]
