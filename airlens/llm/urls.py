@@ -3,8 +3,9 @@
 Listed rules come first.  For the rest, the parts of a host are split into
 words by a unigram Viterbi whose counts come from all documents, and a
 multinomial naive Bayes scores the host's words and the path's tokens.  Its
-two classes are learned from the pages' own urls: hosts with one of a few
-listed words are examples to block, all others examples to allow.
+two classes are learned from the pages' own urls: hosts with a listed word are
+examples to block, all others examples to allow, but for urls that a rule
+blocks, which are no example to allow.
 
 Counts, words and scores stay in tables that are joined by word, host or path
 shape; nothing that grows with the input is broadcast.
@@ -32,11 +33,15 @@ RULES = (
 )
 # Words whose hosts are examples to block, and words that a
 # general corpus may lack but names are made of.
-BLOCK_WORDS = ("adult", "ads", "bet", "bets", "betting", "casino", "gambling", "malware", "phishing", "pills", "poker",
-               "porn", "sex", "spam", "viagra", "warez", "xxx")
+BLOCK_WORDS = ("adult", "ads", "advert", "bet", "bets", "betting", "bingo", "bookmaker", "camgirls", "cams", "casino", "casinos",
+               "cialis", "clickbait", "cracks", "erotic", "escort", "escorts", "gamble", "gambling", "hentai", "hookup",
+               "jackpot", "keygen", "keygens", "loan", "loans", "lottery", "lotto", "malware", "milf", "nude", "nudes", "payday",
+               "phishing", "pills", "poker", "porn", "porno", "roulette", "scam", "scams", "sex", "sexy", "slots", "spam",
+               "spyware", "steroids", "sweepstakes", "trojan", "viagra", "warez", "webcams", "xxx")
 NAME_WORDS = ("best", "blog", "buy", "cheap", "deals", "download", "example", "farm", "free", "info", "mail", "news", "online",
               "shop", "site", "store", "track", "web", "win", "www")
-LONGEST = 20
+#: Letters of the longest part of a host name.
+LONGEST = 63
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -59,13 +64,13 @@ def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of ASCII letters of 1 to LONGEST, lower-cased; a row per word and batch."""
+    """Words of letters and non-ASCII characters, A-Z lower-cased; a row per word and batch."""
     keep = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
     for batch in batches:
         seen = Counter()
         for text in batch.column("text"):
             seen.update(text.as_py().encode().translate(keep).split())
-        words = [w for w in seen if len(w) <= LONGEST and w.isascii()]
+        words = list(seen)
         yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in words], pa.string()),
                                           pa.array([seen[w] for w in words], pa.int64())], names=["word", "n"])
 
@@ -126,7 +131,8 @@ def judge(pages: DataFrame, docs: DataFrame, rules=RULES) -> DataFrame:
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     urls = materialise(urls.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("listed"),
                                    F.array_join(tokens(F.col("path")), "/").alias("shape")), "urls")
-    seen = materialise(urls.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("n")), "seen-urls")
+    counted = materialise(urls.groupBy("host", "shape", "listed").agg(F.count(F.lit(1)).alias("n")), "seen-urls")
+    seen = counted.select("host", "shape").distinct()
 
     # Words of each host, and its class.
     of_host = seen.select("host").distinct().select("host", F.posexplode(F.filter(
@@ -138,7 +144,8 @@ def judge(pages: DataFrame, docs: DataFrame, rules=RULES) -> DataFrame:
     bad = words.filter(F.col("word").isin(*BLOCK_WORDS)).select("host").distinct().withColumn("bad", F.lit(1))
 
     # Multinomial counts over all urls.
-    classed = seen.join(bad, "host", "left").select("host", "shape", "n", F.coalesce("bad", F.lit(0)).alias("bad"))
+    classed = (counted.join(bad, "host", "left").filter("bad = 1 or listed is null or listed <> 'block'")
+               .select("host", "shape", "n", F.coalesce("bad", F.lit(0)).alias("bad")))
     by_host = classed.groupBy("host", "bad").agg(F.sum("n").alias("n"))
     from_host = words.join(by_host, "host").select(F.concat(F.lit("h:"), "word").alias("token"), "bad", "n")
     from_path = (classed.groupBy("shape", "bad").agg(F.sum("n").alias("n"))

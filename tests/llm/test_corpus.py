@@ -407,6 +407,26 @@ def test_url_rules_and_verdicts(spark):
     assert urls.judge(pages.limit(0), docs.limit(0)).count() == 0
 
 
+def test_what_rules_block_is_no_example_to_allow(spark):
+    by_rule = [(k, f"http://river.stones.net/es/{k}") for k in range(40)]
+    rest = [(100 + k, f"http://host{k % 7}.org/en/{k}") for k in range(60)]
+    rest += [(200, "http://river-stones.org/es/1"), (201, "http://paydayloans.org/1"), (202, "http://lottery-x.org/2")]
+    docs = frame(spark, [(1, "river stones payday loans lottery host", "", "", 0)] * 20)
+    judged = lambda rows: {r["page_id"]: (r["verdict"], r["block_odds"]) for r in urls.judge(spark.createDataFrame(
+        rows, "page_id long, url string"), docs).collect() if r["page_id"] >= 100}
+    got = judged(by_rule + rest)
+    assert got == judged(rest)
+    assert got[201][0] == got[202][0] == "block" and {got[100 + k][0] for k in range(60)} == {"allow"}
+
+
+def test_all_words_are_counted_for_host_parts(spark):
+    long = "donaudampfschifffahrtsgesellschaft"
+    docs = frame(spark, [(1, f"stra\u00dfen bahn {long}", "", "", 0)] * 50)
+    parts = spark.createDataFrame([("stra\u00dfenbahn",), (long + "bahn",)], "part string")
+    got = {r["part"]: r["words"] for r in urls.segment(parts, docs).collect()}
+    assert got == {"stra\u00dfenbahn": ["stra\u00dfen", "bahn"], long + "bahn": [long, "bahn"]}
+
+
 def test_viterbi_finds_the_likeliest_split():
     known = {"spam": 50.0, "farm": 40.0, "spa": 30.0, "arm": 20.0, "free": 60.0}
     assert urls.viterbi("spamfarm", known, 1000.0) == ["spam", "farm"]
