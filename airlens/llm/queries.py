@@ -6,6 +6,8 @@ from airlens.llm.html_text import op2_html_extract
 from airlens.llm.licenses import op1_license_scan
 from airlens.llm.mixing import OP9_SQL, op9_source_mix
 from airlens.llm.near_dedup import OP6_SQL, op6_minhash_dedup
+from airlens.llm.neighbours import op12_nearest_neighbours
+from airlens.llm.orchard import OP11_SQL, op11_centroid_clusters
 from airlens.llm.packing import op10_packing
 from airlens.llm.quality import OP5_SQL, op5_quality_rules
 from airlens.llm.token_edits import op3_token_edits
@@ -23,10 +25,13 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_source_mix": op9_source_mix,
     "op10_packing": op10_packing,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
 }
 ORACLES = {
     "op5_quality_rules": OP5_SQL,
     "op6_minhash_dedup": OP6_SQL,
     "op7_exact_dedup": OP7_SQL,
     "op9_source_mix": OP9_SQL,
+    "op11_centroid_clusters": OP11_SQL,
 }
