@@ -1,6 +1,7 @@
 """Registered queries of the corpus operators and their DuckDB twins."""
 from __future__ import annotations
 
+from airlens.llm.alignment import op13_tokenizer_alignment
 from airlens.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from airlens.llm.html_text import op2_html_extract
 from airlens.llm.licenses import op1_license_scan
@@ -27,6 +28,7 @@ QUERIES = {
     "op10_packing": op10_packing,
     "op11_centroid_clusters": op11_centroid_clusters,
     "op12_nearest_neighbours": op12_nearest_neighbours,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 ORACLES = {
     "op5_quality_rules": OP5_SQL,
