@@ -76,7 +76,7 @@ def k03_save_features(spark, sf_dir):
     ST.save_features(f.select("city", "date", "aqi_day1"), p, mode="update")
     live = f.where(F.col("date") >= F.lit(CUT).cast("date")).select("city", "date", (F.col("aqi_mean") + 0.5).alias("aqi_mean"))
     ST.save_features(live, p, mode="merge")
-    return round_cols(spark.read.parquet(p).drop("month"), ["aqi_mean"])
+    return round_cols(ST.read_table(spark, p).drop("month"), ["aqi_mean"])
 
 
 _P04 = (Q.ctes(v1=Q.V1, rev=REV, u=f"SELECT {_q(V1_COLS)}, 0 AS src FROM v1 UNION ALL SELECT {_q(V1_COLS)}, 1 FROM rev")
@@ -91,7 +91,7 @@ def k02_save_raw(spark, sf_dir):
     p = ST.scratch_path(spark, "raw")
     ST.save_raw(V.event_readings(spark, sf_dir).select(*cols), p)
     ST.save_raw(V.redelivered_readings(spark, sf_dir).select(*cols), p)
-    return round_cols(spark.read.parquet(p).drop("day"), ["aqi"])
+    return round_cols(ST.read_table(spark, p).drop("day"), ["aqi"])
 
 
 HALF = "timestamp_ntz '2024-01-12 00:00:00'"

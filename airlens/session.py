@@ -12,7 +12,8 @@ import os
 import re
 import shutil
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -104,9 +105,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     Later jobs read the written rows, so they survive lost executors and
     neither repeat nor vary the work above them."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
     if _PASSING.get() is not None:
         _PASSING.get().append(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -127,6 +128,19 @@ def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def transient(spark: SparkSession) -> Iterator[None]:
+    """Tables that are materialised inside are deleted at the end, whether the
+    block succeeds or not; for work that leaves no lazy frame behind."""
+    token = _PASSING.set(passing := [])
+    try:
+        yield
+    finally:
+        _PASSING.reset(token)
+        for p in passing:
+            _delete(spark, p)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete every intermediate table this application has written."""
     _delete(spark, f"{checkpoint_dir(spark).rstrip('/')}/tables-{spark.sparkContext.applicationId}")

@@ -8,20 +8,29 @@ whole partitions at commit, so the plan may read the table it rewrites and a
 failed write leaves the old rows.  For that reason every store has a
 partition: one without partition columns of its own gets ``_bucket``, a hash
 of its keys, which :func:`read_table` drops.  Keys must determine the
-partition (e.g. key ``(city, date)`` with partition ``month(date)``).  The
-batch is written once to the shared folder before it is looked at, so it is
-evaluated once.  All modes are idempotent.
+partition (e.g. key ``(city, date)`` with partition ``month(date)``).
+
+Batches may have more or fewer columns than the table: its columns are
+declared beside it (:mod:`airlens.sinks.schemas`), every read and rewrite
+uses all of them, and a batch can only add to them.  A null is a key like any
+other, in keys as in partition columns; an empty text in a partition column
+is stored as null, as Spark's partition folders cannot tell them apart.
+
+The batch is written once to the shared folder before it is looked at and
+deleted at the end.  All modes are idempotent.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airlens.operators.clean import _as_list, dedupe
-from airlens.session import materialise, scratch_path  # noqa: F401 - scratch_path is part of this module's interface
+from airlens.session import materialise, scratch_path, transient  # noqa: F401 - scratch_path is part of this module's interface
+from airlens.sinks import schemas
 
 BUCKET = "_bucket"
 
@@ -33,9 +42,11 @@ class UpsertResult:
 
 
 def _stored(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The table under its declared schema.  One without a declaration (written
+    by other means) is read with the union of its files' columns."""
+    schema = schema or schemas.declared(spark, path)
     r = spark.read.option("basePath", path)
-    if schema is not None:
-        r = r.schema(schema)
+    r = r.option("mergeSchema", "true") if schema is None else r.schema(schema)
     try:
         return r.parquet(path)
     except Exception as e:  # noqa: BLE001 - empty / missing table
@@ -56,70 +67,96 @@ def check_unique(df: DataFrame, keys) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+def same(left: str, right: str, keys) -> Column:
+    """Equality of all keys of two aliases; null equals null.  Spark plans it
+    as an ordinary equi-join."""
+    return reduce(Column.__and__, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+
 def merge_rows(old: DataFrame, new: DataFrame, keys) -> DataFrame:
     """Field merge (``$set``): on matched keys, columns present in ``new``
     win (even when NULL); columns only in ``old`` keep their value."""
     keys = _as_list(keys)
-    new_cols = [c for c in new.columns if c not in keys]
-    o = old.alias("o")
-    n = new.withColumn("_hit", F.lit(True)).alias("n")
-    j = o.join(n, keys, "full_outer")
-    sel = [F.col(k) for k in keys]
+    j = old.alias("o").join(new.withColumn("_hit", F.lit(True)).alias("n"), same("o", "n", keys), "full_outer")
+    sel = []
     for c in old.columns:
-        if c in keys:
-            continue
         sel.append((F.when(F.col("n._hit"), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}"))
-                    if c in new_cols else F.col(f"o.{c}")).alias(c))
-    for c in new_cols:
-        if c not in old.columns:
-            sel.append(F.col(f"n.{c}").alias(c))
+                    if c in new.columns else F.col(f"o.{c}")).alias(c))
+    sel += [F.col(f"n.{c}").alias(c) for c in new.columns if c not in old.columns]
     return j.select(*sel)
 
 
+def _touched(old: DataFrame, new: DataFrame, parts: list[str]) -> DataFrame:
+    """Rows of the partitions that the batch has rows in.  The join on plain
+    equality lets Spark prune partitions; null ones are met apart."""
+    values = new.select(*parts).distinct()
+    none = reduce(Column.__or__, [F.col(p).isNull() for p in parts])
+    rows = old.join(values.where(~none), parts, "left_semi")
+    if values.where(none).isEmpty():
+        return rows
+    return rows.unionByName(old.where(none).alias("o").join(values.where(none).alias("v"), same("o", "v", parts), "left_semi"))
+
+
 def upsert(new: DataFrame, path: str, keys, partition_by=None, mode: str = "replace",
            count: bool = False, order: str | None = None, buckets: int = 16) -> UpsertResult | None:
     """Keyed upsert into partitioned Parquet.
 
-    ``replace`` (K01) new rows take the place of stored rows; ``merge`` (K05)
-    their columns do; ``update`` as merge, but rows with unknown keys are left
-    out; ``latest`` the row with the largest ``order`` stays, whichever side it
-    comes from.  Empty batches write nothing.  With ``count=True`` the
-    (inserted, updated) numbers are computed from the staged batch."""
+    ``replace`` (K01) new rows take the place of stored rows, so columns that
+    the batch lacks become null there; ``merge`` (K05) their columns do;
+    ``update`` as merge, but rows with unknown keys are left out; ``latest``
+    the row with the largest ``order`` stays, whichever side it comes from.
+    Empty batches write nothing.  A column whose type cannot be widened to hold
+    both sides is an error.  With ``count=True`` the (inserted, updated)
+    numbers are computed from the staged batch."""
     spark = new.sparkSession
     keys = _as_list(keys)
     parts = _as_list(partition_by) if partition_by else [BUCKET]
     if mode == "latest":
         new = dedupe(new, keys, [order], keep="last")
-    if not partition_by:
+    if partition_by:
+        new = new.withColumns({p: F.when(F.col(p) != "", F.col(p)) for p in parts
+                               if isinstance(new.schema[p].dataType, T.StringType)})
+    else:
         new = new.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    new = materialise(new, "batch")
-    if check_unique(new, keys).take(1):
+    new = new.drop(*[f.name for f in new.schema.fields if isinstance(f.dataType, T.NullType)])
+    with transient(spark):
+        return _write(spark, materialise(new, "batch"), path, keys, parts, mode, count, order)
+
+
+def _write(spark: SparkSession, new: DataFrame, path: str, keys: list[str], parts: list[str], mode: str, count: bool,
+           order: str | None) -> UpsertResult | None:
+    if not check_unique(new, keys).isEmpty():
         raise ValueError(f"batch has duplicate keys {keys}")
-    if not new.take(1):
+    if new.isEmpty():
+        return UpsertResult(0, 0) if count else None
+    known, old = schemas.declared(spark, path), _stored(spark, path)
+    if old is None and mode == "update":
         return UpsertResult(0, 0) if count else None
-    old = _stored(spark, path)
+    full = schemas.union(known or (old.schema if old is not None else T.StructType()), new.schema)
+    if full != known:
+        schemas.declare(spark, path, full)
+    new = schemas.conform(new, full, fill=mode not in ("merge", "update"))
     result = None
     if old is None:
-        if mode == "update":
-            return UpsertResult(0, 0) if count else None
         out = new
         if count:
             result = UpsertResult(new.count(), 0)
     else:
+        old = _stored(spark, path, full)
         if count:
-            hit = new.select(*keys).join(old.select(*keys), keys, "left_semi").count()
+            hit = new.alias("n").join(old.alias("o"), same("n", "o", keys), "left_semi").count()
             result = UpsertResult(0 if mode == "update" else new.count() - hit, hit)
-        touched = old.join(new.select(*parts).distinct(), parts, "left_semi")
+        touched = _touched(old, new, parts)
         if mode == "merge":
             out = merge_rows(touched, new, keys)
         elif mode == "update":
-            out = merge_rows(touched, new.join(touched.select(*keys), keys, "left_semi"), keys)
+            out = merge_rows(touched, new.alias("n").join(touched.alias("o"), same("n", "o", keys), "left_semi"), keys)
         elif mode == "latest":
-            out = dedupe(touched.unionByName(new, allowMissingColumns=True), keys, [order], keep="last")
+            out = dedupe(touched.unionByName(new), keys, [order], keep="last")
         else:
-            kept = touched.join(new.select(*keys), keys, "left_anti")
-            out = kept.unionByName(new, allowMissingColumns=True)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+            out = touched.alias("o").join(new.alias("n"), same("o", "n", keys), "left_anti").unionByName(new)
+    (schemas.conform(out, full).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(path))
     return result
 
 
