@@ -19,6 +19,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,10 @@ from airlens.session import materialise, settled
 #: Documents and postings of a block at most; postings held before they are written.
 BLOCK_DOCS, BLOCK_POSTINGS, HELD_POSTINGS = 1 << 16, 1 << 24, 1 << 21
 #: Pieces up to this length are remembered, in a table of up to so many bytes.
-PIECE_CHARS, TABLE_BYTES = 48, 96 << 20
+PIECE_CHARS, TABLE_BYTES = 48, 128 << 20
 _CUT = re.compile(r"(?<=[!-~\w])(?= [!-~\w])")
+#: Scores are broadcast up to so many pairs (40 MB), and joined by a shuffle beyond.
+BROADCAST_PAIRS = 1_000_000
 #: A bitmap of a block; fewer places than this are listed, two bytes each.
 _MAP_BYTES = BLOCK_DOCS // 8
 _BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
@@ -90,6 +93,10 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(m[1], 16)]) if self.b.is_byte(i) and (m := _BYTE_PIECE.fullmatch(p))
                         else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
+        #: An id and what follows it: more of its side, the other side or a group, the end of a piece.
+        self.text_a = np.array([[f"{i}{m}" for i in range(len(self.bytes_a))] for m in ",|"], object)
+        self.text_b = np.array([[f"{i}{m}" for i in range(len(self.bytes_b))] for m in ",;\n"], object)
         #: A piece of B that goes on after a space would not end at our cuts.
         self.cut = _CUT if not any("▁" in p.lstrip("▁") for p in pieces) else re.compile(r"(?!)")
         self.clear()
@@ -109,31 +116,27 @@ class Aligner:
         ids_b = self.b.encode([p[1:] for p in pieces], num_threads=1)
         raw = [p.encode() for p in pieces]
         ta, tb = self.bytes_a, self.bytes_b
-        good = [b"".join([ta[i] for i in x]) == r and b"".join([tb[i] for i in y]) == r
-                for x, y, r in zip(ids_a, ids_b, raw)]
-        fa = [i for x, ok in zip(ids_a, good) if ok for i in x]
-        fb = [i for y, ok in zip(ids_b, good) if ok for i in y]
+        fa, fb = list(chain.from_iterable(ids_a)), list(chain.from_iterable(ids_b))
+        whole, good = b"".join(raw), np.ones(len(pieces), bool)
+        if b"".join([ta[i] for i in fa]) != whole or b"".join([tb[i] for i in fb]) != whole:
+            good = np.array([b"".join([ta[i] for i in x]) == r and b"".join([tb[i] for i in y]) == r
+                             for x, y, r in zip(ids_a, ids_b, raw)], bool)
+            fa = [i for x, ok in zip(ids_a, good) if ok for i in x]
+            fb = [i for y, ok in zip(ids_b, good) if ok for i in y]
         a, b = np.array(fa, np.int64), np.array(fb, np.int64)
-        ends_a = np.cumsum([len(ta[i]) for i in fa], dtype=np.int64)
-        ends_b = np.cumsum([len(tb[i]) for i in fb], dtype=np.int64)
-        ends = np.cumsum([len(r) if ok else 0 for r, ok in zip(raw, good)], dtype=np.int64)
+        ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
+        ends = np.cumsum(np.where(good, [len(r) for r in raw], 0))
         # Between neighbouring ends of either kind lies exactly one linked pair.
-        every = np.union1d(ends_a, ends_b)
+        both = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        new = np.diff(both, prepend=-1) > 0
+        every, common = both[new], both[~new]
         codes = a[np.searchsorted(ends_a, every)] << 32 | b[np.searchsorted(ends_b, every)] if len(every) else every
-        common = np.intersect1d(ends_a, ends_b)
-        upto_a = [0, *(np.searchsorted(ends_a, common) + 1).tolist()]
-        upto_b = [0, *(np.searchsorted(ends_b, common) + 1).tolist()]
-        sa, sb = list(map(str, fa)), list(map(str, fb))
-        texts = [",".join(sa[i:j]) + "|" + ",".join(sb[k:n])
-                 for i, j, k, n in zip(upto_a, upto_a[1:], upto_b, upto_b[1:])]
 
         def within(x: np.ndarray) -> np.ndarray:
             return np.diff(np.searchsorted(x, ends, side="right"), prepend=0)
         counts = np.stack([within(ends_a), within(ends_b), within(common), within(every)], 1)
-        at = np.cumsum(counts[:, 2]).tolist()
-        new = [";".join(texts[i:j]) for i, j in zip([0, *at], at)]
         size = counts[:, 3].copy()
-        counts[~np.array(good, bool)] = -1
+        counts[~good] = -1
         new_codes, inverse = np.unique(codes, return_inverse=True)
         missing = [c for c in new_codes.tolist() if c not in self.pair_of]
         self.pair_of.update(zip(missing, range(len(self.pair_of), len(self.pair_of) + len(missing))))
@@ -143,8 +146,22 @@ class Aligner:
         self.size.add(size)
         self.links.add(numbers[inverse] if len(codes) else numbers)
         self.counts.add(counts)
-        self.groups += new
-        self.held += sum(map(len, new)) + sum(map(len, raw)) + 4 * len(codes) + 250 * len(pieces) + 120 * len(missing)
+        texts = self._written(a, b, ends_a, ends_b, common, ends, good)
+        self.groups += texts
+        self.held += sum(map(len, texts)) + len(whole) + 4 * len(codes) + 250 * len(pieces) + 120 * len(missing)
+
+    def _written(self, a, b, ends_a, ends_b, common, ends, good) -> list[str]:
+        """The groups of each piece as text: every token's id with the mark that
+        follows it, in the order of groups, A's before B's."""
+        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        n_a, n_b = (np.bincount(g, minlength=len(common)) for g in (group_a, group_b))
+        out = np.empty(len(a) + len(b), object)
+        last_a, last_b = common[group_a] == ends_a, common[group_b] == ends_b
+        mark_b = last_b.astype(int) + (ends[np.searchsorted(ends, ends_b)] == ends_b)
+        out[np.arange(len(a)) + (np.cumsum(n_b) - n_b)[group_a]] = self.text_a[last_a.astype(int), a]
+        out[np.arange(len(b)) + np.cumsum(n_a)[group_b]] = self.text_b[mark_b, b]
+        written = iter("".join(out.tolist()).split("\n"))
+        return [next(written) if ok else "" for ok in good]
 
     def many(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """(counts, digests, text, code, links): n_a, n_b, n_groups, n_links and
@@ -168,7 +185,7 @@ class Aligner:
             numbers = [[once[p] if p in once else known[p] for p in pieces] for pieces in cut]
         else:
             numbers = [[known[p] for p in pieces] for pieces in cut]
-        flat = np.array([i for x in numbers for i in x], np.int64)
+        flat = np.fromiter(chain.from_iterable(numbers), np.int64)
         owner = np.repeat(np.arange(len(texts)), [len(x) for x in numbers])
         per_piece = self.counts.all[flat]
         lost = np.zeros(len(texts), bool)
@@ -412,6 +429,8 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, block_docs: int =
         found = index(docs, path_a, path_b, block_docs, most_held)
         postings = pair_postings(found)
         scores = pair_scores(postings)
+        if scores.count() <= BROADCAST_PAIRS:
+            scores = F.broadcast(scores)
         scored = (postings.drop("n_docs", "n_links").join(scores, ["a", "b"])
                   .select(F.lit(0).alias("kind"), "block", "plane", "docs", F.col("best").cast("int").alias("best"),
                           F.col("n_links").alias("total"), F.col("n_docs").alias("docs_total")))
