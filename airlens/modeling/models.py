@@ -17,6 +17,7 @@ import json
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Mapping, Sequence
 
 import numpy as np
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 
 from airlens import constants as C
 from airlens.functions import scalars as S
-from airlens.modeling.selection import expanding_folds, time_split
+from airlens.modeling.moments import ridge_cv
+from airlens.modeling.selection import expanding_folds, positions, time_split
 from airlens.operators.clean import _as_list
 from airlens.operators.features import check_leakage
 from airlens.session import materialise
@@ -190,9 +192,14 @@ def train_best_model(df: DataFrame, target: str, features: Sequence[str] = tuple
     folds = materialise(expanding_folds(train, keys, order), "folds").persist(StorageLevel.MEMORY_AND_DISK)
     sizes = {(r["fold"], r["role"]): r["count"] for r in folds.groupBy("fold", "role").count().collect()}
 
+    alphas = [float(p.get("alpha", C.RIDGE_ALPHA)) for p in grids.get("ridge", [])]
+    ridges = ridge_cv(train, feats, target, means, alphas, keys, order) if alphas else {}
+
     def run(point):
         family, params = point
-        cv = cv_score(folds, feats, target, family, params, means)
+        # Ridge folds come from block moments: one pass for all of them.
+        cv = (float(np.mean(ridges[float(params.get("alpha", C.RIDGE_ALPHA))])) if family == "ridge"
+              else cv_score(folds, feats, target, family, params, means))
         model = fit(train, feats, target, family, params, means)
         return dict(family=family, params=params, cv_rmse=cv, model=model, **test_metrics(model, test, target))
 
@@ -235,17 +242,39 @@ def prediction_name(target: str) -> str:
     return "pred_" + target.replace("aqi_", "")
 
 
+def out_of_fold(df: DataFrame, trained: Trained, name: str, key="city", order: str = "date", blocks: int = C.CV_SPLITS + 1) -> DataFrame:
+    """``df`` with predictions by models of ``trained``'s kind that did not see
+    the row: each key's rows are cut into ``blocks`` runs of days, and a block is
+    predicted by a model fitted on the rows of all other blocks (their means
+    fill the nulls)."""
+    keys = _as_list(key)
+    part = F.floor((F.col("rn") - 1) * blocks / F.col("n")).cast("int")
+    rows = materialise(positions(df, keys, order).withColumn("_block", part).drop("rn", "n"), "blocks")
+    out = []
+    for b in range(blocks):
+        others = rows.where((F.col("_block") != b) & F.col(trained.target).isNotNull())
+        model = fit(others, trained.features, trained.target, trained.model_name, trained.params)
+        out.append(predict(model, rows.where(F.col("_block") == b), name).drop("_block"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def train_chain(df: DataFrame, features: Sequence[str] = tuple(C.FEATURE_COLS), grids: Mapping[str, list] = C.MODEL_GRIDS,
-                key="city", order: str = "date", targets: Sequence[str] = tuple(C.TARGETS), **kw) -> tuple[list, DataFrame]:
+                key="city", order: str = "date", targets: Sequence[str] = tuple(C.TARGETS), chained: str = "in_sample",
+                **kw) -> tuple[list, DataFrame]:
     """Horizon h is trained with the predictions of horizons < h as extra
     features (``pred_day1``, ``pred_day2``); returns the trained models and
-    the frame with the prediction columns added."""
+    the frame with the prediction columns added.  ``chained`` is 'in_sample'
+    (the fitted winner's, Q06) or 'out_of_fold' (:func:`out_of_fold`)."""
+    if chained not in ("in_sample", "out_of_fold"):
+        raise ValueError(f"chained is {chained!r}")
     out, cur, extra = [], df, []
     for t in targets:
         tr = train_best_model(cur, t, features, grids, key, order, extra_features=extra, **kw)
         out.append(tr)
-        cur = materialise(predict(tr.model, cur, prediction_name(t)), "chain")
-        extra = extra + [prediction_name(t)]
+        name = prediction_name(t)
+        more = predict(tr.model, cur, name) if chained == "in_sample" else out_of_fold(cur, tr, name, key, order)
+        cur = materialise(more, "chain")
+        extra = extra + [name]
     return out, cur
 
 

@@ -13,9 +13,10 @@ Scale notes
 """
 from __future__ import annotations
 
+from functools import reduce
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,8 +105,20 @@ def drop_null_features(df: DataFrame, features: Sequence[str] | None = None) ->
 
 
 # W12-W14 ---------------------------------------------------------------------
+def between_angles(pv, nv, share):
+    """The angle ``share`` of the way from ``pv`` to ``nv`` (degrees), the
+    shorter way round: the direction of the weighted sum of both unit vectors,
+    in [0, 360); where the two cancel out, ``pv``."""
+    a, b = F.radians(pv), F.radians(nv)
+    x = (1 - share) * F.cos(a) + share * F.cos(b)
+    y = (1 - share) * F.sin(a) + share * F.sin(b)
+    angle = F.round(F.degrees(F.atan2(y, x)) * 1e9, 0) / 1e9   # no -1e-15 that would become 360
+    turned = angle - 360 * F.floor(angle / 360)
+    return F.when(x * x + y * y < 1e-18, pv).otherwise(turned)
+
+
 def fill_gaps(df: DataFrame, key, order, cols: Sequence[str] | None = None,
-              limit: int = 3, bucket: str = "month") -> DataFrame:
+              limit: int = 3, bucket: str = "month", circular: Sequence[str] = ()) -> DataFrame:
     """Linear interpolation by row position (at most ``limit`` steps into a
     gap, later steps repeat the last interpolated value), then forward fill,
     then backward fill -- per key, ordered by ``order``.
@@ -118,85 +131,77 @@ def fill_gaps(df: DataFrame, key, order, cols: Sequence[str] | None = None,
         pv                                    if nv is null   (trailing gap)
         pv + (nv - pv) * least(rn - pr, limit) / (nr - pr)
 
-    ``bucket`` ('month', 'day' or 'year') bounds the rows one window task
-    holds.  ``order`` must be unique within a key.  The rows with their
-    nearest neighbours are written once to the shared folder: the bucket
-    summary and the final join both read them there, so everything above
-    (de-duplication, calendar, windows) runs once.
+    Columns named in ``circular`` are angles in degrees (Q13) and are
+    interpolated along the circle.  ``bucket`` ('month', 'day' or 'year')
+    bounds the rows one window task holds.  ``order`` must be unique within a
+    key.  The rows are written once to the shared folder, with their position
+    and nothing else; one aggregate of them gives, per bucket, what crosses its
+    edges, and the neighbours inside a bucket are found after that is joined.
     """
     keys = _as_list(key)
     cols = numeric_columns(df, exclude=keys + [order]) if cols is None else list(cols)
     if not cols:
         return df
     order_c = F.col(order)
-    base = df.withColumn("_bk", F.date_trunc(bucket, order_c))
     part = keys + ["_bk"]
     w = Window.partitionBy(*part).orderBy(order_c)
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    # "First non-null at or after" is evaluated as "last non-null so far" in
-    # descending order: a running frame Spark updates incrementally (O(n)),
-    # where a frame ending at UNBOUNDED FOLLOWING is recomputed per row (O(n^2)).
-    fwd = Window.partitionBy(*part).orderBy(order_c.desc()).rowsBetween(Window.unboundedPreceding, 0)
-
-    # Local (within-bucket) positions and nearest non-null neighbours.
-    local = base.withColumn("_rb", F.row_number().over(w))
-    sel = [F.col(c) for c in local.columns]
-    for c in cols:
-        nn = F.col(c).isNotNull()
-        sel += [F.last(F.col(c), True).over(back).alias(f"_pv_{c}"),
-                F.last(F.when(nn, F.col("_rb")), True).over(back).alias(f"_pr_{c}"),
-                F.last(F.col(c), True).over(fwd).alias(f"_nv_{c}"),
-                F.last(F.when(nn, F.col("_rb")), True).over(fwd).alias(f"_nr_{c}")]
-    local = materialise(local.select(*sel).sortWithinPartitions(*part, order), "gaps")
+    local = materialise(df.withColumn("_bk", F.date_trunc(bucket, order_c)).withColumn("_rb", F.row_number().over(w)), "gaps")
 
     # Bucket summary: size, last / first non-null value and its position.
     aggs = [F.count(F.lit(1)).alias("_n")]
     for c in cols:
         pos = F.when(F.col(c).isNotNull(), F.col("_rb"))
-        aggs += [F.max_by(F.col(c), pos).alias(f"_bl_{c}"), F.max(pos).alias(f"_blp_{c}"),
-                 F.min_by(F.col(c), pos).alias(f"_bf_{c}"), F.min(pos).alias(f"_bfp_{c}")]
+        aggs += [F.max_by(F.col(c), pos).alias(f"_lv_{c}"), F.max(pos).alias(f"_lp_{c}"),
+                 F.min_by(F.col(c), pos).alias(f"_fv_{c}"), F.min(pos).alias(f"_fp_{c}")]
     summ = local.groupBy(*part).agg(*aggs)
-    wb = Window.partitionBy(*keys).orderBy("_bk")
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy(*keys).orderBy(F.col("_bk").desc()).rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    edge = lambda p, v: F.when(F.col(p).isNotNull(), F.struct((F.col(p) + F.col("_off")).alias("p"), F.col(v).alias("v")))
     carry = [F.col(k) for k in part] + [F.col("_off")]
     for c in cols:
-        carry += [F.last(F.col(f"_bl_{c}"), True).over(before).alias(f"_cpv_{c}"),
-                  F.last(F.col(f"_blp_{c}") + F.col("_off"), True).over(before).alias(f"_cpr_{c}"),
-                  F.last(F.col(f"_bf_{c}"), True).over(after).alias(f"_cnv_{c}"),
-                  F.last(F.col(f"_bfp_{c}") + F.col("_off"), True).over(after).alias(f"_cnr_{c}")]
-    summ = summ.select(*carry)
-
-    j = local.join(summ, part, "inner")
-    rn = F.col("_rb") + F.col("_off")
+        carry += [F.last(edge(f"_lp_{c}", f"_lv_{c}"), True).over(before).alias(f"_before_{c}"),
+                  F.last(edge(f"_fp_{c}", f"_fv_{c}"), True).over(after).alias(f"_after_{c}")]
+    # A null key is a key.
+    on = reduce(Column.__and__, [F.col(f"l.{k}").eqNullSafe(F.col(f"s.{k}")) for k in part])
+    j = local.alias("l").join(summ.select(*carry).alias("s"), on).select(
+        "l.*", (F.col("_rb") + F.col("_off")).alias("_rn"), *[f"s.{x}_{c}" for c in cols for x in ("_before", "_after")])
+
+    # "First non-null at or after" is evaluated as "last non-null so far" in
+    # descending order: a running frame Spark updates incrementally (O(n)),
+    # where a frame ending at UNBOUNDED FOLLOWING is recomputed per row (O(n^2)).
+    back = w.rowsBetween(Window.unboundedPreceding, 0)
+    fwd = Window.partitionBy(*part).orderBy(order_c.desc()).rowsBetween(Window.unboundedPreceding, 0)
+    # The window in the order of time comes last, so rows stay in that order.
+    for name, edge_of, frame in (("_n", "_after", fwd), ("_p", "_before", back)):
+        here = {c: F.when(F.col(c).isNotNull(), F.struct(F.col("_rn").alias("p"), F.col(c).alias("v"))) for c in cols}
+        j = j.select("*", *[F.coalesce(F.last(here[c], True).over(frame), F.col(f"{edge_of}_{c}")).alias(f"{name}_{c}") for c in cols])
     out = []
     for c in df.columns:
         if c not in cols:
             out.append(F.col(c))
             continue
-        pv = F.coalesce(F.col(f"_pv_{c}"), F.col(f"_cpv_{c}"))
-        pr = F.coalesce(F.col(f"_pr_{c}") + F.col("_off"), F.col(f"_cpr_{c}"))
-        nv = F.coalesce(F.col(f"_nv_{c}"), F.col(f"_cnv_{c}"))
-        nr = F.coalesce(F.col(f"_nr_{c}") + F.col("_off"), F.col(f"_cnr_{c}"))
-        step = F.least(rn - pr, F.lit(limit)).cast("double")
-        interp = pv + (nv - pv) * step / (nr - pr).cast("double")
-        val = (F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
-                .when(pv.isNull(), nv).when(nv.isNull(), pv).otherwise(interp))
-        out.append(val.alias(c))
+        p, n = F.col(f"_p_{c}"), F.col(f"_n_{c}")
+        step = F.least(F.col("_rn") - p.p, F.lit(limit)).cast("double")
+        if c in circular:
+            interp = between_angles(p.v, n.v, step / (n.p - p.p).cast("double"))
+        else:
+            interp = p.v + (n.v - p.v) * step / (n.p - p.p).cast("double")
+        out.append(F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
+                    .when(p.isNull(), n.v).when(n.isNull(), p.v).otherwise(interp).alias(c))
     return j.select(*out)
 
 
 # P20 / P10 -------------------------------------------------------------------
 def fill_nulls(df: DataFrame, key="city", order="timestamp", limit: int = 3,
-               bucket: str = "month") -> DataFrame:
+               bucket: str = "month", circular: Sequence[str] = ()) -> DataFrame:
     """P20: interpolate/ffill/bfill every numeric column of the frame."""
-    return fill_gaps(df, key, order, None, limit=limit, bucket=bucket)
+    return fill_gaps(df, key, order, None, limit=limit, bucket=bucket, circular=circular)
 
 
 def clean_readings(df: DataFrame, key="city", order="timestamp", seq=None,
                    ranges: dict | None = None, limit: int = 3,
-                   bucket: str = "month") -> DataFrame:
+                   bucket: str = "month", circular: Sequence[str] = ()) -> DataFrame:
     """P10: de-duplicate (keep first by ``seq``) -> null out-of-range ->
     fill gaps -> drop rows still missing a required column."""
     keys = _as_list(key)
@@ -204,5 +209,5 @@ def clean_readings(df: DataFrame, key="city", order="timestamp", seq=None,
     ranged = null_out_of_range(deduped, ranges)
     exclude = keys + [order] + ([seq] if seq else [])
     filled = fill_gaps(ranged, keys, order, numeric_columns(ranged, exclude),
-                       limit=limit, bucket=bucket)
+                       limit=limit, bucket=bucket, circular=circular)
     return drop_required_nulls(filled)

@@ -46,22 +46,25 @@ def _batches(cols: Sequence[str], size: int) -> list[list[str]]:
     return [list(cols[k:k + size]) for k in range(0, len(cols), size)]
 
 
-def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "exact", batch: int = 8) -> DataFrame:
-    """count, mean, std, min, 25 %, 50 %, 75 %, max per numeric column: one
-    wide aggregate for each batch of columns, which reads those columns
-    alone, then unpivoted.  No row is copied per column."""
+def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
+    """count, mean, std, min, 25 %, 50 %, 75 %, max per numeric column.
+
+    One pass turns the columns to (column, value) pairs, which partial
+    aggregates reduce on the spot.  Exact quartiles come from counted values in
+    buckets (:func:`exact_quantiles`): no buffer holds a column's values, and no
+    task more than a bucket.  ``method='approx'`` uses a mergeable sketch."""
     cols = numeric_columns(df) if cols is None else list(cols)
-    parts = []
-    for names in _batches(cols, batch):
-        stats = []
-        for c in names:
-            x = F.col(c).cast("double")
-            q = _quantiles(x, (0.25, 0.5, 0.75), method)
-            stats.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-                                  F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q[0].alias("q25"),
-                                  q[1].alias("q50"), q[2].alias("q75"), F.max(x).alias("max")))
-        parts.append(df.select(*names).agg(F.array(*stats).alias("_s")).select(F.inline("_s")))
-    return reduce(DataFrame.unionByName, parts)
+    probs = (0.25, 0.5, 0.75)
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "x")
+    x = F.col("x")
+    stats = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")]
+    if method == "exact":
+        wide = long.groupBy("column").agg(*stats).join(exact_quantiles(long, x, probs, "column"), "column", "left")
+    else:
+        wide = long.groupBy("column").agg(*stats, _quantiles(x, probs, method).alias("_q"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    q = [F.col("_q")[i].alias(f"q{p}") for i, p in enumerate((25, 50, 75))]
+    return names.join(wide, "column", "left").select("column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", *q, "max")
 
 
 def shape(df: DataFrame) -> DataFrame:

@@ -71,18 +71,33 @@ def last_n_mean(df: DataFrame, key, ts: str, value: str, n: int = 6,
     return top.groupBy(*keys, date_col).agg(F.avg(value).alias(out))
 
 
+def last_hours_mean(df: DataFrame, key, ts: str, value: str, hours: int = 6,
+                    date_col: str = "date", out: str = "aqi_last6h") -> DataFrame:
+    """A02 by time: mean over the ``hours`` hours up to the last reading of
+    each (key, day), so a gap leaves readings out instead of reaching further
+    back.  Two partial aggregates and a join on the day's last time; no task
+    sorts a day."""
+    keys = _as_list(key)
+    rows = df.select(*keys, date_col, ts, value)
+    end = rows.groupBy(*keys, date_col).agg(F.max(ts).alias("_end"))
+    recent = rows.join(end, keys + [date_col]).where(F.col(ts) > F.col("_end") - F.make_dt_interval(F.lit(0), F.lit(hours)))
+    return recent.groupBy(*keys, date_col).agg(F.avg(value).alias(out))
+
+
 def daily_rollup(readings: DataFrame, key="city", ts: str = "timestamp",
-                 spec=None, last_n: int | None = 6, parity_count: bool = False) -> DataFrame:
+                 spec=None, last_n: int | None = 6, parity_count: bool = False,
+                 hours: int | None = None) -> DataFrame:
     """(key, date) grain with named aggregates; A02 joined on the same
-    grain (both sides are one row per key-day)."""
+    grain (both sides are one row per key-day), over the last ``last_n`` rows
+    or, with ``hours``, over the last hours."""
     keys = _as_list(key)
     spec = DAILY_SPEC if spec is None else spec
     df = readings.withColumn("date", F.to_date(F.col(ts)))
     cols = set(df.columns)
     aggs = [_agg(k, c, c in cols, parity_count).alias(name) for name, c, k in spec]
     daily = df.groupBy(*keys, "date").agg(*aggs)
-    if last_n and "aqi" in cols:
-        l6 = last_n_mean(df, keys, ts, "aqi", last_n)
+    if (last_n or hours) and "aqi" in cols:
+        l6 = last_hours_mean(df, keys, ts, "aqi", hours) if hours else last_n_mean(df, keys, ts, "aqi", last_n)
         daily = daily.join(l6, keys + ["date"], "left")
         names = [s[0] for s in spec]
         pos = names.index("aqi_std") + 1 if "aqi_std" in names else len(names)

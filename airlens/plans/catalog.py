@@ -3,70 +3,27 @@
 Each entry pairs a Spark query (spark, sf_dir) -> DataFrame with an
 independent DuckDB statement over the same parquet views (or None when the
 operator is not SQL-expressible, e.g. model fitting).  Names follow the
-SURVEY ids.
+SURVEY ids.  Importing this module imports all query modules, which register
+themselves with :mod:`airlens.plans.base`.
 """
 from __future__ import annotations
 
-from typing import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from airlens import constants as C
 from airlens.operators import clean as CL
 from airlens.operators import features as FE
-from airlens.operators import rollup as RU
+from airlens.plans import q_eval, q_explain, q_flows, q_ml, q_model, q_profile, q_sources, q_store, q_time  # noqa: F401 - they register themselves
 from airlens.plans import sqlparts as Q
+from airlens.plans.base import DOUBLE_FEATURES, ORACLES, QUERIES, features_sql, register, round_cols, round_doubles  # noqa: F401
 from airlens.session import cut_lineage
 from airlens.sources import standins as V
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
-
-
-def sql_round(c, digits: int = 6):
-    """round(x * 10^d) / 10^d: the same binary steps SQL engines use for
-    ``round(double, d)``, so both sides of a check round identically."""
-    p = float(10 ** digits)
-    return F.round(F.col(c) * p, 0) / p
-
-
-def round_cols(df: DataFrame, cols, digits: int = 6) -> DataFrame:
-    cols = set(cols)
-    return df.select(*[sql_round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
-
-
-def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    dbl = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return round_cols(df, dbl, digits)
-
-
-FEATURE_OUT = (["city", "date"] + Q.DAILY_NAMES + [n for n, _ in Q.feature_exprs()] + ["fc_pressure_drop_d1"])
-DOUBLE_FEATURES = [c for c in FEATURE_OUT if c not in ("city", "date", "dow")]
-
 
 # --------------------------------------------------------------------------
 # C01 on the long daily series (lineitem)
 # --------------------------------------------------------------------------
-def _features_sql(src_cte: dict, rounded) -> str:
-    feat_cols = [n for n, _ in Q.feature_exprs()] + ["fc_pressure_drop_d1"]
-    keep = [c for c in C.FEATURE_COLS] + C.TARGETS
-    return (Q.ctes(**src_cte, d=Q.daily("r"), f=Q.features("d"))
-            + f"SELECT {Q.select_rounded(['city', 'date'] + Q.DAILY_NAMES + feat_cols, rounded)} "
-            + f"FROM f WHERE {Q.not_null(sorted(set(keep)))}")
-
-
-@register("c01_features_lineitem", _features_sql({"r": Q.V3}, Q.ROUND6))
+@register("c01_features_lineitem", features_sql({"r": Q.V3}, Q.ROUND6))
 def c01_features_lineitem(spark, sf_dir):
     r = V.lineitem_readings(spark, sf_dir)
     return round_cols(FE.compute_features(r, "city", "timestamp"), Q.ROUND6)
@@ -91,15 +48,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("c01_features_events_clean",
-         _features_sql({**_clean_sql_ctes(), "r": "SELECT * FROM cl"}, set(DOUBLE_FEATURES)))(flagship)
-
-
-# Query modules register themselves on import.
-from airlens.plans import q_eval  # noqa: E402,F401
-from airlens.plans import q_sources  # noqa: E402,F401
-from airlens.plans import q_profile  # noqa: E402,F401
-from airlens.plans import q_explain  # noqa: E402,F401
-from airlens.plans import q_model  # noqa: E402,F401
-from airlens.plans import q_ml  # noqa: E402,F401
-from airlens.plans import q_store  # noqa: E402,F401
-from airlens.plans import q_flows  # noqa: E402,F401
+         features_sql({**_clean_sql_ctes(), "r": "SELECT * FROM cl"}, set(DOUBLE_FEATURES)))(flagship)

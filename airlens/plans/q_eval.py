@@ -7,7 +7,7 @@ from airlens import constants as C
 from airlens.functions import scalars as S
 from airlens.operators import evaluate as EV
 from airlens.plans import sqlparts as Q
-from airlens.plans.catalog import register, round_cols
+from airlens.plans.base import register, round_cols
 from airlens.session import cut_lineage
 from airlens.sinks import store as ST
 from airlens.sources import standins as V

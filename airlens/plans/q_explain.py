@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 from airlens.operators import explain as EX
-from airlens.plans.catalog import register, round_cols
+from airlens.plans.base import register, round_cols
 from airlens.plans.q_profile import COMPLETE, features_complete
 
 # Query parameters: a linear model per horizon (weights, intercept).

@@ -8,7 +8,7 @@ from airlens.operators import features as FE
 from airlens.operators import rollup as RU
 from airlens.plans import flows as FL
 from airlens.plans import sqlparts as Q
-from airlens.plans.catalog import DOUBLE_FEATURES, FEATURE_OUT, register, round_doubles
+from airlens.plans.base import DOUBLE_FEATURES, FEATURE_OUT, register, round_doubles
 from airlens.plans.q_eval import ACT, PREDS
 from airlens.sinks import store as ST
 from airlens.sources import standins as V

@@ -15,7 +15,7 @@ from airlens import constants as C
 from airlens.modeling import models as MD
 from airlens.modeling import registry as RG
 from airlens.plans import flows as FL
-from airlens.plans.catalog import register, round_cols
+from airlens.plans.base import register, round_cols
 from airlens.plans.q_profile import COMPLETE, FULL, features_complete, features_full
 from airlens.session import materialise
 from airlens.sinks import store as ST

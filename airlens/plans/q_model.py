@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from airlens import constants as C
+from airlens.modeling import models as MD
+from airlens.modeling import moments as MO
 from airlens.modeling import registry as RG
 from airlens.modeling import selection as SE
 from airlens.operators import evaluate as EV
@@ -11,7 +13,7 @@ from airlens.operators import features as FE
 from airlens.operators import rollup as RU
 from airlens.plans import q_eval as QE
 from airlens.plans import sqlparts as Q
-from airlens.plans.catalog import register, round_cols, round_doubles
+from airlens.plans.base import register, round_cols, round_doubles
 from airlens.plans.q_profile import COMPLETE, FULL, features_complete, features_full
 from airlens.session import materialise
 from airlens.sources import feeds as SRC
@@ -74,6 +76,39 @@ def m02_cv_selection(spark, sf_dir):
     return round_cols(SE.select_winner(sc, order=ORDER), ["cv_rmse"])
 
 
+_ALPHAS = (0.1, 10.0, 1000.0)
+_POOLED = ("SELECT a.alpha, t.fold, sqrt(avg((t.aqi_day1 - (my + cxy / (vx + a.alpha / m.n) * (t.aqi_mean - mx) "
+           "* CASE WHEN vx > 0 THEN 1 ELSE 0 END)) ** 2)) AS rmse FROM fo t JOIN (SELECT fold, avg(aqi_mean) AS mx, avg(aqi_day1) AS my, "
+           "var_pop(aqi_mean) AS vx, covar_pop(aqi_mean, aqi_day1) AS cxy, count(*) AS n FROM fo WHERE role = 'train' GROUP BY fold) m "
+           "ON t.fold = m.fold, (VALUES " + ", ".join(f"({a}::DOUBLE)" for a in _ALPHAS) + ") a(alpha) WHERE t.role = 'test' GROUP BY ALL")
+
+
+@register("m02_ridge_cv_moments", _tail(COMPLETE, p=_POS, fo=_FOLDS,
+          sc=_POOLED.replace("cxy / (vx + a.alpha / m.n)", "m.n * cxy / (vx * (m.n + a.alpha))"))
+          + "SELECT alpha, fold, round(rmse, 6) AS rmse FROM sc")
+def m02_ridge_cv_moments(spark, sf_dir):
+    """Every fold and penalty of a ridge from one pass of block moments."""
+    f = features_complete(spark, sf_dir, ["city", "date", "aqi_mean", "aqi_day1"])
+    scores = MO.ridge_cv(f, ["aqi_mean"], "aqi_day1", {}, _ALPHAS)
+    out = spark.createDataFrame([(a, k + 1, x) for a, folds in scores.items() for k, x in enumerate(folds)],
+                                "alpha double, fold int, rmse double")
+    return round_cols(out, ["rmse"])
+
+
+_BLOCKS = "SELECT *, CAST(floor((rn - 1) * 4 / n) AS INTEGER) AS b FROM p"
+
+
+@register("m09_out_of_fold_chain", _tail(COMPLETE, p=_POS, bl=_BLOCKS,
+          fit="SELECT k.b, avg(aqi_mean) AS mx, avg(aqi_day1) AS my, count(*) * covar_pop(aqi_mean, aqi_day1) / (var_pop(aqi_mean) * (count(*) + 10.0)) AS coef "
+              "FROM range(4) k(b), bl WHERE bl.b <> k.b GROUP BY k.b")
+          + "SELECT city, date, round(my + coef * (aqi_mean - mx), 5) AS pred_day1 FROM bl JOIN fit ON bl.b = fit.b")
+def m09_out_of_fold_chain(spark, sf_dir):
+    """Day-1 predictions for the chain by ridges that did not see the row."""
+    f = features_complete(spark, sf_dir, ["city", "date", "aqi_mean", "aqi_day1"])
+    tr = MD.Trained("aqi_day1", None, "ridge", {"alpha": C.RIDGE_ALPHA}, ["aqi_mean"], {}, {})
+    return round_cols(MD.out_of_fold(f, tr, "pred_day1").select("city", "date", "pred_day1"), ["pred_day1"], 5)
+
+
 # Registry (V6) ---------------------------------------------------------------
 def registry_rows(spark, sf_dir):
     """One model version per (target, data year), scored on that year's

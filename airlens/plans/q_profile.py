@@ -4,11 +4,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from airlens import constants as C
+from airlens.modeling import moments as MO
 from airlens.operators import features as FE
 from airlens.operators import profile as PR
 from airlens.operators import rollup as RU
 from airlens.plans import sqlparts as Q
-from airlens.plans.catalog import FEATURE_OUT, register, round_cols
+from airlens.plans.base import FEATURE_OUT, register, round_cols
 from airlens.session import cut_lineage
 from airlens.sources import standins as V
 
@@ -102,6 +103,13 @@ def a15_corr_matrix(spark, sf_dir):
     return round_cols(PR.correlations(features_complete(spark, sf_dir, CORR_SET), CORR_SET), ["corr"])
 
 
+@register("a15_corr_one_pass", COMPLETE + _corr_sql(C.FEATURE_COLS + C.TARGETS, C.FEATURE_COLS + C.TARGETS))
+def a15_corr_one_pass(spark, sf_dir):
+    """The whole matrix of features and targets from one pass."""
+    cols = C.FEATURE_COLS + C.TARGETS
+    return round_cols(MO.correlation_table(features_complete(spark, sf_dir, cols), cols), ["corr"])
+
+
 @register("a16_histogram", COMPLETE
           + "SELECT CAST(least(floor(20.0 * (aqi_mean - lo) / (hi - lo)) + 1, 20) AS INTEGER) AS bucket, count(*) AS n, "
             "round(any_value(lo) + (CAST(least(floor(20.0 * (aqi_mean - lo) / (hi - lo)) + 1, 20) AS INTEGER) - 1) * any_value(w), 6) AS lower, "

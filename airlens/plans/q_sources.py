@@ -12,7 +12,7 @@ from airlens.operators import features as FE
 from airlens.operators import rollup as RU
 from airlens.plans import q_eval as QE
 from airlens.plans import sqlparts as Q
-from airlens.plans.catalog import register, round_cols, round_doubles
+from airlens.plans.base import register, round_cols, round_doubles
 from airlens.sinks import store as ST
 from airlens.sources import feeds as SRC
 from airlens.sources import standins as V
@@ -93,6 +93,27 @@ def p20_fill_nulls(spark, sf_dir):
     return round_cols(CL.fill_nulls(V.densified_hourly(spark, sf_dir)), M)
 
 
+_ANGLE = '"timestamp", wind_direction AS d'
+_WIND = (Q.ctes(v1=Q.V1, v2=Q.V2, v2d=Q.V2D,
+                p=f"SELECT city, {_ANGLE}, row_number() OVER (PARTITION BY city ORDER BY \"timestamp\") AS rn FROM v2d",
+                n="SELECT *, last_value(d IGNORE NULLS) OVER b AS pv, last_value(CASE WHEN d IS NOT NULL THEN rn END IGNORE NULLS) OVER b AS pr, "
+                  "first_value(d IGNORE NULLS) OVER f AS nv, first_value(CASE WHEN d IS NOT NULL THEN rn END IGNORE NULLS) OVER f AS nr FROM p "
+                  "WINDOW b AS (PARTITION BY city ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), "
+                  "f AS (PARTITION BY city ORDER BY rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)",
+                t="SELECT *, CAST(least(rn - pr, 3) AS DOUBLE) / nullif(nr - pr, 0) AS t FROM n",
+                xy="SELECT *, (1 - t) * cos(radians(pv)) + t * cos(radians(nv)) AS x, (1 - t) * sin(radians(pv)) + t * sin(radians(nv)) AS y FROM t",
+                a="SELECT *, round(degrees(atan2(y, x)) * 1e9, 0) / 1e9 AS a FROM xy")
+         + 'SELECT city, "timestamp", round(CASE WHEN d IS NOT NULL THEN d WHEN pv IS NULL THEN nv WHEN nv IS NULL THEN pv '
+           "WHEN x * x + y * y < 1e-18 THEN pv ELSE a - 360 * floor(a / 360) END, 6) AS wind_direction FROM a")
+
+
+@register("p20_circular_wind", _WIND)
+def p20_circular_wind(spark, sf_dir):
+    """Q13: wind directions are interpolated along the circle."""
+    d = V.densified_hourly(spark, sf_dir).select("city", "timestamp", "wind_direction")
+    return round_cols(CL.fill_nulls(d, circular=["wind_direction"]), ["wind_direction"])
+
+
 def _clean_ctes():
     p, g = Q.gap_fill("rng", M)
     return dict(v1=Q.V1, v2=Q.V2, v2d=Q.V2D, rng=Q.range_null("v2d", M), rng_p=p, g=g)
@@ -228,18 +249,55 @@ _CHUNK = "CAST(floor(datediff('day', DATE '2024-01-01', CAST(\"timestamp\" AS DA
             "CASE WHEN c.i <> 2 THEN coalesce(n.n, 0) END AS n_rows, c.i = 2 AS failed FROM range(5) c(i) "
             f"LEFT JOIN (SELECT {_CHUNK} AS i, count(*) AS n FROM v2 GROUP BY 1) n ON n.i = c.i")
 def s06_chunk_account(spark, sf_dir):
-    """A feed landed week by week, one week missing: the others load, and the
-    account names the one that did not."""
+    """A feed landed week by week, one week missing: the others load in one
+    read, and the account names the one that did not."""
+    base, cols = _land_weeks(spark, sf_dir, "week <> 2", "parquet")
+    _, account = SRC.load_chunk_files(spark, "2024-01-01", "2024-01-30", base, SRC.AQ_SCHEMA, _week_of("file"), "parquet", 7)
+    return account.select("chunk_id", "chunk_start", "chunk_end", "n_rows", F.col("error").isNotNull().alias("failed"))
+
+
+def _week_of(file: str):
+    return F.regexp_extract(file, "week=([0-9]+)", 1).cast("int")
+
+
+def _land_weeks(spark, sf_dir, which: str, fmt: str):
     h = V.hourly_readings(spark, sf_dir)
     base = ST.scratch_path(spark, "chunks")
     week = F.floor(F.datediff(F.to_date("timestamp"), F.lit("2024-01-01").cast("date")) / 7).cast("int")
     cols = ["city", "timestamp", *[F.col(v).alias(k) for k, v in _AQ.items()]]
-    h.select(*cols, week.alias("week")).where("week <> 2").write.partitionBy("week").parquet(base)
-
-    def load(start, end):
-        return SRC.read_air_quality(spark, f"{base}/week={(start - dt.date(2024, 1, 1)).days // 7}")
-    _, account = SRC.load_chunks(spark, "2024-01-01", "2024-01-30", load, 7)
-    return account.select("chunk_id", "chunk_start", "chunk_end", "n_rows", F.col("error").isNotNull().alias("failed"))
+    h.select(*cols, week.alias("week")).where(which).write.partitionBy("week").format(fmt).save(base)
+    return base, cols
+
+
+@register("s06_file_account", Q.ctes(v1=Q.V1, v2=Q.V2)
+          + f"SELECT {_CHUNK} AS week, count(*) AS n_rows, CAST(CASE WHEN {_CHUNK} = 1 THEN 2 ELSE 0 END AS BIGINT) AS n_bad, "
+            f"{_CHUNK} = 1 AS has_error FROM v2 GROUP BY ALL "
+            "UNION ALL SELECT 9, NULL, 0, true")
+def s06_file_account(spark, sf_dir):
+    """JSON files by week; two records of week 1 are cut off and one file is no
+    JSON archive at all.  Every other row loads, and the account has the
+    file of each failure."""
+    base, _ = _land_weeks(spark, sf_dir, "true", "json")
+    spark.createDataFrame([('{"city": "a", "pm10": 1.',), ("not json",)], "value string").coalesce(1).write.mode("append").text(f"{base}/week=1")
+    spark.createDataFrame([("no archive",)], "value string").coalesce(1).write.text(f"{base}/plain")
+    _rename_as_archive(spark, f"{base}/plain", f"{base}/week=9")
+    rows, account = SRC.load_files(spark, base, SRC.AQ_SCHEMA, "json")
+    per = account.groupBy(_week_of("file").alias("week")).agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_bad").alias("n_bad"), F.max(F.col("error").isNotNull()).alias("has_error"))
+    loaded = rows.groupBy(_week_of(SRC.FILE).alias("week")).agg(F.count(F.lit(1)).alias("loaded"))
+    same = per.join(loaded, "week", "left")
+    return same.select("week", F.when(F.col("n_rows").eqNullSafe(F.col("loaded")), F.col("n_rows")).alias("n_rows"), "n_bad", "has_error")
+
+
+def _rename_as_archive(spark, folder: str, to: str) -> None:
+    """The files of ``folder`` below ``to``, named like compressed JSON, which they are not."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(path(to))
+    for k, f in enumerate(s.getPath() for s in fs.listStatus(path(folder)) if s.getPath().getName().startswith("part-")):
+        fs.rename(f, path(f"{to}/broken-{k}.json.gz"))
+    fs.delete(path(folder), True)
 
 
 @register("s08_x03_latest_reading", Q.ctes(v1=Q.V1)

@@ -6,6 +6,8 @@ parameter so reads are reproducible and prune on date-partitioned tables.
 """
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -96,29 +98,116 @@ def chunk_plan(frame: DataFrame, start, end, chunk_days: int = 30) -> DataFrame:
         "chunk_start", F.least(F.date_add("chunk_start", chunk_days - 1), e).alias("chunk_end"))
 
 
-def load_chunks(spark: SparkSession, start: str, end: str, load, chunk_days: int = 30) -> tuple[DataFrame, DataFrame]:
+def _why(e: Exception) -> str:
+    """The first line of an error, or its kind where it has no text."""
+    text = str(e).strip()
+    return text.splitlines()[0][:500] if text else type(e).__name__
+
+
+def _in_threads(run, items, parallelism: int) -> list:
+    """run(item) for each item, ``parallelism`` jobs at a time, in the caller's context."""
+    with ThreadPoolExecutor(max(1, min(parallelism, len(items)))) as pool:
+        return [f.result() for f in [pool.submit(copy_context().run, run, x) for x in items]]
+
+
+def load_chunks(spark: SparkSession, start: str, end: str, load, chunk_days: int = 30,
+                parallelism: int = 8) -> tuple[DataFrame, DataFrame]:
     """Load [start, end] chunk by chunk with ``load(chunk_start, chunk_end)``,
-    which returns a frame or raises.
+    which returns a frame or raises; for loads that are calls, not files.
 
     Returns the rows that loaded and an account with one row per chunk: n_rows,
     or the error of a chunk that failed.  When no chunk loads it is an error.
     A chunk is written to the shared folder as it loads, so a file that breaks
     later breaks its own chunk.  The number of chunks is that of the plan."""
     plan = chunk_plan(spark.range(1), start, end, chunk_days).orderBy("chunk_id").collect()
-    got, account = [], []
-    for c in plan:
+
+    def one(c):
         try:
             rows = materialise(load(c["chunk_start"], c["chunk_end"]), "chunk")
-            account.append((c["chunk_id"], c["chunk_start"], c["chunk_end"], rows.count(), None))
-            got.append(rows)
+            return rows, (c["chunk_id"], c["chunk_start"], c["chunk_end"], rows.count(), None)
         except Exception as e:  # noqa: BLE001 - every failure goes into the account
-            account.append((c["chunk_id"], c["chunk_start"], c["chunk_end"], None, str(e).splitlines()[0][:500]))
+            return None, (c["chunk_id"], c["chunk_start"], c["chunk_end"], None, _why(e))
+    done = _in_threads(one, plan, parallelism)
+    got, account = [r for r, _ in done if r is not None], [a for _, a in done]
     if not got:
         raise RuntimeError(f"none of the {len(plan)} chunks loaded: {account[0][-1]}")
     return (reduce(DataFrame.unionByName, got),
             spark.createDataFrame(account, "chunk_id int, chunk_start date, chunk_end date, n_rows long, error string"))
 
 
+#: The file a landed row came from, and a record that could not be read.
+FILE, BAD = "_file", "_corrupt_record"
+
+
+def load_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json",
+               parallelism: int = 8) -> tuple[DataFrame, DataFrame]:
+    """The rows of all files below ``path`` (with the file of each, ``_file``)
+    and an account with one row per file: file, n_bytes, n_rows, n_bad, error.
+
+    All files are read in one distributed job.  Records of a text format that
+    cannot be read are counted in ``n_bad``, and the first is quoted.  Only when
+    a file breaks that job, the files are divided until the broken ones are
+    alone: these have an error and no rows, not even those before the break.
+    No file at all, or none that can be read, is an error."""
+    text = fmt in ("json", "csv")
+    full = T.StructType(schema.fields + [T.StructField(BAD, T.StringType())]) if text else schema
+
+    def read(paths) -> DataFrame:
+        r = spark.read.schema(full).format(fmt)
+        if text:
+            r = r.options(mode="PERMISSIVE", columnNameOfCorruptRecord=BAD, **({"header": "true"} if fmt == "csv" else {}))
+        df = r.load(path) if paths is None else r.option("basePath", path).load(paths)
+        df = df.select("*", F.col("_metadata.file_path").alias(FILE))
+        return df if text else df.withColumn(BAD, F.lit(None).cast("string"))
+
+    def isolate(paths: list[str]) -> tuple[list, list]:
+        try:
+            return [materialise(read(paths), "landed")], []
+        except Exception as e:  # noqa: BLE001 - every failure goes into the account
+            if len(paths) == 1:
+                return [], [(paths[0], _why(e))]
+        size = -(-len(paths) // 8)
+        parts = _in_threads(isolate, [paths[i:i + size] for i in range(0, len(paths), size)], parallelism)
+        return [x for got, _ in parts for x in got], [x for _, bad in parts for x in bad]
+
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select("path", F.col("length").alias("n_bytes"), F.col("_metadata.file_path").alias("file")))
+    try:
+        got, failed = [materialise(read(None), "landed")], []
+    except Exception as e:  # noqa: BLE001 - one of the files, or all
+        names = [r[0] for r in files.select("path").collect()]
+        if not names:
+            raise
+        got, failed = isolate(names)
+        if not got:
+            raise RuntimeError(f"none of the {len(names)} files below {path} can be read: {_why(e)}") from e
+    rows = reduce(DataFrame.unionByName, got)
+    good = F.col(BAD).isNull()
+    counts = rows.groupBy(F.col(FILE).alias("file")).agg(
+        F.count_if(good).alias("n"), F.count_if(~good).alias("bad"), F.min(BAD).alias("sample"))
+    broken = spark.createDataFrame(failed, "path string, why string")
+    account = files.join(counts, "file", "left").join(broken, "path", "left").select(
+        "file", "n_bytes", F.when(F.col("why").isNull(), F.coalesce("n", F.lit(0))).alias("n_rows"),
+        F.coalesce("bad", F.lit(0)).alias("n_bad"),
+        F.coalesce("why", F.when(F.col("bad") > 0, F.concat(F.col("bad").cast("string"), F.lit(" unreadable records, e.g. "),
+                                                            F.substring("sample", 1, 200)))).alias("error"))
+    return rows.where(good).drop(BAD), account
+
+
+def load_chunk_files(spark: SparkSession, start: str, end: str, path: str, schema: T.StructType, chunk,
+                     fmt: str = "json", chunk_days: int = 30) -> tuple[DataFrame, DataFrame]:
+    """:func:`load_files` with an account by planned chunk: chunk_id,
+    chunk_start, chunk_end, n_files, n_rows, n_bad, error.  ``chunk`` is the
+    chunk_id as a column over ``file``; a chunk without a file has an error."""
+    rows, files = load_files(spark, path, schema, fmt)
+    found = files.withColumn("chunk_id", chunk).groupBy("chunk_id").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").alias("n_rows"), F.sum("n_bad").alias("n_bad"), F.min("error").alias("error"))
+    plan = chunk_plan(spark.range(1), start, end, chunk_days).drop("id")
+    return rows, plan.join(found, "chunk_id", "left").select(
+        *plan.columns, F.coalesce("n_files", F.lit(0)).alias("n_files"), "n_rows", F.coalesce("n_bad", F.lit(0)).alias("n_bad"),
+        F.when(F.col("n_files").isNull(), "no file has landed").otherwise(F.col("error")).alias("error"))
+
+
 def chunk_coverage(readings: DataFrame, start, end, ts: str = "timestamp", key="city",
                    chunk_days: int = 30) -> DataFrame:
     """Rows per (key, chunk) for every planned chunk; missing chunks give 0.

@@ -18,7 +18,7 @@ def _daily(spark, values, col="aqi_mean"):
 
 def test_rolling_lagged_min_periods(spark):
     df = _daily(spark, [1, None, 3, 4, 5])
-    w = FE._w(["city"], "date")
+    w = FE.Frames(["city"], "date")
     out = df.select("date", FE.rolling_mean_lagged("aqi_mean", w, 3, 2).alias("r")).orderBy("date")
     assert [r.r for r in out.collect()] == [None, None, None, 2.0, 3.5]
 
