@@ -1,43 +1,50 @@
 """Toxicity by nearest labelled examples (operator 4).
 
-Labelled texts become TF-IDF vectors over the terms that tell the classes
-apart, which are words and the beginnings of longer words, plus one constant
-term that every text has; texts with equal vectors
-are one example with its counts of both labels.  A text's nearest examples
-are found by exact cosine in an inverted index whose postings are cut into
-blocks with their largest weight: blocks are visited by falling upper bound
-until no other can hold a nearer example.  Votes weighted by distance give
-the score, and the examples are the evidence.
+Labelled texts and the texts to score are TF-IDF vectors over all their
+terms: words and the beginnings of longer words, with document frequencies
+over all rows, plus one constant term that every text has.  A term's weight
+rises with its odds of standing in a toxic text, which are shrunk to none
+where it is rare, and never falls to zero.  The nearest examples by exact
+cosine come from an inverted index: the postings of rare terms are added up,
+the commonest terms are columns of blocks of examples, and blocks are visited
+by falling upper bound (largest weights of the block times the text's) until
+none can hold a nearer example.  Votes weighted by distance are turned into a
+probability by a logistic curve fitted on examples left out of the index;
+the examples are the evidence.
 """
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airlens.llm import common as U
 from airlens.llm.licenses import WORD_BYTES
-from airlens.session import materialise
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Bounds of what is learned: labelled rows (a sample by hash of doc_id
-    beyond that) and terms.  Every vector of the labelled rows is an example."""
+    """Bounds of what is learned: labelled rows that the odds are counted over,
+    examples (half of each class at most, each standing for its share of the
+    class) and their characters, all samples by hash of doc_id beyond that.
+    No text loses a term."""
     most_labelled: int = 200_000
-    most_terms: int = 4096
-    least_toxic: int = 3
-    least_odds: float = math.log(3)
+    most_examples: int = 8_192
+    most_chars: int = 48_000_000
+    floor: float = 0.2
+    odds_unit: float = 3.0
+    shrink: float = 5.0
     constant: float = 1.0
-    block: int = 1024
+    block: int = 512
+    columns: int = 768
     neighbours: int = 15
     prior_weight: float = 1.0
 
@@ -45,6 +52,9 @@ class Settings:
 #: Characters of the beginnings that are terms of their own, and their mark.
 BEGINNINGS = (4, 6)
 MARK = "^"
+#: Words remembered with their terms, in each worker.
+_WORDS = 400_000
+_TOGETHER = 128
 
 
 def words_in(text: str) -> Counter:
@@ -52,11 +62,31 @@ def words_in(text: str) -> Counter:
     return Counter(text.encode().translate(WORD_BYTES).decode().split())
 
 
-def terms_in(words: Counter) -> set[str]:
-    out = set(words)
-    for n in BEGINNINGS:
-        out.update([MARK + w[:n] for w in words if len(w) > n])
-    return out
+def _number(term: str) -> int:
+    return xxhash.xxh64_intdigest(term.encode())
+
+
+class Terms:
+    """Terms of texts as 64-bit numbers."""
+
+    def __init__(self):
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers in rising order, frequencies) of the text's terms."""
+        known, numbers, counts = self.known, [], []
+        if len(known) > _WORDS:
+            known.clear()
+        for word, n in words_in(text).items():
+            terms = known.get(word)
+            if terms is None:
+                terms = (_number(word), *[_number(MARK + word[:k]) for k in BEGINNINGS if len(word) > k])
+                if len(word) <= 64:
+                    known[word] = terms
+            numbers += terms
+            counts += [n] * len(terms)
+        number, inverse = np.unique(np.array(numbers, np.uint64), return_inverse=True)
+        return number, np.bincount(inverse, counts, len(number)) if len(number) else np.empty(0)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -64,195 +94,301 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def labelled(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
-    """(doc_id, text, toxic) of the rows to learn from; null labels and null
-    ids are left out, and of several labels the larger counts.  The labels
-    are broadcast: ``most_labelled`` bounds them."""
+def labelled(labels: DataFrame, s: Settings) -> tuple[DataFrame, dict[bool, float]]:
+    """(doc_id, toxic, example) of the rows to learn from, ``most_labelled`` at
+    most, and the share of each class that are examples; null labels and null
+    ids are left out, and of several labels the larger counts."""
     rows = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("long").alias("toxic"))
             .filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id")))
             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     n = rows.count()
     if n > s.most_labelled:
         rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * s.most_labelled / n))
-    return U.doc_text(docs).join(F.broadcast(rows), "doc_id")
-
-
-def choose_terms(train: DataFrame, s: Settings) -> tuple[dict[str, tuple[int, float]], int, int]:
-    """term -> (number, idf) of the terms that favour the toxic class most (by
-    the likelihood ratio), with the class sizes."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = Counter(), Counter()
-            size = [0, 0]
-            for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-                seen[toxic > 0].update(terms_in(words_in(text.as_py())))
-                size[toxic > 0] += 1
-            terms = ["", *(seen[0].keys() | seen[1].keys())]
-            seen[0][""], seen[1][""] = size
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([seen[1][t] for t in terms], pa.int64()),
-                                              pa.array([seen[0][t] for t in terms], pa.int64())], names=["term", "pos", "neg"])
-
-    counts = (train.mapInArrow(count, "term string, pos long, neg long").groupBy("term")
-              .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
-    counts = materialise(counts.filter((F.col("pos") >= s.least_toxic) | (F.col("term") == F.lit(""))), "term-counts")
-    total = counts.filter(F.col("term") == F.lit("")).first()
-    pos, neg = (total["pos"], total["neg"]) if total else (0, 0)
-    if not pos or not neg:
-        return {}, pos, neg
-    odds = F.log((F.col("pos") + 0.5) / (pos + 1.0)) - F.log((F.col("neg") + 0.5) / (neg + 1.0))
-    p, q = (F.col("pos") + 0.5) / (pos + 1.0), (F.col("neg") + 0.5) / (neg + 1.0)
-    both = (F.col("pos") + F.col("neg") + 1.0) / (pos + neg + 2.0)
-    ratio = F.col("pos") * F.log(p / both) + F.col("neg") * F.log(q / both)
-    top = (counts.filter(F.col("term") != F.lit("")).filter(odds >= s.least_odds)
-           .orderBy(F.desc(F.round(ratio, 6)), "term").limit(s.most_terms).collect())
-    n = pos + neg
-    return {r["term"]: (k, math.log((1 + n) / (1 + r["pos"] + r["neg"]))) for k, r in enumerate(top)}, pos, neg
-
-
-class Vectors:
-    """Unit vectors over the chosen terms and the constant term (the last)."""
-
-    def __init__(self, terms: dict[str, tuple[int, float]], s: Settings):
-        self.terms, self.constant = terms, s.constant
-        self.idf = np.array([idf for _, idf in terms.values()] + [0.0])
-        self.words = {t: k for t, (k, _) in terms.items() if not t.startswith(MARK)}
-        self.beginnings = [(n, {t[1:]: k for t, (k, _) in terms.items() if t.startswith(MARK) and len(t) == n + 1})
-                           for n in BEGINNINGS]
-
-    def key(self, text: str) -> bytes:
-        """Term numbers and frequencies, packed; equal for equal vectors."""
-        words, tf = words_in(text), Counter()
-        for w in [w for w in words if w in self.words]:
-            tf[self.words[w]] += words[w]
-        for n, known in self.beginnings:
-            for w in [w for w in words if w[:n] in known and len(w) > n]:
-                tf[known[w[:n]]] += words[w]
-        return np.array(sorted(tf.items()), np.int32).tobytes()
-
-    def unit(self, key: bytes) -> tuple[np.ndarray, np.ndarray]:
-        at = np.frombuffer(key, np.int32).reshape(-1, 2)
-        number = np.append(at[:, 0], len(self.terms))
-        weight = np.append((1 + np.log(at[:, 1])) * self.idf[at[:, 0]], self.constant)
-        return number, weight / np.linalg.norm(weight)
+    sizes = {bool(r["t"]): r["count"] for r in rows.groupBy((F.col("toxic") > 0).alias("t")).count().collect()}
+    share = {t: min(1.0, s.most_examples / 2 / sizes[t]) if sizes.get(t) else 1.0 for t in (False, True)}
+    place = F.pmod(F.xxhash64("doc_id", F.lit("example")), F.lit(1 << 20)) / float(1 << 20)
+    return rows.select("doc_id", (F.col("toxic") > 0).alias("toxic"), place.alias("place")), share
+
+
+@dataclass
+class Model:
+    """What is learned: the examples' terms with their weights, the examples
+    (terms by place in ``terms``, frequencies, label, weight, doc_id) and the
+    curve from votes to probabilities."""
+    terms: np.ndarray
+    weight: np.ndarray
+    unknown: float
+    cuts: np.ndarray
+    place: np.ndarray
+    freq: np.ndarray
+    toxic: np.ndarray
+    stands: np.ndarray
+    doc_id: list
+    s: Settings
+    slope: float = 1.0
+    offset: float = 0.0
+    sizes: tuple = field(default=(0.0, 0.0))
+
+    @property
+    def prior(self) -> float:
+        """Share of toxic rows among all that were learned from."""
+        return (self.sizes[1] + 1) / (sum(self.sizes) + 2)
+
+    def only(self, keep: np.ndarray) -> "Model":
+        """The same with some of the examples."""
+        n = np.diff(self.cuts)
+        inside = np.repeat(keep, n)
+        return Model(self.terms, self.weight, self.unknown, np.concatenate([[0], np.cumsum(n[keep])]), self.place[inside],
+                     self.freq[inside], self.toxic[keep], self.stands[keep], [d for d, k in zip(self.doc_id, keep) if k],
+                     self.s, self.slope, self.offset, self.sizes)
 
 
 class BlockMaxIndex:
-    """Inverted index over the examples; blocks are ranges of example numbers,
-    which are sorted by vector so that like examples share a block."""
-
-    def __init__(self, examples: list[tuple[bytes, int, int, int]], vectors: Vectors, s: Settings):
-        self.examples = sorted(examples)
-        self.vectors, self.s = vectors, s
-        n, width = len(self.examples), len(vectors.terms) + 1
-        self.n_blocks = -(-n // s.block)
-        number, freq = np.frombuffer(b"".join(key for key, *_ in self.examples), np.int32).reshape(-1, 2).T
-        at = np.repeat(np.arange(n), [len(key) // 8 for key, *_ in self.examples])
-        weight = (1 + np.log(freq)) * vectors.idf[number]
-        norm = np.sqrt(np.bincount(at, weight * weight, n) + vectors.constant ** 2)
-        number, at = np.append(number, np.full(n, width - 1)), np.append(at, np.arange(n))
-        weight = np.append(weight, np.full(n, vectors.constant)) / norm[at]
-        self.highest = np.zeros((width, self.n_blocks))
-        np.maximum.at(self.highest, (number, at // s.block), weight)
-        order = np.argsort(number, kind="stable")  # within a term by example
-        cut = np.searchsorted(number[order], np.arange(width + 1))
-        at, weight = at[order], weight[order]
-        self.posts = {}
-        for t in np.flatnonzero(np.diff(cut)).tolist():
-            own = at[cut[t]:cut[t + 1]]
-            self.posts[t] = own, weight[cut[t]:cut[t + 1]], np.searchsorted(own, np.arange(self.n_blocks + 1) * s.block)
-        self.pos = np.array([p for _, p, _, _ in self.examples], float)
-        self.neg = np.array([q for _, _, q, _ in self.examples], float)
-        self.prior = (self.pos.sum() + 1) / (self.pos.sum() + self.neg.sum() + 2)
-        self.known: dict[bytes, tuple[float, list]] = {}
-
-    def nearest(self, key: bytes) -> list[tuple[float, int]]:
-        """Exact (cosine, example) of the nearest, ties by example number."""
-        number, weight = self.vectors.unit(key)
-        bound, k = weight @ self.highest[number], self.s.neighbours
-        best, at_best = np.empty(0), np.empty(0, np.int64)
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if len(best) == k and bound[b] < best[-1] - 1e-9:
-                break
-            lo = b * self.s.block
-            score = np.zeros(min(self.s.block, len(self.examples) - lo))
-            for t, w in zip(number.tolist(), weight.tolist()):
-                if t in self.posts:
-                    at, weights, cut = self.posts[t]
-                    i, j = cut[b], cut[b + 1]
-                    if i < j:
-                        score[at[i:j] - lo] += w * weights[i:j]
-            score = score.round(9)
-            fit = np.flatnonzero(score >= best[-1]) if len(best) == k else np.arange(len(score))
-            best, at_best = np.concatenate([best, score[fit]]), np.concatenate([at_best, fit + lo])
-            order = np.lexsort((at_best, -best))[:k]
-            best, at_best = best[order], at_best[order]
-        return list(zip(best.tolist(), at_best.tolist()))
-
-    def score(self, key: bytes) -> tuple[float, list[tuple[int, float]]]:
-        """(score, evidence as [(doc_id of an example, cosine)])."""
-        if key not in self.known:
-            near, left, votes, all_ = self.nearest(key), float(self.s.neighbours), 0.0, 0.0
-            for cosine, e in near:  # an example stands for all its texts, but k texts vote
-                both = self.pos[e] + self.neg[e]
-                weight = min(both, left) / (0.02 + 1 - cosine)
-                votes += weight * self.pos[e] / both if both else 0.0
-                all_ += weight
-                left = max(0.0, left - both)
-            m = self.s.prior_weight
-            value = (votes + m * self.prior) / (all_ + m)
-            if len(self.known) > 100_000:
-                self.known.clear()
-            self.known[key] = float(value), [(self.examples[e][3], c) for c, e in near[:3]]
-        return self.known[key]
-
-
-_BUILT: dict[str, tuple[Vectors, BlockMaxIndex]] = {}
-
-
-def built(run: str, terms, examples, s: Settings) -> tuple[Vectors, BlockMaxIndex]:
+    """Exact nearest examples by cosine.  Examples are sorted by their heaviest
+    term, so that like ones share a block."""
+
+    def __init__(self, model: Model):
+        self.m, s = model, model.s
+        cuts, n = model.cuts, len(model.cuts) - 1
+        value = (1 + np.log(np.maximum(model.freq, 1))) * model.weight[model.place] if len(model.place) else np.empty(0)
+        owner = np.repeat(np.arange(n), np.diff(cuts))
+        norm = np.sqrt(np.bincount(owner, value * value, n) + s.constant ** 2)
+        heavy = np.full(n, -1)
+        if len(value):
+            by = np.lexsort((model.place, value, owner))
+            heavy[owner[by]] = model.place[by]
+        self.order = np.lexsort((np.arange(n), heavy))
+        rank = np.empty(n, np.int64)
+        rank[self.order] = np.arange(n)
+        value, owner = value / norm[owner], rank[owner]
+        self.n = n
+        self.const = (s.constant / norm)[self.order].astype(np.float32)
+        self.toxic, self.stands = model.toxic[self.order].astype(float), model.stands[self.order]
+        # The commonest terms are columns, the others postings.
+        seen = np.bincount(model.place, minlength=len(model.terms))
+        self.column = np.full(len(model.terms), -1)
+        top = np.argsort(-seen, kind="stable")[:s.columns]
+        self.column[top] = np.arange(len(top))
+        dense = self.column[model.place] >= 0
+        self.dense = np.zeros((n, len(top)), np.float32)
+        self.dense[owner[dense], self.column[model.place[dense]]] = value[dense]
+        tail = np.flatnonzero(~dense)
+        tail = tail[np.lexsort((owner[tail], model.place[tail]))]
+        self.post_at, self.post_value = owner[tail].astype(np.int32), value[tail]
+        self.post_cut = np.searchsorted(model.place[tail], np.arange(len(model.terms) + 1))
+        self.heads = np.arange(0, n, s.block)
+        self.highest = np.maximum.reduceat(self.dense, self.heads, axis=0) if n else self.dense[:0]
+        self.high_const = np.maximum.reduceat(self.const, self.heads) if n else self.const
+
+    def _query(self, number: np.ndarray, freq: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """(places of known terms, unit weights, that of the constant term)."""
+        m = self.m
+        value = 1 + np.log(freq)
+        at = np.searchsorted(m.terms, number)
+        known = at < len(m.terms)
+        known[known] = m.terms[at[known]] == number[known]
+        w = np.where(known, m.weight[np.minimum(at, max(len(m.terms) - 1, 0))] if len(m.terms) else 0.0, m.unknown) * value
+        norm = np.sqrt((w * w).sum() + m.s.constant ** 2)
+        return at[known], w[known] / norm, m.s.constant / norm
+
+    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(cosines, examples in the index's order) of the ``k`` nearest of each
+        text, given by its terms; ties to the first."""
+        k = min(k or self.m.s.neighbours, self.n)
+        b, n = len(texts), self.n
+        q = np.zeros((b, self.dense.shape[1]), np.float32)
+        scores = np.zeros((b, n), np.float32)
+        const = np.zeros(b, np.float32)
+        for r, (number, freq) in enumerate(texts):
+            at, w, const[r] = self._query(number, freq)
+            col = self.column[at]
+            q[r, col[col >= 0]] = w[col >= 0]
+            at, w = at[col < 0], w[col < 0]
+            size = self.post_cut[at + 1] - self.post_cut[at]
+            where = np.repeat(self.post_cut[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            scores[r] = np.bincount(self.post_at[where], self.post_value[where] * np.repeat(w, size), n)
+        scores += const[:, None] * self.const[None]
+        bound = q @ self.highest.T + np.maximum.reduceat(scores, self.heads, axis=1)
+        done = np.zeros((b, len(self.heads)), bool)
+        worst = np.full(b, -np.inf)
+        for j in np.argsort(-bound.max(axis=0), kind="stable"):
+            rows = np.flatnonzero(bound[:, j] >= worst - 1e-5)
+            if not len(rows):
+                continue
+            lo, hi = self.heads[j], min(self.heads[j] + self.m.s.block, n)
+            scores[rows, lo:hi] += q[rows] @ self.dense[lo:hi].T
+            done[rows, j] = True
+            if done[rows[0]].sum() * self.m.s.block >= k:
+                full = np.where(np.repeat(done[rows], np.diff(np.append(self.heads, n)), axis=1), scores[rows], -1)
+                worst[rows] = np.partition(full, n - k, axis=1)[:, n - k]
+        scores[~np.repeat(done, np.diff(np.append(self.heads, n)), axis=1)] = -1
+        scores = scores.round(5)
+        out = []
+        for r in range(b):
+            edge = np.partition(scores[r], n - k)[n - k]
+            fit = np.flatnonzero(scores[r] >= edge)
+            fit = fit[np.lexsort((fit, -scores[r][fit]))][:k]
+            out.append((scores[r][fit].astype(float), fit))
+        return out
+
+    def votes(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """(share of toxic among the weighted votes, cosines, examples)."""
+        m, out = self.m, []
+        for cosine, e in self.nearest(texts) if self.n else [(np.empty(0), np.empty(0, int))] * len(texts):
+            weight = self.stands[e] / (0.02 + 1 - np.minimum(cosine, 1.0))
+            out.append((float(((weight * self.toxic[e]).sum() + m.s.prior_weight * m.prior) / (weight.sum() + m.s.prior_weight)), cosine, e))
+        return out
+
+    def score(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list]]:
+        """(probability, [(doc_id of an example, cosine)])."""
+        return [(probability(v, self.m.slope, self.m.offset), [(self.m.doc_id[self.order[i]], c) for i, c in zip(e[:3].tolist(), cosine[:3].tolist())])
+                for v, cosine, e in self.votes(texts)]
+
+
+def probability(vote: float, slope: float, offset: float) -> float:
+    return float(1 / (1 + np.exp(-(slope * np.log(vote / (1 - vote)) + offset))))
+
+
+def fit_curve(votes: np.ndarray, toxic: np.ndarray, stands: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of the logistic curve over the votes' log odds, by
+    Newton's method on weighted rows with targets a little short of 0 and 1.
+    Without five rows of each class votes are taken as they are."""
+    if min(toxic.sum(), (~toxic).sum()) < 5:
+        return 1.0, 0.0
+    x, weight = np.log(votes / (1 - votes)), stands / stands.mean()
+    pos, neg = toxic.sum(), (~toxic).sum()
+    y = np.where(toxic, (pos + 1) / (pos + 2), 1 / (neg + 2))
+    beta, design = np.array([1.0, 0.0]), np.stack([x, np.ones_like(x)], 1)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
+        grad = design.T @ (weight * (p - y)) + 1e-3 * (beta - [1.0, 0.0])
+        hess = (design * (weight * p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
+        step = np.linalg.solve(hess, grad)
+        beta = beta - np.clip(step, -1, 1)
+        if np.abs(step).max() < 1e-9:
+            break
+    return float(max(beta[0], 0.05)), float(beta[1])
+
+
+def _spread(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Batches of a few texts with their terms."""
+    terms = Terms()
+    for batch in batches:
+        for at in range(0, batch.num_rows, _TOGETHER):
+            part = batch.slice(at, _TOGETHER)
+            yield part, [terms.of(t.as_py() or "") for t in part.column(column)]
+
+
+def _examples(docs: DataFrame, labels: DataFrame, share: dict, s: Settings) -> list:
+    """(doc_id, toxic, term numbers, frequencies) of the examples, in the order
+    of their ids; bounded by ``most_examples`` and ``most_chars``."""
+    rate = F.when(F.col("toxic"), F.lit(share[True])).otherwise(F.lit(share[False]))
+    rows = U.doc_text(docs).join(F.broadcast(labels.filter(F.col("place") < rate)), "doc_id")
+    n, chars = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    less = min(1.0, s.most_chars / max(chars, 1), 2 * s.most_examples / max(n, 1))  # ids may repeat
+    if less < 1:
+        share.update({t: x * less for t, x in share.items()})
+        rows = rows.filter(F.col("place") < rate * F.lit(less))
+
+    def run(batches):
+        for part, texts in _spread(batches):
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"),
+                                              pa.array([x.tobytes() for x, _ in texts], pa.binary()),
+                                              pa.array([f.astype(np.int32).tobytes() for _, f in texts], pa.binary())],
+                                             ["doc_id", "toxic", "numbers", "freq"])
+    got = rows.mapInArrow(run, "doc_id long, toxic boolean, numbers binary, freq binary").collect()
+    return sorted(((r["doc_id"], r["toxic"], bytes(r["numbers"]), bytes(r["freq"])) for r in got), key=lambda r: (r[0], r[2], r[3]))
+
+
+def _counts(docs: DataFrame, labels: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many documents, toxic labelled and other labelled rows have each of
+    ``terms``, over all rows; and those three numbers of rows."""
+    held = docs.sparkSession.sparkContext.broadcast(terms)
+
+    def run(batches):
+        own, total = np.zeros((3, len(held.value)), np.int64), np.zeros(3, np.int64)
+        for part, texts in _spread(batches):
+            label = part.column("toxic").to_pylist()
+            kinds = (None, True, False)
+            for k, kind in enumerate(kinds):
+                mine = [x for (x, _), t in zip(texts, label) if kind is None or t is kind]
+                total[k] += len(mine)
+                if mine:
+                    number = np.sort(np.concatenate(mine))
+                    at = np.searchsorted(held.value, number)
+                    at = at[at < len(held.value)] if len(at) else at
+                    hit = at[held.value[at] == number[:len(at)]]
+                    own[k] += np.bincount(hit, minlength=len(held.value))
+        some = np.flatnonzero(own[0])
+        for at in range(0, len(some), 100_000):
+            i = some[at:at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(i), *[pa.array(own[k][i]) for k in range(3)]], ["place", "n", "pos", "neg"])
+        yield pa.RecordBatch.from_arrays([pa.array([-1]), *[pa.array([int(x)]) for x in total]], ["place", "n", "pos", "neg"])
+    rows = U.doc_text(docs).join(F.broadcast(labels.select("doc_id", "toxic")), "doc_id", "left").select("text", "toxic")
+    sums = (rows.mapInArrow(run, "place long, n long, pos long, neg long").groupBy("place")
+            .agg(*[F.sum(c).alias(c) for c in ("n", "pos", "neg")])).toArrow()
+    place = sums.column("place").to_numpy()
+    out = np.zeros((3, len(terms) + 1))
+    out[:, place] = [sums.column(c).to_numpy() for c in ("n", "pos", "neg")]  # -1: the last column
+    return out[:, :-1], out[:, -1]
+
+
+def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
+    """Examples, term weights and curve.  What reaches the driver is bounded by
+    the settings: the examples' terms, and three counts for each of these."""
+    rows, share = labelled(labels, s)
+    found = _examples(docs, rows, share, s)
+    number = [np.frombuffer(r[2], np.uint64) for r in found]
+    terms = np.unique(np.concatenate([np.empty(0, np.uint64), *number]))
+    counts, total = _counts(docs, rows, terms)
+    n, pos, neg = total
+    p = (pos + 1) / (pos + neg + 2)
+    odds = np.log((counts[1] + s.shrink * p) / (counts[2] + s.shrink * (1 - p))) - np.log(p / (1 - p))
+    weight = np.log((1 + n) / (1 + counts[0])) * (s.floor + np.maximum(odds, 0) / s.odds_unit)
+    toxic = np.array([r[1] for r in found], bool)
+    model = Model(terms, weight, float(np.log((1 + n) / 2)) * s.floor if n else 0.0,
+                  np.concatenate([[0], np.cumsum([len(x) for x in number])]).astype(np.int64),
+                  np.searchsorted(terms, np.concatenate([np.empty(0, np.uint64), *number])),
+                  np.concatenate([np.empty(0), *[np.frombuffer(r[3], np.int32) for r in found]]), toxic,
+                  np.where(toxic, 1 / share[True], 1 / share[False]), [r[0] for r in found], s, sizes=(float(neg), float(pos)))
+    # Every fourth example, by a hash of its id, is left out to fit the curve.
+    out = np.array([_number(f"curve {d}") % 4 == 0 for d in model.doc_id], bool)
+    if out.any() and not out.all():
+        index = BlockMaxIndex(model.only(~out))
+        votes = [index.votes([(number[i], np.frombuffer(found[i][3], np.int32).astype(float)) for i in part])
+                 for part in np.array_split(np.flatnonzero(out), -(-int(out.sum()) // _TOGETHER))]
+        model.slope, model.offset = fit_curve(np.array([v for part in votes for v, _, _ in part]), toxic[out], model.stands[out])
+    return model
+
+
+_BUILT: dict[str, BlockMaxIndex] = {}
+
+
+def built(run: str, model) -> BlockMaxIndex:
     """The index of a run, built once in each worker process; one is kept."""
     if run not in _BUILT:
         _BUILT.clear()
-        vectors = Vectors(terms, s)
-        _BUILT[run] = vectors, BlockMaxIndex(examples or [(b"", 0, 0, None)], vectors, s)
+        _BUILT[run] = BlockMaxIndex(model.value)
     return _BUILT[run]
 
 
-def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings()):
-    """The terms and the examples [(vector, toxic, clean, a doc_id)], one for
-    each vector of the labelled rows."""
-    train = labelled(docs, labels, s)
-    terms, _, _ = choose_terms(train, s)
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Vectors(terms, s)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([own.key(t.as_py()) for t in batch.column("text")], pa.binary()),
-                                              batch.column("toxic")], names=["doc_id", "vector", "toxic"])
-
-    rows = (train.mapInArrow(vectors, "doc_id long, vector binary, toxic long").groupBy("vector")
-            .agg(F.sum((F.col("toxic") > 0).cast("long")).alias("pos"), F.sum((F.col("toxic") <= 0).cast("long")).alias("neg"),
-                 F.min("doc_id").alias("doc_id")))
-    return terms, [(bytes(r["vector"]), r["pos"], r["neg"], r["doc_id"]) for r in rows.collect()]
-
-
 def scored(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
     """The columns of ``docs``, then __score and __evidence
     (array of struct<doc_id, cosine>).
 
-    Null and empty texts have the constant term alone.  Without labels of both
-    classes the score is the prior.  Repeated rows score alike."""
-    terms, examples = learn(docs, labels, s)
+    Null and empty texts have the constant term alone.  Without labels the
+    score is the prior.  Repeated rows score alike."""
+    model = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, s))
     name = uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, index = built(name, terms, examples, s)
+        index = built(name, model)
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))
-        for batch in batches:
-            got = [index.score(vectors.key(t.as_py() or "")) for t in batch.column("text")]
+        for part, texts in _spread(batches):
+            got = index.score(texts)
             evidence = [[{"doc_id": d, "cosine": c} for d, c in e] for _, e in got]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([v for v, _ in got], pa.float64()),
-                                              pa.array(evidence, kind)], names=[*batch.schema.names, "__score", "__evidence"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array([v for v, _ in got], pa.float64()),
+                                              pa.array(evidence, kind)], names=[*part.schema.names, "__score", "__evidence"])
 
     evidence = T.ArrayType(T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("cosine", T.DoubleType())]))
     schema = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType()), T.StructField("__evidence", evidence)])

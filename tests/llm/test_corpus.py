@@ -199,7 +199,7 @@ def test_mix_meets_targets_and_bounds(spark):
     for r in got:
         by_target[round(r["target"], 6), r["source_size"]] += r["taken"]
     for s, t in want.items():
-        assert abs(by_target[round(t, 6), sizes[s]] - t) <= 3 * 8 + 0.02 * t, (s, t)
+        assert abs(by_target[round(t, 6), sizes[s]] - t) <= 5, (s, t)
     again = mixing.mix(docs.repartition(3), block_words=8)[1].collect()
     assert sorted((r["text_key"], r["taken"]) for r in got if r["doc_id"] is not None and r["doc_id"] < 150) == sorted(
         (r["text_key"], r["taken"]) for r in again if r["doc_id"] is not None and r["doc_id"] < 150)
@@ -213,6 +213,24 @@ def test_mix_meets_targets_and_bounds(spark):
     assert mixing.mix(docs.limit(0))[1].count() == 0
 
 
+def test_mix_of_many_small_sources_meets_every_target(spark):
+    rows = [(k, " ".join(f"w{j}" for j in range(65 if k % 3 else 30)), "en", f"site{k:03d}", 0) for k in range(400)]
+    rows += [(1000 + k, "one two", "en", "tiny", 0) for k in range(3)] + [(2000, "", "en", "empty", 0)]
+    plan, got = mixing.mix(frame(spark, rows))
+    got = [r.asDict() | {"source": s[3]} for r, s in zip(sorted(got.collect(), key=lambda r: r["doc_id"]), sorted(rows))]
+    taken, target = Counter(), {}
+    for r in got:
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    for s, t in target.items():
+        assert abs(taken[s] - t) <= 2.1, (s, taken[s], t)
+        assert taken[s] > 0 or s == "empty"
+    assert abs(sum(taken.values()) / sum(target.values()) - 1) < 0.005
+    slots = [r["slot"] for r in plan.collect()]
+    assert sorted(slots) == list(range(len(slots)))
+
+
 def test_golden_points_are_even(spark):
     x = np.array([r[0] for r in spark.range(5000).select(mixing.golden_point(F.col("id"))).collect()])
     for width in (0.01, 0.1, 0.37):
@@ -483,16 +501,16 @@ def toxic_corpus(seed=0, n=400):
 
 def test_toxicity_on_held_out_rows(spark):
     rows, labels = toxic_corpus()
-    odd = [(900, None, None, None, None), (901, "", "", "", 0), (None, "idiot scum trash", "", "", 0), (3, "You IDIOT, scum!", "", "", 0)]
+    odd = [(900, None, None, None, None), (901, "", "", "", 0), (None, "idiot scum trash", "", "", 0), (902, "You IDIOT, scum!", "", "", 0), (3, "", "", "", 0)]
     lab = spark.createDataFrame(labels + [(None, 1, 1), (5000, 1, None)], "doc_id long, quality int, toxic int")
     docs = frame(spark, rows + odd, clash=True)
     got = toxicity.scored(docs, lab)
     assert got.columns[:-2] == docs.columns
     out = got.collect()
-    assert len(out) == len(rows) + 4 and all(0 <= r["__score"] <= 1 for r in out)
+    assert len(out) == len(rows) + 5 and all(0 <= r["__score"] <= 1 for r in out)
     truth = {k: t for k, _, t in labels}
     for r in out:
-        if r["doc_id"] in truth and r["text"] != "You IDIOT, scum!" and crc32(str(r["doc_id"]).encode()) % 5 == 0:
+        if r["doc_id"] in truth and r["text"] and crc32(str(r["doc_id"]).encode()) % 5 == 0:
             assert (r["__score"] >= 0.5) == bool(truth[r["doc_id"]])
     kept = toxicity.drop_toxic(docs, lab)
     assert kept.columns == docs.columns
@@ -501,39 +519,95 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r["__score"] for r in toxicity.scored(docs, lab.limit(0)).collect()} == {0.5}
 
 
-def test_nearest_examples_are_exact():
+def small_model(texts, toxic, s):
+    """A model with random weights over the terms of ``texts``."""
+    found = [toxicity.Terms().of(t) for t in texts]
+    terms = np.unique(np.concatenate([np.empty(0, np.uint64), *[x for x, _ in found]]))
+    weight = np.random.default_rng(1).uniform(0.2, 4, len(terms))
+    return toxicity.Model(terms, weight, 0.7, np.concatenate([[0], np.cumsum([len(x) for x, _ in found])]),
+                          np.searchsorted(terms, np.concatenate([x for x, _ in found])), np.concatenate([f for _, f in found]),
+                          np.array(toxic, bool), np.ones(len(texts)), list(range(len(texts))), s, sizes=(5.0, 5.0))
+
+
+@pytest.mark.parametrize("columns", [0, 7, 400])
+def test_nearest_examples_are_exact(columns):
     rnd = random.Random(2)
-    s = toxicity.Settings(block=4, neighbours=5)
-    terms = {f"t{k}": (k, rnd.uniform(1, 5)) for k in range(30)}
-    v = toxicity.Vectors(terms, s)
-    text = lambda: " ".join(rnd.choice(list(terms)) for _ in range(rnd.randint(0, 9)))
-    index = toxicity.BlockMaxIndex([(k, 1, 2, 0) for k in {v.key(text()) for _ in range(200)}], v, s)
-    dense = np.zeros((len(index.examples), 31))
-    for e, (key, *_) in enumerate(index.examples):
-        number, weight = v.unit(key)
-        dense[e, number] = weight
-    for _ in range(60):
-        key = v.key(text())
-        q = np.zeros(31)
-        number, weight = v.unit(key)
-        q[number] = weight
-        cos = dense @ q
-        want = sorted(((round(float(c), 9), e) for e, c in enumerate(cos)), key=lambda x: (-x[0], x[1]))[:5]
-        assert index.nearest(key) == want
-
-
-def test_every_labelled_vector_is_an_example(spark):
-    n, clean = 22_000, 2_000
-    some = list(itertools.islice(itertools.combinations([f"b{k}" for k in range(60)], 3), n))
-    rows = [(k, " ".join(t), "", "", 0) for k, t in enumerate(some)] + [(n + k, "plain", "", "", 0) for k in range(clean)]
-    labels = spark.createDataFrame([(k, 1, int(k < n)) for k in range(n + clean)], "doc_id long, quality int, toxic int")
-    s = toxicity.Settings()
-    terms, examples = toxicity.learn(frame(spark, rows), labels, s)
-    used = [k for k in range(n + clean) if crc32(str(k).encode()) % 5]
-    pos = sum(k < n for k in used)
-    assert pos > 16_384 and sum(e[1] for e in examples) == pos and sum(e[2] for e in examples) == len(used) - pos
-    index = toxicity.BlockMaxIndex(examples, toxicity.Vectors(terms, s), s)
-    assert index.prior == (pos + 1) / (len(used) + 2)
+    s = toxicity.Settings(block=4, neighbours=5, columns=columns)
+    text = lambda: " ".join(f"term{rnd.randrange(40)}" for _ in range(rnd.randint(0, 9)))
+    texts = [text() for _ in range(203)]
+    m = small_model(texts, [k % 3 == 0 for k in range(203)], s)
+    index, terms = toxicity.BlockMaxIndex(m), toxicity.Terms()
+
+    def unit(t):
+        out = np.zeros(len(m.terms) + 2)
+        for number, n in zip(*terms.of(t)):
+            at = np.searchsorted(m.terms, number)
+            if at < len(m.terms) and m.terms[at] == number:
+                out[at] = (1 + np.log(n)) * m.weight[at]
+            else:
+                out[-1] = np.hypot(out[-1], (1 + np.log(n)) * m.unknown)
+        out[-2] = s.constant
+        out /= np.linalg.norm(out)
+        out[-1] = 0
+        return out
+    dense = np.stack([unit(texts[i]) for i in index.order])
+    asked = [text() + " unseen words" for _ in range(60)] + ["", texts[17]]
+    for q, (cosine, e) in zip(asked, index.nearest([terms.of(q) for q in asked])):
+        cos = dense @ unit(q)
+        assert np.allclose(cosine, np.sort(cos)[::-1][:5], atol=2e-5) and np.allclose(cos[e], cosine, atol=2e-5)
+    assert index.nearest([terms.of(texts[17])])[0][0][0] == pytest.approx(1.0, abs=2e-5)
+
+
+def test_every_text_with_words_has_a_vector_and_copies_find_their_example(spark):
+    rows, labels = toxic_corpus(3, 260)
+    used = [(k, t) for k, t, *_ in rows if dict((k, x) for k, _, x in labels).get(k) == 1 and crc32(str(k).encode()) % 5]
+    copies = [(10_000 + k, t, "en", "s", 0) for k, t in used]
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.learn(frame(spark, rows + copies), lab)
+    assert (np.diff(model.cuts) > 0).all() and (model.weight > 0).mean() > 0.99 and len(model.doc_id) == sum(
+        crc32(str(k).encode()) % 5 > 0 for k, _, _ in labels)
+    got = {r["doc_id"]: r["__evidence"] for r in toxicity.scored(frame(spark, rows + copies), lab).collect()}
+    texts = dict((k, t) for k, t, *_ in rows)
+    for k, t in used:
+        assert texts[got[10_000 + k][0]["doc_id"]] == t and got[10_000 + k][0]["cosine"] == pytest.approx(1.0, abs=2e-5)
+
+
+def test_samples_stand_for_their_class_and_bounds_hold(spark):
+    rows = [(k, f"bad w{k} x{k % 7}" if k % 10 == 0 else f"good w{k} y{k % 5}", "", "", 0) for k in range(3000)]
+    lab = spark.createDataFrame([(k, 1, int(k % 10 == 0)) for k in range(3000)], "doc_id long, quality int, toxic int")
+    train = [k for k in range(3000) if crc32(str(k).encode()) % 5]
+    pos = sum(k % 10 == 0 for k in train)
+    model = toxicity.learn(frame(spark, rows), lab, toxicity.Settings(most_examples=400))
+    assert model.sizes == (len(train) - pos, pos) and len(model.doc_id) <= 480
+    for t, n in ((True, pos), (False, len(train) - pos)):
+        assert abs(model.stands[model.toxic == t].sum() / n - 1) < 0.35
+    few = toxicity.learn(frame(spark, rows), lab, toxicity.Settings(most_examples=400, most_chars=1500))
+    assert len(few.doc_id) < len(model.doc_id) / 2
+
+
+def test_scores_are_probabilities():
+    rnd = np.random.default_rng(6)
+    p = rnd.uniform(0.02, 0.98, 6000)
+    toxic = rnd.random(6000) < p
+    bent = 1 / (1 + np.exp(-(0.4 * np.log(p / (1 - p)) - 1)))  # votes that are neither steep enough nor centred
+    slope, offset = toxicity.fit_curve(bent, toxic, np.ones(6000))
+    got = np.array([toxicity.probability(v, slope, offset) for v in bent])
+    for lo in np.arange(0, 1, 0.2):
+        m = (got >= lo) & (got < lo + 0.2)
+        assert abs(toxic[m].mean() - got[m].mean()) < 0.05
+    assert toxicity.fit_curve(bent[:4], toxic[:4], np.ones(4)) == (1.0, 0.0)
+
+
+def test_held_out_scores_are_reliable(spark):
+    from airlens.llm import common
+    docs, lab = (common.table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    truth = {r["doc_id"]: r["toxic"] for r in lab.collect()}
+    rows = toxicity.op4_toxicity(spark, "/root/testdata/sf0.1").filter("held_out").select("doc_id", "score").collect()
+    s, y = (np.array(x) for x in zip(*[(r["score"], truth[r["doc_id"]]) for r in rows if truth.get(r["doc_id"]) is not None]))
+    assert (y[s >= 0.5] == 1).mean() > 0.95 and (s[y == 1] >= 0.5).mean() > 0.9
+    for lo, hi in ((0, 0.3), (0.3, 0.7), (0.7, 1.01)):
+        m = (s >= lo) & (s < hi)
+        assert m.sum() < 15 or abs(s[m].mean() - y[m].mean()) < 0.06
 
 
 def test_labels_of_held_out_rows_do_not_matter(spark):
