@@ -3,7 +3,11 @@
 Slots 0, 1, 2, ... are mapped by the golden ratio to evenly spread points in
 [0, 1).  The point picks the source whose share of the cumulated weights it
 falls into, and the slot's rank among its source's slots picks the source's
-next block of equal length, going round again after the last.  Documents lie
+next block, going round again after the last.  The blocks of a source are of
+equal length (to a word), and a source's weight is its number of slots, the
+nearest whole number to its target over that length.  Points meet such numbers
+to a few slots; the slots that a source has too many go to those that lack
+some, so every source takes its number exactly.  Documents lie
 in a source in a fixed shuffled order, and what the mix takes of a document is
 what its blocks cover of it.
 
@@ -24,6 +28,8 @@ WEIGHTS = (5, 2, 1)
 TOTAL_SHARE = 1.5
 MAX_EPOCHS = 2
 BLOCK_WORDS = 64
+#: A source has so many blocks at least, if it has the words.
+LEAST_BLOCKS = 32
 #: Slots that are ranked together in one task, and hash prefixes of a source.
 SEGMENT = 1 << 16
 SHUFFLE_PREFIX = 3
@@ -72,12 +78,14 @@ def sizes(docs: DataFrame) -> DataFrame:
                        words.alias("size"), U.text_key().alias("text_key"))
     return rows.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text_key",
                        F.coalesce("source", F.lit("")).alias("src"), F.col("source").isNull().alias("no_src"), "size",
-                       F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("shuffled"))
+                       F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text_key").cast("binary"))
+                       .alias("shuffled"))
 
 
-def targets(rows: DataFrame, weights=WEIGHTS, share: float = TOTAL_SHARE, epochs: int = MAX_EPOCHS) -> DataFrame:
-    """(src, no_src, idx, source_size, target, lo, hi): lo and hi bound the
-    source's part of [0, 1).
+def targets(rows: DataFrame, weights=WEIGHTS, share: float = TOTAL_SHARE, epochs: int = MAX_EPOCHS,
+            block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(src, no_src, idx, source_size, target, blocks, slots, lo, hi): the
+    source's number of blocks and slots; lo and hi bound its part of [0, 1).
 
     A target is min(epochs * size, level * weight).  The level is found by
     raising it until no further source reaches its bound; each round is one
@@ -98,35 +106,48 @@ def targets(rows: DataFrame, weights=WEIGHTS, share: float = TOTAL_SHARE, epochs
             break
         bound, level = n, (share * total - (capped or 0)) / free
     target = F.when(cap < F.lit(level) * F.col("weight"), cap.cast("double")).otherwise(F.lit(level) * F.col("weight"))
-    s = s.withColumn("target", target).withColumn("__seg", F.floor(F.col("idx") / SEGMENT))
-    s = running_start(s, [], "__seg", ["idx"], "target", "__start")
-    all_ = float(share * total) or 1.0
-    return materialise(s.select("src", "no_src", "idx", "source_size", "target", (F.col("__start") / all_).alias("lo"),
-                                ((F.col("__start") + F.col("target")) / all_).alias("hi")), "targets")
+    size = F.col("source_size")
+    blocks = F.greatest(F.ceil(size / F.lit(block_words)), F.least(size, F.lit(LEAST_BLOCKS))).cast("long")
+    slots = F.coalesce(F.floor(F.try_divide(F.col("target") * F.col("blocks"), size) + 0.5), F.lit(0)).cast("long")
+    s = (s.withColumn("target", target).withColumn("blocks", blocks).withColumn("slots", slots)
+         .withColumn("__seg", F.floor(F.col("idx") / SEGMENT)))
+    s = materialise(running_start(s, [], "__seg", ["idx"], "slots", "__start"), "slots")
+    all_ = float(s.agg(F.sum("slots")).first()[0] or 1)
+    return s.select("src", "no_src", "idx", "source_size", "target", "blocks", "slots", "__start", (F.col("__start") / all_).alias("lo"),
+                    ((F.col("__start") + F.col("slots")) / all_).alias("hi"))
 
 
-def schedule(spark, sources: DataFrame, block_words: int = BLOCK_WORDS, epochs: int = MAX_EPOCHS) -> DataFrame:
-    """(slot, idx, rank, epoch, block): the mix, slot by slot.
+def schedule(spark, sources: DataFrame) -> DataFrame:
+    """(slot, idx, rank, epoch, block): the mix, slot by slot; every source of
+    ``sources`` has its ``slots``, with ranks from 0.
 
     Points and shares meet on equal cells of [0, 1), which the points fill
-    evenly.  A source has ``epochs`` rounds at most, so a slot beyond them
-    (rounding, where the target is that bound) is not used."""
-    n_sources, total = sources.agg(F.count(F.lit(1)), F.sum("target")).first()
-    slots = int(round((total or 0.0) / block_words)) or int(bool(total))
+    evenly.  What a source has beyond its number of slots is dealt, in the order
+    of the slots, to the sources that lack some."""
+    n_sources, slots = sources.agg(F.count(F.lit(1)), F.coalesce(F.sum("slots"), F.lit(0))).first()
     cells = max(1024, n_sources)
     points = (spark.range(slots).withColumnRenamed("id", "slot").withColumn("point", golden_point(F.col("slot")))
               .withColumn("cell", F.floor(F.col("point") * cells)))
-    shares = (sources.filter("hi > lo").select("idx", "lo", "hi", "source_size", F.explode(F.sequence(
+    shares = (sources.filter("slots > 0").select("idx", "lo", "hi", F.explode(F.sequence(
         F.floor(F.col("lo") * cells), F.floor(F.least(F.col("hi"), F.lit(1.0)) * cells))).alias("cell")))
-    last = sources.agg(F.max(F.struct("hi", "idx"))["idx"]).first()[0]
+    last = sources.filter("slots > 0").agg(F.max("idx")).first()[0]
     picked = (points.join(shares, "cell")
               .filter((F.col("point") >= F.col("lo")) & ((F.col("point") < F.col("hi")) | (F.col("idx") == F.lit(last)))))
-    picked = (picked.select("slot", "idx", "source_size", F.floor(F.col("slot") / SEGMENT).alias("__seg"),
-                            F.lit(1).cast("long").alias("one")))
-    ranked = running_start(picked, ["idx"], "__seg", ["slot"], "one", "rank")
-    blocks = F.ceil(F.col("source_size") / F.lit(block_words)).cast("long")
-    return (ranked.withColumn("epoch", F.floor(F.col("rank") / blocks)).withColumn("block", F.col("rank") % blocks)
-            .filter(F.col("epoch") < epochs).select("slot", "idx", "rank", "epoch", "block"))
+    picked = picked.select("slot", "idx", F.floor(F.col("slot") / SEGMENT).alias("__seg"), F.lit(1).cast("long").alias("one"))
+    ranked = materialise(running_start(picked, ["idx"], "__seg", ["slot"], "one", "rank")
+                         .join(sources.select("idx", "slots", "blocks"), "idx"), "ranked")
+    fit = ranked.filter("rank < slots")
+    over = running_start(ranked.filter("rank >= slots").select("slot", "__seg", "one"), [], "__seg", ["slot"], "one", "no")
+    have = ranked.groupBy("idx").agg(F.count(F.lit(1)).alias("have"))
+    short = (sources.join(have, "idx", "left").withColumn("have", F.coalesce("have", F.lit(0))).filter("have < slots")
+             .withColumn("lack", F.col("slots") - F.col("have")).withColumn("__seg", F.floor(F.col("idx") / SEGMENT)))
+    short = running_start(short.select("idx", "have", "slots", "lack", "__seg"), [], "__seg", ["idx"], "lack", "first")
+    short = short.select("idx", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("lack") - 1)).alias("no"))
+    every = fit.select("slot", "idx").unionByName(over.select("slot", "no").join(short, "no").select("slot", "idx"))
+    every = every.withColumn("__seg", F.floor(F.col("slot") / SEGMENT)).withColumn("one", F.lit(1).cast("long"))
+    return (running_start(every, ["idx"], "__seg", ["slot"], "one", "rank").join(sources.select("idx", "blocks"), "idx")
+            .select("slot", "idx", "rank", F.floor(F.col("rank") / F.col("blocks")).alias("epoch"),
+                    (F.col("rank") % F.col("blocks")).alias("block")))
 
 
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -135,19 +156,28 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, Dat
 
     Null texts have no words and nothing is taken of them; null sources are a
     source of their own, the last; repeated rows are documents of their own.
-    ``taken`` is at most MAX_EPOCHS times ``size``."""
+    ``taken`` is at most MAX_EPOCHS times ``size``; of a source it is its target
+    to half a block and a word."""
     rows = materialise(sizes(docs), "sizes")
-    sources = targets(rows)
-    plan = materialise(schedule(docs.sparkSession, sources, block_words), "schedule")
-    rows = (rows.join(sources.select("src", "no_src", "idx", "source_size", "target"), ["src", "no_src"])
+    sources = materialise(targets(rows, block_words=block_words), "targets")
+    plan = materialise(schedule(docs.sparkSession, sources), "schedule")
+    rows = (rows.join(sources.select("src", "no_src", "idx", "source_size", "target", "blocks"), ["src", "no_src"])
             .withColumn("__seg", F.substring("shuffled", 1, SHUFFLE_PREFIX)))
     rows = materialise(running_start(rows, ["idx"], "__seg", ["shuffled", "doc_id", "text_key", "row_id"], "size", "at")
-                       .select("row_id", "doc_id", "text_key", "idx", "size", "source_size", "target", "at"), "places")
-    end = F.col("at") + F.col("size")
-    parts = rows.filter("size > 0").select("row_id", "idx", "at", end.alias("end"), F.explode(F.sequence(
-        F.floor(F.col("at") / block_words), F.floor((end - 1) / block_words))).alias("block"))
-    parts = parts.select("row_id", "idx", "block", (F.least(F.col("end"), (F.col("block") + 1) * block_words)
-                                                    - F.greatest(F.col("at"), F.col("block") * block_words)).alias("words"))
+                       .select("row_id", "doc_id", "text_key", "idx", "size", "source_size", "target", "blocks", "at"), "places")
+    # The first ``more`` blocks of a source have ``least`` + 1 words, the others ``least``.
+    least, more = F.floor(F.col("source_size") / F.col("blocks")), F.col("source_size") % F.col("blocks")
+    end, cut = F.col("at") + F.col("size"), more * (least + 1)
+
+    def block_of(p: Column) -> Column:
+        return F.when(p < cut, F.floor(p / (least + 1))).otherwise(more + F.floor((p - cut) / least))
+
+    def start_of(j: Column) -> Column:
+        return j * least + F.least(j, more)
+    parts = rows.filter("size > 0").select("row_id", "idx", "at", end.alias("end"), "source_size", "blocks",
+                                           F.explode(F.sequence(block_of(F.col("at")), block_of(end - 1))).alias("block"))
+    parts = parts.select("row_id", "idx", "block", (F.least(F.col("end"), start_of(F.col("block") + 1))
+                                                    - F.greatest(F.col("at"), start_of(F.col("block")))).alias("words"))
     times = plan.groupBy("idx", "block").agg(F.count(F.lit(1)).alias("times"))
     taken = (parts.join(times, ["idx", "block"]).groupBy("row_id")
              .agg(F.sum(F.col("words") * F.col("times")).alias("taken")))
@@ -176,12 +206,12 @@ def op9_source_mix(spark, sf_dir: str) -> DataFrame:
     return settled(spark, "mix", lambda: mix(U.documents(spark, sf_dir))[1]).select("doc_id", "size", "source_size", "target", "taken")
 
 
-_LOW, _HIGH = float(_GOLDEN % 1), float((_GOLDEN * _STEP) % 1)
 OP9_SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS src, source IS NULL AS no_src,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS shuffled, sha256(coalesce(text, '')) AS k FROM documents
+         sha256(coalesce(text, '')) AS k,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || k) AS shuffled FROM documents
 ), s0 AS (SELECT src, no_src, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY ALL
 ), s1 AS (SELECT *, row_number() OVER (ORDER BY no_src, src) - 1 AS idx FROM s0
 ), s AS (SELECT *, CASE idx % 3 WHEN 0 THEN {WEIGHTS[0]} WHEN 1 THEN {WEIGHTS[1]} ELSE {WEIGHTS[2]} END AS weight FROM s1
@@ -194,22 +224,23 @@ WITH d AS (
             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s, t
 ), l AS (SELECT coalesce(arg_min(level, (ratio, idx)), 0) AS level FROM c WHERE ratio >= level
 ), g AS (SELECT s.*, CAST(least({MAX_EPOCHS} * source_size, level * weight) AS DOUBLE) AS target FROM s, l
-), b AS (SELECT g.*, (sum(target) OVER (ORDER BY idx) - target) / share AS lo, sum(target) OVER (ORDER BY idx) / share AS hi FROM g, t
-), n AS (SELECT CAST(unnest(range(0, CAST(greatest(round_even(share / {BLOCK_WORDS}, 0), 1) AS BIGINT))) AS BIGINT) AS slot FROM t WHERE share > 0
-), x AS (SELECT slot, floor(slot / {_STEP}.0) * CAST({_HIGH!r} AS DOUBLE) + (slot % {_STEP}) * CAST({_LOW!r} AS DOUBLE) AS x FROM n
-), p AS (SELECT slot, x - floor(x) AS point FROM x
-), q AS (
-  SELECT b.idx, row_number() OVER (PARTITION BY b.idx ORDER BY slot) - 1 AS rank,
-         CAST(ceil(source_size / {BLOCK_WORDS}.0) AS BIGINT) AS blocks
-  FROM p JOIN b ON point >= lo AND (point < hi OR b.idx = (SELECT arg_max(idx, (hi, idx)) FROM b)) AND hi > lo
-), u AS (SELECT idx, rank % blocks AS block, count(*) AS times FROM q WHERE rank // blocks < {MAX_EPOCHS} GROUP BY ALL
+), b AS (SELECT *, CAST(greatest(ceil(source_size / {BLOCK_WORDS}.0), least(source_size, {LEAST_BLOCKS})) AS BIGINT) AS blocks FROM g
+), n AS (SELECT *, CAST(floor(target * blocks / nullif(source_size, 0) + 0.5) AS BIGINT) AS slots,
+                source_size // nullif(blocks, 0) AS least, source_size % nullif(blocks, 0) AS more FROM b
+), q AS (SELECT idx, blocks, unnest(range(slots)) AS rank FROM n
+), u AS (SELECT idx, rank % blocks AS block, count(*) AS times FROM q GROUP BY ALL
 ), e AS (
-  SELECT d.*, b.idx, b.source_size, b.target,
-         CAST(sum(size) OVER (PARTITION BY b.idx ORDER BY shuffled, doc_id, k, r ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS pos
-  FROM d JOIN b ON d.src = b.src AND d.no_src = b.no_src
-), f AS (SELECT r, idx, pos, size, unnest(range(pos // {BLOCK_WORDS}, (pos + size - 1) // {BLOCK_WORDS} + 1)) AS block FROM e WHERE size > 0
+  SELECT d.*, n.idx, n.source_size, n.target, n.least, n.more,
+         CAST(sum(size) OVER (PARTITION BY n.idx ORDER BY shuffled, doc_id, k, r ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS pos
+  FROM d JOIN n ON d.src = n.src AND d.no_src = n.no_src
+), w AS (
+  SELECT *, CASE WHEN pos < more * (least + 1) THEN pos // (least + 1) ELSE more + (pos - more * (least + 1)) // least END AS first,
+         CASE WHEN pos + size - 1 < more * (least + 1) THEN (pos + size - 1) // (least + 1)
+              ELSE more + (pos + size - 1 - more * (least + 1)) // least END AS last FROM e WHERE size > 0
+), f AS (SELECT r, idx, pos, size, least, more, unnest(range(first, last + 1)) AS block FROM w
 ), k AS (
-  SELECT r, CAST(sum((least(pos + size, (f.block + 1) * {BLOCK_WORDS}) - greatest(pos, f.block * {BLOCK_WORDS})) * times) AS BIGINT) AS taken
+  SELECT r, CAST(sum((least(pos + size, (f.block + 1) * f.least + least(f.block + 1, f.more))
+                      - greatest(pos, f.block * f.least + least(f.block, f.more))) * times) AS BIGINT) AS taken
   FROM f JOIN u ON f.idx = u.idx AND f.block = u.block GROUP BY r
 )
 SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM e LEFT JOIN k ON e.r = k.r
