@@ -148,7 +148,8 @@ def load_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     cannot be read are counted in ``n_bad``, and the first is quoted.  Only when
     a file breaks that job, the files are divided until the broken ones are
     alone: these have an error and no rows, not even those before the break.
-    No file at all, or none that can be read, is an error."""
+    Files of no bytes are not listed.  No file at all, or none that can be read,
+    is an error."""
     text = fmt in ("json", "csv")
     full = T.StructType(schema.fields + [T.StructField(BAD, T.StringType())]) if text else schema
 
