@@ -2,16 +2,19 @@
 
 Each document is placed, as it comes, into the fill level that makes the sum
 over levels of (number of windows at that level) squared smallest.  Only the
-array of level counts and the windows still open are kept.  Texts longer
-than a window fill whole windows first.  When a partition ends, its open
-windows are topped up from the emptiest ones, and what is left of the last
-one is cut into lengths that are powers of two, which need no padding.
+array of level counts and the windows still open are kept; when these are too
+many, the fullest are topped up with pieces of the emptiest until half of them
+are left.  Texts longer than a window fill whole windows first.  When a
+partition ends, its open windows are topped up in the same way, and what is
+left of the last one is cut into lengths that are powers of two, which need no
+padding.
 
 Partitions pack independently, so nothing is shuffled and a lost task is
 simply run again.
 """
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +27,8 @@ from airlens.llm import common as U
 
 SEQ_LEN = 2048
 END_ID = 1
+#: Open windows of a task: at most 8 MB of ids at 2,048 tokens a window.
+MOST_OPEN = 1024
 PIECES = ("doc_id long, row_id long, start long, length long, doc_tokens long, "
           "sequence_id long, offset long, ids binary")
 
@@ -67,13 +72,13 @@ class SumOfSquares:
         self.count[h + n] += 1
         return None
 
-    def finish(self) -> Iterator[list]:
-        """Closes the open windows: the emptiest ones give their pieces, cut
-        where needed, to the fullest; the last rest is cut at powers of two."""
-        left = [(h, w) for h in range(self.size - 1, 0, -1) for w in self.open[h]]
+    def _top_up(self, left: deque, until: int) -> Iterator[list]:
+        """Full windows from ``left`` [(fill, window)], fullest first: the
+        emptiest ones give their pieces, cut where needed.  Ends when ``until``
+        are left, or none can be filled; what remains stays in ``left``."""
         giver: list = []
-        while left:
-            fill, window = left.pop(0)
+        while len(left) + bool(giver) > until and (len(left) > 1 or left and giver):
+            fill, window = left.popleft()
             room = self.size - fill
             while room and (giver or left):
                 if not giver:
@@ -84,10 +89,36 @@ class SumOfSquares:
                     n = room
                 window.append((row, start, n))
                 room -= n
-            if room:  # the last one
-                giver = window
-                break
+            if room:  # nothing is left to give
+                left.append((self.size - room, window))
+                return
             yield window
+        if giver:
+            left.append((sum(n for _, _, n in giver), giver))
+
+    def _take_all(self) -> deque:
+        left = deque((h, w) for h in range(self.size - 1, 0, -1) for w in self.open[h])
+        self.open = [[] for _ in range(self.size + 1)]
+        self.count[:] = 0
+        return left
+
+    def relieve(self, most: int) -> Iterator[list]:
+        """Full windows, until at most half of ``most`` are open."""
+        left = self._take_all()
+        yield from self._top_up(left, most // 2)
+        for fill, window in left:
+            self.open[fill].append(window)
+            self.count[fill] += 1
+
+    @property
+    def n_open(self) -> int:
+        return int(self.count.sum())
+
+    def finish(self) -> Iterator[list]:
+        """Closes the open windows; the last rest is cut at powers of two."""
+        left = self._take_all()
+        yield from self._top_up(left, 0)
+        giver = [piece for _, window in left for piece in window]
         rest = sum(n for _, _, n in giver)
         while rest:
             size = 1 << (rest.bit_length() - 1)
@@ -103,12 +134,14 @@ class SumOfSquares:
             yield window
 
 
-def pack_batches(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int) -> Iterator[pa.RecordBatch]:
+def pack_batches(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int,
+                 most_open: int = MOST_OPEN) -> Iterator[pa.RecordBatch]:
     from airlens.llm.tokens import slices, word_ids
     encoder, end = word_ids(path), int(end_id).to_bytes(4, "little")
     part = TaskContext.get().partitionId() << 32
     packer = SumOfSquares(size)
-    texts: dict[int, list] = {}  # row -> [doc_id, ids, tokens not yet emitted]
+    # row -> [doc_id, ids from a token on, tokens not yet emitted, all tokens, that token]
+    texts: dict[int, list] = {}
     out: list[tuple] = []
     held, n_seq, n_row = 0, 0, 0
     schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "row_id", "start", "length", "doc_tokens",
@@ -119,9 +152,9 @@ def pack_batches(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id
         offset = 0
         for row, start, n in window:
             doc = texts[row]
-            doc_id, ids, _ = doc
-            out.append((doc_id, part + row, start, n, len(ids) // 4, part + n_seq, offset,
-                        ids[4 * start:4 * (start + n)]))
+            doc_id, ids, _, total, base = doc
+            out.append((doc_id, part + row, start, n, total, part + n_seq, offset,
+                        ids[4 * (start - base):4 * (start + n - base)]))
             offset += n
             held += 4 * n + 64
             doc[2] -= n
@@ -141,16 +174,23 @@ def pack_batches(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id
         for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):
             ids += end
             total = len(ids) // 4
-            texts[n_row] = [doc_id, ids, total]
+            texts[n_row] = [doc_id, ids, total, total, 0]
             whole = total - total % size
             for start in range(0, whole, size):
                 emit([(n_row, start, size)])
                 if held > 8_000_000:
                     yield flush()
             if total > whole:
+                if whole:  # only the rest is kept while its window is open
+                    texts[n_row][1], texts[n_row][4] = ids[4 * whole:], whole
                 window = packer.place(n_row, whole, total - whole)
                 if window:
                     emit(window)
+                elif packer.n_open > most_open:
+                    for window in packer.relieve(most_open):
+                        emit(window)
+                        if held > 8_000_000:
+                            yield flush()
             n_row += 1
             if held > 8_000_000:
                 yield flush()

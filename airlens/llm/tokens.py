@@ -20,6 +20,11 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: are different pre-tokens, and normalising leaves both as they are.
 _PLAIN = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,;:!?]?)")
 _TOGETHER = 256
+#: Longer words are encoded each time: where a script has no spaces a whole text
+#: is one word, and no table of those would be bounded or of use.
+LONGEST = 64
+#: Bytes of a remembered table, with what an entry costs beside its contents.
+TABLE_BYTES, ENTRY_BYTES = 160 << 20, 180
 
 
 class WordIds:
@@ -27,13 +32,14 @@ class WordIds:
 
     ASCII white space always parts pre-tokens there, and A-Z may be
     lower-cased beforehand.  Texts with a special token's opening (``<|``)
-    are encoded whole.  ``most`` bounds the table; when it is full it is
-    emptied and fills again, which changes time, never ids."""
+    are encoded whole.  The table holds up to ``most`` bytes and words of up to
+    64; when it is full it is emptied and fills again, which changes time,
+    never ids."""
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = TABLE_BYTES):
         from tokenizers import Tokenizer, pre_tokenizers
         self.encoder = Tokenizer.from_file(path)
-        self.most = most
+        self.most, self.held = most, 0
         self.known: dict[bytes, bytes] = {}
         # Plain words need neither normalising nor splitting by a pattern.
         self.plain = Tokenizer(self.encoder.model)
@@ -81,21 +87,29 @@ class WordIds:
         known.update(zip(other, self._packed([w.decode() for w in other])))
         for w, stem, mark in marked:
             known[w] = known[stem] + known[mark]
+        for w in [*(w.encode() for w in new), *other, *(x[0] for x in marked)]:
+            self.held += len(w) + len(known[w]) + ENTRY_BYTES
 
     def many(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each whole text; words that
         are new to the table are learned together."""
         known, lists = self.known, [None if "<|" in t else t.encode().lower().split() for t in texts]
-        if len(known) > self.most:
+        if self.held > self.most:
             known.clear()
+            self.held = 0
         new = set()
         for words in lists:
             if words:
                 new.update(words)
         new = {w for w in new if w not in known}
-        if new:
-            self._learn(new)
-        return [self._packed([t])[0] if words is None else b"".join([known[w] for w in words])
+        long = [w for w in new if len(w) > LONGEST]
+        if len(new) > len(long):
+            self._learn(new.difference(long))
+        if not long:
+            return [self._packed([t])[0] if words is None else b"".join([known[w] for w in words])
+                    for t, words in zip(texts, lists)]
+        once = dict(zip(long, self._packed([w.decode() for w in long])))
+        return [self._packed([t])[0] if words is None else b"".join([known[w] if len(w) <= LONGEST else once[w] for w in words])
                 for t, words in zip(texts, lists)]
 
     def __call__(self, text: str) -> bytes:
@@ -131,11 +145,11 @@ class SpacedIds:
     A single space between two visible characters always opens a pre-token,
     so the text is cut before each of those."""
 
-    def __init__(self, path: str, most: int = 900_000):
+    def __init__(self, path: str, most: int = TABLE_BYTES):
         from tokenizers import Tokenizer
         self.encoder = Tokenizer.from_file(path)
         self.encoder.encode_special_tokens = True
-        self.most = most
+        self.most, self.held = most, 0
         self.known: dict[str, int] = {}
 
     @staticmethod
@@ -143,15 +157,22 @@ class SpacedIds:
         return _CUT.split(text)
 
     def counts(self, pieces: list[str]) -> list[int]:
+        if self.held > self.most:
+            self.known.clear()
+            self.held = 0
         known = self.known
-        new = {p for p in pieces if p not in known}
-        if new:
-            if len(known) + len(new) > self.most:
-                known.clear()
-                new = {*pieces}
-            new = list(new)
-            known.update(zip(new, (len(e.ids) for e in self.encoder.encode_batch_fast(new, add_special_tokens=False))))
-        return [known[p] for p in pieces]
+        new = list({p for p in pieces if p not in known})
+        once = {}
+        # In calls of about a million characters, so that no call holds many encodings.
+        for part in slices(new):
+            sizes = dict(zip(part, (len(e.ids) for e in self.encoder.encode_batch_fast(part, add_special_tokens=False))))
+            once.update({p: n for p, n in sizes.items() if len(p) > LONGEST})
+            short = {p: n for p, n in sizes.items() if len(p) <= LONGEST}
+            known.update(short)
+            self.held += sum(map(len, short)) + ENTRY_BYTES * len(short)
+        if not once:
+            return [known[p] for p in pieces]
+        return [known[p] if len(p) <= LONGEST else once[p] for p in pieces]
 
 
 @lru_cache(maxsize=2)
