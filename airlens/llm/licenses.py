@@ -1,11 +1,13 @@
 """Licence scan with a positional rare-token index (operator 1).
 
-The templates are sequences of words.  The index has, for each template, its
-rarest words and their places; rarity is the inverse document frequency over
-all documents.  The places of those words in a file give starts at which a
-template may stand; starts on which a template's rare words agree are
-verified: a mandatory key phrase has to stand there word for word, and the
-rest of the template gives the score.
+The templates are sequences of words: the base phrases, one-sentence notices
+and the clauses that whole licence texts are made of.  The index has the
+places of all their words.  For a file, the template words that it has with
+the highest inverse document frequency (over all documents) are looked up;
+their places in file and template give starts at which the template may
+stand, and only starts on which several of them agree are verified: a
+mandatory key phrase has to stand there word for word, and of a clause half of
+its weight around it.  A text that has lost one clause is told by the others.
 """
 from __future__ import annotations
 
@@ -47,7 +49,47 @@ NOTICES = (
      "obtaining a copy of this software and associated documentation files"),
     ("mpl", "mozilla public license", "this source code form is subject to the terms of the mozilla public license v 2 0"),
 )
-ANCHORS = 2
+#: label, mandatory key phrase, clause
+CLAUSES = (
+    ("apache", "software distributed under the license is distributed on an as is basis", "unless required by applicable law or "
+     "agreed to in writing software distributed under the license is distributed on an as is basis without warranties or "
+     "conditions of any kind either express or implied"),
+    ("bsd", "redistributions of source code must retain the above copyright notice", "redistributions of source code must "
+     "retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice", "redistributions in binary form must "
+     "reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or "
+     "other materials provided with the distribution"),
+    ("bsd", "this software is provided by the copyright holders and contributors as is", "this software is provided by the "
+     "copyright holders and contributors as is and any express or implied warranties including but not limited to the implied "
+     "warranties of merchantability and fitness for a particular purpose are disclaimed"),
+    ("bsd-3", "may be used to endorse or promote products derived from this software", "may be used to endorse or promote "
+     "products derived from this software without specific prior written permission"),
+    ("epl", "eclipse public license", "the accompanying materials are made available under the terms of the eclipse public license"),
+    ("gpl", "see the gnu general public license for more details", "without even the implied warranty of merchantability or "
+     "fitness for a particular purpose see the gnu general public license for more details"),
+    ("isc", "the author disclaims all warranties with regard to this software", "the software is provided as is and the author "
+     "disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("lgpl", "see the gnu lesser general public license for more details", "without even the implied warranty of merchantability "
+     "or fitness for a particular purpose see the gnu lesser general public license for more details"),
+    ("mit", "deal in the software without restriction", "to deal in the software without restriction including without "
+     "limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("mit", "this permission notice shall be included in all copies", "the above copyright notice and this permission notice "
+     "shall be included in all copies or substantial portions of the software"),
+    ("mit", "in no event shall the authors or copyright holders be liable", "in no event shall the authors or copyright holders "
+     "be liable for any claim damages or other liability whether in an action of contract tort or otherwise"),
+    ("unlicense", "free and unencumbered software released into the public domain", "this is free and unencumbered software "
+     "released into the public domain"),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute", "anyone is free to copy modify publish "
+     "use compile sell or distribute this software either in source code form or as a compiled binary for any purpose"),
+    ("zlib", "in no event will the authors be held liable for any damages", "this software is provided as is without any express "
+     "or implied warranty in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("zlib", "altered source versions must be plainly marked as such", "altered source versions must be plainly marked as such "
+     "and must not be misrepresented as being the original software"),
+)
+#: Words of a template looked up for a file, and how many have to agree on a start.
+ANCHORS, AGREE = 4, 2
+#: Share of a clause's weight that has to stand around its key phrase.
+CLAUSE_SHARE = 0.5
 
 _KEEP = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 WORD_BYTES = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c in _KEEP else 0x20 for c in range(256))
@@ -59,55 +101,72 @@ def words_of(text: str) -> list[bytes]:
 
 
 class Index:
-    """Postings word -> [(template, place)] of each template's rarest words."""
+    """Places of the templates' words, looked up by a file's rarest ones."""
 
     def __init__(self, idf: dict[bytes, float], anchors: int = ANCHORS):
-        self.idf = idf
-        self.templates = [(label, phrase.encode().split(), phrase.encode().split(), True) for phrase, label in BASE.items()]
-        self.templates += [(label, notice.encode().split(), phrase.encode().split(), False)
-                           for label, phrase, notice in NOTICES]
-        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for t, (_, words, phrase, _) in enumerate(self.templates):
-            rare = sorted(set(phrase), key=lambda w: (-idf.get(w, 0.0), w))[:anchors]
-            for place, w in enumerate(words):
-                if w in rare:
-                    self.postings[w].append((t, place))
-        self.need = [len({w for w, posts in self.postings.items() if any(p[0] == t for p in posts)})
-                     for t in range(len(self.templates))]
+        self.idf, self.anchors = idf, anchors
+        sides = [(label, phrase, phrase, "base") for phrase, label in BASE.items()]
+        sides += [(label, phrase, notice, "notice") for label, phrase, notice in NOTICES]
+        sides += [(label, phrase, clause, "clause") for label, phrase, clause in CLAUSES]
+        self.templates = [(label, words.encode().split(), phrase.encode().split(), kind) for label, phrase, words, kind in sides]
+        self.places: list[dict[bytes, list[int]]] = []
+        self.rarest, self.phrase_words, self.offset, self.weight = [], [], [], []
+        for _, words, phrase, kind in self.templates:
+            places: dict[bytes, list[int]] = defaultdict(list)
+            for k, w in enumerate(words):
+                places[w].append(k)
+            self.places.append(places)
+            # A notice is known by its phrase alone; a clause by any of its words.
+            own = set(words if kind == "clause" else phrase)
+            self.rarest.append(sorted(own, key=lambda w: (-idf.get(w, 0.0), w)))
+            self.phrase_words.append(frozenset(phrase))
+            self.offset.append(next(k for k in range(len(words)) if words[k:k + len(phrase)] == phrase))
+            self.weight.append([idf.get(w, 0.0) for w in words])
+        self.words = frozenset(w for p in self.places for w in p)
 
     def scan(self, text: str) -> tuple:
         """(words, base places by label, [(template label, start, coverage)])."""
         words = words_of(text)
-        found = self.postings.keys() & set(words)
-        if not found:
+        have = self.words.intersection(words)
+        live = [t for t, need in enumerate(self.phrase_words) if need <= have] if have else []
+        if not live:
             return len(words), {}, []
+        wanted: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        need = {}
+        for t in live:
+            anchors = [w for w in self.rarest[t] if w in have][:self.anchors]
+            need[t] = min(AGREE, len(anchors))
+            for w in anchors:
+                wanted[w] += [(t, place) for place in self.places[t][w]]
         votes: dict[tuple[int, int], set] = defaultdict(set)
         for at, w in enumerate(words):
-            if w in found:
-                for t, place in self.postings[w]:
+            if w in wanted:
+                for t, place in wanted[w]:
                     votes[t, at - place].add(w)
         base: dict[str, list[int]] = defaultdict(list)
         spans = []
         for (t, start), rare in votes.items():
-            if len(rare) < self.need[t]:
+            if len(rare) < need[t]:
                 continue
-            label, template, phrase, is_base = self.templates[t]
-            offset = next(k for k in range(len(template)) if template[k:k + len(phrase)] == phrase)
-            if start + offset < 0 or words[start + offset:start + offset + len(phrase)] != phrase:
+            label, template, phrase, kind = self.templates[t]
+            first = start + self.offset[t]
+            if first < 0 or words[first:first + len(phrase)] != phrase:
                 continue
-            if is_base:
+            if kind == "base":
                 base[label].append(start)
                 spans.append((label, start, 0.0))
                 continue
-            weight = [self.idf.get(w, 0.0) for w in template]
+            weight = self.weight[t]
             hit = sum(x for k, (w, x) in enumerate(zip(template, weight))
                       if 0 <= start + k < len(words) and words[start + k] == w)
-            spans.append((label, start + offset, hit / sum(weight) if sum(weight) else 1.0))
+            share = hit / sum(weight) if sum(weight) else 1.0
+            if kind == "notice" or share >= CLAUSE_SHARE:
+                spans.append((label, first, share))
         return len(words), base, spans
 
 
 def vocabulary() -> set[bytes]:
-    return {w for p in BASE for w in p.encode().split()} | {w for _, _, n in NOTICES for w in n.encode().split()}
+    return {w for p in (*BASE, *(n for _, _, n in NOTICES + CLAUSES)) for w in p.encode().split()}
 
 
 def document_frequencies(docs: DataFrame) -> dict[bytes, float]:
