@@ -3,9 +3,12 @@
 Listed rules come first.  For the rest, the parts of a host are split into
 words by a unigram Viterbi whose counts come from all documents, and a
 multinomial naive Bayes scores the host's words and the path's tokens.  Its
-two classes are learned from the pages' own urls: hosts with a listed word are
-examples to block, all others examples to allow, but for urls that a rule
-blocks, which are no example to allow.
+two classes are learned from the pages' own urls in two rounds: first hosts
+with a listed word are examples to block and all others examples to allow, but
+for urls that a rule blocks, which are no example to allow; then the urls that
+the first round is sure of (odds of nine to one) are examples to block too, so
+that words and paths that keep company with listed ones count, and unlisted
+hosts made of them are found.
 
 Counts, words and scores stay in tables that are joined by word, host or path
 shape; nothing that grows with the input is broadcast.
@@ -40,6 +43,8 @@ BLOCK_WORDS = ("adult", "ads", "advert", "bet", "bets", "betting", "bingo", "boo
                "spyware", "steroids", "sweepstakes", "trojan", "viagra", "warez", "webcams", "xxx")
 NAME_WORDS = ("best", "blog", "buy", "cheap", "deals", "download", "example", "farm", "free", "info", "mail", "news", "online",
               "shop", "site", "store", "track", "web", "win", "www")
+#: Log odds from which a url of the first round is an example to block.
+SURE = math.log(9)
 #: Letters of the longest part of a host name.
 LONGEST = 63
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -120,6 +125,37 @@ def tokens(path: Column) -> Column:
     return F.filter(F.split(low, r"[^a-z#\x80-\x{10FFFF}]+"), lambda t: t != "")
 
 
+def score_urls(seen: DataFrame, words: DataFrame, rows: DataFrame) -> DataFrame:
+    """(host, shape, block_odds) of ``seen`` (host, shape) by multinomial naive
+    Bayes with add-one smoothing, learned from ``rows`` (host, shape, listed, n,
+    bad); ``words`` are those of each host."""
+    classed = rows.filter("bad = 1 or listed is null or listed <> 'block'")
+    by_host = classed.groupBy("host", "bad").agg(F.sum("n").alias("n"))
+    from_host = words.join(by_host, "host").select(F.concat(F.lit("h:"), "word").alias("token"), "bad", "n")
+    path_tokens = F.explode(F.filter(F.split("shape", "/"), lambda t: t != "")).alias("t")
+    from_path = (classed.groupBy("shape", "bad").agg(F.sum("n").alias("n")).select(path_tokens, "bad", "n")
+                 .select(F.concat(F.lit("p:"), "t").alias("token"), "bad", "n"))
+    counts = materialise(from_host.unionByName(from_path).groupBy("token").agg(
+        F.sum(F.when(F.col("bad") == 1, F.col("n")).otherwise(0)).alias("block"),
+        F.sum(F.when(F.col("bad") == 0, F.col("n")).otherwise(0)).alias("allow")), "url-tokens")
+    size, block, allow = counts.agg(F.count(F.lit(1)), F.sum("block"), F.sum("allow")).first()
+    n_block, n_allow = by_host.agg(F.sum(F.when(F.col("bad") == 1, F.col("n"))),
+                                   F.sum(F.when(F.col("bad") == 0, F.col("n")))).first()
+    prior = math.log(((n_block or 0) + 1) / ((n_allow or 0) + 1))
+    scale = math.log(((allow or 0) + size + 1) / ((block or 0) + size + 1))
+    odds = counts.select("token", (F.log((F.col("block") + 1.0) / (F.col("allow") + 1.0)) + scale).alias("odds"))
+
+    # By distinct host and by distinct path shape, then together.
+    host_odds = (words.select("host", F.concat(F.lit("h:"), "word").alias("token")).join(odds, "token")
+                 .groupBy("host").agg(F.sum("odds").alias("host_odds")))
+    shape_odds = (seen.select("shape").distinct().select("shape", path_tokens)
+                  .select("shape", F.concat(F.lit("p:"), "t").alias("token")).join(odds, "token")
+                  .groupBy("shape").agg(F.sum("odds").alias("shape_odds")))
+    return (seen.select("host", "shape").join(host_odds, "host", "left").join(shape_odds, "shape", "left")
+            .select("host", "shape", F.round(F.lit(prior) + F.coalesce("host_odds", F.lit(0.0))
+                                             + F.coalesce("shape_odds", F.lit(0.0)), 6).alias("block_odds")))
+
+
 def judge(pages: DataFrame, docs: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict and block_odds (log odds of the
     naive Bayes), one row per row of ``pages``.
@@ -143,34 +179,12 @@ def judge(pages: DataFrame, docs: DataFrame, rules=RULES) -> DataFrame:
     words = materialise(words, "host-words")
     bad = words.filter(F.col("word").isin(*BLOCK_WORDS)).select("host").distinct().withColumn("bad", F.lit(1))
 
-    # Multinomial counts over all urls.
-    classed = (counted.join(bad, "host", "left").filter("bad = 1 or listed is null or listed <> 'block'")
-               .select("host", "shape", "n", F.coalesce("bad", F.lit(0)).alias("bad")))
-    by_host = classed.groupBy("host", "bad").agg(F.sum("n").alias("n"))
-    from_host = words.join(by_host, "host").select(F.concat(F.lit("h:"), "word").alias("token"), "bad", "n")
-    from_path = (classed.groupBy("shape", "bad").agg(F.sum("n").alias("n"))
-                 .select(F.explode(F.filter(F.split("shape", "/"), lambda t: t != "")).alias("t"), "bad", "n")
-                 .select(F.concat(F.lit("p:"), "t").alias("token"), "bad", "n"))
-    counts = materialise(from_host.unionByName(from_path).groupBy("token").agg(
-        F.sum(F.when(F.col("bad") == 1, F.col("n")).otherwise(0)).alias("block"),
-        F.sum(F.when(F.col("bad") == 0, F.col("n")).otherwise(0)).alias("allow")), "url-tokens")
-    size, block, allow = counts.agg(F.count(F.lit(1)), F.sum("block"), F.sum("allow")).first()
-    n_block, n_allow = by_host.agg(F.sum(F.when(F.col("bad") == 1, F.col("n"))),
-                                   F.sum(F.when(F.col("bad") == 0, F.col("n")))).first()
-    prior = math.log(((n_block or 0) + 1) / ((n_allow or 0) + 1))
-    scale = math.log(((allow or 0) + size + 1) / ((block or 0) + size + 1))
-    odds = counts.select("token", (F.log((F.col("block") + 1.0) / (F.col("allow") + 1.0)) + scale).alias("odds"))
-
-    # Scores by distinct host and distinct path shape, then joined to the pages.
-    host_odds = (words.select("host", F.concat(F.lit("h:"), "word").alias("token")).join(odds, "token")
-                 .groupBy("host").agg(F.sum("odds").alias("host_odds")))
-    shape_odds = (seen.select("shape").distinct()
-                  .select("shape", F.explode(F.filter(F.split("shape", "/"), lambda t: t != "")).alias("t"))
-                  .select("shape", F.concat(F.lit("p:"), "t").alias("token")).join(odds, "token")
-                  .groupBy("shape").agg(F.sum("odds").alias("shape_odds")))
-    scored = (seen.select("host", "shape").join(host_odds, "host", "left").join(shape_odds, "shape", "left")
-              .select("host", "shape", F.round(F.lit(prior) + F.coalesce("host_odds", F.lit(0.0))
-                                               + F.coalesce("shape_odds", F.lit(0.0)), 6).alias("block_odds")))
+    rows = counted.join(bad, "host", "left").select("host", "shape", "listed", "n", F.coalesce("bad", F.lit(0)).alias("bad"))
+    first = materialise(score_urls(seen, words, rows), "first-odds")
+    sure = first.filter(F.col("block_odds") > SURE).select("host", "shape", F.lit(1).alias("sure"))
+    rows = (rows.join(sure, ["host", "shape"], "left")
+            .select("host", "shape", "listed", "n", F.greatest("bad", F.coalesce("sure", F.lit(0))).alias("bad")))
+    scored = score_urls(seen, words, rows)
     return (urls.join(scored, ["host", "shape"])
             .select("page_id", "host", "path", "rule",
                     F.coalesce("listed", F.when(F.col("block_odds") > 0, "block").otherwise("allow")).alias("verdict"),
