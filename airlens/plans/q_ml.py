@@ -142,10 +142,23 @@ def m11_save_load_register(spark, sf_dir):
     return ST.read_table(spark, f"{base}/registry").drop("features")
 
 
-@register("m13_m14_m15_attribution")
-def m13_attribution(spark, sf_dir):
-    """Attributions of a ridge (exact) and of a boosted-tree model (sampled
-    permutations) for the latest row of each city, against the last 30 days."""
+@register("m11_versions_exact", "SELECT 'aqi_day' || h AS target, CAST(v AS INTEGER) AS version_num, "
+          "CASE WHEN v = 1 THEN 'inactive' ELSE 'active' END AS status, 'aqi_day' || h || '_v' || v AS folder, "
+          "CASE h WHEN 1 THEN 'High' WHEN 2 THEN 'Moderate' ELSE 'Low' END AS confidence, v <> 1 AS stored "
+          "FROM range(1, 4) a(h), range(1, 4) b(v)")
+def m11_versions_exact(spark, sf_dir):
+    """What is exact of three registrations: versions, status, folders, and
+    which pipelines are still stored."""
+    rows = m11_save_load_register(spark, sf_dir).select("target", "version_num", "status", "model_path", "confidence").collect()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = [(r["target"], r["version_num"], r["status"], r["model_path"].rstrip("/").rsplit("/", 1)[-1], r["confidence"],
+            path(r["model_path"]).getFileSystem(conf).exists(path(r["model_path"]))) for r in rows]
+    return spark.createDataFrame(out, "target string, version_num int, status string, folder string, confidence string, stored boolean")
+
+
+def _attributions(spark, sf_dir):
+    """The latest rows, and (model, attributions, method) of a ridge and of boosted trees."""
     f = features_complete(spark, sf_dir)
     latest = materialise(SRC.latest_row(f, "city", "date"), "latest")
     ground = materialise(MD.recent_background(f, latest.agg(F.max("date")).first()[0]), "background")
@@ -153,8 +166,34 @@ def m13_attribution(spark, sf_dir):
     out = []
     for family in ("ridge", "gradient_boosting"):
         model = MD.fit(f, feats, "aqi_day1", family, SMALL_GRID[family][0])
-        phi, kind = MD.explain(model, latest, ground, feats)
-        out.append(phi.select("city", "date", "feature", "shap_value", "base_value", F.lit(kind).alias("method")))
+        out.append((model, *MD.explain(model, latest, ground, feats)))
+    return latest, out
+
+
+@register("m13_m14_m15_attribution")
+def m13_attribution(spark, sf_dir):
+    """Attributions of a ridge (exact) and of a boosted-tree model (sampled
+    permutations) for the latest row of each city, against the last 30 days."""
+    _, found = _attributions(spark, sf_dir)
+    parts = [phi.select("city", "date", "feature", "shap_value", "base_value", F.lit(kind).alias("method")) for _, phi, kind in found]
+    return parts[0].unionByName(parts[1])
+
+
+@register("m13_attribution_sums", COMPLETE
+          + "SELECT city, max(date) AS date, method, 52 AS n_features, true AS adds_up, true AS one_base "
+            "FROM f, (VALUES ('linear'), ('permutation')) m(method) GROUP BY city, method")
+def m13_attribution_sums(spark, sf_dir):
+    """What is exact of attributions: every feature has one, and with the base
+    value they add up to the model's own prediction."""
+    latest, found = _attributions(spark, sf_dir)
+    out = []
+    for model, phi, kind in found:
+        sums = phi.groupBy("city", "date").agg(F.sum("shap_value").alias("s"), F.min("base_value").alias("b"), F.max("base_value").alias("b2"),
+                                               F.countDistinct("feature").alias("n"))
+        own = MD.predict(model, latest).select("city", "prediction")
+        out.append(sums.join(own, "city").select("city", "date", F.lit(kind).alias("method"), F.col("n").cast("int").alias("n_features"),
+                                                 (F.abs(F.col("s") + F.col("b") - F.col("prediction")) < 1e-6).alias("adds_up"),
+                                                 (F.col("b") == F.col("b2")).alias("one_base")))
     return out[0].unionByName(out[1])
 
 
