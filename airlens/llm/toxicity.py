@@ -14,9 +14,10 @@ the examples are the evidence.
 """
 from __future__ import annotations
 
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 from uuid import uuid4
 
 import numpy as np
@@ -28,6 +29,7 @@ from pyspark.sql import types as T
 
 from airlens.llm import common as U
 from airlens.llm.licenses import WORD_BYTES
+from airlens.llm.tokens import slices
 
 
 @dataclass(frozen=True)
@@ -37,7 +39,7 @@ class Settings:
     class) and their characters, all samples by hash of doc_id beyond that.
     No text loses a term."""
     most_labelled: int = 200_000
-    most_examples: int = 8_192
+    most_examples: int = 4_096
     most_chars: int = 48_000_000
     floor: float = 0.2
     odds_unit: float = 3.0
@@ -52,41 +54,70 @@ class Settings:
 #: Characters of the beginnings that are terms of their own, and their mark.
 BEGINNINGS = (4, 6)
 MARK = "^"
-#: Words remembered with their terms, in each worker.
-_WORDS = 400_000
+#: Terms remembered in each worker.
+_TERMS = 600_000
 _TOGETHER = 128
 
 
-def words_in(text: str) -> Counter:
-    """Words of digits, letters and non-ASCII characters, A-Z lower-cased."""
-    return Counter(text.encode().translate(WORD_BYTES).decode().split())
-
-
 def _number(term: str) -> int:
     return xxhash.xxh64_intdigest(term.encode())
 
 
 class Terms:
-    """Terms of texts as 64-bit numbers."""
+    """Terms of texts as 64-bit numbers, from a table of the words met so far."""
 
     def __init__(self):
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.words: dict[str, int] = {}
+        self.terms: dict[str, int] = {}
+        self.number = array("Q")            # of each term
+        self.cut, self.of_word = array("q", [0]), array("q")  # terms of each word
+
+    def _learn(self, words: list[str]) -> None:
+        terms = self.terms
+        for word in words:
+            self.words[word] = len(self.words)
+            for term in (word, *[MARK + word[:k] for k in BEGINNINGS if len(word) > k]):
+                at = terms.get(term)
+                if at is None:
+                    at = terms[term] = len(terms)
+                    self.number.append(_number(term))
+                self.of_word.append(at)
+            self.cut.append(len(self.of_word))
+
+    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, frequency), sorted by text; terms by their place in the table."""
+        if len(self.terms) > _TERMS:
+            self.clear()
+        lists = [t.encode().translate(WORD_BYTES).decode().split() for t in texts]
+        known = self.words
+        self._learn([w for w in dict.fromkeys(chain.from_iterable(lists)) if w not in known])
+        word = np.array([known[w] for words in lists for w in words], np.int64)
+        text = np.repeat(np.arange(len(texts)), [len(x) for x in lists])
+        key, n = np.unique(text << 32 | word, return_counts=True)
+        text, word = key >> 32, key & 0xFFFFFFFF
+        cut = np.frombuffer(self.cut, np.int64)
+        size = cut[word + 1] - cut[word]
+        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(cut[word], size)
+        key = np.repeat(text, size) << 32 | np.array(self.of_word, np.int64)[at] if len(at) else np.empty(0, np.int64)
+        order = np.argsort(key, kind="stable")
+        key, n = key[order], np.repeat(n, size)[order]
+        head = np.flatnonzero(np.diff(key, prepend=-1))
+        return key[head] >> 32, key[head] & 0xFFFFFFFF, np.add.reduceat(n, head) if len(head) else n
+
+    def many(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(numbers in rising order, frequencies) of each text's terms."""
+        text, term, n = self.counts(texts)
+        number = np.array(self.number, np.uint64)[term] if len(term) else np.empty(0, np.uint64)
+        order = np.lexsort((number, text))
+        number, n = number[order], n[order].astype(float)
+        cut = np.searchsorted(text, np.arange(len(texts) + 1))
+        return [(number[i:j], n[i:j]) for i, j in zip(cut, cut[1:])]
 
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers in rising order, frequencies) of the text's terms."""
-        known, numbers, counts = self.known, [], []
-        if len(known) > _WORDS:
-            known.clear()
-        for word, n in words_in(text).items():
-            terms = known.get(word)
-            if terms is None:
-                terms = (_number(word), *[_number(MARK + word[:k]) for k in BEGINNINGS if len(word) > k])
-                if len(word) <= 64:
-                    known[word] = terms
-            numbers += terms
-            counts += [n] * len(terms)
-        number, inverse = np.unique(np.array(numbers, np.uint64), return_inverse=True)
-        return number, np.bincount(inverse, counts, len(number)) if len(number) else np.empty(0)
+        return self.many([text])[0]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -210,6 +241,7 @@ class BlockMaxIndex:
         scores += const[:, None] * self.const[None]
         bound = q @ self.highest.T + np.maximum.reduceat(scores, self.heads, axis=1)
         done = np.zeros((b, len(self.heads)), bool)
+        best = np.full((b, k), -np.inf, np.float32)
         worst = np.full(b, -np.inf)
         for j in np.argsort(-bound.max(axis=0), kind="stable"):
             rows = np.flatnonzero(bound[:, j] >= worst - 1e-5)
@@ -218,17 +250,16 @@ class BlockMaxIndex:
             lo, hi = self.heads[j], min(self.heads[j] + self.m.s.block, n)
             scores[rows, lo:hi] += q[rows] @ self.dense[lo:hi].T
             done[rows, j] = True
-            if done[rows[0]].sum() * self.m.s.block >= k:
-                full = np.where(np.repeat(done[rows], np.diff(np.append(self.heads, n)), axis=1), scores[rows], -1)
-                worst[rows] = np.partition(full, n - k, axis=1)[:, n - k]
+            both = np.concatenate([best[rows], scores[rows, lo:hi]], 1)
+            best[rows] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+            worst[rows] = best[rows].min(axis=1)
         scores[~np.repeat(done, np.diff(np.append(self.heads, n)), axis=1)] = -1
-        scores = scores.round(5)
         out = []
         for r in range(b):
-            edge = np.partition(scores[r], n - k)[n - k]
-            fit = np.flatnonzero(scores[r] >= edge)
-            fit = fit[np.lexsort((fit, -scores[r][fit]))][:k]
-            out.append((scores[r][fit].astype(float), fit))
+            fit = np.flatnonzero(scores[r] >= worst[r] - 1e-5)
+            value = scores[r][fit].round(5)
+            order = np.lexsort((fit, -value))[:k]
+            out.append((value[order].astype(float), fit[order]))
         return out
 
     def votes(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, np.ndarray, np.ndarray]]:
@@ -270,13 +301,13 @@ def fit_curve(votes: np.ndarray, toxic: np.ndarray, stands: np.ndarray) -> tuple
     return float(max(beta[0], 0.05)), float(beta[1])
 
 
-def _spread(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list]]:
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Batches of a few texts with their terms."""
     terms = Terms()
     for batch in batches:
         for at in range(0, batch.num_rows, _TOGETHER):
             part = batch.slice(at, _TOGETHER)
-            yield part, [terms.of(t.as_py() or "") for t in part.column(column)]
+            yield part, [x for texts in slices([t or "" for t in part.column("text").to_pylist()]) for x in terms.many(texts)]
 
 
 def _examples(docs: DataFrame, labels: DataFrame, share: dict, s: Settings) -> list:
@@ -306,23 +337,37 @@ def _counts(docs: DataFrame, labels: DataFrame, terms: np.ndarray) -> tuple[np.n
     held = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches):
-        own, total = np.zeros((3, len(held.value)), np.int64), np.zeros(3, np.int64)
-        for part, texts in _spread(batches):
-            label = part.column("toxic").to_pylist()
-            kinds = (None, True, False)
-            for k, kind in enumerate(kinds):
-                mine = [x for (x, _), t in zip(texts, label) if kind is None or t is kind]
-                total[k] += len(mine)
-                if mine:
-                    number = np.sort(np.concatenate(mine))
-                    at = np.searchsorted(held.value, number)
-                    at = at[at < len(held.value)] if len(at) else at
-                    hit = at[held.value[at] == number[:len(at)]]
-                    own[k] += np.bincount(hit, minlength=len(held.value))
-        some = np.flatnonzero(own[0])
-        for at in range(0, len(some), 100_000):
-            i = some[at:at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(i), *[pa.array(own[k][i]) for k in range(3)]], ["place", "n", "pos", "neg"])
+        table, total = Terms(), np.zeros(3, np.int64)
+        seen = np.zeros((3, 1024), np.int64)
+
+        def emit():
+            """The counts so far of those that are asked for."""
+            number = np.array(table.number, np.uint64)
+            at = np.searchsorted(held.value, number)
+            at[at == len(held.value)] = 0
+            hit = np.flatnonzero(held.value[at] == number) if len(held.value) else np.empty(0, int)
+            batch = pa.RecordBatch.from_arrays([pa.array(at[hit]), *[pa.array(seen[k, hit]) for k in range(3)]],
+                                               ["place", "n", "pos", "neg"])
+            table.clear()
+            seen[:] = 0
+            return batch
+        for batch in batches:
+            label = np.array([0 if t is None else 1 if t else 2 for t in batch.column("toxic").to_pylist()])
+            total += [len(label), (label == 1).sum(), (label == 2).sum()]
+            at = 0
+            for texts in slices(batch.column("text").to_pylist()):
+                text, term, _ = table.counts(texts)
+                if len(table.terms) > seen.shape[1]:
+                    wider = np.zeros((3, 2 * len(table.terms)), np.int64)
+                    wider[:, :seen.shape[1]] = seen
+                    seen = wider
+                kind = label[at + text]
+                for k in range(3):
+                    seen[k, :len(table.terms)] += np.bincount(term if not k else term[kind == k], minlength=len(table.terms))
+                at += len(texts)
+                if len(table.terms) > _TERMS // 2:
+                    yield emit()
+        yield emit()
         yield pa.RecordBatch.from_arrays([pa.array([-1]), *[pa.array([int(x)]) for x in total]], ["place", "n", "pos", "neg"])
     rows = U.doc_text(docs).join(F.broadcast(labels.select("doc_id", "toxic")), "doc_id", "left").select("text", "toxic")
     sums = (rows.mapInArrow(run, "place long, n long, pos long, neg long").groupBy("place")
