@@ -40,6 +40,8 @@ def configure(spark: SparkSession) -> SparkSession:
     root, env = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+    # A task has one core: matrix products in several threads would take its neighbours'.
+    env.setdefault("OPENBLAS_NUM_THREADS", "1")
     return spark
 
 
