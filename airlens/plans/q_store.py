@@ -127,11 +127,12 @@ _P04 = (Q.ctes(v1=Q.V1, rev=REV, u=f"SELECT {_q(V1_COLS)}, 0 AS src FROM v1 UNIO
 @register("k02_save_raw", _P04)
 def k02_save_raw(spark, sf_dir):
     """Hourly store keyed (city, timestamp), partitioned by day: history,
-    then the re-delivered batch replaces the rows it carries."""
+    then the re-delivered batch replaces the rows it carries.  Of readings of
+    one city and moment in a batch the last delivered one is stored."""
     cols = ["city", "timestamp", "seq", "aqi"]
     p = ST.scratch_path(spark, "raw")
-    ST.save_raw(V.event_readings(spark, sf_dir).select(*cols), p)
-    ST.save_raw(V.redelivered_readings(spark, sf_dir).select(*cols), p)
+    ST.save_raw(V.event_readings(spark, sf_dir).select(*cols), p, order="seq")
+    ST.save_raw(V.redelivered_readings(spark, sf_dir).select(*cols), p, order="seq")
     return round_cols(ST.read_table(spark, p).drop("day"), ["aqi"])
 
 

@@ -161,10 +161,13 @@ def _write(spark: SparkSession, new: DataFrame, path: str, keys: list[str], part
 
 
 # K02 / K03 / K05 / K06 --------------------------------------------------------
-def save_raw(df: DataFrame, path: str, key="city", ts: str = "timestamp") -> UpsertResult | None:
-    """Hourly readings keyed (key, timestamp), partitioned by day."""
-    d = df.withColumn("day", F.to_date(F.col(ts)))
-    return upsert(d, path, _as_list(key) + [ts], ["day"], "replace")
+def save_raw(df: DataFrame, path: str, key="city", ts: str = "timestamp", order: str | None = None) -> UpsertResult | None:
+    """Hourly readings keyed (key, timestamp), partitioned by day.  Of readings
+    in the batch with equal keys the one with the largest ``order`` is stored;
+    without an ``order`` they are an error."""
+    keys = _as_list(key) + [ts]
+    d = dedupe(df, keys, [order], keep="last") if order else df
+    return upsert(d.withColumn("day", F.to_date(F.col(ts))), path, keys, ["day"], "replace")
 
 
 def save_features(df: DataFrame, path: str, key="city", mode: str = "merge") -> UpsertResult | None:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airlens.operators import explain as EX
+from airlens.plans.q_store import k02_save_raw
 from airlens.sinks import store as ST
 
 
@@ -50,6 +51,21 @@ def test_duplicate_keys_rejected(spark):
         ST.upsert(dup, ST.scratch_path(spark, "dup"), "k")
 
 
+def test_raw_readings_of_one_moment(spark, tmp_path):
+    """k02: of several readings of one key the last delivered one is stored,
+    in the history as in the batch that replaces it."""
+    events = spark.sql("""SELECT * FROM VALUES (1L, 'A', timestamp_ntz'2024-01-20 01:00:00', 1.0D, 7L),
+        (4L, 'A', timestamp_ntz'2024-01-20 01:00:00', 4.0D, 7L), (3L, 'A', timestamp_ntz'2024-01-20 01:00:00', 9.0D, 7L),
+        (5L, 'B', timestamp_ntz'2024-01-26 01:00:00', 5.0D, 7L), (6L, 'B', timestamp_ntz'2024-01-26 01:00:00', 2.0D, 7L),
+        (7L, NULL, NULL, 3.0D, 7L), (8L, NULL, NULL, 8.0D, 7L) AS e(event_id, event_type, ts, value, user_id)""")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    got = {r.city: (r.seq, r.aqi) for r in k02_save_raw(spark, str(tmp_path)).collect()}
+    assert got == {"A": (4, round(4 / 1.09, 6)), "B": (1_000_000_006, round(2 / 1.09 + 1, 6)), None: (8, round(8 / 1.09, 6))}
+    readings = events.selectExpr("event_type city", "ts timestamp", "event_id seq")
+    with pytest.raises(ValueError):
+        ST.save_raw(readings, str(tmp_path / "r"))
+
+
 def test_linear_attribution_sums_to_prediction(spark):
     df = spark.createDataFrame([("k", dt.date(2024, 1, d), float(d), float(d * d % 5)) for d in range(1, 11)],
                                "city string, date date, a double, b double")
