@@ -7,12 +7,14 @@ from collections import Counter, defaultdict
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airlens.llm import (common, exact_dedup, html_text, licenses, mixing, near_dedup, packing, quality, token_edits,
                          toxicity, urls)
+from airlens.llm import components as components_module
 from airlens.llm.components import components
 from airlens.llm.tokens import SpacedIds, WordIds
 
@@ -160,6 +162,42 @@ def test_estimate_is_corrected_for_chance():
         assert abs(m.resemblance(unequal)[0] - true) < 0.2
 
 
+def test_links_are_contracted_before_the_rounds(spark, monkeypatch):
+    """op6, pipeline: runs of links leave as stars around their smallest nodes,
+    and links that are stars already need no round at all."""
+    rng = np.random.default_rng(5)
+    for u, v in ((np.arange(1, 3000), np.arange(2999)), (rng.permutation(2000)[:900] + 7, rng.permutation(2000)[:900])):
+        nodes, least = components_module.least_reachable(u, v)
+        want = {int(n): int(n) for n in np.concatenate([u, v])}
+        for _ in range(len(u)):
+            before = dict(want)
+            for a, b in zip(u.tolist(), v.tolist()):
+                want[a] = want[b] = min(want[a], want[b])
+            if want == before:
+                break
+        assert dict(zip(nodes.tolist(), least.tolist())) == want
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 4, 9, 9]), pa.array([4, 1, 8, 8])], names=["u", "v"])
+    got = [b.to_pydict() for b in components_module.contract_batches(iter([batch, batch.slice(0, 0)]))]
+    assert got == [{"u": [4, 5, 9], "v": [1, 1, 8]}]
+    monkeypatch.setattr(components_module, "_star", None)  # no round
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 3), (9, 8)], "a long, b long").coalesce(1)
+    assert dict(components(edges).collect()) == {1: 1, 2: 1, 3: 1, 8: 8, 9: 8}
+
+
+def test_links_in_many_runs(spark, monkeypatch):
+    """Runs of one link each: the rounds join what no task sees together."""
+    edges = [(k, k + 1) for k in range(40)] + [(100, 200 + k) for k in range(30)] + [(k, 499 - k) for k in range(300, 330)]
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(16)
+    got = dict(components(frame).collect())
+    want = {k: 0 for k in range(41)} | {100: 100} | {200 + k: 100 for k in range(30)}
+    for k in range(300, 330):
+        want |= {k: min(k, 499 - k), 499 - k: min(k, 499 - k)}
+    assert {k: got[k] for k in range(41)} == {k: 0 for k in range(41)}
+    assert set(got) == set(want)
+    assert all(got[a] == got[b] for a, b in edges)
+    assert all(got[got[n]] == got[n] <= n for n in got)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (300, 299), (41, 40)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
