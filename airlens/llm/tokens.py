@@ -19,6 +19,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: Composed lower-case Latin letters, then at most one mark: letters and marks
 #: are different pre-tokens, and normalising leaves both as they are.
 _PLAIN = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,;:!?]?)")
+_MARKS = frozenset(b".,;:!?"[k:k + 1] for k in range(6))
 _TOGETHER = 256
 #: Longer words are encoded each time: where a script has no spaces a whole text
 #: is one word, and no table of those would be bounded or of use.
@@ -55,16 +56,16 @@ class WordIds:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _plain(self, words: list[str]) -> list[bytes]:
+    def _plain(self, words: list[bytes]) -> list[bytes]:
         """ids of plain words, many to a call: a word ends where a token with
         the end-of-word suffix does."""
         parts = [words[k:k + _TOGETHER] for k in range(0, len(words), _TOGETHER)]
         out: list[bytes] = []
-        for part, e in zip(parts, self.plain.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
+        for part, e in zip(parts, self.plain.encode_batch_fast([b" ".join(p).decode() for p in parts], add_special_tokens=False)):
             ids = np.array(e.ids, "<u4")
             ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
             if len(ends) != len(part):
-                out += self._packed(part)
+                out += self._packed([w.decode() for w in part])
                 continue
             raw = ids.tobytes()
             out += [raw[i:j] for i, j in zip([0, *ends], ends)]
@@ -73,44 +74,46 @@ class WordIds:
     def _learn(self, words: set[bytes]) -> None:
         known, plain, marked, other = self.known, set(), [], []
         for w in words:
-            m = _PLAIN.fullmatch(w.decode())
-            if not m:
+            stem, mark = w[:-1], w[-1:]
+            if w.isalpha():  # ASCII letters, lower-cased
+                plain.add(w)
+            elif mark in _MARKS and stem.isalpha():
+                marked.append((w, stem, mark))
+                plain.add(stem)
+            elif w.isascii() or not (m := _PLAIN.fullmatch(w.decode())):
                 other.append(w)
             elif m[2]:
-                marked.append((w, m[1].encode(), m[2].encode()))
-                plain.add(m[1])
+                marked.append((w, stem, mark))
+                plain.add(stem)
             else:
-                plain.add(m[1])
-        new = [w for w in plain if w.encode() not in known]
-        known.update(zip([w.encode() for w in new], self._plain(new)))
+                plain.add(w)
+        new = [w for w in plain if w not in known]
+        known.update(zip(new, self._plain(new)))
         other += [mark for mark in {x[2] for x in marked} if mark not in known]
         known.update(zip(other, self._packed([w.decode() for w in other])))
         for w, stem, mark in marked:
             known[w] = known[stem] + known[mark]
-        for w in [*(w.encode() for w in new), *other, *(x[0] for x in marked)]:
-            self.held += len(w) + len(known[w]) + ENTRY_BYTES
+        for kind in (new, other, [x[0] for x in marked]):
+            self.held += sum(map(len, kind)) + sum(map(len, map(known.__getitem__, kind))) + ENTRY_BYTES * len(kind)
 
     def many(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each whole text; words that
         are new to the table are learned together."""
-        known, lists = self.known, [None if "<|" in t else t.encode().lower().split() for t in texts]
         if self.held > self.most:
-            known.clear()
+            self.known.clear()
             self.held = 0
-        new = set()
-        for words in lists:
-            if words:
-                new.update(words)
-        new = {w for w in new if w not in known}
+        known, lists = self.known, [None if "<|" in t else t.encode().lower().split() for t in texts]
+        found = [list(map(known.get, words or ())) for words in lists]
+        missing = [[k for k, ids in enumerate(x) if ids is None] for x in found]
+        new = {words[k] for words, at in zip(lists, missing) for k in at}
         long = [w for w in new if len(w) > LONGEST]
         if len(new) > len(long):
             self._learn(new.difference(long))
-        if not long:
-            return [self._packed([t])[0] if words is None else b"".join([known[w] for w in words])
-                    for t, words in zip(texts, lists)]
         once = dict(zip(long, self._packed([w.decode() for w in long])))
-        return [self._packed([t])[0] if words is None else b"".join([known[w] if len(w) <= LONGEST else once[w] for w in words])
-                for t, words in zip(texts, lists)]
+        for words, x, at in zip(lists, found, missing):
+            for k in at:
+                x[k] = known[words[k]] if len(words[k]) <= LONGEST else once[words[k]]
+        return [self._packed([t])[0] if words is None else b"".join(x) for t, words, x in zip(texts, lists, found)]
 
     def __call__(self, text: str) -> bytes:
         return self.many([text])[0]

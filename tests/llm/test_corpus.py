@@ -162,6 +162,22 @@ def test_estimate_is_corrected_for_chance():
         assert abs(m.resemblance(unequal)[0] - true) < 0.2
 
 
+def test_words_are_looked_up_once():
+    """op10: one look at the table for each word, whose ids are those of the
+    whole text."""
+    table, looked = WordIds(packing.tokenizer_file()), []
+
+    class Counted(dict):
+        def get(self, key, default=None):
+            looked.append(key)
+            return dict.get(self, key, default)
+    table.known = Counted()
+    texts = ["Plain words, straße don't 3x.", "words again; plain", "w" * 70 + " über!", "", "a <|x b"]
+    for _ in range(2):
+        assert table.many(texts) == [np.array(table.encoder.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert len(looked) == 2 * sum(len(t.split()) for t in texts[:4])
+
+
 def test_links_are_contracted_before_the_rounds(spark, monkeypatch):
     """op6, pipeline: runs of links leave as stars around their smallest nodes,
     and links that are stars already need no round at all."""
