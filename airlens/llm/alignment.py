@@ -35,7 +35,8 @@ from airlens.session import materialise, settled
 BLOCK_DOCS, BLOCK_POSTINGS, HELD_POSTINGS = 1 << 16, 1 << 24, 1 << 21
 #: Pieces up to this length are remembered, in a table of up to so many bytes.
 PIECE_CHARS, TABLE_BYTES = 48, 128 << 20
-_CUT = re.compile(r"(?<=[!-~\w])(?= [!-~\w])")
+#: The space comes first, so that the search passes over all else quickly.
+_SPACE = re.compile(r" (?<=[!-~\w] )(?=[!-~\w])")
 #: Scores are broadcast up to so many pairs (40 MB), and joined by a shuffle beyond.
 BROADCAST_PAIRS = 1_000_000
 #: A bitmap of a block; fewer places than this are listed, two bytes each.
@@ -98,7 +99,7 @@ class Aligner:
         self.text_a = np.array([[f"{i}{m}" for i in range(len(self.bytes_a))] for m in ",|"], object)
         self.text_b = np.array([[f"{i}{m}" for i in range(len(self.bytes_b))] for m in ",;\n"], object)
         #: A piece of B that goes on after a space would not end at our cuts.
-        self.cut = _CUT if not any("▁" in p.lstrip("▁") for p in pieces) else re.compile(r"(?!)")
+        self.cut = _SPACE if not any("▁" in p.lstrip("▁") for p in pieces) else re.compile(r"(?!)")
         self.clear()
 
     def clear(self) -> None:
@@ -169,22 +170,24 @@ class Aligner:
         ids that it links, how many links."""
         if self.held > TABLE_BYTES:
             self.clear()
-        cut = [self.cut.split(" " + t) if t else [] for t in texts]
-        wanted = {p for pieces in cut for p in pieces if p not in self.known}
-        short = [p for p in wanted if len(p) <= PIECE_CHARS]
+        cut = [self.cut.split(t) if t else [] for t in texts]  # without the space before each piece
+        numbers = [list(map(self.known.get, pieces)) for pieces in cut]
+        missing = [[k for k, n in enumerate(x) if n is None] for x in numbers]
+        wanted = {pieces[k] for pieces, at in zip(cut, missing) for k in at}
+        short = [p for p in wanted if len(p) < PIECE_CHARS]
         if short:
             self.known.update(zip(short, range(len(self.groups), len(self.groups) + len(short))))
-            self._learn(short)
+            self._learn([" " + p for p in short])
         # Long pieces are worked out for this call only; the pairs they meet stay.
         pairs = len(self.pair_of)
         known, stay = self.known, (len(self.groups), self.links.n, self.held)
-        long = [p for p in wanted if len(p) > PIECE_CHARS]
+        long = [p for p in wanted if len(p) >= PIECE_CHARS]
+        once = dict(zip(long, range(stay[0], stay[0] + len(long))))
         if long:
-            once = dict(zip(long, range(stay[0], stay[0] + len(long))))
-            self._learn(long)
-            numbers = [[once[p] if p in once else known[p] for p in pieces] for pieces in cut]
-        else:
-            numbers = [[known[p] for p in pieces] for pieces in cut]
+            self._learn([" " + p for p in long])
+        for pieces, x, at in zip(cut, numbers, missing):
+            for k in at:
+                x[k] = once[pieces[k]] if pieces[k] in once else known[pieces[k]]
         flat = np.fromiter(chain.from_iterable(numbers), np.int64)
         owner = np.repeat(np.arange(len(texts)), [len(x) for x in numbers])
         per_piece = self.counts.all[flat]
@@ -192,8 +195,9 @@ class Aligner:
         lost[owner[per_piece[:, 0] < 0]] = True
         keep = ~lost[owner]
         flat, owner, per_piece = flat[keep], owner[keep], per_piece[keep]
-        counts = np.zeros((len(texts), 4), np.int64)
-        np.add.at(counts, owner, per_piece)
+        ends = np.searchsorted(owner, np.arange(len(texts)), side="right")
+        counts = np.diff(np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(per_piece, axis=0)])[ends], axis=0,
+                         prepend=np.zeros((1, 4), np.int64))
         groups = self.groups
         digests = ["" if gone or not x else hashlib.sha256(";".join([groups[i] for i in x]).encode()).hexdigest()
                    for x, gone in zip(numbers, lost)]

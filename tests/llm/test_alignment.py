@@ -125,3 +125,24 @@ def test_table_is_bounded_and_answers_do_not_depend_on_it(monkeypatch):
         assert Counter(zip(got[2].tolist(), got[3].tolist(), got[4].tolist())) == Counter(
             zip(w[2].tolist(), w[3].tolist(), w[4].tolist()))
     assert most < 1_500_000 < free.held
+
+
+def test_pieces_are_looked_up_once_and_joined_again(monkeypatch):
+    """op13: cut at single spaces between visible characters, looked up once a
+    piece; digests and counts do not depend on what the table holds already."""
+    fresh = lambda: alignment.Aligner(alignment.vocabulary("byte_bpe_50k.json"), alignment.vocabulary("piece_bpe_32k.model"))
+    texts = ["a b c", " lead and trail ", "two  spaces", "", "x" * 46 + " " + "y" * 47 + " " + "z" * 48, "naïve über a", "\tq w\n r"]
+    one = fresh()
+    assert [one.cut.split(t) for t in texts[:3]] == [["a", "b", "c"], [" lead", "and", "trail "], ["two  spaces"]]
+    looked = []
+    class Counted(dict):
+        def get(self, key, default=None):
+            looked.append(key)
+            return dict.get(self, key, default)
+    one.known = Counted()
+    first, again = one.many(texts), one.many(texts)
+    assert len(looked) == 2 * sum(len(one.cut.split(t)) for t in texts if t)
+    apart = [fresh().many([t]) for t in texts]
+    for got in (first, again):
+        assert got[1] == [x[1][0] for x in apart]
+        assert got[0].tolist() == [x[0][0].tolist() for x in apart]
