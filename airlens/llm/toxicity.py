@@ -101,7 +101,7 @@ class Terms:
         cut = np.frombuffer(self.cut, np.int64)
         size = cut[word + 1] - cut[word]
         at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(cut[word], size)
-        key = np.repeat(text, size) << 32 | np.array(self.of_word, np.int64)[at] if len(at) else np.empty(0, np.int64)
+        key = np.repeat(text, size) << 32 | np.frombuffer(self.of_word, np.int64)[at] if len(at) else np.empty(0, np.int64)
         order = np.argsort(key, kind="stable")
         key, n = key[order], np.repeat(n, size)[order]
         head = np.flatnonzero(np.diff(key, prepend=-1))
@@ -110,7 +110,7 @@ class Terms:
     def many(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(numbers in rising order, frequencies) of each text's terms."""
         text, term, n = self.counts(texts)
-        number = np.array(self.number, np.uint64)[term] if len(term) else np.empty(0, np.uint64)
+        number = np.frombuffer(self.number, np.uint64)[term] if len(term) else np.empty(0, np.uint64)
         order = np.lexsort((number, text))
         number, n = number[order], n[order].astype(float)
         cut = np.searchsorted(text, np.arange(len(texts) + 1))
