@@ -17,7 +17,7 @@ from __future__ import annotations
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, islice
 from uuid import uuid4
 
 import numpy as np
@@ -54,8 +54,8 @@ class Settings:
 #: Characters of the beginnings that are terms of their own, and their mark.
 BEGINNINGS = (4, 6)
 MARK = "^"
-#: Terms remembered in each worker.
-_TERMS = 600_000
+#: Terms remembered in each worker, and characters of their words.
+_TERMS, _CHARS = 600_000, 16_000_000
 _TOGETHER = 128
 
 
@@ -63,54 +63,68 @@ def _number(term: str) -> int:
     return xxhash.xxh64_intdigest(term.encode())
 
 
+class _Places(dict):
+    """Places of keys in the order in which they were first asked for."""
+
+    def __missing__(self, key):
+        at = self[key] = len(self)
+        return at
+
+
 class Terms:
-    """Terms of texts as 64-bit numbers, from a table of the words met so far."""
+    """Terms of texts as 64-bit numbers, from a table of the words met so far;
+    with ``known`` numbers in rising order, as their places there (others: -1)."""
 
-    def __init__(self):
+    def __init__(self, known: np.ndarray | None = None):
+        self.known = known
         self.clear()
 
     def clear(self) -> None:
-        self.words: dict[str, int] = {}
-        self.terms: dict[str, int] = {}
-        self.number = array("Q")            # of each term
-        self.cut, self.of_word = array("q", [0]), array("q")  # terms of each word
+        self.words, self.beginnings = _Places(), {}  # beginnings: by place among the terms
+        self.chars = 0
+        self.of_word = array("q")           # for each word its own term, then those of its beginnings (none: -1)
+        self.value = array("q")             # number or place of each term
 
     def _learn(self, words: list[str]) -> None:
-        terms = self.terms
-        for word in words:
-            self.words[word] = len(self.words)
-            for term in (word, *[MARK + word[:k] for k in BEGINNINGS if len(word) > k]):
-                at = terms.get(term)
-                if at is None:
-                    at = terms[term] = len(terms)
-                    self.number.append(_number(term))
-                self.of_word.append(at)
-            self.cut.append(len(self.of_word))
+        begun, known, first, was = self.beginnings, self.known, len(self.value), len(self.beginnings)
+        rows = np.empty((len(words), 1 + len(BEGINNINGS)), np.int64)
+        rows[:, 0] = np.arange(first, first + len(words))
+        n = first + len(words) - was
+        for at, k in enumerate(BEGINNINGS, 1):  # the length of a beginning tells its kind
+            rows[:, at] = [begun.setdefault(w[:k], n + len(begun)) if len(w) > k else -1 for w in words]
+        new = [*islice(reversed(begun), len(begun) - was)][::-1]
+        number = np.array([_number(t) for t in chain(words, (MARK + t for t in new))], np.uint64)
+        if known is not None:
+            at = np.searchsorted(known, number)
+            at[at == len(known)] = 0
+            number = np.where(known[at] == number, at, -1) if len(known) else np.full(len(number), -1)
+        self.of_word.frombytes(rows.tobytes())
+        self.value.frombytes(number.tobytes())
+        self.chars += sum(map(len, words))
 
     def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, term, frequency), sorted by text; terms by their place in the table."""
-        if len(self.terms) > _TERMS:
+        """(text, number or place of a term, frequency), sorted by text."""
+        if len(self.value) > _TERMS or self.chars > _CHARS:
             self.clear()
         lists = [t.encode().translate(WORD_BYTES).decode().split() for t in texts]
-        known = self.words
-        self._learn([w for w in dict.fromkeys(chain.from_iterable(lists)) if w not in known])
-        word = np.array([known[w] for words in lists for w in words], np.int64)
-        text = np.repeat(np.arange(len(texts)), [len(x) for x in lists])
-        key, n = np.unique(text << 32 | word, return_counts=True)
-        text, word = key >> 32, key & 0xFFFFFFFF
-        cut = np.frombuffer(self.cut, np.int64)
-        size = cut[word + 1] - cut[word]
-        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(cut[word], size)
-        key = np.repeat(text, size) << 32 | np.frombuffer(self.of_word, np.int64)[at] if len(at) else np.empty(0, np.int64)
-        order = np.argsort(key, kind="stable")
-        key, n = key[order], np.repeat(n, size)[order]
+        size, was = [len(x) for x in lists], len(self.words)
+        word = np.fromiter(map(self.words.__getitem__, chain.from_iterable(lists)), np.int64, sum(size))
+        if len(self.words) > was:
+            self._learn([*islice(reversed(self.words), len(self.words) - was)][::-1])
+        key, n = np.unique(np.repeat(np.arange(len(texts)) << 32, size) | word, return_counts=True)
+        term = np.frombuffer(self.of_word, np.int64).reshape(-1, 1 + len(BEGINNINGS))[key & 0xFFFFFFFF]
+        has = term >= 0
+        key, n = ((key >> 32 << 32)[:, None] | term)[has], np.repeat(n, has.sum(axis=1))
+        order = np.argsort(key)
+        key, n = key[order], n[order]
         head = np.flatnonzero(np.diff(key, prepend=-1))
-        return key[head] >> 32, key[head] & 0xFFFFFFFF, np.add.reduceat(n, head) if len(head) else n
+        key, n = key[head], np.add.reduceat(n, head) if len(head) else n
+        return key >> 32, np.frombuffer(self.value, np.int64)[key & 0xFFFFFFFF], n
 
     def many(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(numbers in rising order, frequencies) of each text's terms."""
-        text, term, n = self.counts(texts)
-        number = np.frombuffer(self.number, np.uint64)[term] if len(term) else np.empty(0, np.uint64)
+        text, number, n = self.counts(texts)
+        number = number.view(np.uint64)
         order = np.lexsort((number, text))
         number, n = number[order], n[order].astype(float)
         cut = np.searchsorted(text, np.arange(len(texts) + 1))
@@ -159,6 +173,7 @@ class Model:
     slope: float = 1.0
     offset: float = 0.0
     sizes: tuple = field(default=(0.0, 0.0))
+    name: str = ""
 
     @property
     def prior(self) -> float:
@@ -171,7 +186,7 @@ class Model:
         inside = np.repeat(keep, n)
         return Model(self.terms, self.weight, self.unknown, np.concatenate([[0], np.cumsum(n[keep])]), self.place[inside],
                      self.freq[inside], self.toxic[keep], self.stands[keep], [d for d, k in zip(self.doc_id, keep) if k],
-                     self.s, self.slope, self.offset, self.sizes)
+                     self.s, self.slope, self.offset, self.sizes, self.name)
 
 
 class BlockMaxIndex:
@@ -205,39 +220,55 @@ class BlockMaxIndex:
         self.dense[owner[dense], self.column[model.place[dense]]] = value[dense]
         tail = np.flatnonzero(~dense)
         tail = tail[np.lexsort((owner[tail], model.place[tail]))]
-        self.post_at, self.post_value = owner[tail].astype(np.int32), value[tail]
+        self.post_at, self.post_value = owner[tail], value[tail]
         self.post_cut = np.searchsorted(model.place[tail], np.arange(len(model.terms) + 1))
+        # At -1, after the known terms, stand those that no example has.
+        self.weight, self.column = np.append(model.weight, model.unknown), np.append(self.column, -2)
         self.heads = np.arange(0, n, s.block)
         self.highest = np.maximum.reduceat(self.dense, self.heads, axis=0) if n else self.dense[:0]
         self.high_const = np.maximum.reduceat(self.const, self.heads) if n else self.const
 
-    def _query(self, number: np.ndarray, freq: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        """(places of known terms, unit weights, that of the constant term)."""
-        m = self.m
-        value = 1 + np.log(freq)
-        at = np.searchsorted(m.terms, number)
-        known = at < len(m.terms)
-        known[known] = m.terms[at[known]] == number[known]
-        w = np.where(known, m.weight[np.minimum(at, max(len(m.terms) - 1, 0))] if len(m.terms) else 0.0, m.unknown) * value
-        norm = np.sqrt((w * w).sum() + m.s.constant ** 2)
-        return at[known], w[known] / norm, m.s.constant / norm
+    def places(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        """Texts given by their terms, as :meth:`search` takes them."""
+        terms, number = self.m.terms, np.concatenate([np.empty(0, np.uint64), *[x for x, _ in texts]])
+        at = np.searchsorted(terms, number)
+        at[at == len(terms)] = -1
+        if len(terms):
+            at[terms[at] != number] = -1
+        return (len(texts), np.repeat(np.arange(len(texts)), [len(x) for x, _ in texts]), at,
+                np.concatenate([np.empty(0), *[f for _, f in texts]]))
 
     def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """:meth:`search` for texts given by their terms."""
+        return self.search(*self.places(texts), k)
+
+    def search(self, b: int, text: np.ndarray, place: np.ndarray, freq: np.ndarray,
+               k: int | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """(cosines, examples in the index's order) of the ``k`` nearest of each
-        text, given by its terms; ties to the first."""
-        k = min(k or self.m.s.neighbours, self.n)
-        b, n = len(texts), self.n
+        of ``b`` texts, given by the places of their terms (unknown: -1) and
+        frequencies, sorted by text; ties to the first."""
+        s, n = self.m.s, self.n
+        k = min(k or s.neighbours, n)
+        w = self.weight[place] * (1 + np.log(freq))
+        norm = np.sqrt(np.bincount(text, w * w, b) + s.constant ** 2)
+        const, w = (s.constant / norm).astype(np.float32), w / norm[text]
+        col = self.column[place]
+        common, rare = np.flatnonzero(col >= 0), np.flatnonzero(col == -1)
         q = np.zeros((b, self.dense.shape[1]), np.float32)
+        q[text[common], col[common]] = w[common]
+        place, w, cut = place[rare], w[rare], np.searchsorted(text[rare], np.arange(b + 1))
+        first = self.post_cut[place]
+        size = self.post_cut[place + 1] - first
+        first -= np.cumsum(size) - size
+        ends = np.append(0, np.cumsum(size))[cut]
         scores = np.zeros((b, n), np.float32)
-        const = np.zeros(b, np.float32)
-        for r, (number, freq) in enumerate(texts):
-            at, w, const[r] = self._query(number, freq)
-            col = self.column[at]
-            q[r, col[col >= 0]] = w[col >= 0]
-            at, w = at[col < 0], w[col < 0]
-            size = self.post_cut[at + 1] - self.post_cut[at]
-            where = np.repeat(self.post_cut[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            scores[r] = np.bincount(self.post_at[where], self.post_value[where] * np.repeat(w, size), n)
+        for r in range(b):
+            i, j = cut[r], cut[r + 1]
+            where = np.repeat(first[i:j], size[i:j])
+            where += np.arange(ends[r], ends[r + 1])
+            value = np.repeat(w[i:j], size[i:j])
+            value *= self.post_value[where]
+            scores[r] = np.bincount(self.post_at[where], value, n)
         scores += const[:, None] * self.const[None]
         bound = q @ self.highest.T + np.maximum.reduceat(scores, self.heads, axis=1)
         done = np.zeros((b, len(self.heads)), bool)
@@ -262,18 +293,20 @@ class BlockMaxIndex:
             out.append((value[order].astype(float), fit[order]))
         return out
 
-    def votes(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, np.ndarray, np.ndarray]]:
-        """(share of toxic among the weighted votes, cosines, examples)."""
+    def votes(self, b: int, *terms: np.ndarray) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """(share of toxic among the weighted votes, cosines, examples) of texts
+        as :meth:`search` takes them."""
         m, out = self.m, []
-        for cosine, e in self.nearest(texts) if self.n else [(np.empty(0), np.empty(0, int))] * len(texts):
+        for cosine, e in self.search(b, *terms) if self.n else [(np.empty(0), np.empty(0, int))] * b:
             weight = self.stands[e] / (0.02 + 1 - np.minimum(cosine, 1.0))
             out.append((float(((weight * self.toxic[e]).sum() + m.s.prior_weight * m.prior) / (weight.sum() + m.s.prior_weight)), cosine, e))
         return out
 
-    def score(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list]]:
-        """(probability, [(doc_id of an example, cosine)])."""
+    def score(self, b: int, *terms: np.ndarray) -> list[tuple[float, list]]:
+        """(probability, [(doc_id of an example, cosine)]) of texts as
+        :meth:`search` takes them."""
         return [(probability(v, self.m.slope, self.m.offset), [(self.m.doc_id[self.order[i]], c) for i, c in zip(e[:3].tolist(), cosine[:3].tolist())])
-                for v, cosine, e in self.votes(texts)]
+                for v, cosine, e in self.votes(b, *terms)]
 
 
 def probability(vote: float, slope: float, offset: float) -> float:
@@ -301,13 +334,27 @@ def fit_curve(votes: np.ndarray, toxic: np.ndarray, stands: np.ndarray) -> tuple
     return float(max(beta[0], 0.05)), float(beta[1])
 
 
-def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Batches of a few texts with their terms."""
-    terms = Terms()
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Batches of a few texts, in runs of bounded length."""
     for batch in batches:
         for at in range(0, batch.num_rows, _TOGETHER):
             part = batch.slice(at, _TOGETHER)
-            yield part, [x for texts in slices([t or "" for t in part.column("text").to_pylist()]) for x in terms.many(texts)]
+            for texts in slices([t or "" for t in part.column("text").to_pylist()]):
+                yield part.slice(0, len(texts)), texts
+                part = part.slice(len(texts))
+
+
+#: One table and one index are kept in each worker process, for the tasks of a run.
+_TABLE: dict[str, Terms] = {}
+_BUILT: dict[str, "BlockMaxIndex"] = {}
+
+
+def kept(held: dict, run: str, build):
+    """What ``build()`` made for a run in this worker process, made once."""
+    if run not in held:
+        held.clear()
+        held[run] = build()
+    return held[run]
 
 
 def _examples(docs: DataFrame, labels: DataFrame, share: dict, s: Settings) -> list:
@@ -322,7 +369,9 @@ def _examples(docs: DataFrame, labels: DataFrame, share: dict, s: Settings) -> l
         rows = rows.filter(F.col("place") < rate * F.lit(less))
 
     def run(batches):
+        table = Terms()
         for part, texts in _spread(batches):
+            texts = table.many(texts)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"),
                                               pa.array([x.tobytes() for x, _ in texts], pa.binary()),
                                               pa.array([f.astype(np.int32).tobytes() for _, f in texts], pa.binary())],
@@ -331,44 +380,27 @@ def _examples(docs: DataFrame, labels: DataFrame, share: dict, s: Settings) -> l
     return sorted(((r["doc_id"], r["toxic"], bytes(r["numbers"]), bytes(r["freq"])) for r in got), key=lambda r: (r[0], r[2], r[3]))
 
 
-def _counts(docs: DataFrame, labels: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _counts(docs: DataFrame, labels: DataFrame, terms: np.ndarray, name: str) -> tuple[np.ndarray, np.ndarray]:
     """How many documents, toxic labelled and other labelled rows have each of
     ``terms``, over all rows; and those three numbers of rows."""
     held = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches):
-        table, total = Terms(), np.zeros(3, np.int64)
-        seen = np.zeros((3, 1024), np.int64)
-
-        def emit():
-            """The counts so far of those that are asked for."""
-            number = np.array(table.number, np.uint64)
-            at = np.searchsorted(held.value, number)
-            at[at == len(held.value)] = 0
-            hit = np.flatnonzero(held.value[at] == number) if len(held.value) else np.empty(0, int)
-            batch = pa.RecordBatch.from_arrays([pa.array(at[hit]), *[pa.array(seen[k, hit]) for k in range(3)]],
-                                               ["place", "n", "pos", "neg"])
-            table.clear()
-            seen[:] = 0
-            return batch
+        table, m = kept(_TABLE, name, lambda: Terms(held.value)), len(held.value)
+        seen, total = np.zeros(3 * m, np.int32), np.zeros(3, np.int64)  # without label, toxic, other
         for batch in batches:
             label = np.array([0 if t is None else 1 if t else 2 for t in batch.column("toxic").to_pylist()])
             total += [len(label), (label == 1).sum(), (label == 2).sum()]
             at = 0
             for texts in slices(batch.column("text").to_pylist()):
-                text, term, _ = table.counts(texts)
-                if len(table.terms) > seen.shape[1]:
-                    wider = np.zeros((3, 2 * len(table.terms)), np.int64)
-                    wider[:, :seen.shape[1]] = seen
-                    seen = wider
-                kind = label[at + text]
-                for k in range(3):
-                    seen[k, :len(table.terms)] += np.bincount(term if not k else term[kind == k], minlength=len(table.terms))
+                text, place, _ = table.counts(texts)
+                np.add.at(seen, (label[at + text] * m + place)[place >= 0], 1)
                 at += len(texts)
-                if len(table.terms) > _TERMS // 2:
-                    yield emit()
-        yield emit()
-        yield pa.RecordBatch.from_arrays([pa.array([-1]), *[pa.array([int(x)]) for x in total]], ["place", "n", "pos", "neg"])
+        seen = seen.reshape(3, m)
+        n = seen.sum(axis=0)
+        place = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(x, y)) for x, y in zip(
+            (place, n[place], *seen[1:, place].astype(np.int64)), (-1, *total))], ["place", "n", "pos", "neg"])
     rows = U.doc_text(docs).join(F.broadcast(labels.select("doc_id", "toxic")), "doc_id", "left").select("text", "toxic")
     sums = (rows.mapInArrow(run, "place long, n long, pos long, neg long").groupBy("place")
             .agg(*[F.sum(c).alias(c) for c in ("n", "pos", "neg")])).toArrow()
@@ -382,10 +414,11 @@ def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
     """Examples, term weights and curve.  What reaches the driver is bounded by
     the settings: the examples' terms, and three counts for each of these."""
     rows, share = labelled(labels, s)
+    name = uuid4().hex
     found = _examples(docs, rows, share, s)
     number = [np.frombuffer(r[2], np.uint64) for r in found]
     terms = np.unique(np.concatenate([np.empty(0, np.uint64), *number]))
-    counts, total = _counts(docs, rows, terms)
+    counts, total = _counts(docs, rows, terms, name)
     n, pos, neg = total
     p = (pos + 1) / (pos + neg + 2)
     odds = np.log((counts[1] + s.shrink * p) / (counts[2] + s.shrink * (1 - p))) - np.log(p / (1 - p))
@@ -395,42 +428,32 @@ def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
                   np.concatenate([[0], np.cumsum([len(x) for x in number])]).astype(np.int64),
                   np.searchsorted(terms, np.concatenate([np.empty(0, np.uint64), *number])),
                   np.concatenate([np.empty(0), *[np.frombuffer(r[3], np.int32) for r in found]]), toxic,
-                  np.where(toxic, 1 / share[True], 1 / share[False]), [r[0] for r in found], s, sizes=(float(neg), float(pos)))
+                  np.where(toxic, 1 / share[True], 1 / share[False]), [r[0] for r in found], s, sizes=(float(neg), float(pos)), name=name)
     # Every fourth example, by a hash of its id, is left out to fit the curve.
     out = np.array([_number(f"curve {d}") % 4 == 0 for d in model.doc_id], bool)
     if out.any() and not out.all():
         index = BlockMaxIndex(model.only(~out))
-        votes = [index.votes([(number[i], np.frombuffer(found[i][3], np.int32).astype(float)) for i in part])
+        votes = [index.votes(*index.places([(number[i], np.frombuffer(found[i][3], np.int32)) for i in part]))
                  for part in np.array_split(np.flatnonzero(out), -(-int(out.sum()) // _TOGETHER))]
         model.slope, model.offset = fit_curve(np.array([v for part in votes for v, _, _ in part]), toxic[out], model.stands[out])
     return model
 
 
-_BUILT: dict[str, BlockMaxIndex] = {}
-
-
-def built(run: str, model) -> BlockMaxIndex:
-    """The index of a run, built once in each worker process; one is kept."""
-    if run not in _BUILT:
-        _BUILT.clear()
-        _BUILT[run] = BlockMaxIndex(model.value)
-    return _BUILT[run]
-
-
 def scored(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
     """The columns of ``docs``, then __score and __evidence
     (array of struct<doc_id, cosine>).
 
     Null and empty texts have the constant term alone.  Without labels the
     score is the prior.  Repeated rows score alike."""
-    model = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, s))
-    name = uuid4().hex
+    learned = learn(docs, labels, s)
+    name, model = learned.name, docs.sparkSession.sparkContext.broadcast(learned)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = built(name, model)
+        index = kept(_BUILT, name, lambda: BlockMaxIndex(model.value))
+        table = kept(_TABLE, name, lambda: Terms(model.value.terms))
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))
         for part, texts in _spread(batches):
-            got = index.score(texts)
+            got = index.score(len(texts), *table.counts(texts))
             evidence = [[{"doc_id": d, "cosine": c} for d, c in e] for _, e in got]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array([v for v, _ in got], pa.float64()),
                                               pa.array(evidence, kind)], names=[*part.schema.names, "__score", "__evidence"])

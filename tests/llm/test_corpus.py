@@ -612,6 +612,53 @@ def test_nearest_examples_are_exact(columns):
     assert index.nearest([terms.of(texts[17])])[0][0][0] == pytest.approx(1.0, abs=2e-5)
 
 
+def test_terms_come_as_places_from_a_table_that_a_run_keeps(monkeypatch):
+    def brute(text):
+        out = Counter()
+        for w in text.encode().translate(toxicity.WORD_BYTES).decode().split():
+            out.update([w, *[toxicity.MARK + w[:k] for k in toxicity.BEGINNINGS if len(w) > k]])
+        return {toxicity._number(t): n for t, n in out.items()}
+    rnd = random.Random(8)
+    words = ["stem", "stems", "stemming", "STEMMED", "stemmata", "\u00e9t\u00e9", "\u00e9t\u00e9s\u00e9t\u00e9s", "a", "a^b", "\u6f22" * 9, "x" * 300]
+    words += ["".join(rnd.choices("abc", k=rnd.randint(1, 9))) for _ in range(200)]
+    texts = ["", " ", "stem stem stems stemming"] + [rnd.choice(" \n-").join(rnd.choices(words, k=rnd.randint(1, 60))) for _ in range(90)]
+    known = np.array(sorted(n for n in {n for t in texts[:40] for n in brute(t)} if n % 3), np.uint64)
+    for chars in (toxicity._CHARS, 50):  # the second empties the table at every call
+        monkeypatch.setattr(toxicity, "_CHARS", chars)
+        held = {}
+        for batch in (texts[:50], texts[50:], texts):
+            table = toxicity.kept(held, "run", lambda: toxicity.Terms(known))
+            text, place, n = table.counts(batch)
+            assert (np.diff(text) >= 0).all()
+            for k, t in enumerate(batch):
+                want = Counter()
+                for number, freq in brute(t).items():
+                    at = int(np.searchsorted(known, np.uint64(number)))
+                    want[(at if at < len(known) and int(known[at]) == number else -1, freq)] += 1
+                assert Counter(zip(place[text == k].tolist(), n[text == k].tolist())) == want
+        assert (len(table.words) == len({w for t in texts for w in t.encode().translate(toxicity.WORD_BYTES).decode().split()}))
+        assert table is held["run"] and toxicity.kept(held, "next", lambda: toxicity.Terms(known)) is not table and len(held) == 1
+    plain = toxicity.Terms()
+    for t, (number, freq) in zip(texts, plain.many(texts)):
+        assert (np.diff(number.astype(object)) > 0).all() and dict(zip(number.tolist(), freq.tolist())) == brute(t)
+    assert (toxicity.Terms(known[:0]).counts(texts)[1] == -1).all()
+
+
+def test_counts_of_terms_are_those_of_all_rows(spark, monkeypatch):
+    rows, labels = toxic_corpus(5, 120)
+    rows = rows + rows[:30] + [(None, "idiot w1", "", "", 0), (7000, None, "", "", 0)]
+    numbers = [set(toxicity.Terms().of(t or "")[0].tolist()) for _, t, *_ in rows]
+    terms = np.array(sorted(set().union(*numbers))[::2], np.uint64)
+    label = dict((k, t) for k, _, t in labels if k % 3)
+    lab = spark.createDataFrame([(k, bool(t)) for k, t in label.items()], "doc_id long, toxic boolean")
+    counts, total = toxicity._counts(frame(spark, rows).repartition(3), lab, terms, "counted")
+    kinds = [label.get(r[0]) for r in rows]
+    assert total.tolist() == [len(rows), kinds.count(1), kinds.count(0)]
+    for k, fit in enumerate((lambda x: True, lambda x: x == 1, lambda x: x == 0)):
+        seen = Counter(n for x, found in zip(kinds, numbers) if fit(x) for n in found)
+        assert counts[k].tolist() == [seen[int(t)] for t in terms]
+
+
 def test_every_text_with_words_has_a_vector_and_copies_find_their_example(spark):
     rows, labels = toxic_corpus(3, 260)
     used = [(k, t) for k, t, *_ in rows if dict((k, x) for k, _, x in labels).get(k) == 1 and crc32(str(k).encode()) % 5]
